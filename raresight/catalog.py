@@ -95,3 +95,321 @@ FROM sw ORDER BY expected_cost, i LIMIT 1
 def flagship_cost_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = scored_test_transactions(spark, sf_dir)
     return E.cost_optimal_threshold(scored, COST_FP, COST_FN, label="y", score="p")
+
+
+# ----------------------------------------------------------------------------
+# V: contracts
+from raresight.operators import profile as P  # noqa: E402
+from raresight.operators.contracts import Contract, Rule  # noqa: E402
+
+# fixed values: the event-type domain and customer segments named by the contracts below
+EVENTS_CONTRACT = Contract("events", (
+    Rule("event_id", "bigint"), Rule("ts", "timestamp_ntz"), Rule("user_id", "bigint"),
+    Rule("event_type", "string", isin=("view", "click", "purchase", "signup")),
+    Rule("value", "double", ge=1.0), Rule("props", "double"), Rule("channel", "string")))
+CUSTOMER_CONTRACT = Contract("customer", (
+    Rule("c_custkey", "bigint"), Rule("c_name", "string"), Rule("c_nationkey", "bigint", isin=tuple(range(25))),
+    Rule("c_acctbal", "double", ge=0.0),
+    Rule("c_mktsegment", "string", isin=("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"))))
+
+
+@register("v6_contract_summary_events", sql="""
+SELECT 'event_id' AS "column", 'dtype(bigint)' AS "check", count(*) FILTER (WHERE event_id IS NOT NULL AND TRY_CAST(event_id AS BIGINT) IS NULL) AS n_failed FROM events
+UNION ALL SELECT 'event_id', 'not_null', count(*) FILTER (WHERE event_id IS NULL) FROM events
+UNION ALL SELECT 'ts', 'dtype(timestamp_ntz)', count(*) FILTER (WHERE ts IS NOT NULL AND TRY_CAST(ts AS TIMESTAMP) IS NULL) FROM events
+UNION ALL SELECT 'ts', 'not_null', count(*) FILTER (WHERE ts IS NULL) FROM events
+UNION ALL SELECT 'user_id', 'dtype(bigint)', count(*) FILTER (WHERE user_id IS NOT NULL AND TRY_CAST(user_id AS BIGINT) IS NULL) FROM events
+UNION ALL SELECT 'user_id', 'not_null', count(*) FILTER (WHERE user_id IS NULL) FROM events
+UNION ALL SELECT 'event_type', 'dtype(string)', count(*) FILTER (WHERE event_type IS NOT NULL AND TRY_CAST(event_type AS VARCHAR) IS NULL) FROM events
+UNION ALL SELECT 'event_type', 'not_null', count(*) FILTER (WHERE event_type IS NULL) FROM events
+UNION ALL SELECT 'event_type', 'isin(''view'',''click'',''purchase'',''signup'')', count(*) FILTER (WHERE event_type IS NOT NULL AND event_type NOT IN ('view', 'click', 'purchase', 'signup')) FROM events
+UNION ALL SELECT 'value', 'dtype(double)', count(*) FILTER (WHERE value IS NOT NULL AND TRY_CAST(value AS DOUBLE) IS NULL) FROM events
+UNION ALL SELECT 'value', 'not_null', count(*) FILTER (WHERE value IS NULL OR isnan(value)) FROM events
+UNION ALL SELECT 'value', 'ge(1)', count(*) FILTER (WHERE value < 1.0) FROM events
+UNION ALL SELECT 'props', 'dtype(double)', count(*) FILTER (WHERE props IS NOT NULL AND TRY_CAST(props AS DOUBLE) IS NULL) FROM events
+UNION ALL SELECT 'props', 'not_null', count(*) FILTER (WHERE props IS NULL OR isnan(TRY_CAST(props AS DOUBLE))) FROM events
+UNION ALL SELECT 'channel', 'missing_column', CAST(1 AS BIGINT)
+""")
+def v6_contract_summary_events(spark, sf_dir):
+    return V.contract_summary(S.load(spark, sf_dir, "events"), EVENTS_CONTRACT)
+
+
+@register("v6_contract_summary_customer", sql="""
+SELECT 'c_custkey' AS "column", 'dtype(bigint)' AS "check", count(*) FILTER (WHERE c_custkey IS NOT NULL AND TRY_CAST(c_custkey AS BIGINT) IS NULL) AS n_failed FROM customer
+UNION ALL SELECT 'c_custkey', 'not_null', count(*) FILTER (WHERE c_custkey IS NULL) FROM customer
+UNION ALL SELECT 'c_name', 'dtype(string)', count(*) FILTER (WHERE c_name IS NOT NULL AND TRY_CAST(c_name AS VARCHAR) IS NULL) FROM customer
+UNION ALL SELECT 'c_name', 'not_null', count(*) FILTER (WHERE c_name IS NULL) FROM customer
+UNION ALL SELECT 'c_nationkey', 'dtype(bigint)', count(*) FILTER (WHERE c_nationkey IS NOT NULL AND TRY_CAST(c_nationkey AS BIGINT) IS NULL) FROM customer
+UNION ALL SELECT 'c_nationkey', 'not_null', count(*) FILTER (WHERE c_nationkey IS NULL) FROM customer
+UNION ALL SELECT 'c_nationkey', 'isin(' || (SELECT string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) FROM range(25) r(i)) || ')', count(*) FILTER (WHERE c_nationkey IS NOT NULL AND (c_nationkey < 0 OR c_nationkey > 24)) FROM customer
+UNION ALL SELECT 'c_acctbal', 'dtype(double)', count(*) FILTER (WHERE c_acctbal IS NOT NULL AND TRY_CAST(c_acctbal AS DOUBLE) IS NULL) FROM customer
+UNION ALL SELECT 'c_acctbal', 'not_null', count(*) FILTER (WHERE c_acctbal IS NULL OR isnan(c_acctbal)) FROM customer
+UNION ALL SELECT 'c_acctbal', 'ge(0)', count(*) FILTER (WHERE c_acctbal < 0) FROM customer
+UNION ALL SELECT 'c_mktsegment', 'dtype(string)', count(*) FILTER (WHERE c_mktsegment IS NOT NULL AND TRY_CAST(c_mktsegment AS VARCHAR) IS NULL) FROM customer
+UNION ALL SELECT 'c_mktsegment', 'not_null', count(*) FILTER (WHERE c_mktsegment IS NULL) FROM customer
+UNION ALL SELECT 'c_mktsegment', 'isin(''AUTOMOBILE'',''BUILDING'',''FURNITURE'',''HOUSEHOLD'',''MACHINERY'')', count(*) FILTER (WHERE c_mktsegment IS NOT NULL AND c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')) FROM customer
+""")
+def v6_contract_summary_customer(spark, sf_dir):
+    return V.contract_summary(S.load(spark, sf_dir, "customer"), CUSTOMER_CONTRACT)
+
+
+@register("v6_failure_cases_customer", sql="""
+SELECT c_custkey, 'c_acctbal' AS "column", 'ge(0)' AS "check", CAST(c_acctbal AS VARCHAR) AS failure_case
+FROM customer WHERE c_acctbal < 0
+""")
+def v6_failure_cases_customer(spark, sf_dir):
+    return V.failure_cases(S.load(spark, sf_dir, "customer"), CUSTOMER_CONTRACT, ["c_custkey"])
+
+
+@register("v7_health_report", sql=f"""
+WITH {SQL_TX}
+SELECT count(*) AS n_rows, CAST(sum(Class) AS BIGINT) AS n_fraud, round(avg(CAST(Class AS DOUBLE)), 6) AS fraud_rate,
+       CAST(count(*) FILTER (WHERE Time < 0) + count(*) FILTER (WHERE Amount < 0)
+            + count(*) FILTER (WHERE Time IS NULL OR isnan(Time)) + count(*) FILTER (WHERE Amount IS NULL OR isnan(Amount))
+            + count(*) FILTER (WHERE Class IS NULL OR Class NOT IN (0, 1)) AS BIGINT) AS n_failures,
+       CASE WHEN count(*) FILTER (WHERE Time < 0 OR Amount < 0 OR Class NOT IN (0, 1)) = 0 THEN 'passed' ELSE 'failed' END AS status
+FROM tx
+""")
+def v7_health_report(spark, sf_dir):
+    tx = S.transaction_table(spark, sf_dir).drop("event_id")
+    return V.health_report(tx, V.raw_transaction_contract(features=()), "Class")
+
+
+@register("v8_processed_contract", sql=f"""
+WITH {SQL_TX}, {SQL_SPLIT},
+prm AS (SELECT avg(Time) AS mt, stddev_pop(Time) AS st, avg(Amount) AS ma, stddev_pop(Amount) AS sa FROM sp WHERE split = 'train'),
+sc AS (SELECT split, (Time - mt) / st AS Time, (Amount - ma) / sa AS Amount, Class FROM sp, prm)
+SELECT split, count(*) AS n_rows,
+       count(*) FILTER (WHERE Time < 0) AS n_negative_time,
+       CAST(count(*) FILTER (WHERE Time IS NULL OR isnan(Time)) + count(*) FILTER (WHERE Amount IS NULL OR isnan(Amount))
+            + count(*) FILTER (WHERE Class NOT IN (0, 1)) AS BIGINT) AS n_failures
+FROM sc GROUP BY split
+""")
+def v8_processed_contract(spark, sf_dir):
+    """Both processed splits against the processed contract (no range checks): negative
+    standardised times are allowed, so the failure count stays 0."""
+    tx = S.transaction_table(spark, sf_dir)
+    split = T.stratified_split(tx, ["event_id"], "Class", TEST_SIZE, SEED)
+    params = T.fit_standardizer(split.filter(F.col("split") == "train"), ["Time", "Amount"])
+    proc = T.apply_standardizer(split, params)
+    contract = V.processed_transaction_contract(features=())
+    checks = V.check_expressions(contract, proc.columns)
+    fails = sum((F.count_if(p) for _, _, p in checks), F.lit(0).cast("bigint"))
+    return proc.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
+                                     F.count_if(F.col("Time") < 0).alias("n_negative_time"),
+                                     fails.alias("n_failures"))
+
+
+@register("v10_valid_quarantine", sql="""
+SELECT c_custkey, NOT (coalesce(c_acctbal < 0, true) OR c_acctbal IS NULL OR isnan(c_acctbal)
+       OR c_nationkey NOT BETWEEN 0 AND 24 OR c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')) AS is_valid
+FROM customer
+""")
+def v10_valid_quarantine(spark, sf_dir):
+    return V.with_validity(S.load(spark, sf_dir, "customer"), CUSTOMER_CONTRACT).select("c_custkey", "is_valid")
+
+
+# ----------------------------------------------------------------------------
+# P: profiling
+LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("p1_structure_lineitem", sql="""
+WITH d AS (SELECT column_name, column_type FROM (DESCRIBE lineitem)),
+c AS (UNPIVOT (SELECT count(l_orderkey) AS l_orderkey, count(l_partkey) AS l_partkey, count(l_suppkey) AS l_suppkey,
+                      count(l_linenumber) AS l_linenumber, count(l_quantity) AS l_quantity,
+                      count(l_extendedprice) AS l_extendedprice, count(l_discount) AS l_discount, count(l_tax) AS l_tax,
+                      count(l_returnflag) AS l_returnflag, count(l_linestatus) AS l_linestatus,
+                      count(l_shipdate) AS l_shipdate FROM lineitem)
+      ON COLUMNS(*) INTO NAME column_name VALUE non_null)
+SELECT d.column_name AS "column",
+       CASE d.column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+            WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(d.column_type) END AS dtype,
+       c.non_null, (SELECT count(*) FROM lineitem) AS n_rows
+FROM d JOIN c USING (column_name)
+""")
+def p1_structure_lineitem(spark, sf_dir):
+    return P.structure(S.load(spark, sf_dir, "lineitem"))
+
+
+@register("p2_head_transactions", sql=f"""
+WITH {SQL_TX} SELECT * FROM tx ORDER BY event_id LIMIT 5
+""")
+def p2_head_transactions(spark, sf_dir):
+    return P.head(S.transaction_table(spark, sf_dir), 5, ["event_id"])
+
+
+def _describe_sql(table_sql: str, cols: list[str], by: str | None = None) -> str:
+    on = ", ".join(cols)
+    g = f"{by}, " if by else ""
+    return f"""
+WITH base AS ({table_sql}),
+long AS (UNPIVOT (SELECT {g}{on} FROM base) ON {on} INTO NAME "column" VALUE value)
+SELECT {g}"column", count(value) AS "count", round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+       min(value) AS "min", quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.5) AS p50,
+       quantile_cont(value, 0.75) AS p75, max(value) AS "max"
+FROM long WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY {g}"column"
+"""
+
+
+def _round_describe(d):
+    return d.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
+
+
+@register("p3_describe_lineitem", sql=_describe_sql("SELECT * FROM lineitem", LI_NUM))
+def p3_describe_lineitem(spark, sf_dir):
+    return _round_describe(P.describe(S.load(spark, sf_dir, "lineitem"), LI_NUM))
+
+
+@register("p4_null_counts_documents", sql="""
+WITH c AS (UNPIVOT (SELECT count(*) FILTER (WHERE doc_id IS NULL) AS doc_id, count(*) FILTER (WHERE text IS NULL) AS text,
+                      count(*) FILTER (WHERE lang IS NULL) AS lang, count(*) FILTER (WHERE source IS NULL) AS source,
+                      count(*) FILTER (WHERE n_chars IS NULL) AS n_chars FROM documents)
+      ON COLUMNS(*) INTO NAME "column" VALUE n_null)
+SELECT "column", n_null FROM c UNION ALL SELECT '__total__', CAST(sum(n_null) AS BIGINT) FROM c
+""")
+def p4_null_counts_documents(spark, sf_dir):
+    return P.null_counts(S.load(spark, sf_dir, "documents"))
+
+
+@register("p5_duplicates_lineitem_keys", sql="""
+WITH g AS (SELECT l_orderkey, l_linenumber, CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS BIGINT) AS Class,
+                  count(*) AS n FROM lineitem GROUP BY ALL)
+SELECT Class, CAST(sum(n - 1) AS BIGINT) AS n_duplicates FROM g GROUP BY Class
+""")
+def p5_duplicates_lineitem_keys(spark, sf_dir):
+    li = S.returns_table(spark, sf_dir).select("l_orderkey", "l_linenumber", "Class")
+    return P.duplicate_counts(li, "Class")
+
+
+@register("p6_value_counts_part_size", sql="""
+SELECT p_size AS value, count(*) AS n, count(*) / (SELECT count(*) FROM part) AS proportion FROM part GROUP BY p_size
+""")
+def p6_value_counts_part_size(spark, sf_dir):
+    return P.value_counts(S.load(spark, sf_dir, "part"), "p_size")
+
+
+@register("p7_imbalance_events", sql=f"""
+WITH {SQL_TX}
+SELECT count(*) FILTER (WHERE Class = 1) AS n_pos, count(*) FILTER (WHERE Class <> 1) AS n_neg,
+       count(*) FILTER (WHERE Class = 1) * 100.0::DOUBLE / count(*) AS pos_rate_pct,
+       count(*) FILTER (WHERE Class <> 1) / nullif(count(*) FILTER (WHERE Class = 1), 0) AS neg_per_pos
+FROM tx
+""")
+def p7_imbalance_events(spark, sf_dir):
+    return P.imbalance(S.transaction_table(spark, sf_dir))
+
+
+@register("p8_describe_amount_by_class", sql=_describe_sql(f"WITH {SQL_TX} SELECT * FROM tx", ["Amount"], "Class"))
+def p8_describe_amount_by_class(spark, sf_dir):
+    return _round_describe(P.describe(S.transaction_table(spark, sf_dir), ["Amount"], by=["Class"]))
+
+
+@register("p9_zero_amount_rate", sql=f"""
+WITH {SQL_TX} SELECT avg(CAST(Amount = 0 AS DOUBLE)) * 100 AS rate_pct FROM tx
+""")
+def p9_zero_amount_rate(spark, sf_dir):
+    return P.predicate_rate(S.transaction_table(spark, sf_dir), F.col("Amount") == 0)
+
+
+@register("p11_hourly_profile", sql=f"""
+WITH {SQL_TX}
+SELECT CAST(floor(Time / 3600.0) AS BIGINT) % 24 AS hour, count(*) AS n_tx,
+       round(avg(CAST(Class AS DOUBLE)) * 100, 9) AS pos_rate_pct
+FROM tx GROUP BY 1
+""")
+def p11_hourly_profile(spark, sf_dir):
+    h = P.hourly_profile(S.transaction_table(spark, sf_dir))
+    return h.withColumn("pos_rate_pct", r9(F.col("pos_rate_pct")))
+
+
+@register("p12_time_span", sql=f"""
+WITH {SQL_TX} SELECT max(Time) AS max_seconds, round(max(Time) / 3600.0, 1) AS hours FROM tx
+""")
+def p12_time_span(spark, sf_dir):
+    return P.time_span(S.transaction_table(spark, sf_dir))
+
+
+FEAT_SQL = ("SELECT vec_id, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS V{i + 1}" for i in range(28))
+            + ", CAST(CASE WHEN label = 0 THEN 1 ELSE 0 END AS BIGINT) AS Class FROM embeddings")
+
+
+def _corr_sql() -> str:
+    cols = S.V_COLUMNS + ["Class"]
+    sel = []
+    for a in cols:
+        for b in cols:
+            if a == b:
+                sel.append(f"SELECT '{a}' AS a, '{b}' AS b, 1.0::DOUBLE AS r")
+            else:
+                sel.append(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 9) AS r FROM feat")
+    return f"WITH feat AS ({FEAT_SQL})\n" + "\nUNION ALL ".join(sel)
+
+
+@register("p13_correlation_matrix", sql=_corr_sql())
+def p13_correlation_matrix(spark, sf_dir):
+    cm = P.correlation_matrix(S.feature_table(spark, sf_dir), S.V_COLUMNS + ["Class"])
+    return cm.withColumn("r", r9(F.col("r")))
+
+
+@register("p14_label_correlation_top12", sql=f"""
+WITH feat AS ({FEAT_SQL}),
+c AS ({" UNION ALL ".join(f"SELECT '{v}' AS feature, abs(corr({v}, CAST(Class AS DOUBLE))) AS abs_corr FROM feat" for v in S.V_COLUMNS)})
+SELECT feature, round(abs_corr, 9) AS abs_corr FROM c ORDER BY abs_corr DESC, feature LIMIT 12
+""")
+def p14_label_correlation_top12(spark, sf_dir):
+    r = P.label_correlation_ranking(S.feature_table(spark, sf_dir), S.V_COLUMNS, "Class", 12)
+    return r.withColumn("abs_corr", r9(F.col("abs_corr")))
+
+
+@register("p15_histogram_amount", sql=f"""
+WITH {SQL_TX}, rg AS (SELECT min(Amount) AS lo, (max(Amount) - min(Amount)) / 50.0::DOUBLE AS w FROM tx)
+SELECT Class, CAST(CASE WHEN w = 0 THEN 0 ELSE least(floor((Amount - lo) / w), 49) END AS BIGINT) AS bin,
+       round(lo + CAST(CASE WHEN w = 0 THEN 0 ELSE least(floor((Amount - lo) / w), 49) END AS BIGINT) * w, 9) AS bin_lo,
+       count(*) AS n
+FROM tx, rg GROUP BY ALL
+""")
+def p15_histogram_amount(spark, sf_dir):
+    h = P.grouped_histogram(S.transaction_table(spark, sf_dir), "Amount", "Class", 50)
+    return h.withColumn("bin_lo", r9(F.col("bin_lo")))
+
+
+@register("p16_density_amount", sql=f"""
+WITH {SQL_TX},
+st AS (SELECT Class, count(*) AS n, stddev_samp(Amount) * pow(CAST(count(*) AS DOUBLE), -0.2) AS bw,
+              min(Amount) AS mn, max(Amount) AS mx FROM tx GROUP BY Class),
+g AS (SELECT Class, n, bw, j,
+             CASE WHEN j = 199 THEN mx + 3.0 * bw
+                  ELSE CAST(j AS DOUBLE) * (((mx + 3.0 * bw) - (mn - 3.0 * bw)) / 199.0) + (mn - 3.0 * bw) END AS x
+      FROM st, range(200) r(j))
+SELECT g.Class, CAST(g.j AS INTEGER) AS j, round(g.x, 9) AS x,
+       round(sum(exp(-0.5 * pow((g.x - tx.Amount) / g.bw, 2))) / (g.n * g.bw * sqrt(2 * pi())), 12) AS density
+FROM g JOIN tx ON g.Class = tx.Class GROUP BY g.Class, g.j, g.x, g.n, g.bw
+""")
+def p16_density_amount(spark, sf_dir):
+    d = P.class_density(S.transaction_table(spark, sf_dir), "Amount", "Class", 200, 3.0)
+    return d.withColumn("x", r9(F.col("x"))).withColumn("density", F.round("density", 12))
+
+
+@register("p17_melt_features", sql=f"""
+WITH feat AS ({FEAT_SQL})
+UNPIVOT feat ON {", ".join(S.V_COLUMNS)} INTO NAME component VALUE value
+""")
+def p17_melt_features(spark, sf_dir):
+    return P.melt(S.feature_table(spark, sf_dir), ["vec_id", "Class"], S.V_COLUMNS)
+
+
+@register("p18_box_stats_features", sql=f"""
+WITH feat AS ({FEAT_SQL}),
+long AS (UNPIVOT (SELECT Class, {", ".join(S.V_COLUMNS)} FROM feat) ON {", ".join(S.V_COLUMNS)} INTO NAME component VALUE value),
+q AS (SELECT Class, component, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+             quantile_cont(value, 0.75) AS q3 FROM long GROUP BY ALL),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lf, q3 + 1.5 * (q3 - q1) AS uf FROM q)
+SELECT f.Class, f.component, f.q1, f.median, f.q3, round(f.iqr, 12) AS iqr,
+       min(value) FILTER (WHERE value >= lf) AS whisker_lo, max(value) FILTER (WHERE value <= uf) AS whisker_hi,
+       count(*) FILTER (WHERE value < lf OR value > uf) AS n_outliers
+FROM long JOIN f USING (Class, component) GROUP BY ALL
+""")
+def p18_box_stats_features(spark, sf_dir):
+    b = P.box_stats(S.feature_table(spark, sf_dir), S.V_COLUMNS, "Class")
+    return b.withColumn("iqr", F.round("iqr", 12))

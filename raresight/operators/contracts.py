@@ -101,8 +101,8 @@ def contract_summary(df: DataFrame, contract: Contract) -> DataFrame:
     parts = []
     if checks:
         agg = df.agg(*[F.count_if(pred).alias(f"_c{i}") for i, (_, _, pred) in enumerate(checks)])
-        stack_args = ", ".join(f"'{c}', '{chk}', _c{i}" for i, (c, chk, _) in enumerate(checks))
-        parts.append(agg.selectExpr(f"stack({len(checks)}, {stack_args}) AS (column, check, n_failed)"))
+        args = [a for i, (c, chk, _) in enumerate(checks) for a in (F.lit(c), F.lit(chk), F.col(f"_c{i}"))]
+        parts.append(agg.select(F.stack(F.lit(len(checks)), *args).alias("column", "check", "n_failed")))
     struct_rows = structural_failures(df, contract)
     if struct_rows:
         parts.append(spark.createDataFrame([(c, k, 1) for c, k in struct_rows], "column string, check string, n_failed bigint"))

@@ -67,10 +67,14 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), accurac
         F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
         F.percentile_approx("_x", lo_p + hi_p, accuracy).alias("_pa"))
     k = len(probs)
+    # small groups (n * delta < 3 ranks of margin): bracket the whole group instead
+    small = F.col("_n") * F.lit(delta) < F.lit(3.0)
     qrows = F.array(*[
         F.struct(F.lit(i).alias("qi"), F.lit(q).alias("q"),
-                 (F.col("_min") if lo_p[i] <= 0.0 else F.col("_pa")[i]).alias("lo"),
-                 (F.col("_max") if hi_p[i] >= 1.0 else F.col("_pa")[k + i]).alias("hi"))
+                 (F.col("_min") if lo_p[i] <= 0.0 else
+                  F.when(small, F.col("_min")).otherwise(F.col("_pa")[i])).alias("lo"),
+                 (F.col("_max") if hi_p[i] >= 1.0 else
+                  F.when(small, F.col("_max")).otherwise(F.col("_pa")[k + i])).alias("hi"))
         for i, q in enumerate(probs)])
     per_q = stats.select(*group_cols, "_n", F.explode(qrows).alias("_s")).select(
         *group_cols, "_n", "_s.qi", "_s.q", "_s.lo", "_s.hi")
