@@ -413,3 +413,207 @@ FROM long JOIN f USING (Class, component) GROUP BY ALL
 def p18_box_stats_features(spark, sf_dir):
     b = P.box_stats(S.feature_table(spark, sf_dir), S.V_COLUMNS, "Class")
     return b.withColumn("iqr", F.round("iqr", 12))
+
+
+# ----------------------------------------------------------------------------
+# E: evaluation over three stand-in score models on lineitem (Class = returned)
+SQL_SM = """
+sm AS (UNPIVOT (SELECT CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS BIGINT) AS y,
+                       CAST(l_discount * 10.0 AS DOUBLE) AS discount, CAST(l_tax / 0.08 AS DOUBLE) AS tax,
+                       CAST(l_quantity / 50.0 AS DOUBLE) AS quantity FROM lineitem)
+       ON discount, tax, quantity INTO NAME model_id VALUE p)"""
+
+SQL_CURVE = """
+dc AS (SELECT model_id, p AS threshold, count(*) FILTER (WHERE y = 1) AS n_pos,
+              count(*) FILTER (WHERE y <> 1) AS n_neg FROM sm GROUP BY ALL),
+cv AS (SELECT *, CAST(sum(n_pos) OVER w AS BIGINT) AS tps, CAST(sum(n_neg) OVER w AS BIGINT) AS fps,
+              CAST(sum(n_pos) OVER (PARTITION BY model_id) AS BIGINT) AS P,
+              CAST(sum(n_neg) OVER (PARTITION BY model_id) AS BIGINT) AS N
+       FROM dc WINDOW w AS (PARTITION BY model_id ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING)),
+pts AS (SELECT *, tps / (tps + fps) AS precision, CASE WHEN P = 0 THEN 1.0 ELSE tps / P END AS recall FROM cv)"""
+
+SQL_CONF = """
+SELECT model_id, count(*) FILTER (WHERE p >= {t} AND y = 1) AS tp, count(*) FILTER (WHERE p >= {t} AND y <> 1) AS fp,
+       count(*) FILTER (WHERE p < {t} AND y = 1) AS fn, count(*) FILTER (WHERE p < {t} AND y <> 1) AS tn
+FROM sm GROUP BY model_id"""
+
+SQL_RATES = """
+SELECT *, CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision,
+          CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS recall,
+          CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1"""
+
+
+def _r9cols(df, cols):
+    for c in cols:
+        df = df.withColumn(c, r9(F.col(c)))
+    return df
+
+
+def _models(spark, sf_dir):
+    return S.scored_models(spark, sf_dir)
+
+
+@register("e1_confusion_by_model", sql=f"WITH {SQL_SM} {SQL_CONF.format(t='0.5')}")
+def e1_confusion_by_model(spark, sf_dir):
+    return E.confusion_counts(_models(spark, sf_dir), 0.5, by=["model_id"])
+
+
+@register("e2_metrics_by_model", sql=f"""
+WITH {SQL_SM}, cf AS ({SQL_CONF.format(t='0.5')}), rt AS ({SQL_RATES} FROM cf)
+SELECT model_id, tp, fp, fn, tn, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1 FROM rt
+""")
+def e2_metrics_by_model(spark, sf_dir):
+    m = E.classification_metrics(_models(spark, sf_dir), 0.5, by=["model_id"])
+    return _r9cols(m, ["precision", "recall", "f1"])
+
+
+@register("e3_pr_auc_by_model", sql=f"""
+WITH {SQL_SM}, {SQL_CURVE}
+SELECT model_id, round(coalesce(sum(n_pos * precision) / nullif(max(P), 0), 0.0), 9) AS pr_auc FROM pts GROUP BY model_id
+""")
+def e3_pr_auc_by_model(spark, sf_dir):
+    return _r9cols(E.average_precision(_models(spark, sf_dir), by=["model_id"]), ["pr_auc"])
+
+
+@register("e3_pr_auc_flagship", sql=f"""
+WITH {SQL_TX}, {SQL_SPLIT},
+prm AS (SELECT avg(Amount) AS ma, stddev_pop(Amount) AS sa FROM sp WHERE split = 'train'),
+sc AS (SELECT Class AS y, (Amount - ma) / sa AS z FROM sp, prm WHERE split = 'test'),
+pr AS (SELECT y, 0.5 + 0.5 * z / (1 + abs(z)) AS p FROM sc),
+dc AS (SELECT p AS threshold, count(*) FILTER (WHERE y = 1) AS n_pos, count(*) FILTER (WHERE y <> 1) AS n_neg
+       FROM pr GROUP BY ALL),
+cv AS (SELECT *, sum(n_pos) OVER w AS tps, sum(n_neg) OVER w AS fps, sum(n_pos) OVER () AS P
+       FROM dc WINDOW w AS (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING))
+SELECT round(coalesce(sum(n_pos * (tps / (tps + fps))) / nullif(max(P), 0), 0.0), 9) AS pr_auc FROM cv
+""")
+def e3_pr_auc_flagship(spark, sf_dir):
+    return _r9cols(E.average_precision(scored_test_transactions(spark, sf_dir)), ["pr_auc"])
+
+
+@register("e4_pr_curve_by_model", sql=f"""
+WITH {SQL_SM}, {SQL_CURVE}
+SELECT model_id, threshold, round(precision, 9) AS precision, round(recall, 9) AS recall FROM pts
+UNION ALL SELECT DISTINCT model_id, CAST(NULL AS DOUBLE), 1.0, 0.0 FROM sm
+""")
+def e4_pr_curve_by_model(spark, sf_dir):
+    return _r9cols(E.pr_curve(_models(spark, sf_dir), by=["model_id"]), ["precision", "recall"])
+
+
+@register("e5_f1_threshold_by_model", sql=f"""
+WITH {SQL_SM}, {SQL_CURVE},
+f AS (SELECT model_id, threshold, 2 * precision * recall / (precision + recall + 1e-9) AS f1 FROM pts),
+r AS (SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY f1 DESC, threshold ASC) AS rn FROM f)
+SELECT model_id, threshold, round(f1, 9) AS f1 FROM r WHERE rn = 1
+""")
+def e5_f1_threshold_by_model(spark, sf_dir):
+    return _r9cols(E.f1_optimal_threshold(_models(spark, sf_dir), by=["model_id"]), ["f1"])
+
+
+SQL_COST_CURVE = f"""
+cand AS {SQL_LINSPACE},
+sw AS (SELECT sm.model_id, c.i, c.t AS threshold,
+              count(*) FILTER (WHERE sm.p >= c.t AND sm.y = 1) AS tp, count(*) FILTER (WHERE sm.p >= c.t AND sm.y <> 1) AS fp,
+              count(*) FILTER (WHERE sm.p < c.t AND sm.y = 1) AS fn, count(*) FILTER (WHERE sm.p < c.t AND sm.y <> 1) AS tn
+       FROM cand c, sm GROUP BY ALL),
+cc AS (SELECT *, CAST(fp AS DOUBLE) * 4.0::DOUBLE + CAST(fn AS DOUBLE) * 137.0::DOUBLE AS cost FROM sw)"""
+
+
+@register("e6_cost_curve_by_model", sql=f"""
+WITH {SQL_SM}, {SQL_COST_CURVE}
+SELECT model_id, CAST(i AS INTEGER) AS i, threshold, tp, fp, fn, tn, cost FROM cc
+""")
+def e6_cost_curve_by_model(spark, sf_dir):
+    return E.cost_curve(_models(spark, sf_dir), COST_FP, COST_FN, by=["model_id"])
+
+
+@register("e6_cost_threshold_by_model", sql=f"""
+WITH {SQL_SM}, {SQL_COST_CURVE},
+r AS (SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY cost, i) AS rn FROM cc)
+SELECT model_id, threshold, cost AS expected_cost, fp, fn, tp, tn FROM r WHERE rn = 1
+""")
+def e6_cost_threshold_by_model(spark, sf_dir):
+    return E.cost_optimal_threshold(_models(spark, sf_dir), COST_FP, COST_FN, by=["model_id"])
+
+
+NAMED_THRESHOLDS = (0.03, 0.5, 0.9921)  # fixed values: cost-optimal, default and F1-optimal points of the reference
+
+
+@register("e7_operating_points", sql=f"""
+WITH {SQL_SM},
+th AS (SELECT unnest([0.03, 0.5, 0.9921]::DOUBLE[]) AS threshold),
+cf AS (SELECT model_id, threshold,
+              count(*) FILTER (WHERE p >= threshold AND y = 1) AS tp, count(*) FILTER (WHERE p >= threshold AND y <> 1) AS fp,
+              count(*) FILTER (WHERE p < threshold AND y = 1) AS fn, count(*) FILTER (WHERE p < threshold AND y <> 1) AS tn
+       FROM th, sm GROUP BY ALL),
+rt AS ({SQL_RATES} FROM cf)
+SELECT model_id, threshold, tp, fp, fn, tn, round(precision, 9) AS precision, round(recall, 9) AS recall,
+       round(f1, 9) AS f1, CAST(fp AS DOUBLE) * 4.0::DOUBLE + CAST(fn AS DOUBLE) * 137.0::DOUBLE AS cost FROM rt
+""")
+def e7_operating_points(spark, sf_dir):
+    op = E.operating_points(_models(spark, sf_dir), NAMED_THRESHOLDS, COST_FP, COST_FN, by=["model_id"])
+    return _r9cols(op, ["precision", "recall", "f1"])
+
+
+@register("e8_matched_recall", sql=f"""
+WITH {SQL_SM}, {SQL_CURVE},
+c AS (SELECT *, CAST(fps AS DOUBLE) * 4.0::DOUBLE + CAST(P - tps AS DOUBLE) * 137.0::DOUBLE AS cost FROM pts WHERE recall >= 0.8),
+r AS (SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY cost, threshold) AS rn FROM c)
+SELECT model_id, threshold, round(precision, 9) AS precision, round(recall, 9) AS recall, cost FROM r WHERE rn = 1
+""")
+def e8_matched_recall(spark, sf_dir):
+    m = E.matched_recall_point(_models(spark, sf_dir), 0.8, COST_FP, COST_FN, by=["model_id"])
+    return _r9cols(m, ["precision", "recall"])
+
+
+SQL_MODEL_METRICS = f"""
+cf AS ({SQL_CONF.format(t='0.5')}), rt AS ({SQL_RATES} FROM cf),
+ap AS (SELECT model_id, coalesce(sum(n_pos * precision) / nullif(max(P), 0), 0.0) AS pr_auc FROM pts GROUP BY model_id),
+mm AS (SELECT rt.model_id, tp, fp, fn, tn, round(precision, 9) AS precision, round(recall, 9) AS recall,
+              round(f1, 9) AS f1, round(pr_auc, 9) AS pr_auc FROM rt JOIN ap USING (model_id))"""
+
+
+def _model_metrics(spark, sf_dir):
+    m = E.model_metrics(_models(spark, sf_dir), 0.5, by=["model_id"])
+    return _r9cols(m, ["precision", "recall", "f1", "pr_auc"])
+
+
+@register("e9_quality_gate", sql=f"""
+WITH {SQL_SM}, {SQL_CURVE}, {SQL_MODEL_METRICS}
+SELECT model_id, pr_auc, pr_auc >= 0.75 AS passed,
+       CASE WHEN pr_auc >= 0.75 THEN 'passed' ELSE printf('blocked: pr_auc %.4f below minimum 0.75', pr_auc) END AS message
+FROM mm
+""")
+def e9_quality_gate(spark, sf_dir):
+    return E.quality_gate(_model_metrics(spark, sf_dir), 0.75).select("model_id", "pr_auc", "passed", "message")
+
+
+@register("e10_model_ranking", sql=f"""
+WITH {SQL_SM}, {SQL_CURVE}, {SQL_MODEL_METRICS}
+SELECT *, CAST(rank() OVER (ORDER BY pr_auc DESC, model_id) AS INTEGER) AS rank FROM mm
+""")
+def e10_model_ranking(spark, sf_dir):
+    return E.rank_models(_model_metrics(spark, sf_dir))
+
+
+@register("e11_promote_if_better", sql=f"""
+WITH {SQL_SM}, {SQL_CURVE}, {SQL_MODEL_METRICS},
+inc AS (SELECT 'returns' AS slot, pr_auc AS incumbent_pr_auc FROM mm WHERE model_id = 'discount')
+SELECT 'returns' AS slot, mm.model_id, mm.pr_auc, inc.incumbent_pr_auc,
+       inc.incumbent_pr_auc IS NULL OR mm.pr_auc > inc.incumbent_pr_auc AS promote
+FROM mm LEFT JOIN inc ON inc.slot = 'returns'
+""")
+def e11_promote_if_better(spark, sf_dir):
+    """Every stand-in model is a candidate for the 'returns' slot, whose incumbent is
+    the discount model: the incumbent itself ties, and a tie does not promote."""
+    mm = _model_metrics(spark, sf_dir).select("model_id", "pr_auc").withColumn("slot", F.lit("returns"))
+    inc = mm.filter(F.col("model_id") == "discount").select("slot", "pr_auc")
+    return E.promote_if_better(mm, inc, key="slot").select("slot", "model_id", "pr_auc", "incumbent_pr_auc", "promote")
+
+
+@register("e12_roc_auc_by_model", sql=f"""
+WITH {SQL_SM}, {SQL_CURVE}
+SELECT model_id, round(sum(n_pos * ((N - fps) + 0.5 * n_neg)) / nullif(max(P) * max(N), 0), 9) AS roc_auc
+FROM pts GROUP BY model_id
+""")
+def e12_roc_auc_by_model(spark, sf_dir):
+    return _r9cols(E.roc_auc(_models(spark, sf_dir), by=["model_id"]), ["roc_auc"])
