@@ -617,3 +617,145 @@ FROM pts GROUP BY model_id
 """)
 def e12_roc_auc_by_model(spark, sf_dir):
     return _r9cols(E.roc_auc(_models(spark, sf_dir), by=["model_id"]), ["roc_auc"])
+
+
+# ----------------------------------------------------------------------------
+# T: preparation
+def _split_tx(spark, sf_dir):
+    return T.stratified_split(S.transaction_table(spark, sf_dir), ["event_id"], "Class", TEST_SIZE, SEED)
+
+
+@register("t1_feature_projection", sql=f"WITH {SQL_TX} SELECT event_id, Time, Amount FROM tx")
+def t1_feature_projection(spark, sf_dir):
+    feats, _ = T.features_and_target(S.transaction_table(spark, sf_dir), "Class", ["event_id"])
+    return feats
+
+
+@register("t2_stratified_split", sql=f"WITH {SQL_TX}, {SQL_SPLIT} SELECT event_id, Class, split FROM sp")
+def t2_stratified_split(spark, sf_dir):
+    return _split_tx(spark, sf_dir).select("event_id", "Class", "split")
+
+
+LI_ALL = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+          "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("t2_split_lineitem_by_flag", sql=f"""
+WITH hs AS (SELECT *, md5(concat_ws('|', '42', {", ".join(f"CAST({c} AS VARCHAR)" for c in LI_ALL)})) AS h FROM lineitem),
+rk AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY h) AS rn,
+              count(*) OVER (PARTITION BY l_returnflag) AS n_c FROM hs),
+sp AS (SELECT *, CASE WHEN rn <= floor(CAST(n_c AS DOUBLE) * 0.2) THEN 'test' ELSE 'train' END AS split FROM rk)
+SELECT l_returnflag, split, count(*) AS n_rows, CAST(sum(l_orderkey) AS BIGINT) AS sum_orderkey FROM sp GROUP BY ALL
+""")
+def t2_split_lineitem_by_flag(spark, sf_dir):
+    """lineitem has no key: the whole row is hashed (it has no whole-row duplicates)."""
+    li = S.load(spark, sf_dir, "lineitem")
+    sp = T.stratified_split(li, LI_ALL, "l_returnflag", TEST_SIZE, SEED)
+    return sp.groupBy("l_returnflag", "split").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                   F.sum("l_orderkey").alias("sum_orderkey"))
+
+
+@register("t3_fit_standardizer", sql=f"""
+WITH {SQL_TX}, {SQL_SPLIT}
+SELECT 'Time' AS "column", round(avg(Time), 6) AS mean, round(stddev_pop(Time), 6) AS std FROM sp WHERE split = 'train'
+UNION ALL SELECT 'Amount', round(avg(Amount), 6), round(stddev_pop(Amount), 6) FROM sp WHERE split = 'train'
+""")
+def t3_fit_standardizer(spark, sf_dir):
+    sp = _split_tx(spark, sf_dir)
+    p = T.fit_standardizer(sp.filter(F.col("split") == "train"), ["Time", "Amount"])
+    return p.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
+
+
+SQL_SCALED = f"""
+WITH {SQL_TX}, {SQL_SPLIT},
+prm AS (SELECT avg(Time) AS mt, stddev_pop(Time) AS st, avg(Amount) AS ma, stddev_pop(Amount) AS sa FROM sp WHERE split = 'train')
+SELECT round((Time - mt) / st, 9) AS Time, round((Amount - ma) / sa, 9) AS Amount, event_id, Class, split
+FROM sp, prm WHERE split = 'test'
+"""
+
+
+@register("t4_apply_standardizer", sql=SQL_SCALED)
+def t4_apply_standardizer(spark, sf_dir):
+    sp = _split_tx(spark, sf_dir)
+    params = T.fit_standardizer(sp.filter(F.col("split") == "train"), ["Time", "Amount"])
+    out = T.apply_standardizer(sp.filter(F.col("split") == "test"), params)
+    return _r9cols(out, ["Time", "Amount"])
+
+
+@register("t5_persisted_standardizer", sql=SQL_SCALED)
+def t5_persisted_standardizer(spark, sf_dir):
+    """Fit on train, write the params table to the shared folder, read it back and
+    apply it to test: the scoring-time transform is the training-time one."""
+    from raresight.session import scratch_path
+    sp = _split_tx(spark, sf_dir)
+    path = T.save_standardizer(T.fit_standardizer(sp.filter(F.col("split") == "train"), ["Time", "Amount"]),
+                               scratch_path(spark, "standardizer"))
+    out = T.apply_standardizer(sp.filter(F.col("split") == "test"), T.load_standardizer(spark, path))
+    return _r9cols(out, ["Time", "Amount"])
+
+
+@register("t6_split_summary", sql=f"""
+WITH {SQL_TX}, {SQL_SPLIT}
+SELECT split, count(*) AS n_rows, CAST(sum(Class) AS BIGINT) AS n_pos, round(avg(CAST(Class AS DOUBLE)) * 100, 9) AS pos_rate_pct
+FROM sp GROUP BY split
+""")
+def t6_split_summary(spark, sf_dir):
+    return _r9cols(T.split_summary(_split_tx(spark, sf_dir)), ["pos_rate_pct"])
+
+
+@register("t7_dedupe_keep_positives", sql="""
+WITH li AS (SELECT l_orderkey, l_linenumber, CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS BIGINT) AS Class FROM lineitem)
+SELECT * FROM li WHERE Class = 1 UNION ALL SELECT DISTINCT * FROM li WHERE Class <> 1
+""")
+def t7_dedupe_keep_positives(spark, sf_dir):
+    li = S.returns_table(spark, sf_dir).select("l_orderkey", "l_linenumber", "Class")
+    return T.drop_duplicates_keep_positives(li, "Class")
+
+
+@register("t8_cyclical_hour", sql=f"""
+WITH {SQL_TX}
+SELECT event_id, round(sin(2 * pi() * CAST(CAST(floor(Time / 3600.0) AS BIGINT) % 24 AS DOUBLE) / 24.0), 9) AS hour_sin,
+       round(cos(2 * pi() * CAST(CAST(floor(Time / 3600.0) AS BIGINT) % 24 AS DOUBLE) / 24.0), 9) AS hour_cos FROM tx
+""")
+def t8_cyclical_hour(spark, sf_dir):
+    out = T.add_cyclical_hour(S.transaction_table(spark, sf_dir), "Time").select("event_id", "hour_sin", "hour_cos")
+    return _r9cols(out, ["hour_sin", "hour_cos"])
+
+
+@register("t9_log_amount", sql=f"WITH {SQL_TX} SELECT event_id, round(ln(1 + Amount), 9) AS log_Amount FROM tx")
+def t9_log_amount(spark, sf_dir):
+    out = T.add_log_amount(S.transaction_table(spark, sf_dir), "Amount").select("event_id", "log_Amount")
+    return _r9cols(out, ["log_Amount"])
+
+
+@register("t10_temporal_split_orders", sql="""
+WITH o AS (SELECT o_orderkey, CAST(epoch_us(o_orderdate) AS DOUBLE) AS t FROM orders),
+c AS (SELECT quantile_cont(t, 0.8) AS cut FROM o)
+SELECT o_orderkey, CASE WHEN t >= cut THEN 'test' ELSE 'train' END AS split FROM o, c
+""")
+def t10_temporal_split_orders(spark, sf_dir):
+    return T.temporal_split(S.load(spark, sf_dir, "orders"), "o_orderdate", TEST_SIZE).select("o_orderkey", "split")
+
+
+@register("t11_repeatable_sample", sql=f"""
+WITH {SQL_TX}
+SELECT event_id, Time, Amount FROM tx ORDER BY md5(concat_ws('|', '42', CAST(event_id AS VARCHAR))) LIMIT 5000
+""")
+def t11_repeatable_sample(spark, sf_dir):
+    """Reference sample for drift: 5,000 rows of the features (target dropped)."""
+    tx = S.transaction_table(spark, sf_dir).drop("Class")
+    return T.repeatable_sample(tx, 5000, ["event_id"], SEED)
+
+
+@register("m9_stratified_folds", sql=f"""
+WITH {SQL_TX},
+hs AS (SELECT *, md5(concat_ws('|', '42', CAST(event_id AS VARCHAR))) AS h FROM tx),
+rk AS (SELECT *, row_number() OVER (PARTITION BY Class ORDER BY h) - 1 AS r, count(*) OVER (PARTITION BY Class) AS n_c FROM hs)
+SELECT event_id, Class,
+       CAST((floor(n_c * 1 / 5) <= r)::INT + (floor(n_c * 2 / 5) <= r)::INT + (floor(n_c * 3 / 5) <= r)::INT
+            + (floor(n_c * 4 / 5) <= r)::INT AS INTEGER) AS fold
+FROM rk
+""")
+def m9_stratified_folds(spark, sf_dir):
+    tx = S.transaction_table(spark, sf_dir)
+    return T.stratified_folds(tx, ["event_id"], "Class", 5, SEED).select("event_id", "Class", "fold")

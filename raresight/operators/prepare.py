@@ -53,8 +53,11 @@ def stratified_folds(df: DataFrame, key_cols, label: str = "Class", k: int = 5,
                             ranks_from_counts=lambda tot, j: F.floor(tot * (j + 1) / F.lit(k)))
     cuts = cut.groupBy(label).agg(F.collect_list("cutoff").alias("_cuts"))  # <= k-1 per class
     out = withh.join(F.broadcast(cuts), label, "left")
-    fold = F.size(F.filter(F.coalesce(F.col("_cuts"), F.array().cast("array<string>")),
-                           lambda c: c < F.col("_h")))
+    # fold = number of cut-offs at or below the row's rank; a class too small to reach a
+    # cut-off (need 0) has no row for it, so count the cut-offs *above* the hash instead.
+    above = F.size(F.filter(F.coalesce(F.col("_cuts"), F.array().cast("array<string>")),
+                            lambda c: c >= F.col("_h")))
+    fold = F.lit(k - 1) - above
     return out.withColumn(fold_col, fold.cast("int")).select(*df.columns, fold_col)
 
 

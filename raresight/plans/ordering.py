@@ -34,8 +34,10 @@ def hash_rank_cutoffs(df: DataFrame, h_col: str, fractions, class_cols=(), prefi
         "*",
         F.sum("_n").over(wc.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)).alias("_incl"),
         F.sum("_n").over(wc).alias("_tot"),
-        F.posexplode(F.array(*[F.lit(float(f)) for f in fractions])).alias("_j", "_frac"),
     )
+    # explode the targets only after the running sums (a generator in the same select
+    # would be applied first and multiply the counts)
+    cum = cum.select("*", F.posexplode(F.array(*[F.lit(float(f)) for f in fractions])).alias("_j", "_frac"))
     if ranks_from_counts is None:
         need = F.floor(F.col("_tot").cast("double") * F.col("_frac"))
     else:
