@@ -759,3 +759,292 @@ FROM rk
 def m9_stratified_folds(spark, sf_dir):
     tx = S.transaction_table(spark, sf_dir)
     return T.stratified_folds(tx, ["event_id"], "Class", 5, SEED).select("event_id", "Class", "fold")
+
+
+# ----------------------------------------------------------------------------
+# D: monitoring
+from raresight.functions import hash_uniform  # noqa: E402
+from raresight.operators import monitor as D  # noqa: E402
+
+SPLIT_TS = "2024-01-16 00:00:00"   # reference = first half of January, current = second half
+REF_END_TS = "2024-01-08 00:00:00"  # windowed drift: reference = first week
+
+
+def _halves(spark, sf_dir):
+    ev = S.transaction_table(spark, sf_dir, keep_ts=True).join(
+        S.load(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
+    cut = F.lit(SPLIT_TS).cast("timestamp_ntz")
+    return ev.filter(F.col("ts") < cut), ev.filter(F.col("ts") >= cut)
+
+
+SQL_HALVES = """
+ref AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00'),
+cur AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-16 00:00:00')"""
+
+
+def _sql_numeric_drift(ref_sql: str, cur_sql: str, col: str, name: str) -> str:
+    return f"""
+u_{name} AS (SELECT {col} AS value, 0 AS side FROM {ref_sql} UNION ALL SELECT {col}, 1 FROM {cur_sql}),
+d_{name} AS (SELECT value, count(*) FILTER (WHERE side = 0) AS n_ref, count(*) FILTER (WHERE side = 1) AS n_cur
+             FROM u_{name} WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY value),
+t_{name} AS (SELECT count(*) FILTER (WHERE side = 0) AS N_ref, count(*) FILTER (WHERE side = 1) AS N_cur,
+                    stddev_pop(value) FILTER (WHERE side = 0) AS ref_std FROM u_{name}),
+c_{name} AS (SELECT value, sum(n_ref) OVER w AS cr, sum(n_cur) OVER w AS cc, lead(value) OVER (ORDER BY value) AS nv
+             FROM d_{name} WINDOW w AS (ORDER BY value ROWS UNBOUNDED PRECEDING)),
+s_{name} AS (SELECT '{name}' AS "column", N_ref, N_cur, ref_std, max(abs(cr / N_ref - cc / N_cur)) AS ks_stat,
+                    sum(abs(cr / N_ref - cc / N_cur) * coalesce(nv - value, 0.0)) AS w1
+             FROM c_{name}, t_{name} GROUP BY ALL),
+k_{name} AS (SELECT *, (sqrt(N_ref * N_cur / (N_ref + N_cur)) + 0.12 + 0.11 / sqrt(N_ref * N_cur / (N_ref + N_cur))) * ks_stat AS lam
+             FROM s_{name}),
+nd_{name} AS (SELECT "column", N_ref AS n_ref, N_cur AS n_cur, ks_stat,
+                     CASE WHEN lam < 0.3 THEN 1.0 ELSE least(greatest((SELECT sum(2.0 * (CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END)
+                          * exp(-2.0 * j * j * lam * lam)) FROM range(1, 101) r(j)), 0.0), 1.0) END AS ks_p_value,
+                     w1 / nullif(ref_std, 0.0) AS wasserstein_norm FROM k_{name})"""
+
+
+@register("d3_numeric_drift_halves", sql=f"""
+WITH {SQL_HALVES}, {_sql_numeric_drift('ref', 'cur', 'value', 'Amount')}
+SELECT "column", n_ref, n_cur, round(ks_stat, 9) AS ks_stat, round(ks_p_value, 9) AS ks_p_value,
+       round(wasserstein_norm, 9) AS wasserstein_norm FROM nd_Amount
+""")
+def d3_numeric_drift_halves(spark, sf_dir):
+    ref, cur = _halves(spark, sf_dir)
+    return _r9cols(D.numeric_drift(ref, cur, ["Amount"]), ["ks_stat", "ks_p_value", "wasserstein_norm"])
+
+
+SQL_JS = """
+cc_{n} AS (SELECT CAST({c} AS VARCHAR) AS value, count(*) FILTER (WHERE side = 0) AS n_ref, count(*) FILTER (WHERE side = 1) AS n_cur
+           FROM (SELECT {c}, 0 AS side FROM ref UNION ALL SELECT {c}, 1 FROM cur) GROUP BY 1),
+ct_{n} AS (SELECT sum(n_ref) AS tot_ref, sum(n_cur) AS tot_cur, count(*) AS k FROM cc_{n}),
+cs_{n} AS (SELECT n_ref / tot_ref AS p, n_cur / tot_cur AS q, n_ref, n_cur, tot_ref, tot_cur, k FROM cc_{n}, ct_{n}),
+js_{n} AS (SELECT '{n}' AS "column", CAST(max(tot_ref) AS BIGINT) AS n_ref, CAST(max(tot_cur) AS BIGINT) AS n_cur,
+                  max(k) AS n_categories,
+                  sqrt(greatest(0.0, 0.5 * sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0.0 END)
+                                   + 0.5 * sum(CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0.0 END))) AS js_distance,
+                  sum(CASE WHEN n_ref > 0 THEN pow(n_cur - p * tot_cur, 2) / (p * tot_cur) END) AS chi2_stat,
+                  count(*) FILTER (WHERE n_ref > 0) - 1 AS chi2_dof
+           FROM cs_{n})"""
+
+
+@register("d3_categorical_drift_halves", sql=f"""
+WITH {SQL_HALVES}, {SQL_JS.format(n='event_type', c='event_type')}
+SELECT "column", n_ref, n_cur, n_categories, round(js_distance, 9) AS js_distance, round(chi2_stat, 9) AS chi2_stat,
+       chi2_dof FROM js_event_type
+""")
+def d3_categorical_drift_halves(spark, sf_dir):
+    ref, cur = _halves(spark, sf_dir)
+    cd = D.categorical_drift(ref, cur, ["event_type"])
+    return _r9cols(cd.select("column", "n_ref", "n_cur", "n_categories", "js_distance", "chi2_stat", "chi2_dof"),
+                   ["js_distance", "chi2_stat"])
+
+
+@register("d4_dataset_drift_halves", sql=f"""
+WITH {SQL_HALVES}, {_sql_numeric_drift('ref', 'cur', 'value', 'Amount')}, {SQL_JS.format(n='event_type', c='event_type')},
+rep AS (SELECT CASE WHEN n_ref <= 1000 THEN ks_p_value < 0.05 ELSE wasserstein_norm >= 0.1 END AS drifted FROM nd_Amount
+        UNION ALL SELECT js_distance >= 0.1 FROM js_event_type)
+SELECT count(*) AS n_columns, count(*) FILTER (WHERE drifted) AS n_drifted,
+       count(*) FILTER (WHERE drifted) / count(*) AS drift_share,
+       count(*) FILTER (WHERE drifted) / count(*) >= 0.5 AS dataset_drift FROM rep
+""")
+def d4_dataset_drift_halves(spark, sf_dir):
+    ref, cur = _halves(spark, sf_dir)
+    return D.detect_drift(ref, cur, ["Amount"], ["event_type"])
+
+
+def _injected(spark, sf_dir):
+    tx = S.transaction_table(spark, sf_dir)
+    return tx, D.inject_drift(tx, ["event_id"], (), "Amount", "Time", seed=0)
+
+
+SQL_INJ = f"""{SQL_TX},
+inj AS (SELECT event_id,
+               200000.0::DOUBLE * (CAST(CAST(('0x' || substr(md5(concat_ws('|', '0', 'time', CAST(event_id AS VARCHAR))), 1, 13)) AS BIGINT) AS DOUBLE) / 4503599627370496.0::DOUBLE) AS Time,
+               1000.0::DOUBLE + 4000.0::DOUBLE * (CAST(CAST(('0x' || substr(md5(concat_ws('|', '0', 'amount', CAST(event_id AS VARCHAR))), 1, 13)) AS BIGINT) AS DOUBLE) / 4503599627370496.0::DOUBLE) AS Amount,
+               Class FROM tx)"""
+
+
+@register("d10_drift_injection", sql=f"""
+WITH {SQL_INJ} SELECT event_id, Time, Amount, Class FROM inj
+""")
+def d10_drift_injection(spark, sf_dir):
+    _, inj = _injected(spark, sf_dir)
+    return inj  # same IEEE operations on both sides: compared without rounding
+
+
+@register("d3_drift_report_injected", sql=f"""
+WITH {SQL_INJ}, {_sql_numeric_drift('tx', 'inj', 'Time', 'Time')}, {_sql_numeric_drift('tx', 'inj', 'Amount', 'Amount')},
+nd AS (SELECT * FROM nd_Time UNION ALL SELECT * FROM nd_Amount)
+SELECT "column", CASE WHEN n_ref <= 1000 THEN 'ks' ELSE 'wasserstein' END AS stattest,
+       round(CASE WHEN n_ref <= 1000 THEN ks_p_value ELSE wasserstein_norm END, 9) AS score,
+       CASE WHEN n_ref <= 1000 THEN 0.05::DOUBLE ELSE 0.1::DOUBLE END AS threshold,
+       coalesce(CASE WHEN n_ref <= 1000 THEN ks_p_value < 0.05 ELSE wasserstein_norm >= 0.1 END, false) AS drifted
+FROM nd
+""")
+def d3_drift_report_injected(spark, sf_dir):
+    tx, inj = _injected(spark, sf_dir)
+    return _r9cols(D.drift_report(tx, inj, ["Time", "Amount"]), ["score"])
+
+
+SQL_WIN_REF = """
+wref AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-08 00:00:00')"""
+
+
+@register("d7_windowed_psi", sql=f"""
+WITH {SQL_WIN_REF},
+e AS (SELECT [quantile_cont(value, 0.1), quantile_cont(value, 0.2), quantile_cont(value, 0.3), quantile_cont(value, 0.4),
+              quantile_cont(value, 0.5), quantile_cont(value, 0.6), quantile_cont(value, 0.7), quantile_cont(value, 0.8),
+              quantile_cont(value, 0.9)] AS edges FROM wref),
+rb AS (SELECT len(list_filter(edges, lambda x: x < value)) AS bin, count(*) AS n FROM wref, e GROUP BY 1),
+rs AS (SELECT bin, n / sum(n) OVER () AS ref_share FROM rb),
+cb AS (SELECT date_trunc('day', ts) AS ws, len(list_filter(edges, lambda x: x < value)) AS bin, count(*) AS n
+       FROM events, e GROUP BY 1, 2),
+wn AS (SELECT ws, sum(n) AS n_rows FROM cb GROUP BY ws),
+g AS (SELECT ws, n_rows, b AS bin FROM wn, range(10) r(b)),
+f AS (SELECT g.ws, g.n_rows, greatest(coalesce(cb.n, 0) / g.n_rows, 0.0001) AS c, greatest(coalesce(rs.ref_share, 0.0), 0.0001) AS r
+      FROM g LEFT JOIN cb ON cb.ws = g.ws AND cb.bin = g.bin LEFT JOIN rs ON rs.bin = g.bin)
+SELECT ws AS window_start, ws + INTERVAL 1 DAY AS window_end, 'Amount' AS "column", 'psi' AS statistic,
+       round(sum((c - r) * ln(c / r)), 9) AS value, CAST(n_rows AS BIGINT) AS n_rows FROM f GROUP BY ws, n_rows
+""")
+def d7_windowed_psi(spark, sf_dir):
+    tx = S.transaction_table(spark, sf_dir, keep_ts=True)
+    ref = tx.filter(F.col("ts") < F.lit(REF_END_TS).cast("timestamp_ntz"))
+    return _r9cols(D.windowed_psi(ref, tx, "ts", "Amount", "1 day", 10), ["value"])
+
+
+SQL_WIN_JS = """
+rc AS (SELECT CAST({c} AS VARCHAR) AS cat, count(*) AS n FROM {ref} GROUP BY 1),
+rs AS (SELECT cat, n / sum(n) OVER () AS p FROM rc),
+cc AS (SELECT date_trunc('day', ts) AS ws, CAST({c} AS VARCHAR) AS cat, count(*) AS n FROM {cur} GROUP BY 1, 2),
+wn AS (SELECT ws, sum(n) AS n_rows FROM cc GROUP BY ws),
+cats AS (SELECT cat FROM rs UNION SELECT cat FROM cc),
+f AS (SELECT wn.ws, wn.n_rows, coalesce(rs.p, 0.0) AS p, coalesce(cc.n, 0) / wn.n_rows AS q
+      FROM wn CROSS JOIN cats LEFT JOIN cc ON cc.ws = wn.ws AND cc.cat = cats.cat LEFT JOIN rs ON rs.cat = cats.cat)
+SELECT ws AS window_start, ws + INTERVAL 1 DAY AS window_end, '{name}' AS "column", 'jensenshannon' AS statistic,
+       round(sqrt(greatest(0.0, 0.5 * sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0.0 END)
+                           + 0.5 * sum(CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0.0 END))), 9) AS value,
+       CAST(n_rows AS BIGINT) AS n_rows
+FROM f GROUP BY ws, n_rows"""
+
+
+@register("d5_label_drift_by_day", sql=f"""
+WITH {SQL_TX}, txt AS (SELECT tx.*, events.ts FROM tx JOIN events USING (event_id)),
+wref AS (SELECT * FROM txt WHERE ts < TIMESTAMP '2024-01-08 00:00:00'),
+{SQL_WIN_JS.format(c='Class', ref='wref', cur='txt', name='Class')}
+""")
+def d5_label_drift_by_day(spark, sf_dir):
+    tx = S.transaction_table(spark, sf_dir, keep_ts=True)
+    ref = tx.filter(F.col("ts") < F.lit(REF_END_TS).cast("timestamp_ntz"))
+    return _r9cols(D.windowed_js(ref, tx, "ts", "Class", "1 day"), ["value"])
+
+
+ALERT_THRESHOLDS = {"psi": 0.05, "jensenshannon": 0.1}
+
+
+@register("d8_drift_alerts", sql=f"""
+WITH {SQL_WIN_REF},
+e AS (SELECT [quantile_cont(value, 0.1), quantile_cont(value, 0.2), quantile_cont(value, 0.3), quantile_cont(value, 0.4),
+              quantile_cont(value, 0.5), quantile_cont(value, 0.6), quantile_cont(value, 0.7), quantile_cont(value, 0.8),
+              quantile_cont(value, 0.9)] AS edges FROM wref),
+rb AS (SELECT len(list_filter(edges, lambda x: x < value)) AS bin, count(*) AS n FROM wref, e GROUP BY 1),
+rs AS (SELECT bin, n / sum(n) OVER () AS ref_share FROM rb),
+cb AS (SELECT date_trunc('day', ts) AS ws, len(list_filter(edges, lambda x: x < value)) AS bin, count(*) AS n
+       FROM events, e GROUP BY 1, 2),
+wn AS (SELECT ws, sum(n) AS n_rows FROM cb GROUP BY ws),
+g AS (SELECT ws, n_rows, b AS bin FROM wn, range(10) r(b)),
+f AS (SELECT g.ws, greatest(coalesce(cb.n, 0) / g.n_rows, 0.0001) AS c, greatest(coalesce(rs.ref_share, 0.0), 0.0001) AS r
+      FROM g LEFT JOIN cb ON cb.ws = g.ws AND cb.bin = g.bin LEFT JOIN rs ON rs.bin = g.bin),
+p AS (SELECT ws, sum((c - r) * ln(c / r)) AS value FROM f GROUP BY ws)
+SELECT ws AS window_start, 'Amount' AS "column", 'psi' AS statistic, round(value, 9) AS value, 0.05::DOUBLE AS threshold
+FROM p WHERE value > 0.05
+""")
+def d8_drift_alerts(spark, sf_dir):
+    tx = S.transaction_table(spark, sf_dir, keep_ts=True)
+    ref = tx.filter(F.col("ts") < F.lit(REF_END_TS).cast("timestamp_ntz"))
+    al = D.drift_alerts(D.windowed_psi(ref, tx, "ts", "Amount", "1 day", 10), ALERT_THRESHOLDS)
+    return _r9cols(al.select("window_start", "column", "statistic", "value", "threshold"), ["value"])
+
+
+SQL_DOC_SCORES = """
+pred AS (SELECT doc_id, lang, CAST(n_chars AS DOUBLE) / (CAST(n_chars AS DOUBLE) + 2000.0) AS p FROM documents),
+lab AS (SELECT doc_id, CAST(toxic AS BIGINT) AS y FROM labels)"""
+
+
+@register("d6_delayed_label_quality", sql=f"""
+WITH {SQL_DOC_SCORES},
+j AS (SELECT pred.*, lab.y FROM pred LEFT JOIN lab USING (doc_id)),
+sm AS (SELECT lang AS model_id, y, p FROM j WHERE y IS NOT NULL),
+{SQL_CURVE.strip()}, {SQL_MODEL_METRICS},
+pend AS (SELECT lang, count(*) FILTER (WHERE y IS NULL) AS n_unlabelled FROM j GROUP BY lang)
+SELECT mm.model_id AS lang, tp, fp, fn, tn, precision, recall, f1, pr_auc, n_unlabelled
+FROM mm JOIN pend ON pend.lang = mm.model_id
+""")
+def d6_delayed_label_quality(spark, sf_dir):
+    docs = S.load(spark, sf_dir, "documents")
+    pred = docs.select("doc_id", "lang", (F.col("n_chars").cast("double")
+                                          / (F.col("n_chars").cast("double") + F.lit(2000.0))).alias("p"))
+    lab = S.load(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("long").alias("y"))
+    q = D.delayed_label_quality(pred, lab, "doc_id", 0.5, by=["lang"])
+    return _r9cols(q, ["precision", "recall", "f1", "pr_auc"])
+
+
+def _two_scores(spark, sf_dir):
+    """Two stand-in models over all transactions: rational scores of Amount and of Time."""
+    tx = S.transaction_table(spark, sf_dir)
+    return tx.select("event_id", F.col("Class").alias("y"),
+                     (F.col("Amount") / (F.col("Amount") + F.lit(50.0))).alias("p_amount"),
+                     (F.col("Time") / (F.col("Time") + F.lit(1300000.0))).alias("p_time"))
+
+
+SQL_TWO = f"""{SQL_TX},
+two AS (SELECT event_id, Class AS y, Amount / (Amount + 50.0) AS p_amount, Time / (Time + 1300000.0) AS p_time FROM tx)"""
+
+
+@register("d11_champion_challenger", sql=f"""
+WITH {SQL_TWO},
+arm AS (SELECT *, CASE WHEN CAST(('0x' || substr(md5(concat_ws('|', '42', CAST(event_id AS VARCHAR))), 1, 13)) AS BIGINT)
+                            / 4503599627370496.0 < 0.3 THEN 'challenger' ELSE 'champion' END AS arm FROM two),
+sm AS (SELECT arm AS model_id, y, CASE WHEN arm = 'challenger' THEN p_time ELSE p_amount END AS p FROM arm),
+{SQL_CURVE.strip()}, {SQL_MODEL_METRICS}
+SELECT model_id AS arm, tp, fp, fn, tn, precision, recall, f1, pr_auc FROM mm
+""")
+def d11_champion_challenger(spark, sf_dir):
+    arms = D.assign_arm(_two_scores(spark, sf_dir), ["event_id"], 0.3, SEED)
+    sc = arms.select("arm", "y", F.when(F.col("arm") == "challenger", F.col("p_time"))
+                     .otherwise(F.col("p_amount")).alias("p"))
+    m = E.model_metrics(sc, 0.5, by=["arm"])
+    return _r9cols(m, ["precision", "recall", "f1", "pr_auc"])
+
+
+@register("d12_shadow_agreement", sql=f"""
+WITH {SQL_TWO}
+SELECT CAST(p_amount >= 0.5 AS INTEGER) AS pred_a, CAST(p_time >= 0.5 AS INTEGER) AS pred_b, count(*) AS n,
+       count(*) FILTER (WHERE y = 1) AS n_pos, count(*) / (SELECT count(*) FROM two) AS share
+FROM two GROUP BY 1, 2
+""")
+def d12_shadow_agreement(spark, sf_dir):
+    two = _two_scores(spark, sf_dir)
+    a = two.select("event_id", "y", F.col("p_amount").alias("p"))
+    b = two.select("event_id", F.col("p_time").alias("p"))
+    return D.shadow_agreement(a, b, "event_id", 0.5)
+
+
+def _corr_weights(spark, sf_dir):
+    feat = S.feature_table(spark, sf_dir)
+    row = feat.agg(*[F.corr(v, F.col("Class").cast("double")).alias(f"w_{v}") for v in S.V_COLUMNS],
+                   *[F.avg(v).alias(f"m_{v}") for v in S.V_COLUMNS]).first()  # 56 numbers: the linear model
+    return feat, {v: row[f"w_{v}"] for v in S.V_COLUMNS}, {v: row[f"m_{v}"] for v in S.V_COLUMNS}
+
+
+@register("d13_linear_contributions", sql=f"""
+WITH feat AS ({FEAT_SQL}),
+long AS (UNPIVOT (SELECT vec_id, Class, {", ".join(S.V_COLUMNS)} FROM feat) ON {", ".join(S.V_COLUMNS)} INTO NAME feature VALUE x),
+wm AS (SELECT feature, corr(x, CAST(Class AS DOUBLE)) AS w, avg(x) AS m FROM long GROUP BY feature),
+c AS (SELECT vec_id, feature, w * (x - m) AS contribution FROM long JOIN wm USING (feature)),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY abs(contribution) DESC, feature) AS rank FROM c)
+SELECT vec_id, CAST(rank AS INTEGER) AS rank, feature, round(contribution, 9) AS contribution FROM r WHERE rank <= 3
+""")
+def d13_linear_contributions(spark, sf_dir):
+    """Per-row top-3 contributions of a linear scorer whose weights are the features'
+    correlations with the label (a model fitted by Spark on the same table)."""
+    feat, w, m = _corr_weights(spark, sf_dir)
+    return _r9cols(D.linear_contributions(feat, ["vec_id"], w, m, 3), ["contribution"])
