@@ -1048,3 +1048,112 @@ def d13_linear_contributions(spark, sf_dir):
     correlations with the label (a model fitted by Spark on the same table)."""
     feat, w, m = _corr_weights(spark, sf_dir)
     return _r9cols(D.linear_contributions(feat, ["vec_id"], w, m, 3), ["contribution"])
+
+
+# ----------------------------------------------------------------------------
+# M: imbalance handling and training (features = embeddings stand-in)
+from raresight.operators import train as M  # noqa: E402
+
+# fixed values: the reference's model parameters
+LR_PARAMS = {"model": "logistic_regression", "max_iter": 1000, "random_state": 42, "resampling": "none"}
+GBT_PARAMS = {"model": "xgboost", "n_estimators": 300, "max_depth": 5, "learning_rate": 0.1,
+              "scale_pos_weight": None, "random_state": 42, "resampling": "none"}
+THRESHOLD = 0.03
+
+
+def _feature_split(spark, sf_dir):
+    feat = S.feature_table(spark, sf_dir)
+    sp = T.stratified_split(feat, ["vec_id"], "Class", TEST_SIZE, SEED)
+    return sp.filter(F.col("split") == "train").drop("split"), sp.filter(F.col("split") == "test").drop("split")
+
+
+SQL_FEAT_SPLIT = f"""
+feat AS ({FEAT_SQL}),
+fh AS (SELECT *, md5(concat_ws('|', '42', CAST(vec_id AS VARCHAR))) AS h FROM feat),
+fr AS (SELECT *, row_number() OVER (PARTITION BY Class ORDER BY h) AS rn, count(*) OVER (PARTITION BY Class) AS n_c FROM fh),
+ftrain AS (SELECT * FROM fr WHERE rn > floor(CAST(n_c AS DOUBLE) * 0.2))"""
+
+
+@register("m1_balanced_weights", sql=f"""
+WITH feat AS ({FEAT_SQL}),
+c AS (SELECT Class, count(*) AS n_c FROM feat GROUP BY Class)
+SELECT vec_id, Class, (SELECT count(*) FROM feat) / (2 * n_c) AS weight FROM feat JOIN c USING (Class)
+""")
+def m1_balanced_weights(spark, sf_dir):
+    return M.with_balanced_weights(S.feature_table(spark, sf_dir), "Class").select("vec_id", "Class", "weight")
+
+
+@register("m2_positive_weight", sql=f"""
+WITH {SQL_FEAT_SPLIT},
+w AS (SELECT count(*) FILTER (WHERE Class <> 1) / nullif(count(*) FILTER (WHERE Class = 1), 0) AS w FROM ftrain)
+SELECT vec_id, Class, CASE WHEN Class = 1 THEN w ELSE 1.0 END AS weight FROM ftrain, w
+""")
+def m2_positive_weight(spark, sf_dir):
+    train, _ = _feature_split(spark, sf_dir)
+    return M.with_positive_weight(train, "Class").select("vec_id", "Class", "weight")
+
+
+@register("m5_smote_class_counts", sql=f"""
+WITH {SQL_FEAT_SPLIT},
+c AS (SELECT count(*) FILTER (WHERE Class = 1) AS p, count(*) FILTER (WHERE Class <> 1) AS n FROM ftrain)
+SELECT CAST(1 AS BIGINT) AS Class, false AS synthetic, p AS n_rows FROM c
+UNION ALL SELECT 1, true, n - p FROM c
+UNION ALL SELECT 0, false, n FROM c
+""")
+def m5_smote_class_counts(spark, sf_dir):
+    train, _ = _feature_split(spark, sf_dir)
+    res = M.smote(train, S.V_COLUMNS, "Class", "vec_id", 5, SEED)
+    return res.groupBy("Class", "synthetic").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("m5_smote_rows")
+def m5_smote_rows(spark, sf_dir):
+    """The resampled training frame itself (synthetic rows have a null key)."""
+    train, _ = _feature_split(spark, sf_dir)
+    return M.smote(train, S.V_COLUMNS, "Class", "vec_id", 5, SEED)
+
+
+def _fit_score(spark, sf_dir, params):
+    train, test = _feature_split(spark, sf_dir)
+    model = M.fit_model(train, S.V_COLUMNS, params, "Class", "vec_id")
+    return M.score(model, test, THRESHOLD).select("vec_id", "Class", "fraud_probability", "is_fraud")
+
+
+@register("m3_logistic_regression_scores")
+def m3_logistic_regression_scores(spark, sf_dir):
+    return _fit_score(spark, sf_dir, LR_PARAMS)
+
+
+@register("m3_logistic_regression_smote_scores")
+def m3_logistic_regression_smote_scores(spark, sf_dir):
+    return _fit_score(spark, sf_dir, dict(LR_PARAMS, resampling="smote"))
+
+
+@register("m4_boosted_trees_scores")
+def m4_boosted_trees_scores(spark, sf_dir):
+    return _fit_score(spark, sf_dir, GBT_PARAMS)
+
+
+@register("m8_model_metrics")
+def m8_model_metrics(spark, sf_dir):
+    """Precision, recall, F1 at the versioned threshold and PR-AUC of the fitted model."""
+    sc = _fit_score(spark, sf_dir, LR_PARAMS).select(F.col("Class").alias("y"), F.col("fraud_probability").alias("p"))
+    return E.model_metrics(sc.withColumn("model_id", F.lit("logistic_regression")), THRESHOLD)
+
+
+@register("m9_cross_validated_pr_auc")
+def m9_cross_validated_pr_auc(spark, sf_dir):
+    train, _ = _feature_split(spark, sf_dir)
+    return M.cross_validate_pr_auc(train, S.V_COLUMNS, LR_PARAMS, "Class", "vec_id", 5, SEED)
+
+
+@register("d1_raw_to_decision")
+def d1_raw_to_decision(spark, sf_dir):
+    """Raw transactions -> standardiser fitted on train -> model -> decision, on test rows."""
+    tx = S.transaction_table(spark, sf_dir)
+    sp = T.stratified_split(tx, ["event_id"], "Class", TEST_SIZE, SEED)
+    train = sp.filter(F.col("split") == "train").drop("split")
+    test = sp.filter(F.col("split") == "test").drop("split")
+    params = T.fit_standardizer(train, ["Time", "Amount"]).collect()
+    model = M.fit_model(T.apply_standardizer(train, params), ["Time", "Amount"], LR_PARAMS, "Class", "event_id")
+    return M.raw_to_decision(test, params, model, 0.5).select("event_id", "Class", "fraud_probability", "is_fraud")

@@ -1,4 +1,5 @@
 from raresight.plans.cumulative import cumulative_by_value
-from raresight.plans.ordering import exact_quantiles, hash_rank_cutoffs
+from raresight.plans.neighbours import exact_knn
+from raresight.plans.ordering import exact_quantiles, hash_rank, hash_rank_cutoffs
 
-__all__ = ["cumulative_by_value", "exact_quantiles", "hash_rank_cutoffs"]
+__all__ = ["cumulative_by_value", "exact_knn", "exact_quantiles", "hash_rank", "hash_rank_cutoffs"]

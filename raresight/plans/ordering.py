@@ -106,3 +106,17 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), accurac
     value = F.col("_v0") + (F.col("_h") - F.col("_r0")) * (F.col("_v1") - F.col("_v0"))
     return res.select(*group_cols, "qi", "q", F.col("_n").alias("n"),
                       F.when(F.col("_below") <= F.col("_r0"), value).alias("value"))
+
+
+def hash_rank(df: DataFrame, h_col: str, prefix_len: int = 5, rank_col: str = "rank") -> DataFrame:
+    """Global 0-based rank of every row by a (uniform) hash, without a single-task sort:
+    counts per hex prefix, exclusive prefix sums over the (bounded) bucket table, then
+    ``row_number`` inside each bucket — buckets are balanced because hashes are uniform."""
+    bucket = F.substring(F.col(h_col), 1, prefix_len)
+    counts = df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    # at most 16^prefix_len rows: a bounded window, independent of the data size
+    offsets = counts.select("_b", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    j = df.withColumn("_b", bucket).join(offsets, "_b")
+    rn = F.row_number().over(Window.partitionBy("_b").orderBy(h_col))
+    return j.withColumn(rank_col, (F.col("_off") + rn - 1).cast("long")).drop("_b", "_off")
