@@ -763,7 +763,7 @@ def m9_stratified_folds(spark, sf_dir):
 
 # ----------------------------------------------------------------------------
 # D: monitoring
-from raresight.functions import hash_uniform  # noqa: E402
+from raresight.functions import hash_uniform, seconds_between  # noqa: E402
 from raresight.operators import monitor as D  # noqa: E402
 
 SPLIT_TS = "2024-01-16 00:00:00"   # reference = first half of January, current = second half
@@ -1157,3 +1157,156 @@ def d1_raw_to_decision(spark, sf_dir):
     params = T.fit_standardizer(train, ["Time", "Amount"]).collect()
     model = M.fit_model(T.apply_standardizer(train, params), ["Time", "Amount"], LR_PARAMS, "Class", "event_id")
     return M.raw_to_decision(test, params, model, 0.5).select("event_id", "Class", "fraud_probability", "is_fraud")
+
+
+# ----------------------------------------------------------------------------
+# Streaming forms (run to completion with an availableNow trigger; results land in
+# the shared folder and are read back)
+from raresight.session import scratch_path  # noqa: E402
+from raresight.streaming import jobs as ST  # noqa: E402
+
+STREAM_DELAY_US = 86_400_000_000  # watermark delay of the windowed stream: one day
+
+
+@register("d7_streaming_bin_counts", sql="""
+WITH wref AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-08 00:00:00'),
+e AS (SELECT [quantile_cont(value, 0.1), quantile_cont(value, 0.2), quantile_cont(value, 0.3), quantile_cont(value, 0.4),
+              quantile_cont(value, 0.5), quantile_cont(value, 0.6), quantile_cont(value, 0.7), quantile_cont(value, 0.8),
+              quantile_cont(value, 0.9)] AS edges FROM wref),
+b AS (SELECT date_trunc('day', ts) AS window_start, len(list_filter(edges, lambda x: x < value)) AS bin FROM events, e)
+SELECT window_start, CAST(bin AS INTEGER) AS bin, count(*) AS n FROM b
+WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY
+GROUP BY ALL
+""")
+def d7_streaming_bin_counts(spark, sf_dir):
+    """Windowed bin counts from the events file stream: windows are emitted once the
+    watermark (max event time - 1 day) passes their end, so the last open windows stay in state."""
+    ev = S.load(spark, sf_dir, "events")
+    ref = ev.filter(F.col("ts") < F.lit(REF_END_TS).cast("timestamp_ntz"))
+    edges = D.reference_bins(ref, "value", 10).first()["edges"]  # 9 numbers: the reference's bins
+    counts = ST.windowed_bin_counts(ST.read_table_stream(spark, sf_dir, "events"), "ts", "value", edges)
+    out = scratch_path(spark, "bin-counts")
+    q = counts.select("window_start", "bin", "n").writeStream.format("parquet") \
+        .option("path", out).option("checkpointLocation", out + "-ckpt").outputMode("append") \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+# ----------------------------------------------------------------------------
+# S: sources and sinks — data Spark derives from the given tables, written to the
+# shared folder and read back through the operator under test.
+from raresight.sources import files as IO  # noqa: E402
+
+TX_SCHEMA = "event_id bigint, Time double, Amount double, Class bigint"
+
+
+@register("s1_csv_scan", sql=f"WITH {SQL_TX} SELECT * FROM tx")
+def s1_csv_scan(spark, sf_dir):
+    """Transactions written as header CSV, read back with the declared schema (FAILFAST)."""
+    from pyspark.sql.types import _parse_datatype_string
+    path = scratch_path(spark, "transactions-csv")
+    S.transaction_table(spark, sf_dir).write.option("header", True).csv(path)
+    return IO.read_csv(spark, path, _parse_datatype_string(TX_SCHEMA))
+
+
+@register("s3_split_sink_and_scan", sql=f"WITH {SQL_TX}, {SQL_SPLIT} SELECT event_id, Time, Amount, Class FROM sp WHERE split = 'test'")
+def s3_split_sink_and_scan(spark, sf_dir):
+    """Both splits written as one dataset partitioned by ``split``; the test split read
+    back by partition pruning (S2 checks the target column)."""
+    path = IO.write_splits(_split_tx(spark, sf_dir), scratch_path(spark, "splits"))
+    return IO.read_split(spark, path, "Class", split="test").select("event_id", "Time", "Amount", "Class")
+
+
+@register("s4_report_sink", sql=ORACLE["v7_health_report"])
+def s4_report_sink(spark, sf_dir):
+    rep = QUERIES["v7_health_report"](spark, sf_dir)
+    path = IO.write_report(rep, scratch_path(spark, "validation-report"))
+    return spark.read.schema(rep.schema).json(path)
+
+
+def _scoring_stream(spark, sf_dir):
+    """D2 on the events file stream: contract split, standardiser and logistic model fitted
+    on the train split, decisions at 0.5 appended to a JSON prediction log."""
+    tx = S.transaction_table(spark, sf_dir)
+    sp = T.stratified_split(tx, ["event_id"], "Class", TEST_SIZE, SEED)
+    train = sp.filter(F.col("split") == "train").drop("split")
+    params = T.fit_standardizer(train, ["Time", "Amount"]).collect()
+    model = M.fit_model(T.apply_standardizer(train, params), ["Time", "Amount"], LR_PARAMS, "Class", "event_id")
+    first = S.load(spark, sf_dir, "events").select(F.min("ts")).first()[0]  # the stream's clock origin
+    raw = ST.read_table_stream(spark, sf_dir, "events").select(
+        "event_id", seconds_between(F.lit(first).cast("timestamp_ntz"), F.col("ts")).alias("Time"),
+        F.col("value").alias("Amount"))
+    contract = V.Contract("raw-features", (V.Rule("Time", "double", ge=0.0), V.Rule("Amount", "double", ge=1.0)),
+                          strict=False)
+    log, bad = scratch_path(spark, "prediction-log"), scratch_path(spark, "quarantine")
+    q = ST.score_stream(raw, contract, params, model, 0.5, ["Time", "Amount"], "lr-1", log, bad, log + "-ckpt")
+    q.awaitTermination()
+    return log, bad
+
+
+@register("d2_streaming_scoring")
+def d2_streaming_scoring(spark, sf_dir):
+    """Decisions per logged record: (is_fraud, model_version, n) from the prediction log."""
+    log, _ = _scoring_stream(spark, sf_dir)
+    full = spark.read.schema(IO.prediction_log_schema(["Time", "Amount"])).json(log)
+    return full.groupBy("is_fraud", "model_version").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("s5_s6_prediction_log_roundtrip", sql="SELECT count(*) AS n_logged FROM events WHERE value >= 1.0")
+def s5_s6_prediction_log_roundtrip(spark, sf_dir):
+    """S6 writes one record per valid scored row (Amount >= 1 is the stream's contract);
+    S5 reads the log back with its schema and flattens ``input``."""
+    log, _ = _scoring_stream(spark, sf_dir)
+    return IO.read_prediction_log(spark, log, ["Time", "Amount"]).agg(F.count(F.lit(1)).alias("n_logged"))
+
+
+@register("v10_streaming_quarantine", sql="SELECT count(*) AS n_quarantined FROM events WHERE value < 1.0")
+def v10_streaming_quarantine(spark, sf_dir):
+    _, bad = _scoring_stream(spark, sf_dir)
+    return spark.read.json(bad).agg(F.count(F.lit(1)).alias("n_quarantined"))
+
+
+@register("d6_streaming_delayed_labels")
+def d6_streaming_delayed_labels(spark, sf_dir):
+    """Predictions (events stream) joined with labels that arrive 0-72 h later (hash-derived
+    delay); labels later than 48 h miss the join and surface as unlabelled rows once the
+    watermark passes.  Output: matched / unlabelled counts."""
+    ev = ST.event_time(ST.read_table_stream(spark, sf_dir, "events"), "ts")
+    pred = ev.select("event_id", F.col("event_time").alias("pred_time"),
+                     (F.col("value") / (F.col("value") + F.lit(50.0))).alias("p"))
+    ev2 = ST.event_time(ST.read_table_stream(spark, sf_dir, "events"), "ts")
+    delay = F.floor(hash_uniform(SEED, F.lit("delay"), F.col("event_id")) * 72 * 3600).cast("long")
+    lab = ev2.select(F.col("event_id"), (F.col("event_time") + F.make_dt_interval(secs=delay)).alias("label_time"),
+                     (F.col("event_type") == "error").cast("long").alias("y"))
+    joined = ST.delayed_label_join(pred, lab, "event_id", "pred_time", "label_time", "2 days", "1 day")
+    out = scratch_path(spark, "delayed-labels")
+    q = joined.select(F.col("pr.event_id").alias("event_id"), "p", "y").writeStream.format("parquet") \
+        .option("path", out).option("checkpointLocation", out + "-ckpt").outputMode("append") \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()
+    res = spark.read.parquet(out)
+    return res.agg(F.count_if(F.col("y").isNotNull()).alias("n_labelled"),
+                   F.count_if(F.col("y").isNull()).alias("n_unlabelled"))
+
+
+@register("d9_closed_loop")
+def d9_closed_loop(spark, sf_dir):
+    """Drift check on each micro-batch of a stream of drift-injected transactions against
+    the original ones; on drift the callback records an alert and retrains the
+    logistic model on the batch (the closed loop).  Output: the alert table."""
+    tx = S.transaction_table(spark, sf_dir)
+    inj = D.inject_drift(tx, ["event_id"], (), "Amount", "Time", seed=0)
+    src = scratch_path(spark, "drifted-source")
+    inj.write.parquet(src)
+    stream = spark.readStream.schema(inj.schema).parquet(src)
+    alerts = scratch_path(spark, "drift-alerts")
+
+    def on_drift(batch, batch_id, row):
+        M.fit_model(batch, ["Time", "Amount"], LR_PARAMS, "Class", "event_id")  # retrain on recent data
+        spark.createDataFrame([(batch_id, float(row["drift_share"]), "dataset drift: retrained")],
+                              "batch_id long, drift_share double, action string").write.mode("append").parquet(alerts)
+
+    q = ST.closed_loop(stream, tx, ["Time", "Amount"], [], on_drift, src + "-ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(alerts)

@@ -2,14 +2,16 @@ from raresight.functions.columns import (
     hash_hex,
     hash_uniform,
     hour_of_day,
+    instant_to_ntz,
     label_flag,
     linspace_value,
     micros_between,
+    ntz_to_instant,
     safe_div,
     seconds_between,
 )
 
 __all__ = [
-    "hash_hex", "hash_uniform", "hour_of_day", "label_flag", "linspace_value",
+    "hash_hex", "hash_uniform", "hour_of_day", "instant_to_ntz", "ntz_to_instant", "label_flag", "linspace_value",
     "micros_between", "safe_div", "seconds_between",
 ]

@@ -67,3 +67,16 @@ def linspace_value(i, start: float, stop: float, num: int) -> Column:
     """The i-th value of ``numpy.linspace(start, stop, num)``, bit for bit: ``i*step + start``."""
     step = (stop - start) / (num - 1)
     return _col(i).cast("double") * F.lit(step) + F.lit(start)
+
+
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_to_instant(ts) -> Column:
+    """TIMESTAMP_NTZ wall-clock value -> TIMESTAMP instant read as UTC (no session time zone)."""
+    return F.timestamp_micros(micros_between(F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), _col(ts)))
+
+
+def instant_to_ntz(ts) -> Column:
+    """TIMESTAMP instant -> its UTC wall clock as TIMESTAMP_NTZ (no session time zone)."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(ts)), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
