@@ -43,8 +43,8 @@ def _sides_long(ref: DataFrame, cur: DataFrame, cols, as_string: bool = False) -
 def ks_p_value(d, n_ref, n_cur, terms: int = 100):
     """Asymptotic two-sample Kolmogorov-Smirnov p-value:
     Q((sqrt(ne) + 0.12 + 0.11/sqrt(ne)) * D), Q(l) = 2 sum (-1)^(j-1) exp(-2 j^2 l^2)."""
-    en = F.sqrt(n_ref * n_cur / (n_ref + n_cur))
-    lam = (en + F.lit(0.12) + F.lit(0.11) / en) * d
+    en = F.sqrt(F.try_divide(n_ref * n_cur, n_ref + n_cur))
+    lam = (en + F.lit(0.12) + F.try_divide(F.lit(0.11), en)) * d
     series = sum((F.lit(2.0 * (1 if j % 2 else -1)) * F.exp(F.lit(-2.0 * j * j) * lam * lam)
                   for j in range(1, terms + 1)), F.lit(0.0))
     return F.when(lam < 0.3, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
@@ -64,7 +64,8 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], n_buckets
     cum = cumulative_by_value(d, "value", ["n_ref", "n_cur"], ["column"], descending=False,
                               n_buckets=n_buckets, next_value=True)
     j = cum.join(F.broadcast(tot), "column")  # one row per monitored column
-    gap = F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur"))
+    # try_divide: an empty side (0 rows) gives null statistics instead of an ANSI error
+    gap = F.abs(F.try_divide(F.col("cum_n_ref"), F.col("tot_ref")) - F.try_divide(F.col("cum_n_cur"), F.col("tot_cur")))
     width = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
     s = j.groupBy("column", "tot_ref", "tot_cur", "ref_std").agg(
         F.max(gap).alias("ks_stat"), F.sum(gap * width).alias("wasserstein"))
@@ -86,8 +87,8 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> Da
     tot = c.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"),
                                   F.count(F.lit(1)).alias("n_categories"))
     j = c.join(F.broadcast(tot), "column")
-    p = F.col("n_ref") / F.col("tot_ref")
-    q = F.col("n_cur") / F.col("tot_cur")
+    p = F.try_divide(F.col("n_ref"), F.col("tot_ref"))
+    q = F.try_divide(F.col("n_cur"), F.col("tot_cur"))
     m = (p + q) / 2
     kl = lambda a: F.when(a > 0, a * F.log(a / m)).otherwise(F.lit(0.0))
     expct = p * F.col("tot_cur")
@@ -99,8 +100,10 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> Da
         F.count_if(F.col("n_ref") > 0).alias("_k"),
         F.max(F.when(F.col("value") == F.col("_first"), p)).alias("_p1"),
         F.max(F.when(F.col("value") == F.col("_first"), q)).alias("_q1"))
-    pooled = (F.col("_p1") * F.col("tot_ref") + F.col("_q1") * F.col("tot_cur")) / (F.col("tot_ref") + F.col("tot_cur"))
-    se = F.sqrt(pooled * (1 - pooled) * (F.lit(1.0) / F.col("tot_ref") + F.lit(1.0) / F.col("tot_cur")))
+    pooled = F.try_divide(F.col("_p1") * F.col("tot_ref") + F.col("_q1") * F.col("tot_cur"),
+                          F.col("tot_ref") + F.col("tot_cur"))
+    se = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), F.col("tot_ref"))
+                                         + F.try_divide(F.lit(1.0), F.col("tot_cur"))))
     z = F.abs(F.col("_p1") - F.col("_q1")) / F.nullif(se, F.lit(0.0))
     return s.select(
         "column", F.col("tot_ref").alias("n_ref"), F.col("tot_cur").alias("n_cur"), "n_categories", "js_distance",

@@ -102,7 +102,7 @@ def imbalance(df: DataFrame, label: str = "Class") -> DataFrame:
     pos = F.col(label) == 1
     r = df.agg(F.count_if(pos).alias("n_pos"), F.count_if(~pos).alias("n_neg"))
     return r.select("n_pos", "n_neg",
-                    (F.col("n_pos") * 100.0 / (F.col("n_pos") + F.col("n_neg"))).alias("pos_rate_pct"),
+                    F.try_divide(F.col("n_pos") * 100.0, F.col("n_pos") + F.col("n_neg")).alias("pos_rate_pct"),
                     (F.col("n_neg") / F.nullif(F.col("n_pos"), F.lit(0))).alias("neg_per_pos"))
 
 
@@ -185,7 +185,7 @@ def class_density(df: DataFrame, col: str, label: str = "Class", gridsize: int =
             return F.col("_ghi")
         return F.lit(float(j)) * ((F.col("_ghi") - F.col("_glo")) / F.lit(float(gridsize - 1))) + F.col("_glo")
 
-    sums = [F.sum(F.exp(F.lit(-0.5) * F.pow((grid(j) - F.col("_x")) / F.col("_bw"), 2))).alias(f"_d{j}")
+    sums = [F.sum(F.exp(F.lit(-0.5) * F.pow(F.try_divide(grid(j) - F.col("_x"), F.col("_bw")), 2))).alias(f"_d{j}")
             for j in range(gridsize)]
     agg = joined.groupBy(label, "_n", "_bw", "_glo", "_ghi").agg(*sums)
     norm = F.col("_n") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi))
@@ -193,7 +193,7 @@ def class_density(df: DataFrame, col: str, label: str = "Class", gridsize: int =
     long = agg.selectExpr(label, "_n", "_bw", "_glo", "_ghi", f"stack({gridsize}, {items}) AS (j, _s)")
     step = (F.col("_ghi") - F.col("_glo")) / F.lit(float(gridsize - 1))
     xg = F.when(F.col("j") == gridsize - 1, F.col("_ghi")).otherwise(F.col("j").cast("double") * step + F.col("_glo"))
-    return long.select(label, F.col("j").cast("int").alias("j"), xg.alias("x"), (F.col("_s") / norm).alias("density"))
+    return long.select(label, F.col("j").cast("int").alias("j"), xg.alias("x"), F.try_divide(F.col("_s"), norm).alias("density"))
 
 
 # P17 ------------------------------------------------------------------------
