@@ -126,19 +126,20 @@ def time_span(df: DataFrame, time_col: str = "Time") -> DataFrame:
 
 # P13 / P14 --------------------------------------------------------------------
 def correlation_matrix(df: DataFrame, cols) -> DataFrame:
-    """Pearson r for every ordered pair (a, b), diagonal 1.0, from one aggregate."""
+    """Pearson r for every ordered pair (a, b) as a long table.
+
+    Spark ML's ``Correlation`` computes the whole d x d matrix in one distributed pass
+    (a tree-aggregated Gramian); only the d x d result comes back, and it is returned as
+    a small frame.  Rows with a null in any of the columns are skipped.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
     cols = list(cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    agg = df.agg(*[F.corr(cols[i], cols[j]).alias(f"_r{i}_{j}") for i, j in pairs])
-    items = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if i == j:
-                items.append(f"'{a}', '{b}', CAST(1.0 AS DOUBLE)")
-            else:
-                lo, hi = min(i, j), max(i, j)
-                items.append(f"'{a}', '{b}', _r{lo}_{hi}")
-    return agg.selectExpr(f"stack({len(items)}, {', '.join(items)}) AS (a, b, r)")
+    vec = VectorAssembler(inputCols=cols, outputCol="_f", handleInvalid="skip").transform(
+        df.select(*[F.col(c).cast("double").alias(c) for c in cols])).select("_f")
+    m = Correlation.corr(vec, "_f", "pearson").first()[0].toArray()
+    rows = [(a, b, 1.0 if i == j else float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
 def label_correlation_ranking(df: DataFrame, features, label: str = "Class", k: int | None = 12) -> DataFrame:
@@ -168,8 +169,10 @@ def class_density(df: DataFrame, col: str, label: str = "Class", gridsize: int =
     """Gaussian kernel density per class, each normalised on its own.
 
     Bandwidth by Scott's rule (sample std x n^(-1/5)); grid = linspace(min - cut*h,
-    max + cut*h, gridsize).  The per-class stats are one row per class (broadcast);
-    the densities are ``gridsize`` sums in a single aggregate pass — no grid x rows join.
+    max + cut*h, gridsize).  Rows first collapse to (class, value, count) — partial,
+    map-side — then each distinct value meets the grid points of its class in a narrow
+    explode, and one (class, grid point) aggregate sums ``n * exp(...)``.  The per-class
+    stats are one row per class (broadcast).
     """
     x = F.col(col).cast("double")
     clean = df.select(label, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
@@ -178,22 +181,16 @@ def class_density(df: DataFrame, col: str, label: str = "Class", gridsize: int =
     st = st.withColumn("_bw", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))) \
         .withColumn("_glo", F.col("_mn") - F.lit(cut) * F.col("_bw")) \
         .withColumn("_ghi", F.col("_mx") + F.lit(cut) * F.col("_bw"))
-    joined = clean.join(F.broadcast(st), label)
-
-    def grid(j):
-        if j == gridsize - 1:
-            return F.col("_ghi")
-        return F.lit(float(j)) * ((F.col("_ghi") - F.col("_glo")) / F.lit(float(gridsize - 1))) + F.col("_glo")
-
-    sums = [F.sum(F.exp(F.lit(-0.5) * F.pow(F.try_divide(grid(j) - F.col("_x"), F.col("_bw")), 2))).alias(f"_d{j}")
-            for j in range(gridsize)]
-    agg = joined.groupBy(label, "_n", "_bw", "_glo", "_ghi").agg(*sums)
-    norm = F.col("_n") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi))
-    items = ", ".join(f"{j}, _d{j}" for j in range(gridsize))
-    long = agg.selectExpr(label, "_n", "_bw", "_glo", "_ghi", f"stack({gridsize}, {items}) AS (j, _s)")
+    distinct = clean.groupBy(label, "_x").agg(F.count(F.lit(1)).alias("_c"))
     step = (F.col("_ghi") - F.col("_glo")) / F.lit(float(gridsize - 1))
+    pts = distinct.join(F.broadcast(st), label).select(
+        label, "_x", "_c", "_n", "_bw", "_glo", "_ghi", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("j"))
     xg = F.when(F.col("j") == gridsize - 1, F.col("_ghi")).otherwise(F.col("j").cast("double") * step + F.col("_glo"))
-    return long.select(label, F.col("j").cast("int").alias("j"), xg.alias("x"), F.try_divide(F.col("_s"), norm).alias("density"))
+    pts = pts.withColumn("x", xg)
+    k = F.col("_c") * F.exp(F.lit(-0.5) * F.pow(F.try_divide(F.col("x") - F.col("_x"), F.col("_bw")), 2))
+    agg = pts.groupBy(label, "j", "x", "_n", "_bw").agg(F.sum(k).alias("_s"))
+    norm = F.col("_n") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi))
+    return agg.select(label, F.col("j").cast("int").alias("j"), "x", F.try_divide(F.col("_s"), norm).alias("density"))
 
 
 # P17 ------------------------------------------------------------------------

@@ -18,7 +18,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def hash_rank_cutoffs(df: DataFrame, h_col: str, fractions, class_cols=(), prefix_len: int = 5,
+def auto_prefix_len(df: DataFrame, rows_per_bucket: int = 1000, max_len: int = 6) -> int:
+    """Hex-prefix length giving about ``rows_per_bucket`` rows per bucket (one count job):
+    small data gets a small bucket table, 100 TB gets up to 16^6 buckets."""
+    n = df.select(F.count(F.lit(1))).first()[0]
+    length = 1
+    while length < max_len and n / (16 ** length) > rows_per_bucket:
+        length += 1
+    return length
+
+
+def hash_rank_cutoffs(df: DataFrame, h_col: str, fractions, class_cols=(), prefix_len: int | None = None,
                       ranks_from_counts=None) -> DataFrame:
     """Per class and target ``j``: ``need`` = floor(n_class * fractions[j]) and
     ``cutoff`` = the ``need``-th smallest hash (rows with ``h <= cutoff`` are the first
@@ -27,6 +37,7 @@ def hash_rank_cutoffs(df: DataFrame, h_col: str, fractions, class_cols=(), prefi
     ``ranks_from_counts(total_col, j_col)`` may override how ``need`` is derived.
     """
     class_cols = list(class_cols)
+    prefix_len = prefix_len or auto_prefix_len(df)
     bucket = F.substring(F.col(h_col), 1, prefix_len)
     counts = df.groupBy(*class_cols, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
     wc = Window.partitionBy(*class_cols)
@@ -108,10 +119,11 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), accurac
                       F.when(F.col("_below") <= F.col("_r0"), value).alias("value"))
 
 
-def hash_rank(df: DataFrame, h_col: str, prefix_len: int = 5, rank_col: str = "rank") -> DataFrame:
+def hash_rank(df: DataFrame, h_col: str, prefix_len: int | None = None, rank_col: str = "rank") -> DataFrame:
     """Global 0-based rank of every row by a (uniform) hash, without a single-task sort:
     counts per hex prefix, exclusive prefix sums over the (bounded) bucket table, then
     ``row_number`` inside each bucket — buckets are balanced because hashes are uniform."""
+    prefix_len = prefix_len or auto_prefix_len(df)
     bucket = F.substring(F.col(h_col), 1, prefix_len)
     counts = df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
     # at most 16^prefix_len rows: a bounded window, independent of the data size
