@@ -176,9 +176,10 @@ def reference_bins(ref: DataFrame, col: str, bins: int = 10) -> DataFrame:
         .select(F.transform("_e", lambda s: s["value"]).alias("edges"))
 
 
-def bin_index(x, edges):
-    """Bin of x for ascending edges: number of edges strictly below x."""
-    return F.size(F.filter(edges, lambda e: e < x))
+def bin_index(x, edges, n_edges: int):
+    """Bin of x for ascending edges: number of edges strictly below x (a sum of
+    ``n_edges`` comparisons — no lambda, so ``edges`` may be a scalar subquery)."""
+    return sum((F.when(F.element_at(edges, i + 1) < x, 1).otherwise(0) for i in range(n_edges)), F.lit(0))
 
 
 def windowed_psi(ref: DataFrame, cur: DataFrame, ts_col: str, col: str, window: str = "1 day",
@@ -187,15 +188,16 @@ def windowed_psi(ref: DataFrame, cur: DataFrame, ts_col: str, col: str, window:
 
     The reference enters as 9 edges (one broadcast row) and 10 shares; each window
     contributes (window, bin) counts.  Empty bins count as share 0.0001."""
-    edges = reference_bins(ref, col, bins).withColumn("_k", F.lit(0))
-    rb = ref.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull()) \
-        .withColumn("_k", F.lit(0)).join(F.broadcast(edges), "_k")
-    ref_sh = rb.groupBy(bin_index(F.col("_x"), F.col("edges")).alias("bin")).agg(F.count(F.lit(1)).alias("_rn"))
+    # the reference's bins are a fitted parameter: bins - 1 numbers, fetched once and
+    # projected as literals (like the standardiser), so every row compares to constants
+    edges = F.array(*[F.lit(float(e)) for e in reference_bins(ref, col, bins).first()["edges"]])
+    rb = ref.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    ref_sh = rb.groupBy(bin_index(F.col("_x"), edges, bins - 1).alias("bin")).agg(F.count(F.lit(1)).alias("_rn"))
     # at most ``bins`` rows: the un-partitioned window is over a tiny frame
     ref_sh = ref_sh.select("bin", (F.col("_rn") / F.sum("_rn").over(Window.partitionBy())).alias("ref_share"))
     cb = cur.select(F.window(ts_col, window).alias("w"), F.col(col).cast("double").alias("_x")) \
-        .filter(F.col("_x").isNotNull()).withColumn("_k", F.lit(0)).join(F.broadcast(edges), "_k")
-    counts = cb.groupBy("w", bin_index(F.col("_x"), F.col("edges")).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("_x").isNotNull())
+    counts = cb.groupBy("w", bin_index(F.col("_x"), edges, bins - 1).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     return psi_from_counts(counts, ref_sh, bins, col)
 
 
@@ -219,9 +221,9 @@ def windowed_js(ref: DataFrame, cur: DataFrame, ts_col: str, col: str, window: s
     cc = cur.groupBy(F.window(ts_col, window).alias("w"), F.col(col).cast("string").alias("cat")) \
         .agg(F.count(F.lit(1)).alias("n"))
     wins = cc.groupBy("w").agg(F.sum("n").alias("n_rows"))
-    cats = rs.select("cat").unionByName(cc.select("cat")).distinct()
-    # windows x categories: both small (days x category domain)
-    grid = wins.withColumn("_k", F.lit(0)).join(F.broadcast(cats.withColumn("_k", F.lit(0))), "_k").drop("_k")
+    # the category domain (reference and current) as a scalar subquery, exploded per window
+    cats = rs.select("cat").unionByName(cc.select("cat")).agg(F.collect_set("cat").alias("c")).select("c").scalar()
+    grid = wins.select("w", "n_rows", F.explode(cats).alias("cat"))
     full = grid.join(cc, ["w", "cat"], "left").join(F.broadcast(rs), "cat", "left").fillna(0, ["n", "p"])
     q = F.col("n") / F.col("n_rows")
     p = F.col("p")

@@ -141,9 +141,8 @@ def temporal_split(df: DataFrame, time_col: str, test_size: float = 0.2, split_c
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     num = micros_between(epoch, t).cast("double") if dtype.startswith("timestamp") else t.cast("double")
     withnum = df.withColumn("_t", num)
-    cut = exact_quantiles(withnum, "_t", [1.0 - test_size]).select(F.col("value").alias("_cut"))
-    out = withnum.withColumn("_k", F.lit(0)).join(F.broadcast(cut.withColumn("_k", F.lit(0))), "_k")
-    return out.withColumn(split_col, F.when(F.col("_t") >= F.col("_cut"), "test").otherwise("train")) \
+    cut = exact_quantiles(withnum, "_t", [1.0 - test_size]).select("value").scalar()  # scalar subquery
+    return withnum.withColumn(split_col, F.when(F.col("_t") >= cut, "test").otherwise("train")) \
         .select(*df.columns, split_col)
 
 

@@ -56,7 +56,9 @@ def hash_rank_cutoffs(df: DataFrame, h_col: str, fractions, class_cols=(), prefi
     cum = cum.withColumn("_need", need.cast("long"))
     boundary = cum.filter((F.col("_incl") - F.col("_n") < F.col("_need")) & (F.col("_need") <= F.col("_incl"))) \
         .select(*class_cols, "_b", "_j", "_need", (F.col("_need") - F.col("_incl") + F.col("_n")).alias("_r"))
-    cand = df.select(*class_cols, F.col(h_col).alias("_h"), bucket.alias("_b")).join(boundary, [*class_cols, "_b"])
+    # boundary: one row per (class, target) — bounded by construction, so broadcast
+    cand = df.select(*class_cols, F.col(h_col).alias("_h"), bucket.alias("_b")).join(
+        F.broadcast(boundary), [*class_cols, "_b"])
     wr = Window.partitionBy(*class_cols, "_j").orderBy("_h")
     ranked = cand.withColumn("_rn", F.row_number().over(wr)).filter(F.col("_rn") == F.col("_r"))
     return ranked.select(*class_cols, F.col("_j").alias("j"), F.col("_need").alias("need"),
@@ -99,8 +101,9 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), accurac
     if group_cols:
         joined = clean.join(per_q, group_cols)
     else:
-        joined = clean.withColumn("_k", F.lit(0)).join(
-            F.broadcast(per_q.withColumn("_k", F.lit(0))), "_k").drop("_k")
+        # one group: the |probs| bracket rows are a scalar subquery, exploded per row
+        brackets = per_q.select(F.collect_list(F.struct(*[c for c in per_q.columns])).alias("_a")).scalar()
+        joined = clean.select("_x", F.explode(brackets).alias("_s")).select("_x", "_s.*")
     sliced = joined.filter(F.col("_x") <= F.col("hi")).withColumn(
         "_xs", F.when(F.col("_x") >= F.col("lo"), F.col("_x")))
     keys = [*group_cols, "qi", "q", "_n", "_h", "_r0", "_r1"]

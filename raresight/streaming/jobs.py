@@ -68,7 +68,7 @@ def windowed_bin_counts(stream: DataFrame, ts_col: str, value_col: str, edges: l
     arr = F.array(*[F.lit(float(e)) for e in edges])
     x = F.col(value_col).cast("double")
     s = event_time(stream, ts_col).withWatermark("event_time", watermark).filter(x.isNotNull())
-    agg = s.groupBy(F.window("event_time", window).alias("w"), D.bin_index(x, arr).alias("bin")) \
+    agg = s.groupBy(F.window("event_time", window).alias("w"), D.bin_index(x, arr, len(edges)).alias("bin")) \
         .agg(F.count(F.lit(1)).alias("n"))
     return agg.select(instant_to_ntz("w.start").alias("window_start"), instant_to_ntz("w.end").alias("window_end"),
                       "bin", "n")
