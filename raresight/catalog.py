@@ -1310,3 +1310,41 @@ def d9_closed_loop(spark, sf_dir):
     q = ST.closed_loop(stream, tx, ["Time", "Amount"], [], on_drift, src + "-ckpt")
     q.awaitTermination()
     return spark.read.parquet(alerts)
+
+
+# ----------------------------------------------------------------------------
+# Extreme imbalance: positives thinned by hash to ~1/256 (about 0.08 %, the reference's
+# table has 0.17 %), same rule on both sides.
+SQL_TX_RARE = """
+tx AS (
+  SELECT event_id,
+         CAST(date_diff('microsecond', (SELECT min(ts) FROM events), ts) AS DOUBLE) / 1e6 AS Time,
+         value AS Amount,
+         CAST(CASE WHEN event_type = 'error' AND md5(CAST(event_id AS VARCHAR)) < '01' THEN 1 ELSE 0 END AS BIGINT) AS Class
+  FROM events)"""
+
+
+def _rare_tx(spark, sf_dir):
+    return S.thin_positives(S.transaction_table(spark, sf_dir), "event_id", "Class", "01")
+
+
+@register("p7_imbalance_rare", sql=ORACLE["p7_imbalance_events"].replace(SQL_TX.strip(), SQL_TX_RARE.strip()))
+def p7_imbalance_rare(spark, sf_dir):
+    return P.imbalance(_rare_tx(spark, sf_dir))
+
+
+@register("flagship_cost_threshold_rare",
+          sql=ORACLE["flagship_cost_threshold"].replace(SQL_TX.strip(), SQL_TX_RARE.strip()))
+def flagship_cost_threshold_rare(spark, sf_dir):
+    tx = _rare_tx(spark, sf_dir)
+    split = T.stratified_split(tx, ["event_id"], "Class", TEST_SIZE, SEED)
+    params = T.fit_standardizer(split.filter(F.col("split") == "train"), ["Time", "Amount"])
+    test = T.apply_standardizer(split.filter(F.col("split") == "test"), params)
+    scored = test.select(F.col("Class").alias("y"), standin_score(F.col("Amount")).alias("p"))
+    return E.cost_optimal_threshold(scored, COST_FP, COST_FN, label="y", score="p")
+
+
+@register("t6_split_summary_rare", sql=ORACLE["t6_split_summary"].replace(SQL_TX.strip(), SQL_TX_RARE.strip()))
+def t6_split_summary_rare(spark, sf_dir):
+    sp = T.stratified_split(_rare_tx(spark, sf_dir), ["event_id"], "Class", TEST_SIZE, SEED)
+    return _r9cols(T.split_summary(sp), ["pos_rate_pct"])

@@ -178,22 +178,21 @@ def cross_validate_pr_auc(df: DataFrame, features, params: dict, label: str = "C
                           k: int = 5, seed: int = 42, scale_cols=()) -> DataFrame:
     """Stratified k-fold PR-AUC: refit per fold (scaling and resampling inside the fold's
     training part only); per-fold rows plus the mean and population std."""
-    folds = T.stratified_folds(df, [key], label, k, seed).cache()
+    # the fold assignment is reused k times: cut its lineage with a reliable checkpoint
+    # in the shared folder (survives executor loss; never a local checkpoint)
+    folds = T.stratified_folds(df, [key], label, k, seed).checkpoint(eager=True)
     spark = df.sparkSession
     rows = []
-    try:
-        for f in range(k):
-            tr = folds.filter(F.col("fold") != f).drop("fold")
-            te = folds.filter(F.col("fold") == f).drop("fold")
-            if scale_cols:
-                prm = T.fit_standardizer(tr, scale_cols)
-                tr, te = T.apply_standardizer(tr, prm), T.apply_standardizer(te, prm)
-            model = fit_model(tr, features, params, label, key)
-            sc = score(model, te, 0.5).select(F.col(label).alias("y"), F.col("fraud_probability").alias("p"))
-            ap = E.average_precision(sc).first()["pr_auc"]
-            rows.append((f, float(ap)))
-    finally:
-        folds.unpersist()
+    for f in range(k):
+        tr = folds.filter(F.col("fold") != f).drop("fold")
+        te = folds.filter(F.col("fold") == f).drop("fold")
+        if scale_cols:
+            prm = T.fit_standardizer(tr, scale_cols)
+            tr, te = T.apply_standardizer(tr, prm), T.apply_standardizer(te, prm)
+        model = fit_model(tr, features, params, label, key)
+        sc = score(model, te, 0.5).select(F.col(label).alias("y"), F.col("fraud_probability").alias("p"))
+        ap = E.average_precision(sc).first()["pr_auc"]
+        rows.append((f, float(ap)))
     vals = [r[1] for r in rows]
     mean, std = statistics.fmean(vals), statistics.pstdev(vals)
     return spark.createDataFrame([(f, ap, mean, std) for f, ap in rows],

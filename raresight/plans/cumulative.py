@@ -19,9 +19,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _bucket_column(df: DataFrame, value_col: str, n_buckets: int) -> DataFrame:
+ROWS_PER_BUCKET = 65536
+MAX_BUCKETS = 16384
+
+
+def _bucket_column(df: DataFrame, value_col: str, n_buckets: int | None, split_source=None) -> DataFrame:
+    src, src_col = split_source if split_source is not None else (df, value_col)
+    if n_buckets is None:  # about ROWS_PER_BUCKET rows per bucket: one count over the source scan
+        n = src.select(F.count(F.lit(1))).first()[0]
+        n_buckets = int(min(MAX_BUCKETS, max(8, -(-n // ROWS_PER_BUCKET))))
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    splits = df.approxQuantile(value_col, probs, 1.0 / (2 * n_buckets)) if probs else []
+    splits = src.approxQuantile(src_col, probs, 1.0 / (2 * n_buckets)) if probs else []
     inner = sorted({float(s) for s in splits if s == s and abs(s) != float("inf")})
     if not inner:
         return df.withColumn("_bkt", F.lit(0.0))
@@ -31,16 +39,21 @@ def _bucket_column(df: DataFrame, value_col: str, n_buckets: int) -> DataFrame:
 
 
 def cumulative_by_value(df: DataFrame, value_col: str, sum_cols: list[str], group_cols=(),
-                        descending: bool = True, n_buckets: int = 1024,
-                        next_value: bool = False) -> DataFrame:
+                        descending: bool = True, n_buckets: int | None = None,
+                        next_value: bool = False, split_source=None) -> DataFrame:
     """Add ``cum_<c>``: sum of ``c`` over rows of the same group whose value comes
     at or before this row's value in the chosen order (inclusive).
 
     ``df`` must hold one row per (group, value).  With ``next_value`` also add
     ``next_<value_col>``: the following value in the chosen order (null at the end).
+    ``split_source`` = (frame, column) the bucket splits are sketched from — pass the
+    raw rows the distinct values came from, so the sketch is a plain scan and the
+    distinct aggregation is not computed twice.  A bucket then holds at most
+    rows / n_buckets distinct values, however the values cluster; by default
+    n_buckets grows with the rows (about 65k rows per bucket, up to 16,384 buckets).
     """
     group_cols = list(group_cols)
-    b = _bucket_column(df, value_col, n_buckets)
+    b = _bucket_column(df, value_col, n_buckets, split_source)
     aggs = [F.sum(c).alias(f"_bt_{c}") for c in sum_cols]
     if next_value:
         first = F.max(value_col) if descending else F.min(value_col)

@@ -18,12 +18,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def auto_prefix_len(df: DataFrame, rows_per_bucket: int = 1000, max_len: int = 6) -> int:
-    """Hex-prefix length giving about ``rows_per_bucket`` rows per bucket (one count job):
-    small data gets a small bucket table, 100 TB gets up to 16^6 buckets."""
+def auto_prefix_len(df: DataFrame, max_len: int = 6) -> int:
+    """Hex-prefix length with about sqrt(n) buckets (one count job).  The two steps that
+    run per class in one task — the running sum over the bucket table and the ranking
+    of the one boundary bucket — then both see about sqrt(n) rows: ~1e6 at 1e12 rows."""
     n = df.select(F.count(F.lit(1))).first()[0]
     length = 1
-    while length < max_len and n / (16 ** length) > rows_per_bucket:
+    while length < max_len and 16 ** length < n ** 0.5:
         length += 1
     return length
 

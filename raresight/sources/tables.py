@@ -42,6 +42,13 @@ def transaction_table(spark: SparkSession, sf_dir: str, keep_ts: bool = False) -
     return ev.select(*cols)
 
 
+def thin_positives(df: DataFrame, key: str, label: str = "Class", below: str = "01") -> DataFrame:
+    """Extreme imbalance from a milder table: keep a positive only when ``md5(key) < below``
+    (about 1/256 of them for '01'), deterministically and identically in SQL."""
+    keep = F.md5(F.col(key).cast("string")) < F.lit(below)
+    return df.withColumn(label, label_flag((F.col(label) == 1) & keep))
+
+
 def feature_table(spark: SparkSession, sf_dir: str, n_features: int = 28) -> DataFrame:
     """``embeddings`` as a PCA-feature table: (vec_id, V1..Vn, Class)."""
     emb = load(spark, sf_dir, "embeddings")
