@@ -63,6 +63,17 @@ def close(a, b):
     return True
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "smallint": "SMALLINT",
+                 "tinyint": "TINYINT", "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_diffs(sdf, con, sql):
+    stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    dtypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {c: (t, dtypes.get(c)) for c, t in stypes.items() if SPARK_TO_DUCK.get(t, t) != dtypes.get(c)}
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -78,6 +89,9 @@ def compare(spark, con, name, fn, sql, sf_dir):
     if sorted(scols) != sorted(dcols):
         out["status"] = f"COLUMNS {sorted(scols)} vs {sorted(dcols)}"
         return out
+    td = type_diffs(sdf, con, sql)
+    if td:
+        out["types"] = td
     a, b = rows_of(scols, srows), rows_of(dcols, drows)
     if a == b:
         out["status"] = "exact"
@@ -106,7 +120,7 @@ def main(argv):
             r = compare(spark, con, name, qs[name], orc.get(name), sf_dir)
         except Exception as exc:  # report and continue
             r = dict(name=name, status=f"ERROR {type(exc).__name__}: {str(exc)[:400]}")
-        bad += r["status"] not in ("exact", "close", "no-oracle")
+        bad += r["status"] not in ("exact", "close", "no-oracle") or "types" in r
         print(r, flush=True)
     print(f"{len(names or qs)} queries, {bad} failing")
     return 1 if bad else 0
