@@ -77,14 +77,25 @@ def smote(df: DataFrame, features, label: str = "Class", key: str = "vec_id", k:
     per, extra = divmod(n_new, n_pos)
     alloc = ranked.select(key, (F.lit(per) + F.when(F.col("rank") < extra, 1).otherwise(0)).alias("_c")) \
         .filter(F.col("_c") > 0)
-    samples = alloc.select(key, F.explode(F.sequence(F.lit(1), F.col("_c"))).alias("_s"))
+    # A positive may own millions of new rows (few positives, many negatives): cut each
+    # allocation into chunks of at most `chunk` rows and spread the chunks over tasks
+    # before expanding them, so no single task generates one positive's whole share.
+    chunk = 100_000
+    chunks = alloc.select(key, "_c", F.explode(F.sequence(F.lit(0), F.floor((F.col("_c") - 1) / chunk).cast("int")))
+                          .alias("_ci"))
+    chunks = chunks.select(key, (F.col("_ci") * chunk + 1).alias("_lo"),
+                           F.least(F.col("_c"), F.col("_ci") * chunk + chunk).alias("_hi"))
+    n_chunks = max(1, -(-n_new // chunk))
+    chunks = chunks.repartition(min(n_chunks, df.sparkSession.sparkContext.defaultParallelism * 4), key, "_lo")
+    samples = chunks.select(key, F.explode(F.sequence(F.col("_lo"), F.col("_hi"))).alias("_s"))
     samples = samples.select(
         key, "_s", F.floor(hash_uniform(seed, F.lit("nn"), F.col(key), F.col("_s")) * kk).cast("int").alias("j"),
         hash_uniform(seed, F.lit("gap"), F.col(key), F.col("_s")).alias("_u"))
-    withnn = samples.join(nn.select(key, "j", f"nn_{key}"), [key, "j"])
+    # neighbour pairs with both vectors: n_pos * k rows, joined to the samples once
     xb = pos.select(key, *features)
     xn = pos.select(F.col(key).alias(f"nn_{key}"), *[F.col(c).alias(f"_n_{c}") for c in features])
-    syn = withnn.join(xb, key).join(xn, f"nn_{key}")
+    pairs = nn.select(key, "j", f"nn_{key}").join(xb, key).join(xn, f"nn_{key}")
+    syn = samples.join(pairs, [key, "j"])
     syn_rows = syn.select(*[(F.col(c) + F.col("_u") * (F.col(f"_n_{c}") - F.col(c))).alias(c) for c in features])
     syn_rows = syn_rows.withColumn(label, F.lit(1).cast(dict(df.dtypes)[label])).withColumn(flag_col, F.lit(True))
     for c in df.columns:

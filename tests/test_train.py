@@ -10,7 +10,7 @@ from raresight.operators import train as M
 from raresight.sources import tables as S
 
 
-def test_factory_builds_both_families():
+def test_factory_builds_both_families(spark):
     lr = M.build_model({"model": "logistic_regression", "max_iter": 100, "random_state": 42})
     gbt = M.build_model({"model": "xgboost", "n_estimators": 50, "max_depth": 3, "learning_rate": 0.1,
                          "scale_pos_weight": 577.29, "random_state": 42})
@@ -18,7 +18,7 @@ def test_factory_builds_both_families():
     assert type(gbt).__name__ == "GBTClassifier" and gbt.getMaxIter() == 50 and gbt.getMaxDepth() == 3
 
 
-def test_factory_rejects_unknown_model():
+def test_factory_rejects_unknown_model(spark):
     with pytest.raises(ModelConfigError, match="Unsupported model"):
         M.build_model({"model": "random_forest", "random_state": 42})
 
@@ -27,7 +27,7 @@ def test_factory_rejects_unknown_model():
     {"model": "logistic_regression", "random_state": 42},
     {"model": "xgboost", "max_depth": 3, "learning_rate": 0.1, "scale_pos_weight": 577.29, "random_state": 42},
 ])
-def test_factory_rejects_missing_hyperparameter(params):
+def test_factory_rejects_missing_hyperparameter(spark, params):
     with pytest.raises(ModelConfigError, match="Missing required hyperparameter"):
         M.build_model(params)
 
@@ -71,3 +71,18 @@ def test_smote_balances_and_interpolates(spark):
                 break
         assert ok
     out.unpersist()
+
+
+def test_threshold_application_is_inclusive(spark):
+    """Decisions follow p >= threshold on fitted models of both families."""
+    feat = S.feature_table(spark, SF01, n_features=6)
+    cols = [f"V{i}" for i in range(1, 7)]
+    for params in [{"model": "logistic_regression", "max_iter": 50, "resampling": "none"},
+                   {"model": "gbt", "n_estimators": 5, "max_depth": 3, "learning_rate": 0.1,
+                    "scale_pos_weight": None, "resampling": "none"}]:
+        model = M.fit_model(feat, cols, params, "Class", "vec_id")
+        probs = sorted(r["fraud_probability"] for r in M.score(model, feat, 0.5).collect())
+        t = probs[len(probs) // 2]  # a threshold equal to a score: that row must be flagged
+        sc = M.score(model, feat, t).collect()
+        assert all(r["is_fraud"] == int(r["fraud_probability"] >= t) for r in sc)
+        assert 0 < sum(r["is_fraud"] for r in sc) < len(sc)
