@@ -33,6 +33,20 @@ def test_exact_quantiles_match_numpy_linear(spark):
             assert got[(g, i)] == pytest.approx(np.percentile(xs, q * 100), abs=1e-12)
 
 
+@pytest.mark.parametrize("grouped", [True, False])
+def test_exact_quantiles_two_rounds_match_numpy(spark, grouped):
+    rng = np.random.default_rng(9)
+    x = np.concatenate([np.round(rng.exponential(1, 30000), 4), np.full(15000, 0.5)])  # a hot value
+    g = np.arange(len(x)) % 3
+    df = spark.createDataFrame([(float(v), int(k)) for v, k in zip(x, g)], "x double, g long")
+    probs = [0.01, 0.25, 0.5, 0.9]
+    by = ["g"] if grouped else []
+    got = exact_quantiles(df, "x", probs, by, accuracy=200, rounds=2).collect()
+    for r in got:
+        xs = x[g == r["g"]] if grouped else x
+        assert r["value"] == pytest.approx(np.percentile(xs, probs[r["qi"]] * 100), abs=1e-12)
+
+
 def test_hash_rank_and_cutoffs_match_sort(spark):
     df = spark.range(5000).withColumn("h", hash_hex(42, "id"))
     pdf = df.toPandas().sort_values("h").reset_index(drop=True)
