@@ -10,6 +10,7 @@ windowed statistics.  The reference side enters only as counts or bin edges.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -266,13 +267,27 @@ def delayed_label_quality(predictions: DataFrame, labels: DataFrame, key: str, t
 
 
 # D10 ----------------------------------------------------------------------------
+def hash_normal(seed, tag: str, *key_cols):
+    """A standard normal per key from two seeded hash uniforms (Box-Muller): repeatable on
+    any partitioning, unlike ``randn(seed)``."""
+    u1 = hash_uniform(seed, F.lit(tag + ":1"), *key_cols)
+    u2 = hash_uniform(seed, F.lit(tag + ":2"), *key_cols)
+    return F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u1)) * F.cos(F.lit(2 * math.pi) * u2)
+
+
 def inject_drift(df: DataFrame, key_cols, feature_cols: Sequence[str] = (), amount_col: str | None = "Amount",
-                 time_col: str | None = "Time", seed: int = 0, scale: float = 2.0, shift: float = 3.0) -> DataFrame:
-    """Shifted rows, deterministic per key: features ``x*scale + shift``, Amount uniform
-    on [1000, 5000), Time uniform on [0, 200000) from seeded hashes of the key."""
+                 time_col: str | None = "Time", seed: int = 0, scale: float = 2.0, shift: float = 3.0,
+                 mode: str = "shift") -> DataFrame:
+    """Drifted rows, deterministic per key.  Features: ``x*scale + shift`` (mode "shift",
+    exact for SQL checks) or a fresh draw ``N(shift, scale)`` (mode "resample", the
+    published demo: V ~ N(3, 2)).  Amount uniform on [1000, 5000), Time uniform on
+    [0, 200000), all from seeded hashes of the key."""
     out = df
     for c in feature_cols:
-        out = out.withColumn(c, F.col(c) * F.lit(scale) + F.lit(shift))
+        if mode == "resample":
+            out = out.withColumn(c, F.lit(shift) + F.lit(scale) * hash_normal(seed, c, *key_cols))
+        else:
+            out = out.withColumn(c, F.col(c) * F.lit(scale) + F.lit(shift))
     if amount_col:
         out = out.withColumn(amount_col, F.lit(1000.0) + F.lit(4000.0) * hash_uniform(seed, F.lit("amount"), *key_cols))
     if time_col:

@@ -69,3 +69,15 @@ def test_contributions_top_k(spark):
     df = spark.createDataFrame([(1, 1.0, 10.0, -3.0)], "k long, a double, b double, c double")
     out = D.linear_contributions(df, ["k"], {"a": 1.0, "b": 0.1, "c": 1.0}, {"a": 0.0, "b": 0.0, "c": 0.0}, 2).collect()
     assert [(r["rank"], r["feature"]) for r in out] == [(1, "c"), (2, "a")]
+
+
+def test_resampled_injection_is_n_3_2_and_detected(spark):
+    from conftest import SF01
+    from raresight.sources import tables as S
+    feat = S.feature_table(spark, SF01, n_features=4)
+    cols = ["V1", "V2", "V3", "V4"]
+    inj = D.inject_drift(feat, ["vec_id"], cols, None, None, seed=0, mode="resample")
+    from pyspark.sql import functions as F
+    st = inj.agg(*[F.avg(c) for c in cols]).first()
+    assert all(2.6 < v < 3.4 for v in st)
+    assert D.detect_drift(feat, inj, cols).first()["dataset_drift"] is True
