@@ -216,24 +216,28 @@ def psi_from_counts(counts: DataFrame, ref_shares: DataFrame, bins: int, col: st
 
 
 def windowed_js(ref: DataFrame, cur: DataFrame, ts_col: str, col: str, window: str = "1 day") -> DataFrame:
-    """Jensen-Shannon distance of each window's category shares to the reference shares."""
+    """Jensen-Shannon distance (natural log) of each window's category shares to the
+    reference shares.
+
+    No window x category grid: a reference category absent from a window contributes
+    exactly 0.5 * p * ln 2, so those terms sum to 0.5 * ln 2 * (1 - sum of p over the
+    categories the window has).  Only (window, category) counts present in the data are
+    aggregated; the reference shares are joined by category (AQE sizes that join)."""
     rc = ref.groupBy(F.col(col).cast("string").alias("cat")).agg(F.count(F.lit(1)).alias("_rn"))
-    rs = rc.select("cat", (F.col("_rn") / F.sum("_rn").over(Window.partitionBy())).alias("p"))  # one row per category
+    rs = rc.select("cat", (F.col("_rn") / rc.select(F.sum("_rn")).scalar()).alias("p"))  # total: scalar subquery
     cc = cur.groupBy(F.window(ts_col, window).alias("w"), F.col(col).cast("string").alias("cat")) \
         .agg(F.count(F.lit(1)).alias("n"))
     wins = cc.groupBy("w").agg(F.sum("n").alias("n_rows"))
-    # the category domain (reference and current) as a scalar subquery, exploded per window
-    cats = rs.select("cat").unionByName(cc.select("cat")).agg(F.collect_set("cat").alias("c")).select("c").scalar()
-    grid = wins.select("w", "n_rows", F.explode(cats).alias("cat"))
-    full = grid.join(cc, ["w", "cat"], "left").join(F.broadcast(rs), "cat", "left").fillna(0, ["n", "p"])
+    present = cc.join(wins, "w").join(rs, "cat", "left").fillna(0.0, ["p"])
     q = F.col("n") / F.col("n_rows")
     p = F.col("p")
     m = (p + q) / 2
-    kl = lambda a: F.when(a > 0, a * F.log(a / m)).otherwise(F.lit(0.0))
-    return full.groupBy("w", "n_rows").agg(
-        F.sqrt(F.greatest(F.lit(0.0), F.lit(0.5) * F.sum(kl(p)) + F.lit(0.5) * F.sum(kl(q)))).alias("value")).select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        F.lit(col).alias("column"), F.lit("jensenshannon").alias("statistic"), "value", "n_rows")
+    term = F.when(p > 0, p * F.log(p / m)).otherwise(F.lit(0.0)) + q * F.log(q / m)
+    agg = present.groupBy("w", "n_rows").agg(F.sum(term).alias("_t"), F.sum(p).alias("_pp"))
+    js2 = F.lit(0.5) * F.col("_t") + F.lit(0.5 * math.log(2.0)) * (F.lit(1.0) - F.col("_pp"))
+    return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                      F.lit(col).alias("column"), F.lit("jensenshannon").alias("statistic"),
+                      F.sqrt(F.greatest(F.lit(0.0), js2)).alias("value"), "n_rows")
 
 
 # D8 -----------------------------------------------------------------------------

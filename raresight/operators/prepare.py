@@ -23,6 +23,25 @@ def features_and_target(df: DataFrame, label: str = "Class", key_cols=()) -> tup
 
 
 # T2 -------------------------------------------------------------------------
+MAX_BROADCAST_CLASSES = 100_000
+
+
+def _size_class(df: DataFrame, label: str) -> tuple[int, int]:
+    """One aggregate: the hash-prefix length (about sqrt(n) buckets) and the number of
+    classes, which bounds every per-class table joined back to the rows."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(label).alias("k")).first()
+    n, length = r["n"], 1
+    while length < 6 and 16 ** length < n ** 0.5:
+        length += 1
+    return length, int(r["k"])
+
+
+def _bounded(per_class: DataFrame, n_classes: int) -> DataFrame:
+    """Broadcast a per-class table only behind the class-count check; beyond it the join
+    stays a shuffle join (AQE still splits skewed partitions)."""
+    return F.broadcast(per_class) if n_classes <= MAX_BROADCAST_CLASSES else per_class
+
+
 def stratified_split(df: DataFrame, key_cols, label: str = "Class", test_size: float = 0.2, seed: int = 42,
                      split_col: str = "split") -> DataFrame:
     """Exact stratified split: per class, the floor(n_c * test_size) rows with the
@@ -34,8 +53,10 @@ def stratified_split(df: DataFrame, key_cols, label: str = "Class", test_size: f
     if not 0.0 < test_size < 1.0:
         raise ValueError(f"test_size must be in (0, 1), got {test_size}")
     withh = df.withColumn("_h", hash_hex(seed, *key_cols))
-    cut = hash_rank_cutoffs(withh, "_h", [test_size], [label]).select(label, F.col("cutoff").alias("_cut"))
-    out = withh.join(F.broadcast(cut), label, "left")
+    plen, n_classes = _size_class(withh, label)
+    cut = hash_rank_cutoffs(withh, "_h", [test_size], [label], prefix_len=plen) \
+        .select(label, F.col("cutoff").alias("_cut"))
+    out = withh.join(_bounded(cut, n_classes), label, "left")
     is_test = F.col("_cut").isNotNull() & (F.col("_h") <= F.col("_cut"))
     return out.withColumn(split_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train"))) \
         .select(*df.columns, split_col)
@@ -49,10 +70,11 @@ def stratified_folds(df: DataFrame, key_cols, label: str = "Class", k: int = 5,
         raise EvaluationError(f"k must be at least 2, got {k}")
     withh = df.withColumn("_h", hash_hex(seed, *key_cols))
     fr = [j / k for j in range(1, k)]
-    cut = hash_rank_cutoffs(withh, "_h", fr, [label],
+    plen, n_classes = _size_class(withh, label)
+    cut = hash_rank_cutoffs(withh, "_h", fr, [label], prefix_len=plen,
                             ranks_from_counts=lambda tot, j: F.floor(tot * (j + 1) / F.lit(k)))
     cuts = cut.groupBy(label).agg(F.collect_list("cutoff").alias("_cuts"))  # <= k-1 per class
-    out = withh.join(F.broadcast(cuts), label, "left")
+    out = withh.join(_bounded(cuts, n_classes), label, "left")
     # fold = number of cut-offs at or below the row's rank; a class too small to reach a
     # cut-off (need 0) has no row for it, so count the cut-offs *above* the hash instead.
     above = F.size(F.filter(F.coalesce(F.col("_cuts"), F.array().cast("array<string>")),

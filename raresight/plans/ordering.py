@@ -158,7 +158,7 @@ def _refine_brackets(clean: DataFrame, per_q: DataFrame, group_cols: list[str],
     g = REFINE_GRID
     grid = [i / g for i in range(g + 1)]
     keys = [*group_cols, "qi"]
-    j = clean.join(F.broadcast(per_q.select(*keys, "lo", "hi")), group_cols) if group_cols else \
+    j = clean.join(per_q.select(*keys, "lo", "hi"), group_cols) if group_cols else \
         clean.select("_x", F.explode(per_q.select(F.collect_list(F.struct("qi", "lo", "hi")).alias("_a")).scalar())
                      .alias("_s")).select("_x", "_s.*")
     inside = (F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi"))
