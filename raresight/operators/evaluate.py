@@ -59,11 +59,13 @@ def score_curve(scored: DataFrame, label: str = "y", score: str = "p", by: Seque
     cum = cumulative_by_value(distinct, "threshold", ["n_pos", "n_neg"], by, descending=True,
                               n_buckets=n_buckets,
                               split_source=(scored.select(F.col(score).cast("double").alias("_s")), "_s"))
-    wg = Window.partitionBy(*by)
-    return cum.select(
-        *by, "threshold", "n_pos", "n_neg",
-        F.col("cum_n_pos").alias("tps"), F.col("cum_n_neg").alias("fps"),
-        F.sum("n_pos").over(wg).alias("P"), F.sum("n_neg").over(wg).alias("N"))
+    cols = [*by, "threshold", "n_pos", "n_neg", F.col("cum_n_pos").alias("tps"), F.col("cum_n_neg").alias("fps")]
+    # group totals: an aggregate joined back (one row per group), never a window over all scores
+    if by:
+        totals = scored.groupBy(*by).agg(F.count_if(pos).alias("P"), F.count_if(~pos).alias("N"))
+        return cum.select(*cols).join(totals, by)
+    totals = scored.agg(F.count_if(pos).alias("P"), F.count_if(~pos).alias("N"))
+    return cum.select(*cols, totals.select("P").scalar().alias("P"), totals.select("N").scalar().alias("N"))
 
 
 def _curve_precision_recall(curve: DataFrame) -> DataFrame:
