@@ -36,6 +36,15 @@ def _size_class(df: DataFrame, label: str) -> tuple[int, int]:
     return length, int(r["k"])
 
 
+MAX_LITERAL_CLASSES = 1000
+
+
+def _literal_map(rows, label: str, value: str):
+    """A {class: value} map literal from a few fetched rows (None when there are none)."""
+    items = [x for r in rows if r[label] is not None for x in (F.lit(r[label]), F.lit(r[value]))]
+    return F.create_map(*items) if items else None
+
+
 def _bounded(per_class: DataFrame, n_classes: int) -> DataFrame:
     """Broadcast a per-class table only behind the class-count check; beyond it the join
     stays a shuffle join (AQE still splits skewed partitions)."""
@@ -56,7 +65,13 @@ def stratified_split(df: DataFrame, key_cols, label: str = "Class", test_size: f
     plen, n_classes = _size_class(withh, label)
     cut = hash_rank_cutoffs(withh, "_h", [test_size], [label], prefix_len=plen) \
         .select(label, F.col("cutoff").alias("_cut"))
-    out = withh.join(_bounded(cut, n_classes), label, "left")
+    if n_classes <= MAX_LITERAL_CLASSES:
+        # the split's fitted parameter: one hash per class, fetched once and applied as a
+        # literal map — no join, and later actions do not recompute the cut-offs
+        lut = _literal_map(cut.collect(), label, "_cut")
+        out = withh.withColumn("_cut", lut[F.col(label)] if lut is not None else F.lit(None).cast("string"))
+    else:
+        out = withh.join(_bounded(cut, n_classes), label, "left")
     is_test = F.col("_cut").isNotNull() & (F.col("_h") <= F.col("_cut"))
     return out.withColumn(split_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train"))) \
         .select(*df.columns, split_col)
@@ -74,7 +89,11 @@ def stratified_folds(df: DataFrame, key_cols, label: str = "Class", k: int = 5,
     cut = hash_rank_cutoffs(withh, "_h", fr, [label], prefix_len=plen,
                             ranks_from_counts=lambda tot, j: F.floor(tot * (j + 1) / F.lit(k)))
     cuts = cut.groupBy(label).agg(F.collect_list("cutoff").alias("_cuts"))  # <= k-1 per class
-    out = withh.join(_bounded(cuts, n_classes), label, "left")
+    if n_classes <= MAX_LITERAL_CLASSES:
+        lut = _literal_map(cuts.collect(), label, "_cuts")
+        out = withh.withColumn("_cuts", lut[F.col(label)] if lut is not None else F.lit(None).cast("array<string>"))
+    else:
+        out = withh.join(_bounded(cuts, n_classes), label, "left")
     # fold = number of cut-offs at or below the row's rank; a class too small to reach a
     # cut-off (need 0) has no row for it, so count the cut-offs *above* the hash instead.
     above = F.size(F.filter(F.coalesce(F.col("_cuts"), F.array().cast("array<string>")),

@@ -155,8 +155,8 @@ def label_correlation_ranking(df: DataFrame, features, label: str = "Class", k:
 def grouped_histogram(df: DataFrame, col: str, label: str = "Class", bins: int = 50) -> DataFrame:
     """Equal-width bins over the shared [min, max]; counts per (label, bin).
     The range is a scalar subquery; the last bin is closed."""
-    lo = df.select(F.min(col)).scalar()
-    hi = df.select(F.max(col)).scalar()
+    rng = df.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()  # one scan
+    lo, hi = rng["lo"], rng["hi"]
     w = (hi - lo) / F.lit(float(bins))
     b = F.when(w == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(col) - lo) / w), F.lit(bins - 1))).cast("long")
