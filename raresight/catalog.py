@@ -714,8 +714,8 @@ def t7_dedupe_keep_positives(spark, sf_dir):
 
 @register("t8_cyclical_hour", sql=f"""
 WITH {SQL_TX}
-SELECT event_id, round(sin(2 * pi() * CAST(CAST(floor(Time / 3600.0) AS BIGINT) % 24 AS DOUBLE) / 24.0), 9) AS hour_sin,
-       round(cos(2 * pi() * CAST(CAST(floor(Time / 3600.0) AS BIGINT) % 24 AS DOUBLE) / 24.0), 9) AS hour_cos FROM tx
+SELECT event_id, round(sin(2 * pi() * CAST(CAST(floor(Time / 3600.0) AS BIGINT) % 24 AS DOUBLE) / 24.0), 9) + 0.0::DOUBLE AS hour_sin,
+       round(cos(2 * pi() * CAST(CAST(floor(Time / 3600.0) AS BIGINT) % 24 AS DOUBLE) / 24.0), 9) + 0.0::DOUBLE AS hour_cos FROM tx
 """)
 def t8_cyclical_hour(spark, sf_dir):
     out = T.add_cyclical_hour(S.transaction_table(spark, sf_dir), "Time").select("event_id", "hour_sin", "hour_cos")
