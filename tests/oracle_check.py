@@ -35,11 +35,11 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
-        return (2, v)
+        return (2, v, math.copysign(1.0, v) if v == 0 else 0.0)  # -0.0 and 0.0 hash differently
     if isinstance(v, bool):
         return (3, int(v))
     if isinstance(v, int):
-        return (2, float(v))
+        return (2, float(v), 1.0 if v == 0 else 0.0)
     return (4, str(v))
 
 
@@ -52,7 +52,8 @@ def close(a, b):
     if len(a) != len(b):
         return False
     for ra, rb in zip(a, b):
-        for (ka, va), (kb, vb) in zip(ra, rb):
+        for ta, tb in zip(ra, rb):
+            ka, va, kb, vb = ta[0], ta[1], tb[0], tb[1]
             if ka != kb:
                 return False
             if ka == 2:
