@@ -1305,7 +1305,8 @@ def d9_closed_loop(spark, sf_dir):
     def on_drift(batch, batch_id, row):
         M.fit_model(batch, ["Time", "Amount"], LR_PARAMS, "Class", "event_id")  # retrain on recent data
         spark.createDataFrame([(batch_id, float(row["drift_share"]), "dataset drift: retrained")],
-                              "batch_id long, drift_share double, action string").write.mode("append").parquet(alerts)
+                              "batch_id long, drift_share double, action string") \
+            .write.mode("overwrite").parquet(f"{alerts}/batch={batch_id}")  # idempotent on batch re-runs
 
     q = ST.closed_loop(stream, tx, ["Time", "Amount"], [], on_drift, src + "-ckpt")
     q.awaitTermination()

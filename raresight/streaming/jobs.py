@@ -43,11 +43,14 @@ def score_stream(raw: DataFrame, contract: V.Contract, scaler_params, model, thr
     flagged = V.with_validity(raw, contract)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        # idempotent per micro-batch: a batch re-run after a failure overwrites its own
+        # directory instead of appending twice (exactly-once output with the checkpoint)
         valid = batch.filter(F.col("is_valid")).drop("is_valid")
         bad = batch.filter(~F.col("is_valid")).drop("is_valid")
         scored = M.raw_to_decision(valid, params, model, threshold)
-        to_prediction_log(scored, feature_cols, model_version).write.mode("append").json(log_path)
-        bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").json(quarantine_path)
+        to_prediction_log(scored, feature_cols, model_version).write.mode("overwrite") \
+            .json(f"{log_path}/batch_id={batch_id}")
+        bad.write.mode("overwrite").json(f"{quarantine_path}/batch_id={batch_id}")
 
     w = flagged.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
