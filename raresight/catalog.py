@@ -1349,3 +1349,15 @@ def flagship_cost_threshold_rare(spark, sf_dir):
 def t6_split_summary_rare(spark, sf_dir):
     sp = T.stratified_split(_rare_tx(spark, sf_dir), ["event_id"], "Class", TEST_SIZE, SEED)
     return _r9cols(T.split_summary(sp), ["pos_rate_pct"])
+
+
+@register("d5_score_drift_by_day", sql=ORACLE["d7_windowed_psi"]
+          .replace("quantile_cont(value,", "quantile_cont(value / (value + 50.0),")
+          .replace("list_filter(edges, lambda x: x < value)", "list_filter(edges, lambda x: x < value / (value + 50.0))")
+          .replace("'Amount' AS \"column\"", "'p' AS \"column\""))
+def d5_score_drift_by_day(spark, sf_dir):
+    """Prediction drift: PSI per day of a stand-in model's score against its first-week bins."""
+    tx = S.transaction_table(spark, sf_dir, keep_ts=True).withColumn(
+        "p", F.col("Amount") / (F.col("Amount") + F.lit(50.0)))
+    ref = tx.filter(F.col("ts") < F.lit(REF_END_TS).cast("timestamp_ntz"))
+    return _r9cols(D.windowed_psi(ref, tx, "ts", "p", "1 day", 10), ["value"])
