@@ -771,8 +771,7 @@ REF_END_TS = "2024-01-08 00:00:00"  # windowed drift: reference = first week
 
 
 def _halves(spark, sf_dir):
-    ev = S.transaction_table(spark, sf_dir, keep_ts=True).join(
-        S.load(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
+    ev = S.transaction_table(spark, sf_dir, keep_ts=True, extra=["event_type"])
     cut = F.lit(SPLIT_TS).cast("timestamp_ntz")
     return ev.filter(F.col("ts") < cut), ev.filter(F.col("ts") >= cut)
 

@@ -24,7 +24,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def transaction_table(spark: SparkSession, sf_dir: str, keep_ts: bool = False) -> DataFrame:
+def transaction_table(spark: SparkSession, sf_dir: str, keep_ts: bool = False, extra=()) -> DataFrame:
     """``events`` as a transaction table: (event_id, Time, Amount, Class[, ts]).
 
     ``min(ts)`` is a scalar subquery (one tiny aggregate job), not a driver round trip.
@@ -39,6 +39,7 @@ def transaction_table(spark: SparkSession, sf_dir: str, keep_ts: bool = False) -
     ]
     if keep_ts:
         cols.append(F.col("ts"))
+    cols += [F.col(c) for c in extra]
     return ev.select(*cols)
 
 
