@@ -21,6 +21,7 @@ from raresight.functions import hash_hex, hash_uniform
 from raresight.operators import evaluate as E
 from raresight.operators import prepare as T
 from raresight.plans import exact_knn, hash_rank
+from raresight.session import checkpoint_dir
 
 REQUIRED = {
     "logistic_regression": ("max_iter",),
@@ -191,6 +192,7 @@ def cross_validate_pr_auc(df: DataFrame, features, params: dict, label: str = "C
     training part only); per-fold rows plus the mean and population std."""
     # the fold assignment is reused k times: cut its lineage with a reliable checkpoint
     # in the shared folder (survives executor loss; never a local checkpoint)
+    checkpoint_dir(df.sparkSession)  # the session's shared folder (set for local runs only)
     folds = T.stratified_folds(df, [key], label, k, seed).checkpoint(eager=True)
     spark = df.sparkSession
     rows = []
