@@ -81,3 +81,20 @@ def test_resampled_injection_is_n_3_2_and_detected(spark):
     st = inj.agg(*[F.avg(c) for c in cols]).first()
     assert all(2.6 < v < 3.4 for v in st)
     assert D.detect_drift(feat, inj, cols).first()["dataset_drift"] is True
+
+
+def test_ks_p_value_series_matches_reference(spark):
+    import math
+    from pyspark.sql import functions as F
+
+    def q(lam):
+        return min(1.0, max(0.0, sum(2 * (-1) ** (j - 1) * math.exp(-2 * j * j * lam * lam) for j in range(1, 101))))
+
+    rows = [(d, 400.0, 300.0) for d in (0.02, 0.05, 0.08, 0.1, 0.15, 0.2, 0.3)]
+    df = spark.createDataFrame(rows, "d double, n double, m double")
+    got = df.select("d", D.ks_p_value(F.col("d"), F.col("n"), F.col("m")).alias("p")).collect()
+    for r in got:
+        en = math.sqrt(400 * 300 / 700)
+        lam = (en + 0.12 + 0.11 / en) * r["d"]
+        want = 1.0 if lam < 0.3 else q(lam)
+        assert r["p"] == pytest.approx(want, abs=1e-15)
