@@ -18,7 +18,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _block_knn(k: int, chunk: int = 256):
+def _exact_rows(Q, R, qid, rid, kk):
+    """Exact distances by explicit differences; (neighbour index, distance) sorted by (distance, id)."""
+    diff = Q[:, None, :] - R[None, :, :]
+    d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+    d[qid[:, None] == rid[None, :]] = np.inf
+    order = np.lexsort((np.broadcast_to(rid, d.shape), d), axis=1)[:, :kk]
+    return order, np.take_along_axis(d, order, axis=1)
+
+
+def _block_knn(k: int, extra: int = 8, chunk: int = 512):
+    """Per block pair: candidates from the matrix-product form |q|^2 + |r|^2 - 2 q.r (one BLAS
+    call), exact distances recomputed for the k + extra best, and a proof per query that no
+    excluded point can enter its top k (the product form's rounding error is bounded);
+    queries without that proof (e.g. exact ties) fall back to explicit differences."""
     def fn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if q.empty or r.empty:
             return pd.DataFrame({"_id": pd.Series([], dtype="int64"), "nn_id": pd.Series([], dtype="int64"),
@@ -27,17 +40,35 @@ def _block_knn(k: int, chunk: int = 256):
         R = np.stack(r["_rv"].to_numpy()).astype("float64")
         qid = q["_id"].to_numpy(dtype="int64")
         rid = r["_rid"].to_numpy(dtype="int64")
-        kk = min(k, len(rid))
+        nr = len(rid)
+        kk = min(k, nr)
+        m = min(kk + extra, nr)
+        rr = np.einsum("ij,ij->i", R, R)
         out_q, out_n, out_d = [], [], []
         for s in range(0, len(qid), chunk):
-            diff = Q[s:s + chunk, None, :] - R[None, :, :]
-            d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-            d[qid[s:s + chunk, None] == rid[None, :]] = np.inf          # a point is not its own neighbour
-            order = np.lexsort((np.broadcast_to(rid, d.shape), d), axis=1)[:, :kk]  # by distance, then id
-            dd = np.take_along_axis(d, order, axis=1)
+            Qc, qc = Q[s:s + chunk], qid[s:s + chunk]
+            qq = np.einsum("ij,ij->i", Qc, Qc)
+            d2 = qq[:, None] + rr[None, :] - 2.0 * (Qc @ R.T)
+            bound = 1e-12 * (qq[:, None] + rr[None, :]) + 1e-300   # rounding error of the product form
+            d2[qc[:, None] == rid[None, :]] = np.inf
+            cand = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < nr else np.tile(np.arange(nr), (len(qc), 1))
+            diff = Qc[:, None, :] - R[cand]
+            dex = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+            dex[qc[:, None] == rid[cand]] = np.inf
+            order = np.lexsort((rid[cand], dex), axis=1)[:, :kk]
+            nn = np.take_along_axis(cand, order, axis=1)
+            dd = np.take_along_axis(dex, order, axis=1)
+            if m < nr:  # proof: every excluded point is strictly farther than the k-th kept one
+                excl = d2.copy()
+                np.put_along_axis(excl, cand, np.inf, axis=1)
+                lower = np.sqrt(np.maximum(excl - bound, 0.0)).min(axis=1)
+                bad = ~(lower > dd[:, -1])
+                if bad.any():
+                    o2, d2x = _exact_rows(Qc[bad], R, qc[bad], rid, kk)
+                    nn[bad], dd[bad] = o2, d2x
             keep = np.isfinite(dd)
-            out_q.append(np.repeat(qid[s:s + chunk], kk)[keep.ravel()])
-            out_n.append(rid[order].ravel()[keep.ravel()])
+            out_q.append(np.repeat(qc, kk)[keep.ravel()])
+            out_n.append(rid[nn].ravel()[keep.ravel()])
             out_d.append(dd.ravel()[keep.ravel()])
         return pd.DataFrame({"_id": np.concatenate(out_q), "nn_id": np.concatenate(out_n),
                              "dist": np.concatenate(out_d)})

@@ -70,3 +70,18 @@ def test_exact_knn_matches_brute_force(spark):
     for i in range(300):
         want = list(np.lexsort((np.arange(300), D[i]))[:5])
         assert [nn[i][j] for j in range(5)] == want
+
+
+def test_exact_knn_with_duplicates_and_ties(spark):
+    rng = np.random.default_rng(11)
+    X = rng.integers(-4, 5, (200, 3)).astype(float)  # integer coordinates: ties are exact
+    X[100:140] = X[:40]  # exact duplicate points: distance 0 ties
+    df = spark.createDataFrame([(i, *map(float, X[i])) for i in range(200)], "k long, a double, b double, c double")
+    got = exact_knn(df, "k", ["a", "b", "c"], 5, block_size=50).collect()
+    nn = {}
+    for r in got:
+        nn.setdefault(r["k"], {})[r["j"]] = r["nn_k"]
+    D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
+    np.fill_diagonal(D, np.inf)
+    for i in range(200):
+        assert [nn[i][j] for j in range(5)] == list(np.lexsort((np.arange(200), D[i]))[:5])
