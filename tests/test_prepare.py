@@ -67,3 +67,9 @@ def test_repeatable_sample_size_and_stability(spark):
     a = {r["event_id"] for r in T.repeatable_sample(tx, 100, ["event_id"], 42).collect()}
     b = {r["event_id"] for r in T.repeatable_sample(tx.repartition(5), 100, ["event_id"], 42).collect()}
     assert len(a) == 100 and a == b
+
+
+def test_folds_reject_k_below_two(spark):
+    from raresight.errors import EvaluationError
+    with pytest.raises(EvaluationError, match="at least 2"):
+        T.stratified_folds(spark.range(5).withColumn("Class", F.lit(0)), ["id"], "Class", 1)
