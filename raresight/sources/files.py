@@ -72,8 +72,10 @@ def prediction_log_schema(feature_cols: list[str]) -> T.StructType:
 def to_prediction_log(scored: DataFrame, feature_cols: list[str], model_version: str,
                       prob_col: str = "fraud_probability", decision_col: str = "is_fraud") -> DataFrame:
     """Shape scored rows as log records: UTC timestamp, nested ``input``, score, decision, version."""
+    tz = scored.sparkSession.conf.get("spark.sql.session.timeZone")
+    utc_wall = F.to_utc_timestamp(F.current_timestamp(), tz)  # rendered in the session zone = UTC clock
     return scored.select(
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"),
+        F.concat(F.date_format(utc_wall, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")).alias("timestamp"),
         F.struct(*[F.col(c).cast("double").alias(c) for c in feature_cols]).alias("input"),
         F.col(prob_col).cast("double").alias("fraud_probability"),
         F.col(decision_col).cast("long").alias("is_fraud"),
