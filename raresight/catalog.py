@@ -1105,7 +1105,35 @@ def m5_smote_class_counts(spark, sf_dir):
     return res.groupBy("Class", "synthetic").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@register("m5_smote_rows")
+def _smote_sql() -> str:
+    v = S.V_COLUMNS
+    dist = " + ".join(f"pow(a.{c} - b.{c}, 2)" for c in v)
+    u_nn = "(CAST(CAST(('0x' || substr(md5(concat_ws('|', '42', 'nn', CAST(sm.vec_id AS VARCHAR), CAST(sm.i AS VARCHAR))), 1, 13)) AS BIGINT) AS DOUBLE) / 4503599627370496.0::DOUBLE)"
+    u_gap = "(CAST(CAST(('0x' || substr(md5(concat_ws('|', '42', 'gap', CAST(sm.vec_id AS VARCHAR), CAST(sm.i AS VARCHAR))), 1, 13)) AS BIGINT) AS DOUBLE) / 4503599627370496.0::DOUBLE)"
+    interp = ", ".join(f"x.{c} + s.u * (n.{c} - x.{c}) AS {c}" for c in v)
+    cols = ", ".join(v)
+    return f"""
+WITH {SQL_FEAT_SPLIT.strip()},
+tr AS (SELECT vec_id, {cols}, Class FROM ftrain),
+pos AS (SELECT * FROM tr WHERE Class = 1),
+cnt AS (SELECT count(*) FILTER (WHERE Class = 1) AS n_pos, count(*) FILTER (WHERE Class <> 1) AS n_neg FROM tr),
+kk AS (SELECT least(5, n_pos - 1) AS k, (n_neg - n_pos) // n_pos AS per, (n_neg - n_pos) % n_pos AS extra FROM cnt),
+nn AS (SELECT a.vec_id, b.vec_id AS nn_id,
+              row_number() OVER (PARTITION BY a.vec_id ORDER BY sqrt({dist}), b.vec_id) - 1 AS j
+       FROM pos a JOIN pos b ON a.vec_id <> b.vec_id),
+rk AS (SELECT vec_id, row_number() OVER (ORDER BY md5(concat_ws('|', '42', CAST(vec_id AS VARCHAR)))) - 1 AS r FROM pos),
+al AS (SELECT rk.vec_id, kk.per + CASE WHEN rk.r < kk.extra THEN 1 ELSE 0 END AS c, kk.k FROM rk, kk),
+sm AS (SELECT al.vec_id, g.i, al.k FROM al, LATERAL (SELECT unnest(range(1, al.c + 1)) AS i) g),
+s AS (SELECT sm.vec_id, sm.i, CAST(floor({u_nn} * sm.k) AS INTEGER) AS j, {u_gap} AS u FROM sm),
+syn AS (SELECT CAST(NULL AS BIGINT) AS vec_id, {interp}, CAST(1 AS BIGINT) AS Class, true AS synthetic
+        FROM s JOIN nn ON nn.vec_id = s.vec_id AND nn.j = s.j
+               JOIN pos x ON x.vec_id = s.vec_id JOIN pos n ON n.vec_id = nn.nn_id)
+SELECT vec_id, {cols}, Class, false AS synthetic FROM tr
+UNION ALL SELECT * FROM syn
+"""
+
+
+@register("m5_smote_rows", sql=_smote_sql())
 def m5_smote_rows(spark, sf_dir):
     """The resampled training frame itself (synthetic rows have a null key)."""
     train, _ = _feature_split(spark, sf_dir)
