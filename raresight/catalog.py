@@ -1294,11 +1294,20 @@ def v10_streaming_quarantine(spark, sf_dir):
     return spark.read.json(bad).agg(F.count(F.lit(1)).alias("n_quarantined"))
 
 
-@register("d6_streaming_delayed_labels")
+@register("d6_streaming_delayed_labels", sql="""
+WITH d AS (SELECT ts, floor(CAST(CAST(('0x' || substr(md5(concat_ws('|', '42', 'delay', CAST(event_id AS VARCHAR))), 1, 13))
+                                 AS BIGINT) AS DOUBLE) / 4503599627370496.0::DOUBLE * 259200) AS delay FROM events),
+m AS (SELECT max(ts) AS mx FROM events)
+SELECT count(*) FILTER (WHERE delay <= 172800) AS n_labelled,
+       count(*) FILTER (WHERE delay > 172800 AND ts + INTERVAL 3 DAY < mx) AS n_unlabelled
+FROM d, m
+""")
 def d6_streaming_delayed_labels(spark, sf_dir):
     """Predictions (events stream) joined with labels that arrive 0-72 h later (hash-derived
     delay); labels later than 48 h miss the join and surface as unlabelled rows once the
-    watermark passes.  Output: matched / unlabelled counts."""
+    watermark passes.  Output: matched / unlabelled counts.  A prediction without a label
+    surfaces once the watermark (max event time - 1 day) passes its last chance to match
+    (prediction time + 2 days): the SQL states that rule directly."""
     ev = ST.event_time(ST.read_table_stream(spark, sf_dir, "events"), "ts")
     pred = ev.select("event_id", F.col("event_time").alias("pred_time"),
                      (F.col("value") / (F.col("value") + F.lit(50.0))).alias("p"))
