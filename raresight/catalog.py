@@ -1326,7 +1326,11 @@ def d6_streaming_delayed_labels(spark, sf_dir):
                    F.count_if(F.col("y").isNull()).alias("n_unlabelled"))
 
 
-@register("d9_closed_loop")
+@register("d9_closed_loop", sql=f"""
+WITH rep AS ({ORACLE["d3_drift_report_injected"]}),
+sh AS (SELECT avg(CAST(drifted AS DOUBLE)) AS drift_share FROM rep)
+SELECT CAST(0 AS BIGINT) AS batch_id, drift_share, 'dataset drift: retrained' AS action FROM sh WHERE drift_share >= 0.5
+""")
 def d9_closed_loop(spark, sf_dir):
     """Drift check on each micro-batch of a stream of drift-injected transactions against
     the original ones; on drift the callback records an alert and retrains the
@@ -1346,7 +1350,7 @@ def d9_closed_loop(spark, sf_dir):
 
     q = ST.closed_loop(stream, tx, ["Time", "Amount"], [], on_drift, src + "-ckpt")
     q.awaitTermination()
-    return spark.read.parquet(alerts)
+    return spark.read.parquet(alerts).select("batch_id", "drift_share", "action")
 
 
 # ----------------------------------------------------------------------------
