@@ -148,7 +148,10 @@ def training_frame(train: DataFrame, params: dict, features, label: str = "Class
     if strategy not in STRATEGIES:
         raise ModelConfigError(f"Unsupported resampling strategy: {strategy}")
     if strategy == "smote":
-        return smote(train, features, label, key, seed=int(p.get("random_state", 42))), None
+        # the resampled frame has a long lineage (kNN cogroup, allocation, joins) and is read
+        # by the fit's passes: cut it with a reliable checkpoint in the shared folder
+        checkpoint_dir(train.sparkSession)
+        return smote(train, features, label, key, seed=int(p.get("random_state", 42))).checkpoint(eager=True), None
     if name == "logistic_regression":
         return with_balanced_weights(train, label, weight_col), weight_col
     return with_positive_weight(train, label, p.get("scale_pos_weight"), weight_col), weight_col
