@@ -48,19 +48,29 @@ def head(df: DataFrame, n: int = 5, order_cols=()) -> DataFrame:
 
 
 # P3 / P8 --------------------------------------------------------------------
-def describe(df: DataFrame, cols, by=(), probs=QUARTILES, accuracy: int = 10000) -> DataFrame:
-    """count, mean, sample std, min, exact linear quartiles, max per column (and group)."""
+def describe(df: DataFrame, cols, by=(), probs=QUARTILES, accuracy: int = 10000, exact: bool = True) -> DataFrame:
+    """count, mean, sample std, min, quartiles, max per column (and group).
+
+    ``exact`` quartiles are linearly interpolated order statistics (pandas' definition);
+    ``exact=False`` returns ``percentile_approx`` values (rank error <= n / accuracy) from
+    the same single aggregate — the bounded-memory option for a quick look at huge tables.
+    """
     by = list(by)
     long = _long(df, cols, by)
     keys = [*by, "column"]
-    moments = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
+    names = [f"p{int(round(p * 100))}" for p in probs]
+    aggs = [F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+            F.min("value").alias("min"), F.max("value").alias("max")]
+    if not exact:
+        approx = F.percentile_approx("value", [float(p) for p in probs], accuracy)
+        out = long.groupBy(*keys).agg(*aggs, approx.alias("_q"))
+        return out.select(*keys, "count", "mean", "std", "min",
+                          *[F.col("_q")[i].alias(n) for i, n in enumerate(names)], "max")
+    moments = long.groupBy(*keys).agg(*aggs)
     q = exact_quantiles(long, "value", probs, keys, accuracy)
     qw = q.groupBy(*keys).pivot("qi", list(range(len(probs)))).agg(F.first("value"))
-    names = {str(i): f"p{int(round(p * 100))}" for i, p in enumerate(probs)}
-    qw = qw.select(*keys, *[F.col(i).alias(n) for i, n in names.items()])
-    return moments.join(qw, keys).select(*keys, "count", "mean", "std", "min", *names.values(), "max")
+    qw = qw.select(*keys, *[F.col(str(i)).alias(n) for i, n in enumerate(names)])
+    return moments.join(qw, keys).select(*keys, "count", "mean", "std", "min", *names, "max")
 
 
 # P4 -------------------------------------------------------------------------

@@ -57,3 +57,17 @@ def test_constant_and_single_value_quantiles(spark):
     assert got == {(0, 0): 5.0, (0, 1): 5.0, (1, 0): 1.0, (1, 1): 1.0}
     d = P.describe(df, ["x"], by=["g"]).filter("g = 1").first()
     assert d["count"] == 1 and d["std"] is None or d["std"] != d["std"]
+
+
+def test_describe_approximate_option_is_close(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, 5000)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    ex = P.describe(df, ["x"]).first()
+    ap = P.describe(df, ["x"], exact=False, accuracy=10000).first()
+    assert ex["count"] == ap["count"] == 5000
+    for c in ("p25", "p50", "p75"):
+        rank = np.searchsorted(np.sort(x), ap[c])  # approximate value's rank within 1/accuracy of exact
+        assert abs(rank / 5000 - {"p25": 0.25, "p50": 0.5, "p75": 0.75}[c]) <= 1e-3 + 1 / 5000
+        assert ex[c] == pytest.approx(float(np.percentile(x, {"p25": 25, "p50": 50, "p75": 75}[c])), abs=1e-12)
