@@ -1,9 +1,9 @@
 """Exact k nearest neighbours inside one (minority) class, distributed by blocks.
 
-Points are hashed into B blocks of about ``block_size`` rows.  Every pair of blocks
-(query block, reference block) is one cogroup of two small pandas frames, where
-numpy computes the distances and keeps each query point's k best; a final window per
-point merges its B partial lists (k x B rows).  Work is quadratic in the class size
+Points are hashed into B blocks of about ``block_size`` rows.  Every unordered pair of
+blocks is one cogroup of two small pandas frames, where numpy computes the distance
+matrix once and keeps each point's k best on both sides; a final window per point
+merges its B partial lists (k x B rows).  Work is quadratic in the class size
 (that is what exact search costs) but no task ever holds more than two blocks, rows
 are replicated B times rather than paired, and nothing passes through the driver.
 """
@@ -27,51 +27,63 @@ def _exact_rows(Q, R, qid, rid, kk):
     return order, np.take_along_axis(d, order, axis=1)
 
 
+def _knn_core(Q, qid, R, rid, k: int, extra: int, chunk: int):
+    """Top-k of every query row among the reference rows: candidates from the matrix-product
+    form |q|^2 + |r|^2 - 2 q.r (one BLAS call per chunk), exact distances recomputed for
+    the k + extra best, and a proof per query that no excluded point can enter its top k
+    (the product form's rounding error is bounded); queries without that proof (e.g.
+    exact ties) fall back to explicit differences.  Returns (query ids, neighbour ids, distances)."""
+    nr = len(rid)
+    kk = min(k, nr)
+    m = min(kk + extra, nr)
+    rr = np.einsum("ij,ij->i", R, R)
+    out_q, out_n, out_d = [], [], []
+    for s in range(0, len(qid), chunk):
+        Qc, qc = Q[s:s + chunk], qid[s:s + chunk]
+        qq = np.einsum("ij,ij->i", Qc, Qc)
+        d2 = qq[:, None] + rr[None, :] - 2.0 * (Qc @ R.T)
+        bound = 1e-12 * (qq[:, None] + rr[None, :]) + 1e-300   # rounding error of the product form
+        d2[qc[:, None] == rid[None, :]] = np.inf
+        cand = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < nr else np.tile(np.arange(nr), (len(qc), 1))
+        diff = Qc[:, None, :] - R[cand]
+        dex = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+        dex[qc[:, None] == rid[cand]] = np.inf
+        order = np.lexsort((rid[cand], dex), axis=1)[:, :kk]
+        nn = np.take_along_axis(cand, order, axis=1)
+        dd = np.take_along_axis(dex, order, axis=1)
+        if m < nr:  # proof: every excluded point is strictly farther than the k-th kept one
+            excl = d2.copy()
+            np.put_along_axis(excl, cand, np.inf, axis=1)
+            lower = np.sqrt(np.maximum(excl - bound, 0.0)).min(axis=1)
+            bad = ~(lower > dd[:, -1])
+            if bad.any():
+                o2, d2x = _exact_rows(Qc[bad], R, qc[bad], rid, kk)
+                nn[bad], dd[bad] = o2, d2x
+        keep = np.isfinite(dd)
+        out_q.append(np.repeat(qc, kk)[keep.ravel()])
+        out_n.append(rid[nn].ravel()[keep.ravel()])
+        out_d.append(dd.ravel()[keep.ravel()])
+    return np.concatenate(out_q), np.concatenate(out_n), np.concatenate(out_d)
+
+
 def _block_knn(k: int, extra: int = 8, chunk: int = 512):
-    """Per block pair: candidates from the matrix-product form |q|^2 + |r|^2 - 2 q.r (one BLAS
-    call), exact distances recomputed for the k + extra best, and a proof per query that no
-    excluded point can enter its top k (the product form's rounding error is bounded);
-    queries without that proof (e.g. exact ties) fall back to explicit differences."""
+    """One block pair (a, b) with a <= b: neighbours of block a's points among block b's
+    and, when a != b, of block b's points among block a's — each distance matrix once."""
     def fn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"_id": pd.Series([], dtype="int64"), "nn_id": pd.Series([], dtype="int64"),
+                              "dist": pd.Series([], dtype="float64")})
         if q.empty or r.empty:
-            return pd.DataFrame({"_id": pd.Series([], dtype="int64"), "nn_id": pd.Series([], dtype="int64"),
-                                 "dist": pd.Series([], dtype="float64")})
+            return empty
         Q = np.stack(q["_v"].to_numpy()).astype("float64")
         R = np.stack(r["_rv"].to_numpy()).astype("float64")
         qid = q["_id"].to_numpy(dtype="int64")
         rid = r["_rid"].to_numpy(dtype="int64")
-        nr = len(rid)
-        kk = min(k, nr)
-        m = min(kk + extra, nr)
-        rr = np.einsum("ij,ij->i", R, R)
-        out_q, out_n, out_d = [], [], []
-        for s in range(0, len(qid), chunk):
-            Qc, qc = Q[s:s + chunk], qid[s:s + chunk]
-            qq = np.einsum("ij,ij->i", Qc, Qc)
-            d2 = qq[:, None] + rr[None, :] - 2.0 * (Qc @ R.T)
-            bound = 1e-12 * (qq[:, None] + rr[None, :]) + 1e-300   # rounding error of the product form
-            d2[qc[:, None] == rid[None, :]] = np.inf
-            cand = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < nr else np.tile(np.arange(nr), (len(qc), 1))
-            diff = Qc[:, None, :] - R[cand]
-            dex = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-            dex[qc[:, None] == rid[cand]] = np.inf
-            order = np.lexsort((rid[cand], dex), axis=1)[:, :kk]
-            nn = np.take_along_axis(cand, order, axis=1)
-            dd = np.take_along_axis(dex, order, axis=1)
-            if m < nr:  # proof: every excluded point is strictly farther than the k-th kept one
-                excl = d2.copy()
-                np.put_along_axis(excl, cand, np.inf, axis=1)
-                lower = np.sqrt(np.maximum(excl - bound, 0.0)).min(axis=1)
-                bad = ~(lower > dd[:, -1])
-                if bad.any():
-                    o2, d2x = _exact_rows(Qc[bad], R, qc[bad], rid, kk)
-                    nn[bad], dd[bad] = o2, d2x
-            keep = np.isfinite(dd)
-            out_q.append(np.repeat(qc, kk)[keep.ravel()])
-            out_n.append(rid[nn].ravel()[keep.ravel()])
-            out_d.append(dd.ravel()[keep.ravel()])
-        return pd.DataFrame({"_id": np.concatenate(out_q), "nn_id": np.concatenate(out_n),
-                             "dist": np.concatenate(out_d)})
+        parts = [_knn_core(Q, qid, R, rid, k, extra, chunk)]
+        if int(q["qb"].iloc[0]) != int(r["rb"].iloc[0]):
+            parts.append(_knn_core(R, rid, Q, qid, k, extra, chunk))
+        return pd.DataFrame({"_id": np.concatenate([p[0] for p in parts]),
+                             "nn_id": np.concatenate([p[1] for p in parts]),
+                             "dist": np.concatenate([p[2] for p in parts])})
     return fn
 
 
@@ -83,10 +95,12 @@ def exact_knn(points: DataFrame, key: str, features, k: int = 5, block_size: int
     vec = F.array(*[F.col(c).cast("double") for c in features])
     base = points.select(F.col(key).cast("long").alias("_id"), vec.alias("_v"),
                          F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(blocks)).cast("int").alias("_blk"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    q = base.select("_id", "_v", F.col("_blk").alias("qb"), every.alias("rb"))
+    # pairs (a, b) with a <= b only: each point is a query of the pairs at or after its block
+    # and a reference of the pairs at or before it (B + 1 copies, not 2B)
+    q = base.select("_id", "_v", F.col("_blk").alias("qb"),
+                    F.explode(F.sequence(F.col("_blk"), F.lit(blocks - 1))).alias("rb"))
     r = base.select(F.col("_id").alias("_rid"), F.col("_v").alias("_rv"), F.col("_blk").alias("rb"),
-                    every.alias("qb"))
+                    F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("qb"))
     part = q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInPandas(
         _block_knn(k), "_id long, nn_id long, dist double")
     w = Window.partitionBy("_id").orderBy("dist", "nn_id")
