@@ -1401,3 +1401,22 @@ def d5_score_drift_by_day(spark, sf_dir):
         "p", F.col("Amount") / (F.col("Amount") + F.lit(50.0)))
     ref = tx.filter(F.col("ts") < F.lit(REF_END_TS).cast("timestamp_ntz"))
     return _r9cols(D.windowed_psi(ref, tx, "ts", "p", "1 day", 10), ["value"])
+
+
+@register("d8_streaming_drift_alerts", sql=ORACLE["d8_drift_alerts"].replace(
+    "FROM p WHERE value > 0.05",
+    "FROM p WHERE value > 0.05 AND ws + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"))
+def d8_streaming_drift_alerts(spark, sf_dir):
+    """D7 + D8 on the events stream: PSI of each closed daily window against first-week bins,
+    alerts above 0.05.  Windows still open at the end of the stream (the watermark has not
+    passed them) are, correctly, not reported."""
+    ev = S.load(spark, sf_dir, "events")
+    ref = ev.filter(F.col("ts") < F.lit(REF_END_TS).cast("timestamp_ntz"))
+    edges, shares = D.reference_bin_shares(ref, "value", 10)
+    out = scratch_path(spark, "stream-alerts")
+    q = ST.streaming_drift_alerts(ST.read_table_stream(spark, sf_dir, "events"), "ts", "value", edges, shares,
+                                  ALERT_THRESHOLDS["psi"], out, out + "-ckpt")
+    q.awaitTermination()
+    res = spark.read.parquet(out).select("window_start", F.lit("Amount").alias("column"), "statistic", "value",
+                                         "threshold")
+    return _r9cols(res, ["value"])

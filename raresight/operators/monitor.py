@@ -185,6 +185,18 @@ def bin_index(x, edges, n_edges: int):
     return sum((F.when(F.element_at(edges, i + 1) < x, 1).otherwise(0) for i in range(n_edges)), F.lit(0))
 
 
+def reference_bin_shares(ref: DataFrame, col: str, bins: int = 10) -> tuple[list[float], list[float]]:
+    """The reference side of PSI as fitted parameters: ``bins - 1`` exact quantile edges and the
+    ``bins`` reference shares (2 * bins - 1 numbers, fetched once)."""
+    edges = [float(e) for e in reference_bins(ref, col, bins).first()["edges"]]
+    arr = F.array(*[F.lit(e) for e in edges])
+    x = F.col(col).cast("double")
+    counts = {r["bin"]: r["n"] for r in ref.filter(x.isNotNull()).groupBy(
+        bin_index(x, arr, bins - 1).alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(counts.values())
+    return edges, [counts.get(b, 0) / total if total else 0.0 for b in range(bins)]
+
+
 def windowed_psi(ref: DataFrame, cur: DataFrame, ts_col: str, col: str, window: str = "1 day",
                  bins: int = 10) -> DataFrame:
     """PSI of each tumbling window of ``cur`` against reference decile bins.

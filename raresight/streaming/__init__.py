@@ -3,7 +3,8 @@ from raresight.streaming.jobs import (
     delayed_label_join,
     read_table_stream,
     score_stream,
+    streaming_drift_alerts,
     windowed_bin_counts,
 )
 
-__all__ = ["closed_loop", "delayed_label_join", "read_table_stream", "score_stream", "windowed_bin_counts"]
+__all__ = ["closed_loop", "delayed_label_join", "read_table_stream", "score_stream", "streaming_drift_alerts", "windowed_bin_counts"]

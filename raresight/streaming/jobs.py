@@ -77,6 +77,26 @@ def windowed_bin_counts(stream: DataFrame, ts_col: str, value_col: str, edges: l
                       "bin", "n")
 
 
+def streaming_drift_alerts(stream: DataFrame, ts_col: str, value_col: str, edges: list[float],
+                           ref_shares: list[float], threshold: float, out_path: str, checkpoint: str,
+                           window: str = "1 day", watermark: str = "1 day", trigger: dict | None = None):
+    """D7 + D8 streaming: watermarked (window, bin) counts; each micro-batch holds the windows
+    the watermark has just closed, so PSI per window is final there, and windows above the
+    threshold are written as alerts (idempotently, one directory per batch)."""
+    counts = windowed_bin_counts(stream, ts_col, value_col, edges, window, watermark)
+    spark = stream.sparkSession
+    shares = spark.createDataFrame([(b, float(v)) for b, v in enumerate(ref_shares)], "bin int, ref_share double")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        c = batch.select(F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end")).alias("w"),
+                         "bin", "n")
+        psi = D.psi_from_counts(c, shares, len(edges) + 1, value_col)
+        D.drift_alerts(psi, {"psi": threshold}).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+    w = counts.writeStream.foreachBatch(sink).outputMode("append").option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def delayed_label_join(predictions: DataFrame, labels: DataFrame, key: str, pred_ts: str, label_ts: str,
                        max_delay: str = "2 days", watermark: str = "1 day") -> DataFrame:
     """D6 streaming: left outer stream-stream join; a label counts when it arrives within
