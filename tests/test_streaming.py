@@ -60,3 +60,16 @@ def test_closed_loop_fires_on_drift_only(spark):
                            lambda b, i, r: fired.append(r["drift_share"]), src + "-ckpt")
         q.awaitTermination()
         assert bool(fired) is expect
+
+
+def test_prediction_log_round_trip_batch_and_stream(spark):
+    from raresight.sources import files as IO
+    scored = spark.createDataFrame([(1.0, 2.0, 0.9, 1), (3.0, 4.0, 0.1, 0)],
+                                   "Time double, Amount double, fraud_probability double, is_fraud long")
+    path = scratch_path(spark, "log")
+    IO.write_prediction_log(IO.to_prediction_log(scored, ["Time", "Amount"], "v1"), path)
+    batch = IO.read_prediction_log(spark, path, ["Time", "Amount"])
+    assert sorted(tuple(r) for r in batch.collect()) == [(1.0, 2.0), (3.0, 4.0)]
+    streamed = _run(IO.read_prediction_log(spark, path, ["Time", "Amount"], streaming=True), spark, "log-stream")
+    assert sorted(tuple(r) for r in streamed.collect()) == [(1.0, 2.0), (3.0, 4.0)]
+    assert all(r["timestamp"].endswith("+00:00") and r["model_version"] == "v1" for r in spark.read.json(path).collect())
