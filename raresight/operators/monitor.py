@@ -79,7 +79,7 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], n_buckets
 
 
 # D3 categorical -------------------------------------------------------------------
-def categorical_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
+def categorical_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], p_values: bool = True) -> DataFrame:
     """Per column: n_ref, n_cur, number of categories, Jensen-Shannon distance (natural
     log), chi-square goodness of fit of current counts to reference shares (categories
     seen in the reference) with its p-value, and a two-proportion z-test p-value for
@@ -108,12 +108,14 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> Da
     se = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), F.col("tot_ref"))
                                          + F.try_divide(F.lit(1.0), F.col("tot_cur"))))
     z = F.abs(F.col("_p1") - F.col("_q1")) / F.nullif(se, F.lit(0.0))
+    if p_values:  # tail probabilities: a pandas UDF over one row per column
+        chi2_p = F.when(F.col("_k") > 1, chi2_sf_udf(F.col("chi2_stat"), (F.col("_k") - 1).cast("double")))
+        z_p = F.when(F.col("n_categories") <= 2, F.coalesce(F.lit(2.0) * norm_sf_udf(z), F.lit(1.0)))
+    else:
+        chi2_p = z_p = F.lit(None).cast("double")
     return s.select(
         "column", F.col("tot_ref").alias("n_ref"), F.col("tot_cur").alias("n_cur"), "n_categories", "js_distance",
-        "chi2_stat", (F.col("_k") - 1).alias("chi2_dof"),
-        F.when(F.col("_k") > 1, chi2_sf_udf(F.col("chi2_stat"), (F.col("_k") - 1).cast("double"))).alias("chi2_p_value"),
-        F.when(F.col("n_categories") <= 2,
-               F.coalesce(F.lit(2.0) * norm_sf_udf(z), F.lit(1.0))).alias("z_p_value"))
+        "chi2_stat", (F.col("_k") - 1).alias("chi2_dof"), chi2_p.alias("chi2_p_value"), z_p.alias("z_p_value"))
 
 
 # D3 / D4 report --------------------------------------------------------------------
@@ -136,7 +138,11 @@ def drift_report(ref: DataFrame, cur: DataFrame, num_cols: Sequence[str] = (), c
         thr = F.when(F.col("stattest") == "ks", F.lit(P_VALUE_THRESHOLD)).otherwise(F.lit(DISTANCE_THRESHOLD))
         parts.append(nd.select("column", "stattest", score.alias("score"), thr.alias("threshold")))
     if cat_cols:
-        cd = categorical_drift(ref, cur, cat_cols)
+        need_p = stattest in ("chisquare", "z")
+        if stattest == "auto":  # p-values only matter when some column has a small reference
+            counts = ref.agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(cat_cols)]).first()
+            need_p = min(counts) <= SMALL_SAMPLE
+        cd = categorical_drift(ref, cur, cat_cols, p_values=need_p)
         small = F.col("n_ref") <= SMALL_SAMPLE
         auto = F.when(small & (F.col("n_categories") <= 2), "z").when(small, "chisquare").otherwise("jensenshannon")
         test = {"auto": auto, "chisquare": F.lit("chisquare"), "jensenshannon": F.lit("jensenshannon"),
