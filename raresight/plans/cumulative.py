@@ -2,14 +2,15 @@
 
 ``Window.orderBy(x)`` with no partition pulls every row into one task.  Instead:
 
-1. range buckets from approximate quantiles of the (distinct) values — a bounded
-   list of split points, fetched once;
+1. range buckets from approximate quantiles of the raw values (a sketch over a plain
+   scan) — a bounded list of split points, fetched once, about one per 65k rows;
 2. per-(group, bucket) totals — at most ``groups x n_buckets`` rows;
 3. exclusive prefix sums of those totals, per group (small window);
 4. a window *inside* each (group, bucket) plus the bucket's offset.
 
-Buckets are balanced by construction (quantiles of the values themselves), so a
-dense cluster of scores cannot land in one task.
+Buckets are balanced by construction (quantiles of the values themselves): a bucket
+holds at most about rows / n_buckets distinct values, so a dense cluster of scores
+cannot land in one task, and a single hot value collapses to one row.
 """
 
 from __future__ import annotations

@@ -1,15 +1,17 @@
 """Exact order statistics without a global sort.
 
 ``hash_rank_cutoffs``: for each class, the hash value at given per-class ranks.
-Hashes are uniform, so counting rows per hex prefix (about a million buckets)
+Hashes are uniform, so counting rows per hex prefix (about sqrt(n) buckets)
 gives balanced buckets; prefix sums of those counts locate the one bucket that
 holds each rank, and only that bucket's rows are ranked.  Used for the exact
-stratified split, stratified folds and the repeatable fixed-size sample.
+stratified split and stratified folds; ``hash_rank`` gives every row its global
+rank the same way (SMOTE's even allocation).
 
 ``exact_quantiles``: exact, linearly interpolated quantiles of arbitrary values.
 ``percentile_approx`` (bounded memory per group) brackets each wanted rank; rows
 below the bracket are only counted, rows inside it are collapsed to distinct
-values and ranked.  No group's full value list is ever held by one task.
+values and ranked (a second, narrower round when the slice would be large).  No
+group's full value list is ever held by one task.
 """
 
 from __future__ import annotations
