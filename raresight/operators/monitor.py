@@ -280,14 +280,13 @@ def delayed_label_quality(predictions: DataFrame, labels: DataFrame, key: str, t
     by = list(by)
     j = predictions.join(labels, key, "left")
     labelled = j.filter(F.col(label).isNotNull())
-    keys = by or ["_all"]
-    if not by:
-        j = j.withColumn("_all", F.lit(0))
-        labelled = labelled.withColumn("_all", F.lit(0))
-    m = E.model_metrics(labelled, threshold, label, score, keys)
-    pending = j.groupBy(*keys).agg(F.count_if(F.col(label).isNull()).alias("n_unlabelled"))
-    out = m.join(pending, keys)
-    return out if by else out.drop("_all")
+    pending = j.groupBy(*by).agg(F.count_if(F.col(label).isNull()).alias("n_unlabelled"))
+    if by:
+        return E.model_metrics(labelled, threshold, label, score, by).join(pending, by)
+    # one group: one-row results attached as scalar subqueries (no constant-key join)
+    m = E.classification_metrics(labelled, threshold, label, score)
+    return m.select("*", E.average_precision(labelled, label, score).select("pr_auc").scalar().alias("pr_auc"),
+                    pending.select("n_unlabelled").scalar().alias("n_unlabelled"))
 
 
 # D10 ----------------------------------------------------------------------------

@@ -93,7 +93,7 @@ def train_stage(spark: SparkSession, paths: StagePaths, features, params: dict |
     scored = M.score(model, test, float(params["threshold"]))
     sc = scored.select(F.col(label).alias("y"), F.col("fraud_probability").alias("p"))
     report = E.classification_metrics(sc, float(params["threshold"])).select("precision", "recall", "f1") \
-        .withColumn("_k", F.lit(0)).join(E.average_precision(sc).withColumn("_k", F.lit(0)), "_k").drop("_k")
+        .withColumn("pr_auc", E.average_precision(sc).select("pr_auc").scalar())  # one-row report
     IO.write_report(report, paths.metrics_report)
     return report
 

@@ -98,3 +98,10 @@ def test_ks_p_value_series_matches_reference(spark):
         lam = (en + 0.12 + 0.11 / en) * r["d"]
         want = 1.0 if lam < 0.3 else q(lam)
         assert r["p"] == pytest.approx(want, abs=1e-15)
+
+
+def test_delayed_label_quality_without_groups(spark):
+    pred = spark.createDataFrame([(1, 0.9), (2, 0.2), (3, 0.7)], "k long, p double")
+    lab = spark.createDataFrame([(1, 1), (2, 0)], "k long, y long")
+    r = D.delayed_label_quality(pred, lab, "k", 0.5).first()
+    assert (r["tp"], r["tn"], r["n_unlabelled"], r["pr_auc"]) == (1, 1, 1, 1.0)
