@@ -66,11 +66,13 @@ def describe(df: DataFrame, cols, by=(), probs=QUARTILES, accuracy: int = 10000,
         out = long.groupBy(*keys).agg(*aggs, approx.alias("_q"))
         return out.select(*keys, "count", "mean", "std", "min",
                           *[F.col("_q")[i].alias(n) for i, n in enumerate(names)], "max")
-    moments = long.groupBy(*keys).agg(*aggs)
-    q = exact_quantiles(long, "value", probs, keys, accuracy)
-    qw = q.groupBy(*keys).pivot("qi", list(range(len(probs)))).agg(F.first("value"))
-    qw = qw.select(*keys, *[F.col(str(i)).alias(n) for i, n in enumerate(names)])
-    return moments.join(qw, keys).select(*keys, "count", "mean", "std", "min", *names, "max")
+    # moments ride along in the quantile plan's single stats pass (one aggregate, not two)
+    moments = {"count": F.count(F.lit(1)), "mean": F.avg("_x"), "std": F.stddev_samp("_x"),
+               "min": F.min("_x"), "max": F.max("_x")}
+    q = exact_quantiles(long, "value", probs, keys, accuracy, extra_aggs=moments)
+    qw = q.groupBy(*keys, *moments).pivot("qi", list(range(len(probs)))).agg(F.first("value"))
+    return qw.select(*keys, "count", "mean", "std", "min", *[F.col(str(i)).alias(n) for i, n in enumerate(names)],
+                     "max")
 
 
 # P4 -------------------------------------------------------------------------
