@@ -108,8 +108,8 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), accurac
                  (F.col("_max") if hi_p[i] >= 1.0 else
                   F.when(small, F.col("_max")).otherwise(F.col("_pa")[k + i])).alias("hi"))
         for i, q in enumerate(probs)])
-    per_q = stats.select(*group_cols, "_n", *extras, F.explode(qrows).alias("_s")).select(
-        *group_cols, "_n", *extras, "_s.qi", "_s.q", "_s.lo", "_s.hi")
+    per_q = stats.select(*group_cols, "_n", F.explode(qrows).alias("_s")).select(
+        *group_cols, "_n", "_s.qi", "_s.q", "_s.lo", "_s.hi")
     per_q = per_q.withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("q")) \
         .withColumn("_r0", F.floor("_h").cast("long")) \
         .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1))
@@ -128,7 +128,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), accurac
         joined = clean.select("_x", F.explode(brackets).alias("_s")).select("_x", "_s.*")
     sliced = joined.filter(F.col("_x") <= F.col("hi")).withColumn(
         "_xs", F.when(F.col("_x") >= F.col("lo"), F.col("_x")))
-    keys = [*group_cols, "qi", "q", "_n", "_h", "_r0", "_r1", *extras]
+    keys = [*group_cols, "qi", "q", "_n", "_h", "_r0", "_r1"]
     counted = sliced.groupBy(*keys, "_xs").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*group_cols, "qi").orderBy(F.col("_xs").asc_nulls_first()) \
         .rowsBetween(Window.unboundedPreceding, 0)
@@ -140,8 +140,16 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), accurac
         F.min(F.when(F.col("_xs").isNotNull() & (F.col("_cum") > F.col("_r1")), F.col("_xs"))).alias("_v1"),
         F.max("_below").alias("_below"))
     value = F.col("_v0") + (F.col("_h") - F.col("_r0")) * (F.col("_v1") - F.col("_v0"))
-    return res.select(*group_cols, "qi", "q", F.col("_n").alias("n"),
-                      F.when(F.col("_below") <= F.col("_r0"), value).alias("value"), *extras)
+    out = res.select(*group_cols, "qi", "q", F.col("_n").alias("n"),
+                     F.when(F.col("_below") <= F.col("_r0"), value).alias("value"))
+    if not extras:
+        return out
+    # extras are per-group values: joined back from the (one row per group) stats table,
+    # never carried through the row-level aggregation
+    if group_cols:
+        return out.join(stats.select(*group_cols, *extras), group_cols)
+    one = stats.select(*extras)
+    return out.select("*", *[one.select(n).scalar().alias(n) for n in extras])
 
 
 def hash_rank(df: DataFrame, h_col: str, prefix_len: int | None = None, rank_col: str = "rank") -> DataFrame:
