@@ -595,19 +595,35 @@ def e10_model_ranking(spark, sf_dir):
     return E.rank_models(_model_metrics(spark, sf_dir))
 
 
+SQL_YEAR_AP = """
+{name} AS (
+  SELECT year, coalesce(sum(n_pos * (tps / (tps + fps))) / nullif(max(P), 0), 0.0) AS pr_auc FROM (
+    SELECT year, n_pos, sum(n_pos) OVER w AS tps, sum(n_neg) OVER w AS fps, sum(n_pos) OVER (PARTITION BY year) AS P
+    FROM (SELECT year(l_shipdate) AS year, {score} AS threshold,
+                 count(*) FILTER (WHERE l_returnflag = 'R') AS n_pos, count(*) FILTER (WHERE l_returnflag <> 'R') AS n_neg
+          FROM lineitem {where} GROUP BY ALL)
+    WINDOW w AS (PARTITION BY year ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING))
+  GROUP BY year)"""
+
+
 @register("e11_promote_if_better", sql=f"""
-WITH {SQL_SM}, {SQL_CURVE}, {SQL_MODEL_METRICS},
-inc AS (SELECT 'returns' AS slot, pr_auc AS incumbent_pr_auc FROM mm WHERE model_id = 'discount')
-SELECT 'returns' AS slot, mm.model_id, mm.pr_auc, inc.incumbent_pr_auc,
-       inc.incumbent_pr_auc IS NULL OR mm.pr_auc > inc.incumbent_pr_auc AS promote
-FROM mm LEFT JOIN inc ON inc.slot = 'returns'
+WITH {SQL_YEAR_AP.format(name="cand", score="CAST(l_quantity / 50.0 AS DOUBLE)", where="").strip()},
+{SQL_YEAR_AP.format(name="inc", score="CAST(l_discount * 10.0 AS DOUBLE)", where="WHERE year(l_shipdate) < 2000").strip()}
+SELECT CAST(cand.year AS INTEGER) AS year, round(cand.pr_auc, 9) AS pr_auc, round(inc.pr_auc, 9) AS incumbent_pr_auc,
+       inc.pr_auc IS NULL OR round(cand.pr_auc, 9) > round(inc.pr_auc, 9) AS promote
+FROM cand LEFT JOIN inc ON inc.year = cand.year
 """)
 def e11_promote_if_better(spark, sf_dir):
-    """Every stand-in model is a candidate for the 'returns' slot, whose incumbent is
-    the discount model: the incumbent itself ties, and a tie does not promote."""
-    mm = _model_metrics(spark, sf_dir).select("model_id", "pr_auc").withColumn("slot", F.lit("returns"))
-    inc = mm.filter(F.col("model_id") == "discount").select("slot", "pr_auc")
-    return E.promote_if_better(mm, inc, key="slot").select("slot", "model_id", "pr_auc", "incumbent_pr_auc", "promote")
+    """One slot per ship year: the incumbent is the discount model (registered for years before
+    2000 only), the candidate the quantity model.  A candidate is promoted on a strictly
+    greater PR-AUC, or where the slot has no incumbent."""
+    li = S.returns_table(spark, sf_dir).withColumn("year", F.year("l_shipdate"))
+    cand = E.average_precision(li.select("year", F.col("Class").alias("y"),
+                                         F.expr(S.SCORE_MODELS["quantity"]).cast("double").alias("p")), by=["year"])
+    inc = E.average_precision(li.filter(F.col("year") < 2000).select(
+        "year", F.col("Class").alias("y"), F.expr(S.SCORE_MODELS["discount"]).cast("double").alias("p")), by=["year"])
+    out = E.promote_if_better(_r9cols(cand, ["pr_auc"]), _r9cols(inc, ["pr_auc"]), key="year")
+    return out.select("year", "pr_auc", "incumbent_pr_auc", "promote")
 
 
 @register("e12_roc_auc_by_model", sql=f"""

@@ -14,7 +14,7 @@ SKIP = {"m3_logistic_regression_scores", "m3_logistic_regression_smote_scores",
         "d9_closed_loop", "s5_s6_prediction_log_roundtrip", "v10_streaming_quarantine",
         "d6_streaming_delayed_labels", "d7_streaming_bin_counts", "d8_streaming_drift_alerts", "s1_csv_scan",
         "s3_split_sink_and_scan", "s4_report_sink"}
-NESTED_LOOP_OK = {"e11_promote_if_better"}  # 3 candidates x 1 incumbent on a literal slot
+NESTED_LOOP_OK: set = set()
 PYTHON_OK = {"m5_smote_class_counts", "m5_smote_rows",  # block-pair kNN (cogroup, Arrow batches)
              "d4_dataset_drift_halves"}  # small reference -> chi-square tail probability, one row per column
 
