@@ -2,6 +2,7 @@
 and brute-force numpy checks of the distributed plans."""
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 
 from raresight.errors import EvaluationError
@@ -111,3 +112,56 @@ def test_quality_gate(spark):
     m = spark.createDataFrame([("x", 0.74), ("y", 0.75)], "model_id string, pr_auc double")
     got = {r["model_id"]: r["passed"] for r in E.quality_gate(m, 0.75).collect()}
     assert got == {"x": False, "y": True}
+
+
+def test_operating_points_match_brute_force(spark):
+    rng = np.random.default_rng(21)
+    y = rng.integers(0, 2, 1500)
+    p = np.round(rng.random(1500), 3)
+    ts = [0.03, 0.5, 0.9921, 0.5]  # duplicates collapse
+    got = {r["threshold"]: r for r in E.operating_points(scored(spark, y, p), ts, 4.0, 137.0).collect()}
+    assert sorted(got) == [0.03, 0.5, 0.9921]
+    for t, r in got.items():
+        pred = p >= t
+        fp, fn = int((pred & (y == 0)).sum()), int((~pred & (y == 1)).sum())
+        assert (r["fp"], r["fn"], r["cost"]) == (fp, fn, fp * 4.0 + fn * 137.0)
+
+
+def test_matched_recall_matches_brute_force(spark):
+    rng = np.random.default_rng(22)
+    y = rng.integers(0, 2, 800)
+    p = np.round(rng.random(800) * 0.7 + y * 0.2, 2)
+    r = E.matched_recall_point(scored(spark, y, p).withColumn("model_id", F.lit("m")), 0.8, 4.0, 137.0).first()
+    best = None
+    for t in np.unique(p):
+        pred = p >= t
+        rec = (pred & (y == 1)).sum() / y.sum()
+        if rec >= 0.8:
+            cost = (pred & (y == 0)).sum() * 4.0 + (~pred & (y == 1)).sum() * 137.0
+            if best is None or cost < best[1] or (cost == best[1] and t < best[0]):
+                best = (t, cost)
+    assert (r["threshold"], r["cost"]) == (best[0], best[1])
+
+
+def test_roc_auc_tie_aware_rank_sum(spark):
+    rng = np.random.default_rng(23)
+    y = rng.integers(0, 2, 2000)
+    p = np.round(rng.random(2000) * 0.8 + y * 0.1, 2)
+    pos, neg = p[y == 1], p[y == 0]
+    want = np.mean([(a > b) + 0.5 * (a == b) for a in pos[:300] for b in neg[:300]])
+    sub = scored(spark, np.concatenate([np.ones(300, int), np.zeros(300, int)]), np.concatenate([pos[:300], neg[:300]]))
+    assert E.roc_auc(sub).first()["roc_auc"] == pytest.approx(want, abs=1e-12)
+
+
+def test_best_model_and_ranking(spark):
+    m = spark.createDataFrame([("a", 0.7), ("b", 0.9), ("c", 0.9)], "model_id string, pr_auc double")
+    assert E.best_model(m).first()["model_id"] == "b"  # ties: first by key
+    assert [r["model_id"] for r in E.rank_models(m).orderBy("rank", "model_id").collect()] == ["b", "c", "a"]
+
+
+def test_champion_challenger_arms_are_stable(spark):
+    from raresight.operators import monitor as D
+    df = spark.range(20000).withColumnRenamed("id", "k")
+    a = {r["k"] for r in D.assign_arm(df, ["k"], 0.1, 42).filter("arm = 'challenger'").collect()}
+    b = {r["k"] for r in D.assign_arm(df.repartition(7), ["k"], 0.1, 42).filter("arm = 'challenger'").collect()}
+    assert a == b and 1700 < len(a) < 2300
