@@ -62,3 +62,31 @@ def test_f1_threshold_property(spark, rows):
             best = (float(t), float(f1))
     r = E.f1_optimal_threshold(frame(spark, rows)).first()
     assert r["threshold"] == best[0] and abs(r["f1"] - best[1]) < 1e-12
+
+
+@SETTINGS
+@given(sizes=st.lists(st.integers(0, 40), min_size=1, max_size=4), frac=st.sampled_from([0.2, 0.25, 0.5]))
+def test_split_counts_property(spark, sizes, frac):
+    from pyspark.sql import functions as F
+
+    from raresight.operators import prepare as T
+    rows = [(k * 1000 + i, k) for k, n in enumerate(sizes) for i in range(n)]
+    if not rows:
+        return
+    df = spark.createDataFrame(rows, "key long, Class long")
+    got = {(r["Class"], r["split"]): r["n"] for r in T.stratified_split(df, ["key"], "Class", frac, 7)
+           .groupBy("Class", "split").agg(F.count("*").alias("n")).collect()}
+    for k, n in enumerate(sizes):
+        if n:
+            assert got.get((k, "test"), 0) == int(np.floor(n * frac)) and got.get((k, "train"), 0) == n - int(np.floor(n * frac))
+
+
+@SETTINGS
+@given(vals=st.lists(st.integers(-5, 5), min_size=1, max_size=80),
+       q=st.lists(st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]), min_size=1, max_size=3, unique=True))
+def test_exact_quantiles_property(spark, vals, q):
+    from raresight.plans import exact_quantiles
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    got = {r["qi"]: r["value"] for r in exact_quantiles(df, "x", q, accuracy=50, rounds=2).collect()}
+    for i, p in enumerate(q):
+        assert abs(got[i] - np.percentile(np.array(vals, float), p * 100)) < 1e-12
