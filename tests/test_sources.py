@@ -33,3 +33,12 @@ def test_split_scan_checks_target_and_prunes(spark):
         IO.read_split(spark, path, "Label")
     with pytest.raises(IngestError):
         IO.read_split(spark, scratch_path(spark, "missing"), "Class")
+
+
+def test_scale_conf_sizes_for_100_tb():
+    from raresight.session import scale_conf
+    c = scale_conf(100 * 2 ** 40, total_cores=8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 2 ** 40 // (256 << 20)  # 409,600 x 256 MB
+    assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+    small = scale_conf(10 << 20, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16  # never fewer than 2 per core
