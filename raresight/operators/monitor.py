@@ -95,8 +95,10 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], p_val
     m = (p + q) / 2
     kl = lambda a: F.when(a > 0, a * F.log(a / m)).otherwise(F.lit(0.0))
     expct = p * F.col("tot_cur")
-    first = F.min("value").over(Window.partitionBy("column"))
-    j = j.withColumn("_first", first)
+    # the reference category of the z-test: an aggregate per column joined back (one row
+    # per column), not a window holding a column's whole category domain in one task
+    firsts = c.groupBy("column").agg(F.min("value").alias("_first"))
+    j = j.join(F.broadcast(firsts), "column")
     s = j.groupBy("column", "tot_ref", "tot_cur", "n_categories").agg(
         F.sqrt(F.greatest(F.lit(0.0), F.lit(0.5) * F.sum(kl(p)) + F.lit(0.5) * F.sum(kl(q)))).alias("js_distance"),
         F.sum(F.when(F.col("n_ref") > 0, F.pow(F.col("n_cur") - expct, 2) / expct)).alias("chi2_stat"),
