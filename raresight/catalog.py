@@ -1043,6 +1043,30 @@ def d12_shadow_agreement(spark, sf_dir):
     return D.shadow_agreement(a, b, "event_id", 0.5)
 
 
+@register("d12_shadow_metric_gap", sql=f"""
+WITH {SQL_TWO},
+sm AS (SELECT 'a' AS model_id, y, p_amount AS p FROM two UNION ALL SELECT 'b', y, p_time FROM two),
+{SQL_CURVE.strip()}, {SQL_MODEL_METRICS},
+a AS (SELECT * FROM mm WHERE model_id = 'a'), b AS (SELECT * FROM mm WHERE model_id = 'b')
+SELECT a.pr_auc AS a_pr_auc, a.precision AS a_precision, a.recall AS a_recall,
+       b.pr_auc AS b_pr_auc, b.precision AS b_precision, b.recall AS b_recall,
+       round(b.pr_auc - a.pr_auc, 9) AS gap_pr_auc, round(b.precision - a.precision, 9) AS gap_precision,
+       round(b.recall - a.recall, 9) AS gap_recall
+FROM a, b
+""")
+def d12_shadow_metric_gap(spark, sf_dir):
+    two = _two_scores(spark, sf_dir)
+    a = two.select("event_id", "y", F.col("p_amount").alias("p"))
+    b = two.select("event_id", F.col("p_time").alias("p"))
+    g = D.shadow_metric_gap(a, b, "event_id", 0.5)
+    for m in ("a", "b"):
+        g = _r9cols(g, [f"{m}_pr_auc", f"{m}_precision", f"{m}_recall"])
+    # reported gaps are gaps of the reported (rounded) metrics, as in the SQL
+    for x in ("pr_auc", "precision", "recall"):
+        g = g.withColumn(f"gap_{x}", r9(F.col(f"b_{x}") - F.col(f"a_{x}")))
+    return g
+
+
 def _corr_weights(spark, sf_dir):
     feat = S.feature_table(spark, sf_dir)
     row = feat.agg(*[F.corr(v, F.col("Class").cast("double")).alias(f"w_{v}") for v in S.V_COLUMNS],

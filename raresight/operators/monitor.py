@@ -339,6 +339,24 @@ def shadow_agreement(scored_a: DataFrame, scored_b: DataFrame, key: str, thresho
     return j.groupBy("pred_a", "pred_b").agg(*aggs).withColumn("share", F.col("n") / total)
 
 
+def shadow_metric_gap(scored_a: DataFrame, scored_b: DataFrame, key: str, threshold: float = 0.5,
+                      score: str = "p", label: str = "y") -> DataFrame:
+    """D12 metric gap: both models' PR-AUC, precision and recall on the rows they both scored,
+    and the challenger-minus-champion differences (one row; per-model aggregates joined on
+    the model key, then pivoted)."""
+    a = scored_a.select(key, label, F.col(score).alias("p_a"))
+    b = scored_b.select(key, F.col(score).alias("p_b"))
+    both = a.join(b, key)
+    long = both.select(label, F.explode(F.array(
+        F.struct(F.lit("a").alias("m"), F.col("p_a").alias("p")),
+        F.struct(F.lit("b").alias("m"), F.col("p_b").alias("p")))).alias("_s")).select(label, "_s.m", "_s.p")
+    mm = E.model_metrics(long, threshold, label, "p", by=["m"])
+    w = mm.groupBy().pivot("m", ["a", "b"]).agg(F.first("pr_auc").alias("pr_auc"), F.first("precision").alias("precision"),
+                                                 F.first("recall").alias("recall"))
+    return w.select(*[F.col(f"{m}_{x}") for m in ("a", "b") for x in ("pr_auc", "precision", "recall")],
+                    *[(F.col(f"b_{x}") - F.col(f"a_{x}")).alias(f"gap_{x}") for x in ("pr_auc", "precision", "recall")])
+
+
 # D13 ----------------------------------------------------------------------------
 def linear_contributions(df: DataFrame, key_cols, weights: dict[str, float], means: dict[str, float],
                          k: int = 3) -> DataFrame:
