@@ -1460,3 +1460,22 @@ def d8_streaming_drift_alerts(spark, sf_dir):
     res = spark.read.parquet(out).select("window_start", F.lit("Amount").alias("column"), "statistic", "value",
                                          "threshold")
     return _r9cols(res, ["value"])
+
+
+@register("d3_psi_halves", sql=f"""
+WITH {SQL_HALVES.strip()},
+e AS (SELECT [quantile_cont(value, 0.1), quantile_cont(value, 0.2), quantile_cont(value, 0.3), quantile_cont(value, 0.4),
+              quantile_cont(value, 0.5), quantile_cont(value, 0.6), quantile_cont(value, 0.7), quantile_cont(value, 0.8),
+              quantile_cont(value, 0.9)] AS edges FROM ref),
+rb AS (SELECT len(list_filter(edges, lambda x: x < value)) AS bin, count(*) AS n FROM ref, e GROUP BY 1),
+rs AS (SELECT bin, n / sum(n) OVER () AS ref_share FROM rb),
+cb AS (SELECT len(list_filter(edges, lambda x: x < value)) AS bin, count(*) AS n FROM cur, e GROUP BY 1),
+tot AS (SELECT sum(n) AS n_cur FROM cb),
+f AS (SELECT greatest(coalesce(cb.n, 0) / tot.n_cur, 0.0001) AS c, greatest(coalesce(rs.ref_share, 0.0), 0.0001) AS r, n_cur
+      FROM range(10) g(bin) CROSS JOIN tot LEFT JOIN cb ON cb.bin = g.bin LEFT JOIN rs ON rs.bin = g.bin)
+SELECT 'Amount' AS "column", CAST(max(n_cur) AS BIGINT) AS n_cur, round(sum((c - r) * ln(c / r)), 9) AS psi FROM f
+""")
+def d3_psi_halves(spark, sf_dir):
+    """Column PSI of Amount, second half of January against the first half's deciles."""
+    ref, cur = _halves(spark, sf_dir)
+    return _r9cols(D.column_psi(ref, cur, ["Amount"], 10), ["psi"])

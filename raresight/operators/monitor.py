@@ -120,6 +120,27 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], p_val
         "chi2_stat", (F.col("_k") - 1).alias("chi2_dof"), chi2_p.alias("chi2_p_value"), z_p.alias("z_p_value"))
 
 
+def column_psi(ref: DataFrame, cur: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
+    """Population stability index per column between reference and current, on the
+    reference's exact quantile bins (empty bins count as share 0.0001).
+
+    The per-column edges and reference shares are fitted parameters (fetched once, a few
+    numbers per column); the current side is one unpivoted pass counting (column, bin)."""
+    fitted = {c: reference_bin_shares(ref, c, bins) for c in cols}
+    edges = F.create_map(*[x for c in cols for x in (F.lit(c), F.array(*[F.lit(e) for e in fitted[c][0]]))])
+    shares = F.create_map(*[x for c in cols for x in (F.lit(c), F.array(*[F.lit(v) for v in fitted[c][1]]))])
+    long = cur.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column", "value") \
+        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    counts = long.groupBy("column", bin_index(F.col("value"), edges[F.col("column")], bins - 1).alias("bin")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    tot = counts.groupBy("column").agg(F.sum("n").alias("n_cur"))
+    grid = tot.select("column", "n_cur", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    full = grid.join(counts, ["column", "bin"], "left").fillna(0, ["n"])
+    c = F.greatest(F.col("n") / F.col("n_cur"), F.lit(PSI_EPS))
+    r = F.greatest(F.element_at(shares[F.col("column")], F.col("bin") + 1), F.lit(PSI_EPS))
+    return full.groupBy("column", "n_cur").agg(F.sum((c - r) * F.log(c / r)).alias("psi"))
+
+
 # D3 / D4 report --------------------------------------------------------------------
 def drift_report(ref: DataFrame, cur: DataFrame, num_cols: Sequence[str] = (), cat_cols: Sequence[str] = (),
                  stattest: str = "auto") -> DataFrame:

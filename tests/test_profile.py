@@ -69,3 +69,18 @@ def test_windowed_psi_matches_numpy(spark):
         c, r = np.maximum(cb, 1e-4), np.maximum(rb, 1e-4)
         assert got[base + dt.timedelta(days=day)] == pytest.approx(float(np.sum((c - r) * np.log(c / r))), rel=1e-9)
     assert got[base + dt.timedelta(days=1)] > 0.1 > got[base]
+
+
+def test_column_psi_two_columns_match_numpy(spark):
+    rng = np.random.default_rng(35)
+    ra, rb_ = rng.normal(0, 1, 3000), rng.exponential(2, 3000)
+    ca, cb_ = rng.normal(0.5, 1, 2000), rng.exponential(2, 2000)
+    ref = spark.createDataFrame([(float(a), float(b)) for a, b in zip(ra, rb_)], "a double, b double")
+    cur = spark.createDataFrame([(float(a), float(b)) for a, b in zip(ca, cb_)], "a double, b double")
+    got = {r["column"]: r["psi"] for r in D.column_psi(ref, cur, ["a", "b"], 10).collect()}
+    for name, rx, cx in (("a", ra, ca), ("b", rb_, cb_)):
+        edges = np.percentile(rx, np.arange(10, 100, 10))
+        r = np.maximum(np.bincount(np.searchsorted(edges, rx, side="left"), minlength=10) / len(rx), 1e-4)
+        c = np.maximum(np.bincount(np.searchsorted(edges, cx, side="left"), minlength=10) / len(cx), 1e-4)
+        assert got[name] == pytest.approx(float(np.sum((c - r) * np.log(c / r))), rel=1e-9)
+    assert got["a"] > got["b"]
