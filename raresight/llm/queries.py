@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raresight.llm import bpe, packing, token_files, token_ids
+from raresight.llm import bpe, fingerprints, licences, packing, quality, token_files, token_ids, urls
 from raresight.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,89 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(documents(spark, sf_dir), token_ids.vocabulary_path(), end_id=2)
     return token_files.read_token_files(manifest, with_ids=False)
+
+
+@register("op9_fingerprints")
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last quarter of each text is replaced by the start of the next document's."""
+    chained = fingerprints.with_next(documents(spark, sf_dir))
+    edited = chained.select("doc_id", "text", "next_text", F.char_length("text").cast("long").alias("n_chars")).withColumn(
+        "edited", F.expr("concat(substring(text, 1, int(n_chars - n_chars div 4)), substring(next_text, 1, int(n_chars div 4)))"))
+    marked = edited.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
+    out = fingerprints.fingerprints(marked, ["text", "edited", "next_text"], ["fingerprint", "edited_fingerprint", "next_fingerprint"],
+                                    keep=("doc_id", "n_chars", "edited_sha256"))
+    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                      fingerprints.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+                      fingerprints.likeness("fingerprint", "next_fingerprint").alias("near_next"))
+
+
+@register("op10_quality_rules")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+# The listed rules of the contract.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def url_rule_sql() -> str:
+    """The longest rule first, as the branches of a CASE."""
+    out = []
+    for verdict, rule in sorted(URL_RULES, key=lambda r: -len(r[1])):
+        host, _, path = rule.partition("/")
+        out.append(f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}') THEN '{rule}'")
+    return " ".join(out)
+
+
+OP3_SQL = rf"""
+WITH rest AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS r FROM pages),
+cut AS (SELECT page_id, translate(coalesce(regexp_extract(r, '^[^/?#]*', 0), ''), '{urls.UPPER}', '{urls.LOWER}') AS host,
+               coalesce(regexp_extract(r, '^[^/?#]*([^?#]*)', 1), '') AS path FROM rest),
+ruled AS (SELECT *, CASE {url_rule_sql()} END AS rule FROM cut),
+looks AS (SELECT *, CASE WHEN rule IN ({", ".join(f"'{r}'" for v, r in URL_RULES if v == "block")}) THEN 1 WHEN rule IS NOT NULL THEN 0 END AS label,
+                 list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: regexp_replace(s, '{urls.VARIABLE}', '*\2')) AS looks FROM ruled),
+steps AS (SELECT DISTINCT host, i AS lvl, array_to_string(looks[1:i - 1], '/') AS parent, looks[i] AS look
+          FROM (SELECT host, looks, unnest(range(1, len(looks) + 1)) AS i FROM looks)),
+many AS (SELECT host, lvl, parent FROM steps GROUP BY ALL HAVING count(*) > 50),
+levels AS (SELECT host, list(lvl || ' ' || parent) AS many FROM many GROUP BY host),
+shaped AS (SELECT l.* EXCLUDE (looks), '/' || array_to_string(list_transform(looks, lambda s, i:
+             CASE WHEN list_contains(coalesce(many, []), i || ' ' || array_to_string(looks[1:i - 1], '/')) THEN '*' ELSE s END), '/') AS template
+           FROM looks l LEFT JOIN levels USING (host)),
+labelled AS (SELECT host, template, count(*) AS n, sum(label) AS bad FROM shaped WHERE label IS NOT NULL GROUP BY ALL),
+trees AS (SELECT *, regexp_replace(template, '/[^/*]+((/\*[^/]*)*)$', '/+\1') AS parent FROM labelled),
+shares AS (SELECT *, sum(bad) OVER w / sum(n) OVER w AS common FROM trees WINDOW w AS (PARTITION BY host, parent)),
+alike AS (SELECT *, n >= 5 AND pow(bad / n - common, 2) * n <= 4 * common * (1 - common) + 1e-12 AS alike FROM shares),
+pooled AS (SELECT host, template, CASE WHEN alike THEN sum(n) OVER w ELSE n END AS n, CASE WHEN alike THEN sum(bad) OVER w ELSE bad END AS bad
+           FROM alike WINDOW w AS (PARTITION BY host, parent, alike)),
+rejected AS (SELECT host, template FROM pooled WHERE bad + 1 >= 0.8 * (n + 2))
+SELECT page_id, host, path, rule, CASE WHEN label = 1 THEN 'block' WHEN label = 0 THEN 'allow' WHEN r.host IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM shaped s LEFT JOIN rejected r USING (host, template)
+"""
+
+
+@register("op3_url_filter", sql=OP3_SQL)
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    return urls.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP6_NUMBERS = {name: i for i, name in enumerate(licences.SENTENCES)}
+OP6_SQL = rf"""
+WITH known(id, name, sentence) AS (VALUES {", ".join(f"({i}, '{n}', '{licences.SENTENCES[n]}')" for n, i in OP6_NUMBERS.items())}),
+cut AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '[.!?;:]+([\x20\x09-\x0D]|\z)', chr(10), 'g'), chr(10)),
+          lambda s: trim(regexp_replace(translate(s, '{licences.UPPER}', '{licences.LOWER}'), '[^a-z0-9]+', ' ', 'g'))), lambda s: s <> '') AS sentences FROM documents),
+met AS (SELECT doc_id, list(id ORDER BY place) AS ids, string_agg(name, ',' ORDER BY place) AS sentence_ids, min(place) - 1 AS first_sentence
+        FROM (SELECT doc_id, unnest(sentences) AS sentence, unnest(range(1, len(sentences) + 1)) AS place FROM cut) JOIN known USING (sentence) GROUP BY doc_id),
+paths AS (SELECT *, ' ' || array_to_string(ids, '  ') || ' ' AS path FROM met),
+found AS (SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences FROM paths,
+          (VALUES {", ".join(f"('{name}', '{'.*'.join(f' {OP6_NUMBERS[i]} ' for i in ids)}')" for name, ids in licences.RULES)}) r(licence, pattern)
+          WHERE regexp_matches(path, pattern) GROUP BY doc_id)
+SELECT doc_id, CAST(len(sentences) AS BIGINT) AS n_sentences, coalesce(sentence_ids, '') AS sentence_ids, first_sentence, coalesce(licences, '') AS licences
+FROM cut LEFT JOIN met USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+@register("op6_licences", sql=OP6_SQL)
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(documents(spark, sf_dir))
+    return found.select("doc_id", "n_sentences", F.array_join("sentence_ids", ",").alias("sentence_ids"), "first_sentence", F.array_join("licences", ",").alias("licences"))
