@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raresight.llm import bpe, fingerprints, licences, packing, quality, token_files, token_ids, urls
+from raresight.llm import bpe, fingerprints, licences, packing, quality, substring, token_files, token_ids, urls
 from raresight.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,8 @@ FROM cut LEFT JOIN met USING (doc_id) LEFT JOIN found USING (doc_id)
 def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan(documents(spark, sf_dir))
     return found.select("doc_id", "n_sentences", F.array_join("sentence_ids", ",").alias("sentence_ids"), "first_sentence", F.array_join("licences", ",").alias("licences"))
+
+
+@register("op1_substring_dedup")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(substring.dedup_substrings(documents(spark, sf_dir), window=20))
