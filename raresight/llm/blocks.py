@@ -156,24 +156,24 @@ class Sketch:
         return out
 
 
-def merge_sketches(asked: DataFrame) -> DataFrame:
-    """Answers to partial sketches: cells whose merged count is two or more."""
+def merge_group(group: pd.DataFrame) -> pd.DataFrame:
+    """Answers of one range to the partial sketches of all blocks: cells whose merged count is two or more."""
+    total = np.zeros(1 << Sketch.RANGE_BITS, np.uint8)
+    parts = []
+    for blob in group["keys"]:
+        raw = expand(blob)
+        n = int(np.frombuffer(raw[:4], "<u4")[0])
+        low = np.cumsum(np.frombuffer(raw[4: 4 + 4 * n], np.uint8).reshape(4, n).T.copy().view("<u4").ravel(), dtype=np.uint64)
+        twice = np.unpackbits(np.frombuffer(raw[4 + 4 * n:], np.uint8), count=n)
+        total[low] = np.minimum(total[low] + 1 + twice, 2)
+        parts.append(low)
+    bits = [np.packbits(total[low] >= 2).tobytes() for low in parts]
+    some = [any(b) for b in bits]
+    return pd.DataFrame({"range": group["range"], "block": group["block"], "bits": bits})[some]
 
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(1 << Sketch.RANGE_BITS, np.uint8)
-        parts = []
-        for blob in group["keys"]:
-            raw = expand(blob)
-            n = int(np.frombuffer(raw[:4], "<u4")[0])
-            low = np.cumsum(np.frombuffer(raw[4: 4 + 4 * n], np.uint8).reshape(4, n).T.copy().view("<u4").ravel(), dtype=np.uint64)
-            twice = np.unpackbits(np.frombuffer(raw[4 + 4 * n:], np.uint8), count=n)
-            total[low] = np.minimum(total[low] + 1 + twice, 2)
-            parts.append(low)
-        bits = [np.packbits(total[low] >= 2).tobytes() for low in parts]
-        some = [any(b) for b in bits]
-        return pd.DataFrame({"range": group["range"], "block": group["block"], "bits": bits})[some]
 
-    return asked.groupBy("range").applyInPandas(merge, ANSWER)
+def merge_sketches(asked: DataFrame) -> DataFrame:
+    return asked.groupBy("range").applyInPandas(merge_group, ANSWER)
 
 
 class Keys:
@@ -202,39 +202,44 @@ class Keys:
         return bits_by_range(answer, self.ranges, self.sizes)[self.inverse]
 
 
+def first_group(group: pd.DataFrame) -> pd.DataFrame:
+    """Answers of one range to packed ``Keys``: keys that some block holds at an earlier place (number, position)."""
+    highs, lows, numbers, positions, sizes = [], [], [], [], []
+    for blob in group["keys"]:
+        raw = expand(blob)
+        n = int(np.frombuffer(raw[:4], "<u4")[0])
+        highs.append(np.frombuffer(raw, "<u8", n, 4))
+        lows.append(np.frombuffer(raw, "<u8", n, 4 + 8 * n))
+        numbers.append(np.frombuffer(raw, "<i8", n, 4 + 16 * n))
+        positions.append(np.frombuffer(raw, "<u4", n, 4 + 24 * n))
+        sizes.append(n)
+    high = np.concatenate(highs)
+    later = np.zeros(len(high), bool)
+    order = np.argsort(high, kind="stable")
+    h = high[order]
+    same = np.zeros(len(h) + 1, bool)
+    same[1:-1] = h[1:] == h[:-1]
+    some = order[same[1:] | same[:-1]]  # keys that more than one block sent
+    if len(some):
+        low, number, position = (np.concatenate(x)[some] for x in (lows, numbers, positions))
+        by = np.lexsort((position, number, low, high[some]))
+        k, lo, nu, po = high[some][by], low[by], number[by], position[by]
+        new = np.ones(len(by), bool)
+        new[1:] = (k[1:] != k[:-1]) | (lo[1:] != lo[:-1])
+        head = np.flatnonzero(new)[np.cumsum(new) - 1]
+        later[some[by]] = (nu != nu[head]) | (po != po[head])
+    cut = np.split(later, np.cumsum(sizes)[:-1])
+    keep = [bool(c.any()) for c in cut]
+    return pd.DataFrame({"range": group["range"], "block": group["block"], "bits": [np.packbits(c).tobytes() for c in cut]})[keep]
+
+
 def find_first(asked: DataFrame) -> DataFrame:
-    """Answers to packed ``Keys``: keys that some block holds at an earlier place (number, position)."""
-
-    def work(group: pd.DataFrame) -> pd.DataFrame:
-        highs, lows, numbers, positions, sizes = [], [], [], [], []
-        for blob in group["keys"]:
-            raw = expand(blob)
-            n = int(np.frombuffer(raw[:4], "<u4")[0])
-            highs.append(np.frombuffer(raw, "<u8", n, 4))
-            lows.append(np.frombuffer(raw, "<u8", n, 4 + 8 * n))
-            numbers.append(np.frombuffer(raw, "<i8", n, 4 + 16 * n))
-            positions.append(np.frombuffer(raw, "<u4", n, 4 + 24 * n))
-            sizes.append(n)
-        high = np.concatenate(highs)
-        later = np.zeros(len(high), bool)
-        order = np.argsort(high, kind="stable")
-        h = high[order]
-        same = np.zeros(len(h) + 1, bool)
-        same[1:-1] = h[1:] == h[:-1]
-        some = order[same[1:] | same[:-1]]  # keys that more than one block sent
-        if len(some):
-            low, number, position = (np.concatenate(x)[some] for x in (lows, numbers, positions))
-            by = np.lexsort((position, number, low, high[some]))
-            k, lo, nu, po = high[some][by], low[by], number[by], position[by]
-            new = np.ones(len(by), bool)
-            new[1:] = (k[1:] != k[:-1]) | (lo[1:] != lo[:-1])
-            head = np.flatnonzero(new)[np.cumsum(new) - 1]
-            later[some[by]] = (nu != nu[head]) | (po != po[head])
-        cut = np.split(later, np.cumsum(sizes)[:-1])
-        keep = [bool(c.any()) for c in cut]
-        return pd.DataFrame({"range": group["range"], "block": group["block"], "bits": [np.packbits(c).tobytes() for c in cut]})[keep]
-
-    return asked.groupBy("range").applyInPandas(work, ANSWER)
+    return asked.groupBy("range").applyInPandas(first_group, ANSWER)
+
+
+def answer_both(asked: DataFrame) -> DataFrame:
+    """Both kinds in one shuffle: ranges from 0 are a sketch's, negative ones (-1 - range) are ``Keys``."""
+    return asked.groupBy("range").applyInPandas(lambda group: merge_group(group) if group["range"].iloc[0] >= 0 else first_group(group), ANSWER)
 
 
 def range_bits_for(keys: float, each: int = 1 << 20) -> int:

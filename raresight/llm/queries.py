@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raresight.llm import bpe, fingerprints, licences, packing, quality, substring, token_files, token_ids, urls
+from raresight.llm import bpe, fingerprints, jaccard, licences, packing, quality, substring, token_files, token_ids, urls
 from raresight.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,8 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_substring_dedup")
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.dedup_substrings(documents(spark, sf_dir), window=20))
+
+
+@register("op5_ngram_jaccard")
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(documents(spark, sf_dir), size=4, percent=85)
