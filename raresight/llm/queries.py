@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raresight.llm import bpe, fingerprints, jaccard, licences, packing, quality, substring, token_files, token_ids, urls
+from raresight.llm import bpe, fingerprints, jaccard, licences, lines, packing, quality, substring, token_files, token_ids, urls
 from raresight.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,27 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_ngram_jaccard")
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(documents(spark, sf_dir), size=4, percent=85)
+
+
+OP4_SQL = r"""
+WITH lines AS (SELECT doc_id AS d, place - 1 AS l, list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+               FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS place FROM documents)),
+firsts AS (SELECT words, min(struct_pack(d := d, l := l)) AS home FROM lines WHERE len(words) > 0 GROUP BY words),
+variants AS (SELECT home, len(words) AS n, 0 AS pos, array_to_string(words, ' ') AS rest FROM firsts WHERE len(words) >= 8
+             UNION ALL
+             SELECT home, n, pos, array_to_string(list_concat(words[1:pos - 1], words[pos + 1:]), ' ') FROM (SELECT home, words, len(words) AS n, unnest(range(1, len(words) + 1)) AS pos FROM firsts WHERE len(words) >= 8)),
+near AS (SELECT home FROM (SELECT home, pos, min(home) OVER (PARTITION BY rest, pos) AS same, min(CASE WHEN pos = 0 THEN home END) OVER (PARTITION BY rest) AS whole,
+                                min(CASE WHEN pos > 0 THEN home END) OVER (PARTITION BY rest) AS shorter FROM variants)
+         WHERE (pos > 0 AND (same < home OR whole < home)) OR (pos = 0 AND shorter < home)),
+gone AS (SELECT d, l FROM lines JOIN firsts USING (words) WHERE home < struct_pack(d := d, l := l) UNION SELECT home.d, home.l FROM near),
+lists AS (SELECT d, list(l) AS ls FROM gone GROUP BY d)
+SELECT doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: NOT list_contains(coalesce(ls, []), i - 1)), chr(10)), '')) AS kept_sha256
+FROM documents LEFT JOIN lists ON d = doc_id
+"""
+
+
+@register("op4_line_dedup", sql=OP4_SQL)
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
