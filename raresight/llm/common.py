@@ -4,6 +4,7 @@ and stable hashes on UTF-8 bytes, and tables written to the shared folder."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,15 +22,38 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
-def written(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
+_RECORDS: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of the tables that ``written`` makes inside."""
+    paths: list[str] = []
+    _RECORDS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDS.remove(paths)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder (cuts the lineage; survives lost executors)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    out = df if partitions is None else df.coalesce(partitions)
-    out.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    for paths in _RECORDS:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Remove tables whose readers' results have been stored."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
