@@ -58,6 +58,14 @@ def safe_div(num, den, default: float = 0.0) -> Column:
     return F.when(d == 0, F.lit(default)).otherwise(n.cast("double") / d)
 
 
+def null_safe_join(left, right, keys, how: str = "inner"):
+    """Equi-join on ``keys`` in which null equals null; the keys appear once (the left side's)."""
+    keys = list(keys)
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def label_flag(cond: Column) -> Column:
     """A boolean condition as a 0/1 long label."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0)).cast("long")

@@ -115,21 +115,25 @@ def contract_summary(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def failure_cases(df: DataFrame, contract: Contract, key_cols) -> DataFrame:
-    """V6 cases: one row per failing value (key..., column, check, failure_case).
+    """V6 cases: one row per failing value (key..., column, check, failure_case), and one per missing or
+    unexpected column (null key, the column's name as the case).
 
     A narrow ``explode(filter(array(struct ...)))`` per row: no shuffle, no collect.
     """
     checks = check_expressions(contract, df.columns)
     key_cols = list(key_cols)
+    spark = df.sparkSession
+    found = spark.createDataFrame([(c, k, c) for c, k in structural_failures(df, contract)], "column string, check string, failure_case string")
+    keys = [F.lit(None).cast(df.schema[k].dataType).alias(k) for k in key_cols]
+    structural = found.select(*keys, "column", "check", "failure_case")
     if not checks:
-        return df.select(*key_cols).limit(0).select(*key_cols, F.lit(None).cast("string").alias("column"),
-                                                    F.lit(None).cast("string").alias("check"),
-                                                    F.lit(None).cast("string").alias("failure_case"))
+        return structural
     items = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(chk).alias("check"),
                                F.col(c).cast("string").alias("failure_case"), pred.alias("failed"))
                       for c, chk, pred in checks])
-    return df.select(*key_cols, F.explode(F.filter(items, lambda s: s["failed"])).alias("_f")) \
+    cases = df.select(*key_cols, F.explode(F.filter(items, lambda s: s["failed"])).alias("_f")) \
         .select(*key_cols, "_f.column", "_f.check", "_f.failure_case")
+    return cases.unionByName(structural) if structural_failures(df, contract) else cases
 
 
 def health_report(df: DataFrame, contract: Contract, label: str = "Class") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from raresight.errors import EvaluationError
-from raresight.functions import linspace_value, safe_div
+from raresight.functions import linspace_value, null_safe_join, safe_div
 from raresight.plans import cumulative_by_value
 
 F1_EPS = 1e-9
@@ -23,10 +23,20 @@ def _pos(label: str):
     return F.col(label) == 1
 
 
+def checked(scored: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
+    """The one rule for bad input, before every operator: a null or NaN score and a null label fail the job by
+    name.  Group keys may be null; null is a group of its own."""
+    bad_score = F.col(score).isNull() | F.isnan(F.col(score).cast("double"))
+    return scored.withColumns({
+        score: F.when(bad_score, F.raise_error(F.lit(f"score column {score} holds null or NaN")).cast("double")).otherwise(F.col(score)),
+        label: F.when(F.col(label).isNull(), F.raise_error(F.lit(f"label column {label} holds null")).cast("double")).otherwise(F.col(label))})
+
+
 # E1 ------------------------------------------------------------------------
 def confusion_counts(scored: DataFrame, threshold: float, label: str = "y", score: str = "p",
                      by: Sequence[str] = ()) -> DataFrame:
     """TP, FP, FN, TN at ``p >= threshold`` (inclusive), one aggregate pass."""
+    scored = checked(scored, label, score)
     pred = F.col(score) >= F.lit(float(threshold))
     pos = _pos(label)
     return scored.groupBy(*by).agg(
@@ -53,6 +63,7 @@ def score_curve(scored: DataFrame, label: str = "y", score: str = "p", by: Seque
     """One row per (group, distinct score): n_pos, n_neg at that score, tps/fps = positives /
     negatives scored at or above it, and the group totals P, N."""
     by = list(by)
+    scored = checked(scored, label, score)
     pos = _pos(label)
     distinct = scored.groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(pos).alias("n_pos"), F.count_if(~pos).alias("n_neg"))
@@ -63,7 +74,7 @@ def score_curve(scored: DataFrame, label: str = "y", score: str = "p", by: Seque
     # group totals: an aggregate joined back (one row per group), never a window over all scores
     if by:
         totals = scored.groupBy(*by).agg(F.count_if(pos).alias("P"), F.count_if(~pos).alias("N"))
-        return cum.select(*cols).join(totals, by)
+        return null_safe_join(cum.select(*cols), totals, by)
     totals = scored.agg(F.count_if(pos).alias("P"), F.count_if(~pos).alias("N"))
     return cum.select(*cols, totals.select("P").scalar().alias("P"), totals.select("N").scalar().alias("N"))
 
@@ -110,19 +121,20 @@ def f1_optimal_threshold(scored: DataFrame, label="y", score="p", by=(), curve:
 # E6 / E7 ----------------------------------------------------------------------
 def _check_costs(cost_fp: float, cost_fn: float) -> None:
     if cost_fp <= 0 or cost_fn <= 0:
-        raise EvaluationError(f"cost_fp and cost_fn must be positive, got cost_fp={cost_fp}, cost_fn={cost_fn}")
+        raise EvaluationError(f"both error costs must be positive (false positive {cost_fp}, false negative {cost_fn})")
 
 
-def _sweep(scored: DataFrame, k_expr, n_thr: int, threshold_of, label: str, by: list[str]) -> DataFrame:
+def _sweep(scored: DataFrame, k_expr, n_thr: int, threshold_of, label: str, score: str, by: list[str]) -> DataFrame:
     """Shared threshold sweep: each row falls in bucket k = number of thresholds <= p
     (so it is predicted positive at thresholds 0..k-1).  One aggregate to
     (group, k) counts, then running sums over at most n_thr+1 rows per group."""
+    scored = checked(scored, label, score)
     pos = _pos(label)
     counts = scored.groupBy(*by, k_expr.alias("k")).agg(
         F.count_if(pos).alias("n_pos"), F.count_if(~pos).alias("n_neg"))
     totals = counts.groupBy(*by).agg(F.sum("n_pos").alias("P"), F.sum("n_neg").alias("N"))
     grid = totals.select(*by, "P", "N", F.explode(F.sequence(F.lit(0), F.lit(n_thr - 1))).alias("i"))
-    dense = grid.join(counts.withColumnRenamed("k", "i"), [*by, "i"], "left").fillna(0, ["n_pos", "n_neg"])
+    dense = null_safe_join(grid, counts.withColumnRenamed("k", "i"), [*by, "i"], "left").fillna(0, ["n_pos", "n_neg"])
     w = Window.partitionBy(*by).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     # bucket i holds rows with exactly i thresholds <= p: below threshold i -> negative prediction
     swept = dense.select(*by, "i", "P", "N",
@@ -149,7 +161,7 @@ def cost_curve(scored: DataFrame, cost_fp: float, cost_fn: float, label="y", sco
     _check_costs(cost_fp, cost_fn)
     by = list(by)
     k = linspace_bucket(F.col(score).cast("double"), start, stop, num)
-    swept = _sweep(scored, k, num, lambda i: linspace_value(i, start, stop, num), label, by)
+    swept = _sweep(scored, k, num, lambda i: linspace_value(i, start, stop, num), label, score, by)
     return swept.withColumn("cost", F.col("fp") * F.lit(float(cost_fp)) + F.col("fn") * F.lit(float(cost_fn)))
 
 
@@ -172,7 +184,7 @@ def operating_points(scored: DataFrame, thresholds: Sequence[float], cost_fp: fl
     p = F.col(score).cast("double")
     k = sum((F.when(p >= F.lit(t), 1).otherwise(0) for t in ts), F.lit(0))
     arr = F.array(*[F.lit(t) for t in ts])
-    swept = _sweep(scored, k, len(ts), lambda i: F.element_at(arr, i + 1), label, list(by))
+    swept = _sweep(scored, k, len(ts), lambda i: F.element_at(arr, i + 1), label, score, list(by))
     return with_rates(swept).withColumn(
         "cost", F.col("fp") * F.lit(float(cost_fp)) + F.col("fn") * F.lit(float(cost_fn))).drop("i")
 
@@ -198,7 +210,7 @@ def model_metrics(scored: DataFrame, threshold: float, label="y", score="p", by=
     by = list(by)
     rates = classification_metrics(scored, threshold, label, score, by)
     ap = average_precision(scored, label, score, by)
-    return rates.join(ap, by)
+    return null_safe_join(rates, ap, by)
 
 
 def quality_gate(metrics: DataFrame, min_pr_auc: float = 0.75, metric: str = "pr_auc") -> DataFrame:
@@ -236,5 +248,5 @@ def roc_auc(scored: DataFrame, label="y", score="p", by=(), curve: DataFrame | N
     curve = curve if curve is not None else score_curve(scored, label, score, by)
     below = F.col("N") - F.col("fps")
     return curve.groupBy(*by).agg(
-        (F.sum(F.col("n_pos") * (below + 0.5 * F.col("n_neg")))
-         / F.nullif(F.max("P") * F.max("N"), F.lit(0))).alias("roc_auc"))
+        (F.sum(F.col("n_pos").cast("double") * (below + 0.5 * F.col("n_neg")))
+         / F.nullif(F.max("P").cast("double") * F.max("N").cast("double"), F.lit(0.0))).alias("roc_auc"))

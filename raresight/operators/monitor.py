@@ -16,13 +16,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from raresight.functions import hash_uniform
+from raresight.functions import hash_uniform, null_safe_join
 from raresight.functions.stats import chi2_sf_udf, norm_sf_udf
 from raresight.operators import evaluate as E
 from raresight.plans import cumulative_by_value, exact_quantiles
 
-# Thresholds of the automatic test choice (fixed values of the published drift-preset defaults)
-SMALL_SAMPLE = 1000          # up to this many reference rows: KS / chi-square p-values
+# Thresholds of the tests (fixed values of the published drift-preset defaults)
 P_VALUE_THRESHOLD = 0.05
 DISTANCE_THRESHOLD = 0.1     # Wasserstein (normed) and Jensen-Shannon
 DRIFT_SHARE = 0.5
@@ -66,7 +65,7 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], n_buckets
                                   F.stddev_pop(F.when(F.col("_side") == 0, F.col("value"))).alias("ref_std"))
     cum = cumulative_by_value(d, "value", ["n_ref", "n_cur"], ["column"], descending=False,
                               n_buckets=n_buckets, next_value=True, split_source=(u, "value"))
-    j = cum.join(F.broadcast(tot), "column")  # one row per monitored column
+    j = cum.join(tot, "column")  # one row per monitored column
     # try_divide: an empty side (0 rows) gives null statistics instead of an ANSI error
     gap = F.abs(F.try_divide(F.col("cum_n_ref"), F.col("tot_ref")) - F.try_divide(F.col("cum_n_cur"), F.col("tot_cur")))
     width = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
@@ -89,7 +88,7 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], p_val
                                          F.count_if(F.col("_side") == 1).alias("n_cur"))
     tot = c.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"),
                                   F.count(F.lit(1)).alias("n_categories"))
-    j = c.join(F.broadcast(tot), "column")
+    j = c.join(tot, "column")
     p = F.try_divide(F.col("n_ref"), F.col("tot_ref"))
     q = F.try_divide(F.col("n_cur"), F.col("tot_cur"))
     m = (p + q) / 2
@@ -98,7 +97,7 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], p_val
     # the reference category of the z-test: an aggregate per column joined back (one row
     # per column), not a window holding a column's whole category domain in one task
     firsts = c.groupBy("column").agg(F.min("value").alias("_first"))
-    j = j.join(F.broadcast(firsts), "column")
+    j = j.join(firsts, "column")
     s = j.groupBy("column", "tot_ref", "tot_cur", "n_categories").agg(
         F.sqrt(F.greatest(F.lit(0.0), F.lit(0.5) * F.sum(kl(p)) + F.lit(0.5) * F.sum(kl(q)))).alias("js_distance"),
         F.sum(F.when(F.col("n_ref") > 0, F.pow(F.col("n_cur") - expct, 2) / expct)).alias("chi2_stat"),
@@ -124,53 +123,49 @@ def column_psi(ref: DataFrame, cur: DataFrame, cols: Sequence[str], bins: int =
     """Population stability index per column between reference and current, on the
     reference's exact quantile bins (empty bins count as share 0.0001).
 
-    The per-column edges and reference shares are fitted parameters (fetched once, a few
-    numbers per column); the current side is one unpivoted pass counting (column, bin)."""
-    fitted = {c: reference_bin_shares(ref, c, bins) for c in cols}
-    edges = F.create_map(*[x for c in cols for x in (F.lit(c), F.array(*[F.lit(e) for e in fitted[c][0]]))])
-    shares = F.create_map(*[x for c in cols for x in (F.lit(c), F.array(*[F.lit(v) for v in fitted[c][1]]))])
-    long = cur.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column", "value") \
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    All columns at once: exact quantiles of the unpivoted reference, grouped by column, give the edges (fetched
+    once, ``bins - 1`` numbers per column); one pass over both sides counts (column, bin).  Null and NaN
+    belong to no bin on either side."""
+    long = _sides_long(ref, cur, cols)
+    q = exact_quantiles(long.filter("_side = 0"), "value", [i / bins for i in range(1, bins)], ["column"])
+    fitted: dict[str, list[float]] = {}
+    for row in q.orderBy("column", "qi").collect():
+        fitted.setdefault(row["column"], []).append(float(row["value"]))
+    if not fitted:  # no reference values at all: nothing to compare
+        return long.limit(0).select("column", F.lit(0).cast("long").alias("n_cur"), F.lit(0.0).alias("psi"))
+    edges = F.create_map(*[x for c, e in fitted.items() for x in (F.lit(c), F.array(*[F.lit(v) for v in e]))])
     counts = long.groupBy("column", bin_index(F.col("value"), edges[F.col("column")], bins - 1).alias("bin")) \
-        .agg(F.count(F.lit(1)).alias("n"))
-    tot = counts.groupBy("column").agg(F.sum("n").alias("n_cur"))
-    grid = tot.select("column", "n_cur", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    full = grid.join(counts, ["column", "bin"], "left").fillna(0, ["n"])
+        .agg(F.count_if(F.col("_side") == 0).alias("n_r"), F.count_if(F.col("_side") == 1).alias("n"))
+    tot = counts.groupBy("column").agg(F.sum("n").alias("n_cur"), F.sum("n_r").alias("n_ref")).filter("n_cur > 0 and n_ref > 0")
+    grid = tot.select("column", "n_cur", "n_ref", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    full = grid.join(counts, ["column", "bin"], "left").fillna(0, ["n", "n_r"])
     c = F.greatest(F.col("n") / F.col("n_cur"), F.lit(PSI_EPS))
-    r = F.greatest(F.element_at(shares[F.col("column")], F.col("bin") + 1), F.lit(PSI_EPS))
+    r = F.greatest(F.col("n_r") / F.col("n_ref"), F.lit(PSI_EPS))
     return full.groupBy("column", "n_cur").agg(F.sum((c - r) * F.log(c / r)).alias("psi"))
 
 
 # D3 / D4 report --------------------------------------------------------------------
-def drift_report(ref: DataFrame, cur: DataFrame, num_cols: Sequence[str] = (), cat_cols: Sequence[str] = (),
-                 stattest: str = "auto") -> DataFrame:
-    """(column, stattest, score, threshold, drifted) per column.
+NUM_TESTS = ("ks", "wasserstein")
+CAT_TESTS = ("chisquare", "z", "jensenshannon")
 
-    ``auto`` picks by type and reference size, like the published drift preset:
-    numeric -> KS p-value (<= 1000 reference rows) or normed Wasserstein distance;
-    categorical -> chi-square p-value (binary: z-test) or Jensen-Shannon distance.
+
+def drift_report(ref: DataFrame, cur: DataFrame, num_cols: Sequence[str] = (), cat_cols: Sequence[str] = (),
+                 num_test: str = "wasserstein", cat_test: str = "jensenshannon") -> DataFrame:
+    """(column, stattest, score, threshold, drifted) per column, by the one test named per type: the same
+    statistic at every table size.  Numeric: KS p-value or normed Wasserstein distance; categorical:
+    chi-square p-value, two-proportion z p-value (binary columns) or Jensen-Shannon distance.
     """
+    if num_test not in NUM_TESTS or cat_test not in CAT_TESTS:
+        raise ValueError(f"unknown drift test: {num_test!r}, {cat_test!r}; choose from {NUM_TESTS} and {CAT_TESTS}")
     parts = []
     if num_cols:
         nd = numeric_drift(ref, cur, num_cols)
-        small = F.col("n_ref") <= SMALL_SAMPLE
-        test = {"auto": F.when(small, "ks").otherwise("wasserstein"), "ks": F.lit("ks"),
-                "wasserstein": F.lit("wasserstein")}.get(stattest, F.lit("ks"))
-        nd = nd.withColumn("stattest", test)
+        nd = nd.withColumn("stattest", F.lit(num_test))
         score = F.when(F.col("stattest") == "ks", F.col("ks_p_value")).otherwise(F.col("wasserstein_norm"))
         thr = F.when(F.col("stattest") == "ks", F.lit(P_VALUE_THRESHOLD)).otherwise(F.lit(DISTANCE_THRESHOLD))
         parts.append(nd.select("column", "stattest", score.alias("score"), thr.alias("threshold")))
     if cat_cols:
-        need_p = stattest in ("chisquare", "z")
-        if stattest == "auto":  # p-values only matter when some column has a small reference
-            counts = ref.agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(cat_cols)]).first()
-            need_p = min(counts) <= SMALL_SAMPLE
-        cd = categorical_drift(ref, cur, cat_cols, p_values=need_p)
-        small = F.col("n_ref") <= SMALL_SAMPLE
-        auto = F.when(small & (F.col("n_categories") <= 2), "z").when(small, "chisquare").otherwise("jensenshannon")
-        test = {"auto": auto, "chisquare": F.lit("chisquare"), "jensenshannon": F.lit("jensenshannon"),
-                "z": F.lit("z")}.get(stattest, auto)
-        cd = cd.withColumn("stattest", test)
+        cd = categorical_drift(ref, cur, cat_cols, p_values=cat_test != "jensenshannon").withColumn("stattest", F.lit(cat_test))
         score = F.when(F.col("stattest") == "chisquare", F.col("chi2_p_value")) \
             .when(F.col("stattest") == "z", F.col("z_p_value")).otherwise(F.col("js_distance"))
         thr = F.when(F.col("stattest") == "jensenshannon", F.lit(DISTANCE_THRESHOLD)).otherwise(F.lit(P_VALUE_THRESHOLD))
@@ -192,10 +187,11 @@ def dataset_drift(report: DataFrame, share: float = DRIFT_SHARE) -> DataFrame:
                     F.coalesce(sh >= F.lit(share), F.lit(False)).alias("dataset_drift"))
 
 
-def detect_drift(ref: DataFrame, cur: DataFrame, num_cols=(), cat_cols=(), share: float = DRIFT_SHARE) -> DataFrame:
+def detect_drift(ref: DataFrame, cur: DataFrame, num_cols=(), cat_cols=(), share: float = DRIFT_SHARE,
+                 num_test: str = "wasserstein", cat_test: str = "jensenshannon") -> DataFrame:
     """D4 with the empty-current rule applied before any statistics are computed."""
     has_rows = cur.select(F.count(F.lit(1))).scalar() > 0
-    dd = dataset_drift(drift_report(ref, cur, num_cols, cat_cols), share)
+    dd = dataset_drift(drift_report(ref, cur, num_cols, cat_cols, num_test, cat_test), share)
     return dd.withColumn("dataset_drift", F.col("dataset_drift") & has_rows)
 
 
@@ -220,7 +216,7 @@ def reference_bin_shares(ref: DataFrame, col: str, bins: int = 10) -> tuple[list
     edges = [float(e) for e in reference_bins(ref, col, bins).first()["edges"]]
     arr = F.array(*[F.lit(e) for e in edges])
     x = F.col(col).cast("double")
-    counts = {r["bin"]: r["n"] for r in ref.filter(x.isNotNull()).groupBy(
+    counts = {r["bin"]: r["n"] for r in ref.filter(x.isNotNull() & ~F.isnan(x)).groupBy(
         bin_index(x, arr, bins - 1).alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
     return edges, [counts.get(b, 0) / total if total else 0.0 for b in range(bins)]
@@ -235,12 +231,12 @@ def windowed_psi(ref: DataFrame, cur: DataFrame, ts_col: str, col: str, window:
     # the reference's bins are a fitted parameter: bins - 1 numbers, fetched once and
     # projected as literals (like the standardiser), so every row compares to constants
     edges = F.array(*[F.lit(float(e)) for e in reference_bins(ref, col, bins).first()["edges"]])
-    rb = ref.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    rb = ref.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     ref_sh = rb.groupBy(bin_index(F.col("_x"), edges, bins - 1).alias("bin")).agg(F.count(F.lit(1)).alias("_rn"))
     # at most ``bins`` rows: the un-partitioned window is over a tiny frame
     ref_sh = ref_sh.select("bin", (F.col("_rn") / F.sum("_rn").over(Window.partitionBy())).alias("ref_share"))
     cb = cur.select(F.window(ts_col, window).alias("w"), F.col(col).cast("double").alias("_x")) \
-        .filter(F.col("_x").isNotNull())
+        .filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     counts = cb.groupBy("w", bin_index(F.col("_x"), edges, bins - 1).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     return psi_from_counts(counts, ref_sh, bins, col)
 
@@ -271,7 +267,7 @@ def windowed_js(ref: DataFrame, cur: DataFrame, ts_col: str, col: str, window: s
     cc = cur.groupBy(F.window(ts_col, window).alias("w"), F.col(col).cast("string").alias("cat")) \
         .agg(F.count(F.lit(1)).alias("n"))
     wins = cc.groupBy("w").agg(F.sum("n").alias("n_rows"))
-    present = cc.join(wins, "w").join(rs, "cat", "left").fillna(0.0, ["p"])
+    present = null_safe_join(cc.join(wins, "w"), rs, ["cat"], "left").fillna(0.0, ["p"])  # null is a category like any other
     q = F.col("n") / F.col("n_rows")
     p = F.col("p")
     m = (p + q) / 2
@@ -299,13 +295,17 @@ def delayed_label_quality(predictions: DataFrame, labels: DataFrame, key: str, t
                           label: str = "y", score: str = "p", by: Sequence[str] = ()) -> DataFrame:
     """Join predictions with labels that arrive later (equi-join on the key; both sides
     shuffle on a uniform key), then confusion counts and PR-AUC per group.
-    Unlabelled predictions are counted apart."""
+    Unlabelled predictions are counted apart; a group without any label keeps its row (counts 0, no
+    PR-AUC).  A key with two labels fails the job."""
     by = list(by)
-    j = predictions.join(labels, key, "left")
+    one = labels.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *[F.any_value(c).alias(c) for c in labels.columns if c != key])
+    first = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"{key} has more than one label")).cast(labels.schema[label].dataType)).otherwise(F.col(label))
+    j = predictions.join(one.withColumn(label, first).drop("_n"), key, "left")
     labelled = j.filter(F.col(label).isNotNull())
     pending = j.groupBy(*by).agg(F.count_if(F.col(label).isNull()).alias("n_unlabelled"))
     if by:
-        return E.model_metrics(labelled, threshold, label, score, by).join(pending, by)
+        joined = null_safe_join(pending, E.model_metrics(labelled, threshold, label, score, by), by, "left")
+        return joined.fillna(0, ["tp", "fp", "fn", "tn"]).select(*by, *[c for c in joined.columns if c not in (*by, "n_unlabelled")], "n_unlabelled")
     # one group: one-row results attached as scalar subqueries (no constant-key join)
     m = E.classification_metrics(labelled, threshold, label, score)
     return m.select("*", E.average_precision(labelled, label, score).select("pr_auc").scalar().alias("pr_auc"),

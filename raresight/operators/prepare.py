@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raresight.errors import EvaluationError
-from raresight.functions import hash_hex, hour_of_day, micros_between
+from raresight.functions import hash_hex, hour_of_day, micros_between, null_safe_join
 from raresight.plans import exact_quantiles, hash_rank_cutoffs
+from raresight.session import stored
 
 
 # T1 -------------------------------------------------------------------------
@@ -23,55 +24,21 @@ def features_and_target(df: DataFrame, label: str = "Class", key_cols=()) -> tup
 
 
 # T2 -------------------------------------------------------------------------
-MAX_BROADCAST_CLASSES = 100_000
-
-
-def _size_class(df: DataFrame, label: str) -> tuple[int, int]:
-    """One aggregate: the hash-prefix length (about sqrt(n) buckets) and the number of
-    classes, which bounds every per-class table joined back to the rows."""
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(label).alias("k")).first()
-    n, length = r["n"], 1
-    while length < 6 and 16 ** length < n ** 0.5:
-        length += 1
-    return length, int(r["k"])
-
-
-MAX_LITERAL_CLASSES = 1000
-
-
-def _literal_map(rows, label: str, value: str):
-    """A {class: value} map literal from a few fetched rows (None when there are none)."""
-    items = [x for r in rows if r[label] is not None for x in (F.lit(r[label]), F.lit(r[value]))]
-    return F.create_map(*items) if items else None
-
-
-def _bounded(per_class: DataFrame, n_classes: int) -> DataFrame:
-    """Broadcast a per-class table only behind the class-count check; beyond it the join
-    stays a shuffle join (AQE still splits skewed partitions)."""
-    return F.broadcast(per_class) if n_classes <= MAX_BROADCAST_CLASSES else per_class
-
-
 def stratified_split(df: DataFrame, key_cols, label: str = "Class", test_size: float = 0.2, seed: int = 42,
                      split_col: str = "split") -> DataFrame:
     """Exact stratified split: per class, the floor(n_c * test_size) rows with the
-    smallest ``md5(seed|key)`` go to test.  Same rows every run, on any partitioning.
+    smallest ``md5(seed|key)`` go to test.  Same rows every run, on any partitioning; a null
+    class is a class.  ``key_cols`` must tell rows apart: equal keys that straddle a cut-off
+    fail the job.
 
-    The per-class cut-off comes from the hash-prefix plan (no global sort); the
-    cut-off table has one row per class, so it is broadcast.
+    The per-class cut-off comes from the hash-prefix plan (no global sort).  The cut-offs are
+    stored once (one row per class), and the join to the rows is sized by what is stored.
     """
     if not 0.0 < test_size < 1.0:
         raise ValueError(f"test_size must be in (0, 1), got {test_size}")
     withh = df.withColumn("_h", hash_hex(seed, *key_cols))
-    plen, n_classes = _size_class(withh, label)
-    cut = hash_rank_cutoffs(withh, "_h", [test_size], [label], prefix_len=plen) \
-        .select(label, F.col("cutoff").alias("_cut"))
-    if n_classes <= MAX_LITERAL_CLASSES:
-        # the split's fitted parameter: one hash per class, fetched once and applied as a
-        # literal map — no join, and later actions do not recompute the cut-offs
-        lut = _literal_map(cut.collect(), label, "_cut")
-        out = withh.withColumn("_cut", lut[F.col(label)] if lut is not None else F.lit(None).cast("string"))
-    else:
-        out = withh.join(_bounded(cut, n_classes), label, "left")
+    cut = stored(hash_rank_cutoffs(withh, "_h", [test_size], [label]).select(label, F.col("cutoff").alias("_cut")), "split-cutoffs")
+    out = null_safe_join(withh, cut, [label], "left")
     is_test = F.col("_cut").isNotNull() & (F.col("_h") <= F.col("_cut"))
     return out.withColumn(split_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train"))) \
         .select(*df.columns, split_col)
@@ -85,15 +52,10 @@ def stratified_folds(df: DataFrame, key_cols, label: str = "Class", k: int = 5,
         raise EvaluationError(f"k must be at least 2, got {k}")
     withh = df.withColumn("_h", hash_hex(seed, *key_cols))
     fr = [j / k for j in range(1, k)]
-    plen, n_classes = _size_class(withh, label)
-    cut = hash_rank_cutoffs(withh, "_h", fr, [label], prefix_len=plen,
+    cut = hash_rank_cutoffs(withh, "_h", fr, [label],
                             ranks_from_counts=lambda tot, j: F.floor(tot * (j + 1) / F.lit(k)))
     cuts = cut.groupBy(label).agg(F.collect_list("cutoff").alias("_cuts"))  # <= k-1 per class
-    if n_classes <= MAX_LITERAL_CLASSES:
-        lut = _literal_map(cuts.collect(), label, "_cuts")
-        out = withh.withColumn("_cuts", lut[F.col(label)] if lut is not None else F.lit(None).cast("array<string>"))
-    else:
-        out = withh.join(_bounded(cuts, n_classes), label, "left")
+    out = null_safe_join(withh, stored(cuts, "fold-cutoffs"), [label], "left")
     # fold = number of cut-offs at or below the row's rank; a class too small to reach a
     # cut-off (need 0) has no row for it, so count the cut-offs *above* the hash instead.
     above = F.size(F.filter(F.coalesce(F.col("_cuts"), F.array().cast("array<string>")),
@@ -175,13 +137,14 @@ def temporal_split(df: DataFrame, time_col: str, test_size: float = 0.2, split_c
 
     The cut is the exact ``1 - test_size`` quantile (linear interpolation) of the time
     column, found with the bracketed exact-quantile plan; rows at or after it are test.
-    Timestamps are compared as epoch microseconds of their wall-clock value.
+    Timestamps are compared as epoch microseconds of their wall-clock value.  A null time
+    fails the job (it has no place in time).
     """
     t = F.col(time_col)
     dtype = dict(df.dtypes)[time_col]
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     num = micros_between(epoch, t).cast("double") if dtype.startswith("timestamp") else t.cast("double")
-    withnum = df.withColumn("_t", num)
+    withnum = df.withColumn("_t", F.when(t.isNull(), F.raise_error(F.lit(f"time column {time_col} holds null")).cast("double")).otherwise(num))
     cut = exact_quantiles(withnum, "_t", [1.0 - test_size]).select("value").scalar()  # scalar subquery
     return withnum.withColumn(split_col, F.when(F.col("_t") >= cut, "test").otherwise("train")) \
         .select(*df.columns, split_col)

@@ -12,8 +12,9 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from raresight.functions import hour_of_day
+from raresight.functions import hour_of_day, null_safe_join
 from raresight.plans import exact_quantiles
+from raresight.session import stored
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -138,20 +139,43 @@ def time_span(df: DataFrame, time_col: str = "Time") -> DataFrame:
 
 # P13 / P14 --------------------------------------------------------------------
 def correlation_matrix(df: DataFrame, cols) -> DataFrame:
-    """Pearson r for every ordered pair (a, b) as a long table.
+    """Pearson r for every ordered pair (a, b) as a long table, over the rows where both are present (null and NaN
+    are absent).  No value for a pair with fewer than two such rows or without variation, the diagonal
+    included.
 
-    Spark ML's ``Correlation`` computes the whole d x d matrix in one distributed pass
-    (a tree-aggregated Gramian); only the d x d result comes back, and it is returned as
-    a small frame.  Rows with a null in any of the columns are skipped.
+    One aggregate centres the columns (a fitted number per column); one pass then sums the products of all
+    pairs, a matrix per Arrow batch, added up per task; d x d sums per task are shuffled, never rows.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+    import numpy as np
+    import pyarrow as pa
+
     cols = list(cols)
-    vec = VectorAssembler(inputCols=cols, outputCol="_f", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols])).select("_f")
-    m = Correlation.corr(vec, "_f", "pearson").first()[0].toArray()
-    rows = [(a, b, 1.0 if i == j else float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+    d = len(cols)
+    number = [F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double")).alias(f"_c{i}") for i, c in enumerate(cols)]
+    clean = df.select(*number)
+    centre = [m if m is not None else 0.0 for m in clean.agg(*[F.avg(f"_c{i}") for i in range(d)]).first()]
+    row, column = np.triu_indices(d)
+
+    def sums(batches):
+        total = np.zeros((4, d, d))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float) - np.array(centre)
+            present = ~np.isnan(x)
+            m, x = present.astype(float), np.where(present, x, 0.0)
+            for k, (u, v) in enumerate(((m, m), (x, m), (x * x, m), (x, x))):  # pairs' counts, sums, squares, products
+                total[k] += u.T @ v
+        yield pa.RecordBatch.from_arrays([pa.array(row, pa.int32()), pa.array(column, pa.int32()), pa.array(total[0][row, column]),
+                                          pa.array(total[1][row, column]), pa.array(total[1].T[row, column]), pa.array(total[2][row, column]),
+                                          pa.array(total[2].T[row, column]), pa.array(total[3][row, column])], ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    names = ("n", "sx", "sy", "sxx", "syy", "sxy")
+    pairs = clean.mapInArrow(sums, "i int, j int, " + ", ".join(f"{c} double" for c in names)).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in names])
+    vx, vy = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"), F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
+    r = F.when((F.col("n") >= 2) & (vx > 0) & (vy > 0), F.when(F.col("i") == F.col("j"), 1.0).otherwise((F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / F.sqrt(vx * vy)))
+    label = F.array(*[F.lit(c) for c in cols])
+    half = pairs.select("i", "j", r.alias("r"))
+    both = half.union(half.filter("i <> j").select("j", "i", "r"))
+    return both.select(label[F.col("i")].alias("a"), label[F.col("j")].alias("b"), "r")
 
 
 def label_correlation_ranking(df: DataFrame, features, label: str = "Class", k: int | None = 12) -> DataFrame:
@@ -184,7 +208,7 @@ def class_density(df: DataFrame, col: str, label: str = "Class", gridsize: int =
     max + cut*h, gridsize).  Rows first collapse to (class, value, count) — partial,
     map-side — then each distinct value meets the grid points of its class in a narrow
     explode, and one (class, grid point) aggregate sums ``n * exp(...)``.  The per-class
-    stats are one row per class (broadcast).
+    stats are stored, one row per class, and the join is sized by them.
     """
     x = F.col(col).cast("double")
     clean = df.select(label, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
@@ -195,7 +219,7 @@ def class_density(df: DataFrame, col: str, label: str = "Class", gridsize: int =
         .withColumn("_ghi", F.col("_mx") + F.lit(cut) * F.col("_bw"))
     distinct = clean.groupBy(label, "_x").agg(F.count(F.lit(1)).alias("_c"))
     step = (F.col("_ghi") - F.col("_glo")) / F.lit(float(gridsize - 1))
-    pts = distinct.join(F.broadcast(st), label).select(
+    pts = null_safe_join(distinct, stored(st, "class-stats"), [label]).select(
         label, "_x", "_c", "_n", "_bw", "_glo", "_ghi", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("j"))
     xg = F.when(F.col("j") == gridsize - 1, F.col("_ghi")).otherwise(F.col("j").cast("double") * step + F.col("_glo"))
     pts = pts.withColumn("x", xg)
@@ -216,7 +240,7 @@ def box_stats(df: DataFrame, value_cols, label: str = "Class", whisker: float =
               accuracy: int = 10000) -> DataFrame:
     """Per (component, class): exact quartiles, whiskers at ``whisker`` x IQR (the most
     extreme data points inside the fences) and the number of points outside them.
-    Quartiles per group are a small table (components x classes), broadcast back."""
+    Quartiles per group are a stored table (components x classes); its join is sized by its files."""
     long = _long(df, value_cols, [label], "component")
     keys = [label, "component"]
     q = exact_quantiles(long, "value", QUARTILES, keys, accuracy)
@@ -225,7 +249,7 @@ def box_stats(df: DataFrame, value_cols, label: str = "Class", whisker: float =
     qw = qw.withColumn("iqr", F.col("q3") - F.col("q1")) \
         .withColumn("_lf", F.col("q1") - F.lit(whisker) * F.col("iqr")) \
         .withColumn("_uf", F.col("q3") + F.lit(whisker) * F.col("iqr"))
-    j = long.join(F.broadcast(qw), keys)
+    j = null_safe_join(long, stored(qw, "box-quartiles"), keys)
     v = F.col("value")
     out = j.groupBy(*keys, "q1", "median", "q3", "iqr").agg(
         F.min(F.when(v >= F.col("_lf"), v)).alias("whisker_lo"),

@@ -21,11 +21,11 @@ from raresight.functions import hash_hex, hash_uniform
 from raresight.operators import evaluate as E
 from raresight.operators import prepare as T
 from raresight.plans import exact_knn, hash_rank
-from raresight.session import checkpoint_dir
+from raresight.session import checkpoint_dir, stored
 
 REQUIRED = {
-    "logistic_regression": ("max_iter",),
-    "xgboost": ("n_estimators", "max_depth", "learning_rate", "scale_pos_weight"),
+    "logistic_regression": ("max_iter", "random_state"),
+    "xgboost": ("n_estimators", "max_depth", "learning_rate", "scale_pos_weight", "random_state"),
 }
 ALIASES = {"gbt": "xgboost"}
 STRATEGIES = ("none", "smote")
@@ -33,12 +33,11 @@ STRATEGIES = ("none", "smote")
 
 # M1 / M2 -------------------------------------------------------------------------
 def with_balanced_weights(df: DataFrame, label: str = "Class", weight_col: str = "weight") -> DataFrame:
-    """weight of class c = n / (n_classes * n_c); the per-class table is broadcast (one row per class)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = df.select(F.count(F.lit(1))).scalar()
-    ncls = df.select(F.count_distinct(label)).scalar()
-    w = counts.select(label, (tot / (ncls * F.col("_nc"))).alias(weight_col))
-    return df.join(F.broadcast(w), label, "left")
+    """weight of class c = n / (n_classes * n_c), all from one count per class (stored, so the join is sized by it)."""
+    counts = stored(df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc")), "class-counts")
+    total = counts.select(F.struct(F.sum("_nc").alias("n"), F.count(label).alias("k"))).scalar()
+    w = counts.select(label, (total["n"] / (total["k"] * F.col("_nc"))).alias(weight_col))
+    return df.join(w, label, "left")
 
 
 def positive_weight_value(df: DataFrame, label: str = "Class"):
@@ -62,16 +61,19 @@ def smote(df: DataFrame, features, label: str = "Class", key: str = "vec_id", k:
     nearest positive neighbours: x + u * (nn - x).  The n_neg - n_pos new rows are
     spread evenly over the positives (by hash rank); neighbour choice and u come from
     seeded hashes.  Output: the input rows plus the synthetic ones (key null,
-    ``synthetic`` true).  Training rows only — never call it on test data.
+    ``synthetic`` true).  Training rows only — never call it on test data.  More than k
+    positives are needed; fewer raise, as the resampling asked for can't be done.
     """
     features = list(features)
     cnt = df.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("n")).first()
     n_pos, n_neg = int(cnt["p"]), int(cnt["n"])
     orig = df.withColumn(flag_col, F.lit(False))
     n_new = n_neg - n_pos
-    if n_new <= 0 or n_pos < 2:
+    if n_pos <= k:
+        raise ModelConfigError(f"smote with k={k} needs more than {k} positive rows, got {n_pos}")
+    if n_new <= 0:
         return orig
-    kk = min(k, n_pos - 1)
+    kk = k
     pos = df.filter(F.col(label) == 1)
     nn = exact_knn(pos, key, features, kk, block_size, seed)
     ranked = hash_rank(pos.select(key, hash_hex(seed, key).alias("_h")), "_h")
@@ -123,7 +125,7 @@ def build_model(params: dict, label: str = "Class", features_col: str = "feature
     weights), no internal standardisation) or boosted trees (``xgboost``/``gbt`` ->
     GBTClassifier: same family, not the same numbers)."""
     name, p = check_params(params)
-    seed = int(p.get("random_state", 42))
+    seed = int(p["random_state"])
     if name == "logistic_regression":
         est = LogisticRegression(featuresCol=features_col, labelCol=label, maxIter=int(p["max_iter"]),
                                  regParam=reg_param, elasticNetParam=0.0, standardization=False, tol=1e-6)
@@ -144,14 +146,14 @@ def training_frame(train: DataFrame, params: dict, features, label: str = "Class
     name, p = check_params(params)
     strategy = p.get("resampling")
     if strategy is None:
-        raise ModelConfigError("Missing required param: resampling")
+        raise ModelConfigError("Missing required param: resampling (one of none, smote)")
     if strategy not in STRATEGIES:
-        raise ModelConfigError(f"Unsupported resampling strategy: {strategy}")
+        raise ModelConfigError(f"Unsupported resampling {strategy!r}: choose one of {STRATEGIES}")
     if strategy == "smote":
         # the resampled frame has a long lineage (kNN cogroup, allocation, joins) and is read
         # by the fit's passes: cut it with a reliable checkpoint in the shared folder
         checkpoint_dir(train.sparkSession)
-        return smote(train, features, label, key, seed=int(p.get("random_state", 42))).checkpoint(eager=True), None
+        return smote(train, features, label, key, seed=int(p["random_state"])).checkpoint(eager=True), None
     if name == "logistic_regression":
         return with_balanced_weights(train, label, weight_col), weight_col
     return with_positive_weight(train, label, p.get("scale_pos_weight"), weight_col), weight_col

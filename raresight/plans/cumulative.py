@@ -19,6 +19,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from raresight.functions import null_safe_join
 
 ROWS_PER_BUCKET = 65536
 MAX_BUCKETS = 16384
@@ -68,7 +69,7 @@ def cumulative_by_value(df: DataFrame, value_col: str, sum_cols: list[str], grou
           .alias(f"_off_{c}") for c in sum_cols],
         *([F.lead("_b_first").over(wb).alias("_b_next")] if next_value else []),
     )
-    joined = b.join(prefix, on=[*group_cols, "_bkt"], how="inner")
+    joined = null_safe_join(b, prefix, [*group_cols, "_bkt"])
     vorder = F.col(value_col).desc() if descending else F.col(value_col).asc()
     w = Window.partitionBy(*group_cols, "_bkt").orderBy(vorder)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

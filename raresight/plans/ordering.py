@@ -1,17 +1,15 @@
 """Exact order statistics without a global sort.
 
 ``hash_rank_cutoffs``: for each class, the hash value at given per-class ranks.
-Hashes are uniform, so counting rows per hex prefix (about sqrt(n) buckets)
-gives balanced buckets; prefix sums of those counts locate the one bucket that
+Hashes are uniform, so counting rows per hex prefix gives balanced buckets; prefix sums of those counts locate the one bucket that
 holds each rank, and only that bucket's rows are ranked.  Used for the exact
 stratified split and stratified folds; ``hash_rank`` gives every row its global
 rank the same way (SMOTE's even allocation).
 
 ``exact_quantiles``: exact, linearly interpolated quantiles of arbitrary values.
-``percentile_approx`` (bounded memory per group) brackets each wanted rank; rows
-below the bracket are only counted, rows inside it are collapsed to distinct
-values and ranked (a second, narrower round when the slice would be large).  No
-group's full value list is ever held by one task.
+``percentile_approx`` (bounded memory per group) brackets each wanted rank, and once more
+inside the bracket; rows below it are only counted, rows inside it are collapsed to distinct
+values and ranked.  No group's full value list is ever held by one task.
 """
 
 from __future__ import annotations
@@ -19,28 +17,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from raresight.functions import null_safe_join
+from raresight.session import stored
 
-def auto_prefix_len(df: DataFrame, max_len: int = 6) -> int:
-    """Hex-prefix length with about sqrt(n) buckets (one count job).  The two steps that
-    run per class in one task — the running sum over the bucket table and the ranking
-    of the one boundary bucket — then both see about sqrt(n) rows: ~1e6 at 1e12 rows."""
-    n = df.select(F.count(F.lit(1))).first()[0]
-    length = 1
-    while length < max_len and 16 ** length < n ** 0.5:
-        length += 1
-    return length
+PREFIX = 5  # hex digits: about a million buckets, the same at every size
 
 
-def hash_rank_cutoffs(df: DataFrame, h_col: str, fractions, class_cols=(), prefix_len: int | None = None,
+def hash_rank_cutoffs(df: DataFrame, h_col: str, fractions, class_cols=(), prefix_len: int = PREFIX,
                       ranks_from_counts=None) -> DataFrame:
     """Per class and target ``j``: ``need`` = floor(n_class * fractions[j]) and
     ``cutoff`` = the ``need``-th smallest hash (rows with ``h <= cutoff`` are the first
-    ``need``).  Classes whose ``need`` is 0 get no row.
+    ``need``).  Classes whose ``need`` is 0 get no row; a null class is a class.  Rows whose
+    equal hashes straddle a cut-off fail the job: the key is then not unique.
 
     ``ranks_from_counts(total_col, j_col)`` may override how ``need`` is derived.
     """
     class_cols = list(class_cols)
-    prefix_len = prefix_len or auto_prefix_len(df)
     bucket = F.substring(F.col(h_col), 1, prefix_len)
     counts = df.groupBy(*class_cols, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
     wc = Window.partitionBy(*class_cols)
@@ -59,28 +51,29 @@ def hash_rank_cutoffs(df: DataFrame, h_col: str, fractions, class_cols=(), prefi
     cum = cum.withColumn("_need", need.cast("long"))
     boundary = cum.filter((F.col("_incl") - F.col("_n") < F.col("_need")) & (F.col("_need") <= F.col("_incl"))) \
         .select(*class_cols, "_b", "_j", "_need", (F.col("_need") - F.col("_incl") + F.col("_n")).alias("_r"))
-    # boundary: one row per (class, target) — bounded by construction, so broadcast
-    cand = df.select(*class_cols, F.col(h_col).alias("_h"), bucket.alias("_b")).join(
-        F.broadcast(boundary), [*class_cols, "_b"])
+    # boundary: one row per (class, target), stored: the join is sized by what it holds
+    cand = null_safe_join(df.select(*class_cols, F.col(h_col).alias("_h"), bucket.alias("_b")),
+                          stored(boundary, "rank-boundaries"), [*class_cols, "_b"])
     wr = Window.partitionBy(*class_cols, "_j").orderBy("_h")
-    ranked = cand.withColumn("_rn", F.row_number().over(wr)).filter(F.col("_rn") == F.col("_r"))
-    return ranked.select(*class_cols, F.col("_j").alias("j"), F.col("_need").alias("need"),
-                         F.col("_h").alias("cutoff"))
+    ranked = cand.withColumns({"_rn": F.row_number().over(wr), "_next": F.lead("_h").over(wr)}).filter(F.col("_rn") == F.col("_r"))
+    cutoff = F.when(F.col("_next") == F.col("_h"), F.raise_error(F.lit("rows with equal keys straddle a cut-off: the key is not unique"))) \
+        .otherwise(F.col("_h"))
+    return ranked.select(*class_cols, F.col("_j").alias("j"), F.col("_need").alias("need"), cutoff.alias("cutoff"))
 
 
-SLICE_ROWS = 2_000_000   # largest bracketed slice ranked in one task before a second round
 REFINE_GRID = 1000
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), accuracy: int = 10000,
-                    rounds: int | None = None, extra_aggs: dict | None = None) -> DataFrame:
+                    extra_aggs: dict | None = None) -> DataFrame:
     """Rows (group..., qi, q, n, value): exact quantile ``probs[qi]`` with linear
     interpolation between order statistics (the pandas / numpy default).
 
-    NaN and null values are ignored, as pandas does.  One bracketing round leaves a
-    slice of about 8n/accuracy rows per (group, quantile) to rank; when that could
-    exceed ``SLICE_ROWS`` (decided from one row count) a second round sketches only the
-    slice on a 1,000-point grid and narrows it to about 0.2 % of itself.
+    NaN and null values are ignored, as pandas does; a null group is a group.  Three passes, the
+    same at every size: a sketch brackets each rank; a second sketch of the bracketed slice alone
+    narrows it; rows below a bracket are counted and the distinct values inside it ranked.  The
+    rows themselves never move: the brackets (one stored row per group) are joined to them, and
+    what is shuffled are partial aggregates.  A bracket that misses its rank fails the job.
 
     ``extra_aggs`` ({name: aggregate over ``_x``}) are computed in the same stats pass
     and returned on every row of their group (e.g. describe's moments).
@@ -93,101 +86,95 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), accurac
     x = F.col(value_col).cast("double")
     clean = df.select(*group_cols, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     extra_aggs = extra_aggs or {}
-    extras = list(extra_aggs)
+    k = len(probs)
     stats = clean.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
         F.percentile_approx("_x", lo_p + hi_p, accuracy).alias("_pa"),
         *[a.alias(n) for n, a in extra_aggs.items()])
-    k = len(probs)
-    # small groups (n * delta < 3 ranks of margin): bracket the whole group instead
+    stats = stored(stats.filter("_n > 0"), "quantile-stats")  # one row per group
+    # a group with fewer than 3 ranks of margin is bracketed whole
     small = F.col("_n") * F.lit(delta) < F.lit(3.0)
-    qrows = F.array(*[
+    rows = F.array(*[
         F.struct(F.lit(i).alias("qi"), F.lit(q).alias("q"),
-                 (F.col("_min") if lo_p[i] <= 0.0 else
-                  F.when(small, F.col("_min")).otherwise(F.col("_pa")[i])).alias("lo"),
-                 (F.col("_max") if hi_p[i] >= 1.0 else
-                  F.when(small, F.col("_max")).otherwise(F.col("_pa")[k + i])).alias("hi"))
+                 F.when(small | F.lit(lo_p[i] <= 0.0), F.col("_min")).otherwise(F.col("_pa")[i]).alias("lo"),
+                 F.when(small | F.lit(hi_p[i] >= 1.0), F.col("_max")).otherwise(F.col("_pa")[k + i]).alias("hi"))
         for i, q in enumerate(probs)])
-    per_q = stats.select(*group_cols, "_n", F.explode(qrows).alias("_s")).select(
-        *group_cols, "_n", "_s.qi", "_s.q", "_s.lo", "_s.hi")
-    per_q = per_q.withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("q")) \
-        .withColumn("_r0", F.floor("_h").cast("long")) \
-        .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1))
-    if rounds is None:
-        n_rows = df.select(F.count(F.lit(1))).first()[0]
-        rounds = 1 if n_rows * 8.0 / accuracy <= SLICE_ROWS else 2
-    if rounds >= 2:
-        per_q = _refine_brackets(clean, per_q, group_cols, accuracy)
-    # per_q has |probs| rows per group: a bounded side, joined on the group key
-    # (a constant key when there are no groups, so this stays an equi-join).
-    if group_cols:
-        joined = clean.join(per_q, group_cols)
-    else:
-        # one group: the |probs| bracket rows are a scalar subquery, exploded per row
-        brackets = per_q.select(F.collect_list(F.struct(*[c for c in per_q.columns])).alias("_a")).scalar()
-        joined = clean.select("_x", F.explode(brackets).alias("_s")).select("_x", "_s.*")
-    sliced = joined.filter(F.col("_x") <= F.col("hi")).withColumn(
-        "_xs", F.when(F.col("_x") >= F.col("lo"), F.col("_x")))
-    keys = [*group_cols, "qi", "q", "_n", "_h", "_r0", "_r1"]
-    counted = sliced.groupBy(*keys, "_xs").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*group_cols, "qi").orderBy(F.col("_xs").asc_nulls_first()) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    cum = counted.withColumn("_cum", F.sum("_c").over(w)) \
-        .withColumn("_below", F.sum(F.when(F.col("_xs").isNull(), F.col("_c")).otherwise(0))
-                    .over(Window.partitionBy(*group_cols, "qi")))
-    res = cum.groupBy(*keys).agg(
-        F.min(F.when(F.col("_xs").isNotNull() & (F.col("_cum") > F.col("_r0")), F.col("_xs"))).alias("_v0"),
-        F.min(F.when(F.col("_xs").isNotNull() & (F.col("_cum") > F.col("_r1")), F.col("_xs"))).alias("_v1"),
-        F.max("_below").alias("_below"))
-    value = F.col("_v0") + (F.col("_h") - F.col("_r0")) * (F.col("_v1") - F.col("_v0"))
-    out = res.select(*group_cols, "qi", "q", F.col("_n").alias("n"),
-                     F.when(F.col("_below") <= F.col("_r0"), value).alias("value"))
-    if not extras:
+    brackets = stats.select(*group_cols, "_n", rows.alias("_s"))
+    narrow = stored(_refine_brackets(_with_brackets(clean, brackets, group_cols), stats.select(*group_cols, "_n", rows.alias("_s")), k, group_cols, accuracy), "quantile-brackets")
+
+    placed = _with_brackets(clean, narrow, group_cols)
+    below = placed.groupBy(*group_cols).agg(*[F.count_if(F.col("_x") < F.col("_s")[i]["lo"]).alias(f"_b{i}") for i in range(k)])
+    inside = placed.select(*group_cols, "_x", F.explode(F.filter("_s", lambda s: (F.col("_x") >= s["lo"]) & (F.col("_x") <= s["hi"]))).alias("_s"))
+    counted = inside.groupBy(*group_cols, F.col("_s.qi").alias("qi"), "_x").agg(F.count(F.lit(1)).alias("_c"))
+    per_q = null_safe_join(narrow, below, group_cols) if group_cols else narrow.withColumns({f"_b{i}": below.select(f"_b{i}").scalar() for i in range(k)})
+    per_q = per_q.select(*group_cols, "_n", F.posexplode(F.array(*[F.struct(F.col("_s")[i]["q"].alias("q"), F.col(f"_b{i}").alias("below")) for i in range(k)])).alias("qi", "_t")) \
+        .select(*group_cols, "_n", "qi", "_t.q", "_t.below")
+    h = (F.col("_n") - 1).cast("double") * F.col("q")
+    per_q = per_q.withColumns({"_h": h, "_r0": F.floor(h).cast("long")}).withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1))
+    w = Window.partitionBy(*group_cols, "qi").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    cum = null_safe_join(counted.withColumn("_in", F.sum("_c").over(w)), per_q, [*group_cols, "qi"])
+    seen = F.col("_in") + F.col("below")
+    res = cum.groupBy(*group_cols, "qi", "q", "_n", "_h", "_r0", "below").agg(
+        F.min(F.when(seen > F.col("_r0"), F.col("_x"))).alias("_v0"), F.min(F.when(seen > F.col("_r1"), F.col("_x"))).alias("_v1"))
+    missed = (F.col("below") > F.col("_r0")) | F.col("_v0").isNull() | F.col("_v1").isNull()
+    value = F.when(missed, F.raise_error(F.lit("a quantile's bracket misses its rank")).cast("double")) \
+        .otherwise(F.col("_v0") + (F.col("_h") - F.col("_r0")) * (F.col("_v1") - F.col("_v0")))
+    out = res.select(*group_cols, "qi", "q", F.col("_n").alias("n"), value.alias("value"))
+    if not extra_aggs:
         return out
-    # extras are per-group values: joined back from the (one row per group) stats table,
-    # never carried through the row-level aggregation
     if group_cols:
-        return out.join(stats.select(*group_cols, *extras), group_cols)
-    one = stats.select(*extras)
-    return out.select("*", *[one.select(n).scalar().alias(n) for n in extras])
+        return null_safe_join(out, stats.select(*group_cols, *extra_aggs), group_cols)
+    return out.select("*", *[stats.select(n).scalar().alias(n) for n in extra_aggs])
 
 
-def hash_rank(df: DataFrame, h_col: str, prefix_len: int | None = None, rank_col: str = "rank") -> DataFrame:
+def _with_brackets(clean: DataFrame, brackets: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Rows with their group's array of brackets ``_s``."""
+    if group_cols:
+        return null_safe_join(clean, brackets.select(*group_cols, "_s"), group_cols)
+    return clean.select("_x", brackets.select("_s").scalar().alias("_s"))
+
+
+def hash_rank(df: DataFrame, h_col: str, prefix_len: int = PREFIX, rank_col: str = "rank") -> DataFrame:
     """Global 0-based rank of every row by a (uniform) hash, without a single-task sort:
     counts per hex prefix, exclusive prefix sums over the (bounded) bucket table, then
     ``row_number`` inside each bucket — buckets are balanced because hashes are uniform."""
-    prefix_len = prefix_len or auto_prefix_len(df)
     bucket = F.substring(F.col(h_col), 1, prefix_len)
     counts = df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
-    # at most 16^prefix_len rows: a bounded window, independent of the data size
-    offsets = counts.select("_b", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    # running sums in two steps: over the buckets of one leading digit, and over the digits
+    counts = counts.withColumn("_d", F.substring("_b", 1, 1))
+    digits = counts.groupBy("_d").agg(F.sum("_n").alias("_dn"))
+    ahead = digits.select("_d", F.coalesce(F.sum("_dn").over(Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_doff"))
+    inner = F.coalesce(F.sum("_n").over(Window.partitionBy("_d").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.withColumn("_in", inner).join(ahead, "_d").select("_b", (F.col("_in") + F.col("_doff")).alias("_off"))
     j = df.withColumn("_b", bucket).join(offsets, "_b")
     rn = F.row_number().over(Window.partitionBy("_b").orderBy(h_col))
     return j.withColumn(rank_col, (F.col("_off") + rn - 1).cast("long")).drop("_b", "_off")
 
 
-def _refine_brackets(clean: DataFrame, per_q: DataFrame, group_cols: list[str], accuracy: int) -> DataFrame:
-    """Second bracketing round: per (group, quantile), sketch only the rows inside
-    [lo, hi] on a fixed grid of probabilities and keep the two grid values around the
-    wanted ranks (with a margin of two sketch errors)."""
+def _refine_brackets(placed: DataFrame, brackets: DataFrame, k: int, group_cols: list[str], accuracy: int) -> DataFrame:
+    """Second round: sketch only the rows inside each bracket on a fixed grid of probabilities and keep the
+    two grid values around the wanted ranks (with a margin of two sketch errors).  (group..., _n, _s)"""
     g = REFINE_GRID
     grid = [i / g for i in range(g + 1)]
-    keys = [*group_cols, "qi"]
-    j = clean.join(per_q.select(*keys, "lo", "hi"), group_cols) if group_cols else \
-        clean.select("_x", F.explode(per_q.select(F.collect_list(F.struct("qi", "lo", "hi")).alias("_a")).scalar())
-                     .alias("_s")).select("_x", "_s.*")
-    inside = (F.col("_x") >= F.col("lo")) & (F.col("_x") <= F.col("hi"))
-    sk = j.groupBy(*keys).agg(F.count_if(F.col("_x") < F.col("lo")).alias("_b1"),
-                              F.count_if(inside).alias("_m1"),
-                              F.percentile_approx(F.when(inside, F.col("_x")), grid, accuracy).alias("_g"))
-    out = per_q.join(sk, keys, "left")
     m = 2.0 / accuracy
-    t0 = (F.col("_r0") - F.col("_b1")) / F.col("_m1")
-    t1 = (F.col("_r1") - F.col("_b1")) / F.col("_m1")
-    i_lo = F.greatest(F.floor((t0 - m) * g), F.lit(0)).cast("int")
-    i_hi = F.least(F.ceil((t1 + m) * g), F.lit(g)).cast("int")
-    ok = F.col("_m1") > 0
-    lo2 = F.when(ok & (i_lo > 0), F.element_at("_g", i_lo + 1)).otherwise(F.col("lo"))
-    hi2 = F.when(ok & (i_hi < g), F.element_at("_g", i_hi + 1)).otherwise(F.col("hi"))
-    return out.withColumn("lo", lo2).withColumn("hi", hi2).drop("_b1", "_m1", "_g")
+    lo, hi = (lambda i: F.col("_s")[i]["lo"]), (lambda i: F.col("_s")[i]["hi"])
+    inside = [(F.col("_x") >= lo(i)) & (F.col("_x") <= hi(i)) for i in range(k)]
+    sketched = placed.groupBy(*group_cols).agg(*[a for i in range(k) for a in (
+        F.count_if(F.col("_x") < lo(i)).alias(f"_b{i}"), F.count_if(inside[i]).alias(f"_m{i}"),
+        F.percentile_approx(F.when(inside[i], F.col("_x")), grid, accuracy).alias(f"_g{i}"))])
+    if group_cols:
+        both = null_safe_join(brackets, sketched, group_cols)
+    else:
+        both = brackets.withColumns({c: sketched.select(c).scalar() for i in range(k) for c in (f"_b{i}", f"_m{i}", f"_g{i}")})
+    out = []
+    for i in range(k):
+        h = F.floor((F.col("_n") - 1).cast("double") * F.col("_s")[i]["q"]).cast("long")
+        r1 = F.least(h + 1, F.col("_n") - 1)
+        t0, t1 = ((r - F.col(f"_b{i}")) / F.nullif(F.col(f"_m{i}"), F.lit(0)) for r in (h, r1))
+        i_lo = F.greatest(F.floor((t0 - m) * g), F.lit(0)).cast("int")
+        i_hi = F.least(F.ceil((t1 + m) * g), F.lit(g)).cast("int")
+        # a grid value stands for its rank up to the sketch's error, so the ends keep the old bracket
+        out.append(F.struct(F.lit(i).alias("qi"), F.col("_s")[i]["q"].alias("q"),
+                            F.when(i_lo > 0, F.element_at(f"_g{i}", i_lo + 1)).otherwise(lo(i)).alias("lo"),
+                            F.when(i_hi < g, F.element_at(f"_g{i}", i_hi + 1)).otherwise(hi(i)).alias("hi")))
+    return both.select(*group_cols, "_n", F.array(*out).alias("_s"))

@@ -81,6 +81,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def stored(df, name: str):
+    """``df`` written once to the shared folder and read back.  Later actions don't recompute it, and a join with
+    it is sized by its files: Catalyst broadcasts it below ``autoBroadcastJoinThreshold`` and shuffles beyond."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")

@@ -11,22 +11,28 @@ from raresight.errors import IngestError
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, failfast: bool = True) -> DataFrame:
-    """Header CSV with a declared schema (never inferred).
+    """Header CSV with a declared schema (never inferred), read by column name: the file's columns may come in
+    any order.  A missing or unexpected column raises.
 
     ``failfast`` raises on the first malformed row (the reference's parse error);
     otherwise malformed rows are kept with a ``_corrupt_record`` column for counting.
     """
-    reader = spark.read.option("header", True)
-    if failfast:
-        reader = reader.schema(schema).option("mode", "FAILFAST")
-    else:
-        schema = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
-        reader = (reader.schema(schema).option("mode", "PERMISSIVE")
-                  .option("columnNameOfCorruptRecord", "_corrupt_record"))
-    try:
-        return reader.csv(path)
-    except Exception as exc:  # missing path is reported at analysis time
+    try:  # the header alone; a missing path is reported here
+        header = spark.read.option("header", True).csv(path).columns
+    except Exception as exc:
         raise IngestError(f"cannot read CSV at {path}: {exc}") from exc
+    declared = {f.name: f for f in schema.fields}
+    if sorted(header) != sorted(declared):
+        missing, extra = [c for c in declared if c not in header], [c for c in header if c not in declared]
+        raise IngestError(f"CSV at {path} does not have the declared columns: missing {missing}, unexpected {extra}")
+    in_file = [declared[c] for c in header]
+    # every part file must have the same header: a different one fails the job instead of being read by position
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    if failfast:
+        return reader.schema(T.StructType(in_file)).option("mode", "FAILFAST").csv(path).select(*declared)
+    corrupt = T.StructField("_corrupt_record", T.StringType())
+    return (reader.schema(T.StructType([*in_file, corrupt])).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path).select(*declared, "_corrupt_record"))
 
 
 def read_split(spark: SparkSession, path: str, target: str = "Class", split: str | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ the given tables:
 
 * transactions = ``events``: Time = seconds since ``min(ts)``, Amount = ``value``,
   Class = ``event_type = 'error'``, key ``event_id``;
-* features = ``embeddings``: V1..V28 = first 28 elements, Class = ``label = 0``, key ``vec_id``;
+* features = ``embeddings``: V1..V64 = its elements, Class = ``label = 0``, key ``vec_id``;
 * returns = ``lineitem``: Class = ``l_returnflag = 'R'``; it has no key.
 """
 
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from raresight.functions import label_flag, seconds_between
 
-V_COLUMNS = [f"V{i}" for i in range(1, 29)]
+V_COLUMNS = [f"V{i}" for i in range(1, 29)]  # the card table's features
+E_COLUMNS = [f"V{i}" for i in range(1, 65)]  # the stand-in's: every element of an embedding
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,7 +51,7 @@ def thin_positives(df: DataFrame, key: str, label: str = "Class", below: str = "
     return df.withColumn(label, label_flag((F.col(label) == 1) & keep))
 
 
-def feature_table(spark: SparkSession, sf_dir: str, n_features: int = 28) -> DataFrame:
+def feature_table(spark: SparkSession, sf_dir: str, n_features: int = len(E_COLUMNS)) -> DataFrame:
     """``embeddings`` as a PCA-feature table: (vec_id, V1..Vn, Class)."""
     emb = load(spark, sf_dir, "embeddings")
     return emb.select(

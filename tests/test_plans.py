@@ -41,7 +41,7 @@ def test_exact_quantiles_two_rounds_match_numpy(spark, grouped):
     df = spark.createDataFrame([(float(v), int(k)) for v, k in zip(x, g)], "x double, g long")
     probs = [0.01, 0.25, 0.5, 0.9]
     by = ["g"] if grouped else []
-    got = exact_quantiles(df, "x", probs, by, accuracy=200, rounds=2).collect()
+    got = exact_quantiles(df, "x", probs, by, accuracy=200).collect()
     for r in got:
         xs = x[g == r["g"]] if grouped else x
         assert r["value"] == pytest.approx(np.percentile(xs, probs[r["qi"]] * 100), abs=1e-12)

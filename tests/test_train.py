@@ -35,9 +35,9 @@ def test_factory_rejects_missing_hyperparameter(spark, params):
 def test_strategy_errors(spark):
     df = spark.createDataFrame([(1, 0.1, 0)], "vec_id long, V1 double, Class long")
     with pytest.raises(ModelConfigError, match="Missing required param: resampling"):
-        M.training_frame(df, {"model": "logistic_regression", "max_iter": 10}, ["V1"])
+        M.training_frame(df, {"model": "logistic_regression", "max_iter": 10, "random_state": 1}, ["V1"])
     with pytest.raises(ModelConfigError, match="Unsupported resampling"):
-        M.training_frame(df, {"model": "logistic_regression", "max_iter": 10, "resampling": "adasyn"}, ["V1"])
+        M.training_frame(df, {"model": "logistic_regression", "max_iter": 10, "random_state": 1, "resampling": "adasyn"}, ["V1"])
 
 
 def test_balanced_weights_sum_to_n(spark):
@@ -77,8 +77,8 @@ def test_threshold_application_is_inclusive(spark):
     """Decisions follow p >= threshold on fitted models of both families."""
     feat = S.feature_table(spark, SF01, n_features=6)
     cols = [f"V{i}" for i in range(1, 7)]
-    for params in [{"model": "logistic_regression", "max_iter": 50, "resampling": "none"},
-                   {"model": "gbt", "n_estimators": 5, "max_depth": 3, "learning_rate": 0.1,
+    for params in [{"model": "logistic_regression", "max_iter": 50, "random_state": 42, "resampling": "none"},
+                   {"model": "gbt", "n_estimators": 5, "max_depth": 3, "learning_rate": 0.1, "random_state": 42,
                     "scale_pos_weight": None, "resampling": "none"}]:
         model = M.fit_model(feat, cols, params, "Class", "vec_id")
         probs = sorted(r["fraud_probability"] for r in M.score(model, feat, 0.5).collect())
