@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from raresight.llm.common import written
 
-WORDS = r"filter(split(line, '[\\x20\\x09-\\x0D]+'), w -> w != '')"
+# lines are cut at line feeds, so the other white space of the contracts is left: made blanks, then cut at blanks
+WORDS = r"array_remove(split(translate(line, '\t\u000b\u000c\r', '    '), ' '), '')"
 STEP = 8  # lengths of one class share the length of their compared ends
 PLACE = ("d", "l", "t")  # doc_id, line number, hash of the text: the order of lines
 
@@ -39,17 +40,15 @@ def place(prefix: str = "") -> Column:
     return F.struct(*[F.col(prefix + c).alias(c) for c in PLACE])
 
 
-def distinct_lines(docs: DataFrame, text: str, min_words: int) -> DataFrame:
-    """One row per distinct line: h1, h2, place of its first occurrence, number of occurrences, keys of its ends."""
+def hashed_lines(docs: DataFrame, text: str, min_words: int) -> DataFrame:
+    """One row per line with a word: its place, 128-bit hash (h1, h2) and the keys of its ends."""
     lines = numbered(docs.select("doc_id", F.col(text).alias("text")), "text").select("d", "t", F.posexplode(F.split("text", "\n")).alias("l", "line"))
-    words = lines.select("d", "t", "l", F.expr(WORDS).alias("words")).filter(F.size("words") > 0)
-    named = words.withColumn("norm", F.array_join("words", " ")).withColumn("n", F.size("words"))
+    named = lines.select("d", "t", "l", F.expr(WORDS).alias("words")).filter(F.size("words") > 0).withColumn("n", F.size("words"))
     # a line of n words meets lines of n and n + 1 words (as the shorter) and of n - 1 (as the longer)
     kinds = f"if(n < {min_words}, array(), array_distinct(array(n div {STEP}, (n + 1) div {STEP})))"
-    ends = (f"flatten(transform({kinds}, c -> array(xxhash64(1, c, array_join(slice(words, 1, int((c * {STEP} - 1) div 2)), ' ')), "
-            f"xxhash64(2, c, array_join(slice(words, int(n - (c * {STEP} - 1) div 2 + 1), int((c * {STEP} - 1) div 2)), ' ')))))")
-    return (named.select("d", "t", "l", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"), F.expr(ends).alias("ends"))
-            .groupBy("h1", "h2").agg(F.min(place()).alias("first"), F.count("*").alias("n"), F.any_value("ends").alias("ends")))
+    ends = (f"flatten(transform({kinds}, c -> array(xxhash64(1, c, slice(words, 1, int((c * {STEP} - 1) div 2))), "
+            f"xxhash64(2, c, slice(words, int(n - (c * {STEP} - 1) div 2 + 1), int((c * {STEP} - 1) div 2))))))")
+    return named.select("d", "t", "l", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"), F.expr(ends).alias("ends"))
 
 
 def neighbourhood(lines: DataFrame) -> DataFrame:
@@ -76,14 +75,15 @@ def near_duplicates(docs: DataFrame, text: str, distinct: DataFrame) -> DataFram
     ends = distinct.select(F.explode("ends").alias("end"), "h1", "h2", "first.*")
     common = ends.groupBy("end").agg((F.min(F.struct("h1", "h2")) != F.max(F.struct("h1", "h2"))).alias("more")).filter("more").select("end")
     chosen = ends.join(common, "end", "left_semi").groupBy("d", "t").agg(F.collect_set("l").alias("ls"))
-    wanted = F.expr("transform(ls, l -> struct(l as l, get(split(text, '\\n'), l) as line))")
+    # the text is split once: an array of one element carries the lines into the inner function
+    wanted = F.expr("transform(array(split(text, '\\n')), a -> transform(ls, l -> struct(l as l, get(a, l) as line)))[0]")
     lines = (numbered(docs.select("doc_id", F.col(text).alias("text")), "text").join(chosen, ["d", "t"])
              .select("d", "t", F.explode(wanted).alias("x")).select("d", "t", "x.l", "x.line").select(*PLACE, F.expr(WORDS).alias("words")))
     lines = written(lines.dropDuplicates(list(PLACE)), "line-words")
 
     # most variants meet no other; those that do are told apart by a hash of the very words that are left
     met = (neighbourhood(lines).withColumn("met", F.count("*").over(Window.partitionBy("key"))).filter("met > 1").select(*PLACE, "pos")
-           .join(lines, list(PLACE)).withColumn("left", F.expr(f"array_join({remainder('words', 'pos')}, ' ')"))
+           .join(lines, list(PLACE)).withColumn("left", F.expr(remainder('words', 'pos')))
            .select(*PLACE, "pos", F.xxhash64("left").alias("r1"), F.xxhash64(F.lit(1), "left").alias("r2")))
     # the earliest line of each remainder, by how it got there: as it is, without any one word, without this word
     of_rest, of_pos = Window.partitionBy("r1", "r2"), Window.partitionBy("r1", "r2", "pos")
@@ -106,13 +106,11 @@ def near_duplicates(docs: DataFrame, text: str, distinct: DataFrame) -> DataFram
 
 def removed_lines(docs: DataFrame, text: str, min_words: int) -> DataFrame:
     """One row per document (d, t) that loses lines: gone (their numbers)."""
-    distinct = written(distinct_lines(docs, text, min_words), "distinct-lines")
+    lines = written(hashed_lines(docs, text, min_words), "hashed-lines")
+    distinct = written(lines.groupBy("h1", "h2").agg(F.min(place()).alias("first"), F.count("*").alias("n"), F.any_value("ends").alias("ends")), "distinct-lines")
     near = near_duplicates(docs, text, distinct)
-    lines = numbered(docs.select("doc_id", F.col(text).alias("text")), "text").select("d", "t", F.posexplode(F.split("text", "\n")).alias("l", "line"))
-    words = lines.select("d", "t", "l", F.expr(WORDS).alias("words")).filter(F.size("words") > 0).withColumn("norm", F.array_join("words", " "))
     repeated = distinct.filter("n > 1").select("h1", "h2", "first")
-    exact = (words.select("d", "t", "l", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2")).join(repeated, ["h1", "h2"])
-             .filter(F.col("first") < place()).select(*PLACE))
+    exact = lines.select(*PLACE, "h1", "h2").join(repeated, ["h1", "h2"]).filter(F.col("first") < place()).select(*PLACE)
     return exact.union(near).groupBy("d", "t").agg(F.collect_set("l").alias("gone"))
 
 
