@@ -237,11 +237,6 @@ def find_first(asked: DataFrame) -> DataFrame:
     return asked.groupBy("range").applyInPandas(first_group, ANSWER)
 
 
-def answer_both(asked: DataFrame) -> DataFrame:
-    """Both kinds in one shuffle: ranges from 0 are a sketch's, negative ones (-1 - range) are ``Keys``."""
-    return asked.groupBy("range").applyInPandas(lambda group: merge_group(group) if group["range"].iloc[0] >= 0 else first_group(group), ANSWER)
-
-
 def range_bits_for(keys: float, each: int = 1 << 20) -> int:
     """So many key ranges (a power of two) that one holds about ``each`` keys, however many there are."""
     return max(0, int(np.ceil(np.log2(max(1.0, keys / each)))))

@@ -3,19 +3,22 @@
 A document's set is its distinct word n-grams (as 64-bit hashes of the words).  Two documents link
 when ``100 * intersection >= percent * union``.
 
-1. Equal sets are one class.  Blocks send a count-min sketch of their shingles and the hashes of their
-   sets; the answers tell which shingles can occur in two sets, and which block holds a class first.
+1. Equal sets are one class: blocks send the hashes of their sets and learn which block holds a class
+   first.  Then they send a count-min sketch of the shingles of the classes they hold first; the answers
+   tell which shingles can occur in two classes.
 2. The bound of a set against all others together: a document links with something only if
    ``percent`` of its shingles occur elsewhere.  Most documents end here.  The rest keep just the
-   shingles that can be shared.
-3. The token-group matrix.  Documents are grouped by their least shingle (documents alike mostly have the same
+   shingles that can be shared, ordered by hash.
+3. The token-group matrix.  Documents are grouped by their first shingle (documents alike mostly have the same
    one); a group that is too large for a task is dealt out by hash.  Each group is one task's: it links
    its documents exactly, comparing a document only with those not yet in its component.
-4. Each component of a group stores the union of its members' prefixes (the first shingles by hash, so many that
-   two linked documents must share one).  Components that share a prefix shingle and whose sizes are
-   compatible are compared by their first documents.  Where these do not link, the larger component
-   is opened for the documents of the smaller one: a document is compared with its members only
-   if its overlap with the union of the members' shingles reaches the bound.
+4. Each component of a group stores the union of its members' prefixes (the first shingles, so many that
+   two linked documents must share one).  Each component first tries the largest component that shares a
+   prefix shingle with it, by their first documents.  Then only components of still different clusters
+   that share a prefix shingle and have compatible sizes are paired.  Where their first documents do
+   not link, the larger component is opened for the documents of the smaller one: a document is
+   compared with its members only if its overlap with the union of the members' shingles reaches the
+   bound.
 5. The links between components give the final components; classes and documents follow.
 
 Everything is exact up to equal 64-bit hashes of different shingles.  Null text, and text without
@@ -81,6 +84,12 @@ class Sets:
         self.keys = B.Keys(high, low, np.full(len(self.filled), block, np.int64), self.filled, range_bits)
         self.own = self.filled[self.keys.position[self.keys.inverse] == self.filled]  # first of their class in this block
 
+    def hold(self, answer: list[dict]) -> None:
+        """Keep the classes that no other block holds first."""
+        later = np.zeros(len(self.sets), bool)
+        later[self.filled] = self.keys.elsewhere_earlier(answer)
+        self.own = self.own[~later[self.own]]
+
     def name(self, row: int) -> bytes:
         return int(self.names[0][row]).to_bytes(8, "big") + int(self.names[1][row]).to_bytes(8, "big")
 
@@ -242,25 +251,32 @@ def classes(blocks: DataFrame, size: int, percent: int) -> tuple[DataFrame, Data
     sketch = B.Sketch(int(words), rows=1, load=0.5)
     range_bits = B.range_bits_for(words / 256)
 
-    def ask(block, batch, _):
+    def ask_first(block, batch, _):
+        found = Sets(block, batch, size, range_bits).keys.packed()
+        if found:
+            yield B.questions(block, found)
+
+    first = written(B.gathered(B.find_first(B.each_block(blocks, ask_first, B.QUESTION)), "first"), "class-first")
+
+    def ask_counts(block, batch, given):
         s = Sets(block, batch, size, range_bits)
-        found = sketch.partial(s.tokens()) + [(-1 - r, blob) for r, blob in s.keys.packed()]
+        s.hold(given["first"])
+        found = sketch.partial(s.tokens())
         if found:
             yield B.questions(block, found)
 
-    answers = written(B.gathered(B.answer_both(B.each_block(blocks, ask, B.QUESTION)), "answers"), "shingle-answers")
+    held = B.with_answers(blocks, first=first)
+    counted = written(B.gathered(B.merge_sketches(B.each_block(held, ask_counts, B.QUESTION, ("first",))), "counted"), "shingle-counts")
 
     def survivors(block, batch, given):
         s = Sets(block, batch, size, range_bits)
-        told = given["answers"]
-        later = np.zeros(batch.num_rows, bool)
-        later[s.filled] = s.keys.elsewhere_earlier([{"range": -1 - a["range"], "bits": a["bits"]} for a in told if a["range"] < 0])
-        shared = sketch.estimates(s.tokens(), [a for a in told if a["range"] >= 0])
+        s.hold(given["first"])
+        shared = sketch.estimates(s.tokens(), given["counted"])
         at = np.concatenate([[0], np.cumsum(s.sizes[s.own])]).tolist()
         node, n, least, tokens = [], [], [], []
         for r, a, b in zip(s.own.tolist(), at, at[1:]):
             kept = s.sets[r][shared[a:b]]
-            if not later[r] and len(kept) and 100 * len(kept) >= percent * int(s.sizes[r]):
+            if len(kept) and 100 * len(kept) >= percent * int(s.sizes[r]):
                 node.append(s.name(r))
                 n.append(int(s.sizes[r]))
                 least.append(int(kept[:1].view(np.int64)[0]))
@@ -275,26 +291,36 @@ def classes(blocks: DataFrame, size: int, percent: int) -> tuple[DataFrame, Data
             pa.array([*names, *node], pa.binary()), pa.array([None] * m + least, pa.int64()), pa.array([None] * m + tokens, pa.binary())],
             ["block", "row", "id", "n", "node", "least", "tokens"])
 
-    both = written(B.each_block(B.with_answers(blocks, answers=answers), survivors, "block long, row long, id long, n long, node binary, least long, tokens binary", ("answers",)), "shingle-sets")
+    both = written(B.each_block(B.with_answers(blocks, first=first, counted=counted), survivors, "block long, row long, id long, n long, node binary, least long, tokens binary", ("first", "counted")), "shingle-sets")
     rows = both.filter("tokens is null").select("block", "row", "id", "n", "node")
     sets = both.filter("tokens is not null").select("node", "n", "least", "tokens")
 
     grouped = family_components(sets, percent)
     members = grouped.filter("node is not null").select("node", "component")
     heads = grouped.filter("node is null").drop("node")
-    index = heads.select("component", "least", "part", "least_n", "most_n", "n_docs", F.explode("prefix").alias("token"))
-    other = index.toDF("component_", "least_", "part_", "least_n_", "most_n_", "n_docs_", "token")
-    fits = (F.col("component") < F.col("component_")) & ((F.col("least") != F.col("least_")) | (F.col("part") != F.col("part_")))
+    index = written(heads.select("component", "least", "part", "least_n", "most_n", "n_docs", F.explode("prefix").alias("token")), "group-index")
+
+    # first a star: each component tries the largest component that it shares a prefix shingle with, one pair each
+    centre = index.groupBy("token").agg(F.max(F.struct("n_docs", "component")).alias("c"), F.count("*").alias("holders")).filter("holders > 1").select("token", "c")
+    star = (index.join(centre, "token").groupBy("component").agg(F.max("c").alias("c")).filter("component <> c.component")
+            .select(F.col("component").alias("a"), F.col("c.component").alias("b")))
+    tried = written(linked(star, sets, percent), "star-links")
+    # then only pairs that are still apart: of tokens that components of different clusters hold
+    cluster = components(tried.filter("link").select("a", "b")).select(F.col("node").alias("component"), F.col("label").alias("cluster"))
+    clustered = index.join(cluster, "component", "left").withColumn("cluster", F.coalesce("cluster", "component"))
+    shared = clustered.groupBy("token").agg((F.min("cluster") != F.max("cluster")).alias("apart")).filter("apart").select("token")
+    apart = written(clustered.join(shared, "token", "left_semi"), "group-index-apart")
+    other = apart.withColumnsRenamed({c: f"{c}_" for c in apart.columns if c != "token"})
+    fits = (F.col("cluster") < F.col("cluster_")) & ((F.col("least") != F.col("least_")) | (F.col("part") != F.col("part_")))
     fits &= (100 * F.col("most_n") >= percent * F.col("least_n_")) & (100 * F.col("most_n_") >= percent * F.col("least_n"))
-    larger_last = F.col("n_docs") <= F.col("n_docs_")
-    pairs = index.join(other, "token").filter(fits).select(
+    larger_last = F.struct("n_docs", "component") < F.struct(F.col("n_docs_").alias("n_docs"), F.col("component_").alias("component"))
+    pairs = written(apart.join(other, "token").filter(fits).select(
         F.when(larger_last, F.col("component")).otherwise(F.col("component_")).alias("a"), F.when(larger_last, F.col("component_")).otherwise(F.col("component")).alias("b"),
-        (F.greatest("n_docs", "n_docs_") > 1).alias("more")).distinct()
-    pairs = written(pairs, "group-pairs")
-    tried = written(linked(pairs.select("a", "b"), sets, percent), "first-links")
+        (F.greatest("n_docs", "n_docs_") > 1).alias("more")).distinct(), "group-pairs")
+    again = written(linked(pairs.join(tried, ["a", "b"], "left_anti").select("a", "b"), sets, percent), "pair-links")
     # where the first documents don't link, other members may
-    left = pairs.filter("more").join(tried.filter("not link"), ["a", "b"], "left_semi").select("a", "b")
-    links = tried.filter("link").select("a", "b").union(opened(left, members, sets, percent))
+    left = pairs.filter("more").join(again.filter("link"), ["a", "b"], "left_anti").select("a", "b")
+    links = tried.filter("link").select("a", "b").union(again.filter("link").select("a", "b")).union(opened(left, members, sets, percent))
     labels = components(links)
     joined = members.join(labels, members["component"] == labels["node"], "left").select(members["node"], F.coalesce("label", "component").alias("component"))
     return rows, written(joined, "class-components")
