@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raresight.llm import jaccard, lines, packing, quality, substring, token_ids
-from raresight.llm.common import documents, recorded, remove
+from raresight.llm.common import documents, recorded, remove, ship
 from raresight.session import scratch_path
 
 ORACLE_SQL = None
@@ -49,6 +49,7 @@ def after_the_last(first: bool = False):
     def wrap(stage):
         @wraps(stage)
         def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            ship(spark)
             if not first:
                 remove(spark, _TABLES)
             with recorded() as paths:

@@ -3,12 +3,16 @@ and stable hashes on UTF-8 bytes, and tables written to the shared folder."""
 
 from __future__ import annotations
 
+import io
+import os
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +26,30 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package's code to the Python workers (once per application), so that they need no copy of their own."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "raresight")):
+            for name in names:
+                if name.endswith(".py"):
+                    z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), root))
+    path = f"{scratch_path(spark, 'code')}/raresight.zip"
+    store, at = fs.FileSystem.from_uri(path)
+    store.create_dir(os.path.dirname(at), recursive=True)
+    with store.open_output_stream(at) as f:
+        f.write(archive.getvalue())
+    context.addPyFile(path)
+
+
 _RECORDS: list[list[str]] = []
 
 

@@ -7,12 +7,13 @@ against brute force in ``tests/llm``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raresight.llm import bpe, fingerprints, jaccard, licences, lines, packing, quality, substring, token_files, token_ids, urls
-from raresight.llm.common import documents
+from raresight.llm.common import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -20,7 +21,12 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = query
         if sql is not None:
             ORACLE[name] = sql.strip()
         return fn
