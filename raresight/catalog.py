@@ -1476,3 +1476,76 @@ def d3_psi_halves(spark, sf_dir):
     """Column PSI of Amount, second half of January against the first half's deciles."""
     ref, cur = _halves(spark, sf_dir)
     return _r9cols(D.column_psi(ref, cur, ["Amount"], 10), ["psi"])
+
+
+# ----------------------------------------------------------------------------
+# V9: the gate at three boundaries (two tables that fail, one that passes)
+@register("v9_gate_verdicts", sql=f"""
+WITH {SQL_TX},
+ev AS ({ORACLE["v6_contract_summary_events"]}),
+cu AS ({ORACLE["v6_contract_summary_customer"]})
+SELECT 'events' AS boundary, "column", "check", n_failed, 'rejected' AS verdict FROM ev WHERE n_failed > 0
+UNION ALL SELECT 'customer', "column", "check", n_failed, 'rejected' FROM cu WHERE n_failed > 0
+UNION ALL SELECT 'transactions', NULL, NULL, CAST(0 AS BIGINT), 'passed' FROM tx
+          HAVING count(*) FILTER (WHERE Time IS NULL OR Amount IS NULL OR Time < 0 OR Amount < 0 OR Class NOT IN (0, 1)) = 0
+""")
+def v9_gate_verdicts(spark, sf_dir):
+    from raresight.errors import ContractViolation
+
+    boundaries = [("events", S.load(spark, sf_dir, "events"), EVENTS_CONTRACT), ("customer", S.load(spark, sf_dir, "customer"), CUSTOMER_CONTRACT),
+                  ("transactions", S.transaction_table(spark, sf_dir).drop("event_id"), V.raw_transaction_contract(features=()))]
+    out = None
+    for name, df, contract in boundaries:
+        try:
+            V.enforce(df, contract, name)
+            rows = spark.createDataFrame([(None, None, 0)], "column string, check string, n_failed bigint").withColumn("verdict", F.lit("passed"))
+        except ContractViolation:
+            rows = V.contract_summary(df, contract).filter("n_failed > 0").withColumn("verdict", F.lit("rejected"))
+        rows = rows.select(F.lit(name).alias("boundary"), "column", "check", "n_failed", "verdict")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# M6: the training frame of each strategy: rows and weights by class
+@register("m6_strategy_frames", sql=f"""
+WITH {SQL_FEAT_SPLIT},
+c AS (SELECT Class, count(*) AS n FROM ftrain GROUP BY Class),
+t AS (SELECT sum(n) AS n, count(*) AS k, max(n) FILTER (WHERE Class = 1) AS p, max(n) FILTER (WHERE Class = 0) AS q FROM c)
+SELECT 'logistic_regression' AS model, 'none' AS resampling, Class, c.n AS n_rows, round(t.n / (t.k * c.n), 9) AS weight FROM c, t
+UNION ALL SELECT 'xgboost', 'none', Class, c.n, round(CASE WHEN Class = 1 THEN t.q / t.p ELSE 1.0 END, 9) FROM c, t
+UNION ALL SELECT 'logistic_regression', 'smote', Class, greatest(c.n, t.q), CAST(NULL AS DOUBLE) FROM c, t
+""")
+def m6_strategy_frames(spark, sf_dir):
+    train, _ = _feature_split(spark, sf_dir)
+    out = None
+    for params in (LR_PARAMS, GBT_PARAMS, dict(LR_PARAMS, resampling="smote")):
+        frame, weight = M.training_frame(train, params, S.E_COLUMNS, "Class", "vec_id")
+        value = F.max(weight) if weight else F.lit(None).cast("double")  # one weight per class
+        rows = frame.groupBy("Class").agg(F.count(F.lit(1)).alias("n_rows"), F.round(value, 9).alias("weight")).select(
+            F.lit(params["model"]).alias("model"), F.lit(params["resampling"]).alias("resampling"), "Class", "n_rows", "weight")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# D10 over features: both modes of the injection
+def _unit_sql(feature: str, part: int) -> str:
+    return (f"(CAST(CAST(('0x' || substr(md5(concat_ws('|', '0', '{feature}:{part}', CAST(vec_id AS VARCHAR))), 1, 13)) AS BIGINT) AS DOUBLE)"
+            " / 4503599627370496.0::DOUBLE)")
+
+
+@register("d10_feature_shift", sql=f"""
+WITH feat AS ({FEAT_SQL})
+SELECT vec_id, {", ".join(f"{v} * 2.0::DOUBLE + 3.0::DOUBLE AS {v}" for v in S.E_COLUMNS)}, Class FROM feat
+""")
+def d10_feature_shift(spark, sf_dir):
+    return D.inject_drift(S.feature_table(spark, sf_dir), ["vec_id"], S.E_COLUMNS, None, None, seed=0)
+
+
+@register("d10_feature_resample", sql=f"""
+WITH feat AS ({FEAT_SQL})
+SELECT vec_id, {", ".join(f"round(3.0 + 2.0 * (sqrt(-2.0 * ln(1.0 - {_unit_sql(v, 1)})) * cos(2 * pi() * {_unit_sql(v, 2)})), 6) AS {v}" for v in S.E_COLUMNS)}, Class
+FROM feat
+""")
+def d10_feature_resample(spark, sf_dir):
+    out = D.inject_drift(S.feature_table(spark, sf_dir), ["vec_id"], S.E_COLUMNS, None, None, seed=0, mode="resample")
+    return out.select("vec_id", *[F.round(v, 6).alias(v) for v in S.E_COLUMNS], "Class")

@@ -313,11 +313,12 @@ def delayed_label_quality(predictions: DataFrame, labels: DataFrame, key: str, t
 
 
 # D10 ----------------------------------------------------------------------------
-def hash_normal(seed, tag: str, *key_cols):
+def hash_normal(seed, tag, *key_cols):
     """A standard normal per key from two seeded hash uniforms (Box-Muller): repeatable on
     any partitioning, unlike ``randn(seed)``."""
-    u1 = hash_uniform(seed, F.lit(tag + ":1"), *key_cols)
-    u2 = hash_uniform(seed, F.lit(tag + ":2"), *key_cols)
+    tag = F.lit(tag) if isinstance(tag, str) else tag
+    u1 = hash_uniform(seed, F.concat(tag, F.lit(":1")), *key_cols)
+    u2 = hash_uniform(seed, F.concat(tag, F.lit(":2")), *key_cols)
     return F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u1)) * F.cos(F.lit(2 * math.pi) * u2)
 
 
@@ -328,12 +329,12 @@ def inject_drift(df: DataFrame, key_cols, feature_cols: Sequence[str] = (), amou
     exact for SQL checks) or a fresh draw ``N(shift, scale)`` (mode "resample", the
     published demo: V ~ N(3, 2)).  Amount uniform on [1000, 5000), Time uniform on
     [0, 200000), all from seeded hashes of the key."""
-    out = df
-    for c in feature_cols:
-        if mode == "resample":
-            out = out.withColumn(c, F.lit(shift) + F.lit(scale) * hash_normal(seed, c, *key_cols))
-        else:
-            out = out.withColumn(c, F.col(c) * F.lit(scale) + F.lit(shift))
+    features = list(feature_cols)
+    if mode == "resample" and features:  # one function over the names: the plan stays small for many features
+        drawn = F.transform(F.array(*[F.lit(c) for c in features]), lambda c: F.lit(shift) + F.lit(scale) * hash_normal(seed, c, *key_cols))
+        out = df.withColumn("_drawn", drawn).withColumns({c: F.col("_drawn")[i] for i, c in enumerate(features)}).drop("_drawn")
+    else:
+        out = df.withColumns({c: F.col(c) * F.lit(scale) + F.lit(shift) for c in features}) if features else df
     if amount_col:
         out = out.withColumn(amount_col, F.lit(1000.0) + F.lit(4000.0) * hash_uniform(seed, F.lit("amount"), *key_cols))
     if time_col:
