@@ -37,8 +37,8 @@ GAMMA = 1.02  # ratio of neighbouring bucket bounds
 METRICS = {
     "word_length": ("word_chars / n_words", ("low", "high"), 1.0),
     "symbols": ("n_symbols / n_words", ("high",), 0.1),
-    "dup_lines": ("n_dup_lines / n_lines", ("high",), 0.2),
-    "repeats": ("n_repeat_words / n_words", ("high",), 0.1),
+    "dup_lines": ("n_dup_lines / n_lines", ("high",), 0.5),
+    "repeats": ("n_repeat_words / n_words", ("high",), 0.3),
 }
 FENCE = 3.0
 
