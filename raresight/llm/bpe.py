@@ -18,6 +18,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -25,6 +26,7 @@ from raresight.llm.common import byte_slices
 from raresight.llm.pretokens import PieceIds, Pieces
 
 LONG_PIECE = 64
+DECODE_IDS = 1 << 19  # ids decoded at once; a longer document is decoded by itself
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -136,12 +138,14 @@ def decode(encoded: DataFrame, ranks_path: str, keep: Sequence[str] = ("doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(ranks_path)
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            sizes = pc.fill_null(whole.column("__ids").value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            part = (np.cumsum(sizes) - sizes) // DECODE_IDS
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), whole.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                batch, counts = whole.slice(a, b - a), sizes[a:b]
                 column, places = batch.column("__ids"), batch.column("__offsets")
                 token = column.flatten().to_numpy(zero_copy_only=False)
                 place = places.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                counts = np.array([0 if n is None else n for n in column.value_lengths().to_pylist()], np.int64)
                 last = np.cumsum(counts) - 1
                 length = v.length[token]
                 size = np.where(counts > 0, place[last] + length[last], 0) if len(token) else np.zeros(len(counts), np.int64)
@@ -154,7 +158,7 @@ def decode(encoded: DataFrame, ranks_path: str, keep: Sequence[str] = ("doc_id",
                 bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
                 decoded = pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(bounds), pa.py_buffer(out)])
                 if column.null_count:
-                    decoded = pa.compute.if_else(column.is_valid(), decoded, pa.scalar(None, pa.binary()))
+                    decoded = pc.if_else(column.is_valid(), decoded, pa.scalar(None, pa.binary()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), decoded], [*keep, "decoded"])
 
     return encoded.select(*keep, encoded[ids].alias("__ids"), encoded[offsets].alias("__offsets")).mapInArrow(run, schema)

@@ -14,7 +14,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from raresight.session import scratch_path
 
@@ -189,6 +188,3 @@ def powers(n: int) -> np.ndarray:
         _POWERS = np.multiply.accumulate(steps)
     return _POWERS
 
-
-def flag(name: str) -> F.Column:
-    return F.coalesce(F.col(name), F.lit(False))

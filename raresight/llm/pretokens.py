@@ -196,7 +196,7 @@ class PieceIds:
     only repeated work is lost.
     """
 
-    def __init__(self, encode, limit: int = 600_000):
+    def __init__(self, encode, limit: int = 400_000):
         self.encode, self.limit = encode, limit
         self.clear()
 

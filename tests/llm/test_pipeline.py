@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from raresight.llm import quality, substring, token_ids
+from raresight.llm import quality, token_ids
 from test_jaccard import brute as brute_jaccard
 from test_lines import brute as brute_lines
 

@@ -13,7 +13,7 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-from raresight.llm import bpe, packing, token_files, token_ids
+from raresight.llm import bpe, packing, token_files
 from raresight.llm.pretokens import Pieces
 
 RANKS, JSON = P.path("byte_bpe_50k.tiktoken"), P.path("byte_bpe_50k.json")
