@@ -15,10 +15,9 @@ when ``100 * intersection >= percent * union``.
 4. Each component of a group stores the union of its members' prefixes (the first shingles, so many that
    two linked documents must share one).  Each component first tries the largest component that shares a
    prefix shingle with it, by their first documents.  Then only components of still different clusters
-   that share a prefix shingle and have compatible sizes are paired.  Where their first documents do
-   not link, the larger component is opened for the documents of the smaller one: a document is
-   compared with its members only if its overlap with the union of the members' shingles reaches the
-   bound.
+   that share a prefix shingle are left; they are grouped anew by the prefix shingle that most of them
+   hold, and a component asks the groups that hold one of its prefix shingles.  A group is opened for
+   a document only if the document's overlap with the union of the members' shingles reaches the bound.
 5. The links between components give the final components; classes and documents follow.
 
 Everything is exact up to equal 64-bit hashes of different shingles.  Null text, and text without
@@ -37,13 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from raresight.llm import blocks as B
-from raresight.llm.common import byte_slices, id_numbers, mix64, shuffle_partitions, utf8, word_hashes, word_spans, written
+from raresight.llm.common import id_numbers, mix64, shuffle_partitions, utf8, word_hashes, word_spans, written
 from raresight.llm.components import components
 from raresight.llm.substring import MULTIPLIERS, WORD_BYTES, run_hashes
 
 GROUP = 4096  # documents that one task links; a larger group is dealt out by hash
 TO_LOWER = np.arange(256, dtype=np.uint8)
 TO_LOWER[65:91] += 32
+PART = 512  # documents of a part of a group of the second half of step 4
 SMALL_TABLE = 50_000  # rows of a broadcast side, counted first
 
 
@@ -203,42 +203,46 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "n_a", "tokens_a", "b", "n_b", "tokens_b").mapInArrow(run, "a binary, b binary, link boolean")
 
 
-def opened(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Step 4, second half: links (a, b) between components, a's documents against the members of b."""
-    full = members.join(sets, "node")
-    groups = full.join(pairs.select(F.col("b").alias("component")).distinct(), "component", "left_semi").select(
-        F.col("component").alias("group"), F.lit(0).alias("query"), F.lit(None).cast("binary").alias("from"), "node", "n", "tokens")
-    queries = pairs.join(full, pairs["a"] == full["component"]).select(F.col("b").alias("group"), F.lit(1).alias("query"), F.col("a").alias("from"), "node", "n", "tokens")
-    rows = groups.union(queries).repartition(shuffle_partitions(sets.sparkSession), "group").sortWithinPartitions("group", "query", "from", "node")
+def opened(queries: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Step 4, second half: links (a, b) between components of different clusters.
+
+    ``members``: group, part, component, cluster, n, tokens of every document of the groups; ``queries``: group, part
+    and the component whose documents are compared with that group."""
+    documents = members.select("component", "cluster", "n", "tokens")
+    asked = queries.join(documents, "component").select("group", "part", F.lit(1).alias("query"), "component", "cluster", "n", "tokens")
+    groups = members.join(queries.select("group", "part").distinct(), ["group", "part"], "left_semi")
+    rows = (groups.select("group", "part", F.lit(0).alias("query"), "component", "cluster", "n", "tokens").union(asked)
+            .repartition(shuffle_partitions(members.sparkSession), "group", "part").sortWithinPartitions("group", "part", "query", "component"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, inside, done = None, [], set()
-        union = codes = row = sizes = None
+        union = None
         for batch in batches:
             found = []
             for r in batch.to_pylist():
-                if r["group"] != group:
-                    group, inside, done, union = r["group"], [], set(), None
+                if (r["group"], r["part"]) != group:
+                    group, inside, done, union = (r["group"], r["part"]), [], set(), None
                 if not r["query"]:
-                    inside.append((r["n"], array_of(r["tokens"])))
-                    continue
-                if r["from"] in done:
+                    inside.append((r["component"], r["cluster"], r["n"], array_of(r["tokens"])))
                     continue
                 if union is None:
-                    union, codes = np.unique(np.concatenate([t for _, t in inside]), return_inverse=True)
-                    row = np.repeat(np.arange(len(inside)), [len(t) for _, t in inside])
-                    sizes = np.array([n for n, _ in inside])
+                    union, codes = np.unique(np.concatenate([x[3] for x in inside]), return_inverse=True)
+                    row = np.repeat(np.arange(len(inside)), [len(x[3]) for x in inside])
+                    sizes = np.array([x[2] for x in inside])
+                    by_token = np.argsort(codes, kind="stable")
+                    first = np.searchsorted(codes[by_token], np.arange(len(union) + 1))
                 own = array_of(r["tokens"])
                 at = np.minimum(np.searchsorted(union, own), len(union) - 1)
                 common = at[union[at] == own]
                 if len(common) < least_overlap(r["n"], percent):
                     continue  # no member can reach the bound
-                mark = np.zeros(len(union), bool)
-                mark[common] = True
-                shared = np.bincount(row[mark[codes]], minlength=len(sizes))
-                if (100 * shared >= percent * (r["n"] + sizes - shared)).any():
-                    done.add(r["from"])
-                    found.append((r["from"], group))
+                holders = np.concatenate([row[by_token[first[c]: first[c + 1]]] for c in common.tolist()])
+                shared = np.bincount(holders, minlength=len(sizes))
+                for i in np.flatnonzero(100 * shared >= percent * (r["n"] + sizes - shared)).tolist():
+                    pair = (r["cluster"], inside[i][1])
+                    if pair[0] != pair[1] and pair not in done:
+                        done.add(pair)
+                        found.append((r["component"], inside[i][0]))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], ["a", "b"])
 
@@ -310,17 +314,22 @@ def classes(blocks: DataFrame, size: int, percent: int) -> tuple[DataFrame, Data
     clustered = index.join(cluster, "component", "left").withColumn("cluster", F.coalesce("cluster", "component"))
     shared = clustered.groupBy("token").agg((F.min("cluster") != F.max("cluster")).alias("apart")).filter("apart").select("token")
     apart = written(clustered.join(shared, "token", "left_semi"), "group-index-apart")
-    other = apart.withColumnsRenamed({c: f"{c}_" for c in apart.columns if c != "token"})
-    fits = (F.col("cluster") < F.col("cluster_")) & ((F.col("least") != F.col("least_")) | (F.col("part") != F.col("part_")))
-    fits &= (100 * F.col("most_n") >= percent * F.col("least_n_")) & (100 * F.col("most_n_") >= percent * F.col("least_n"))
-    larger_last = F.struct("n_docs", "component") < F.struct(F.col("n_docs_").alias("n_docs"), F.col("component_").alias("component"))
-    pairs = written(apart.join(other, "token").filter(fits).select(
-        F.when(larger_last, F.col("component")).otherwise(F.col("component_")).alias("a"), F.when(larger_last, F.col("component_")).otherwise(F.col("component")).alias("b"),
-        (F.greatest("n_docs", "n_docs_") > 1).alias("more")).distinct(), "group-pairs")
-    again = written(linked(pairs.join(tried, ["a", "b"], "left_anti").select("a", "b"), sets, percent), "pair-links")
-    # where the first documents don't link, other members may
-    left = pairs.filter("more").join(again.filter("link"), ["a", "b"], "left_anti").select("a", "b")
-    links = tried.filter("link").select("a", "b").union(again.filter("link").select("a", "b")).union(opened(left, members, sets, percent))
+    # they are grouped anew, by the prefix shingle that most of them hold, in parts of about PART documents
+    held_by = apart.join(apart.groupBy("token").agg(F.count("*").alias("holders")), "token")
+    grouped_by = held_by.groupBy("component", "cluster", "n_docs", "least_n", "most_n").agg(F.max(F.struct("holders", "token"))["token"].alias("group"))
+    parts = grouped_by.groupBy("group").agg(F.ceil(F.sum("n_docs") / PART).alias("parts"))
+    placed = written(grouped_by.join(parts, "group").withColumn("part", F.pmod(F.xxhash64("component"), F.col("parts"))).drop("parts"), "group-parts")
+    part_sizes = placed.groupBy("group", "part").agg(F.min("least_n").alias("least_part"), F.max("most_n").alias("most_part"))
+    fits = (100 * F.col("most_n") >= percent * F.col("least_part")) & (100 * F.col("most_part") >= percent * F.col("least_n"))
+    # a component asks the parts of its own group, and of later groups that hold one of its prefix shingles
+    own = placed.drop("part").join(part_sizes, "group").filter(fits).select("component", "group", "part")
+    holding = apart.select("token", "component").join(placed.select("component", "group", "part"), "component").select("token", F.col("group").alias("other"), "part").distinct()
+    asking = apart.select("token", "component").join(placed.select("component", "group", "least_n", "most_n"), "component")
+    later = (asking.join(holding, "token").filter("group < other").select("component", F.col("other").alias("group"), "part", "least_n", "most_n").distinct()
+             .join(part_sizes, ["group", "part"]).filter(fits).select("component", "group", "part"))
+    queries = written(own.union(later), "group-queries")
+    documents = members.join(placed.select("component", "cluster", "group", "part"), "component").join(sets, "node").select("group", "part", "component", "cluster", "n", "tokens")
+    links = tried.filter("link").select("a", "b").union(opened(queries, documents, percent))
     labels = components(links)
     joined = members.join(labels, members["component"] == labels["node"], "left").select(members["node"], F.coalesce("label", "component").alias("component"))
     return rows, written(joined, "class-components")
