@@ -43,7 +43,7 @@ from raresight.llm.substring import MULTIPLIERS, WORD_BYTES, run_hashes
 GROUP = 4096  # documents that one task links; a larger group is dealt out by hash
 TO_LOWER = np.arange(256, dtype=np.uint8)
 TO_LOWER[65:91] += 32
-PART = 512  # documents of a part of a group of the second half of step 4
+PART = 2048  # documents of a part of a group of the second half of step 4
 SMALL_TABLE = 50_000  # rows of a broadcast side, counted first
 
 
@@ -321,8 +321,9 @@ def classes(blocks: DataFrame, size: int, percent: int) -> tuple[DataFrame, Data
     placed = written(grouped_by.join(parts, "group").withColumn("part", F.pmod(F.xxhash64("component"), F.col("parts"))).drop("parts"), "group-parts")
     part_sizes = placed.groupBy("group", "part").agg(F.min("least_n").alias("least_part"), F.max("most_n").alias("most_part"))
     fits = (100 * F.col("most_n") >= percent * F.col("least_part")) & (100 * F.col("most_part") >= percent * F.col("least_n"))
-    # a component asks the parts of its own group, and of later groups that hold one of its prefix shingles
-    own = placed.drop("part").join(part_sizes, "group").filter(fits).select("component", "group", "part")
+    # a component asks its own and later parts of its group, and the parts of later groups that hold one of its
+    # prefix shingles: of two components one asks
+    own = placed.withColumnRenamed("part", "own_part").join(part_sizes, "group").filter(fits & (F.col("own_part") <= F.col("part"))).select("component", "group", "part")
     holding = apart.select("token", "component").join(placed.select("component", "group", "part"), "component").select("token", F.col("group").alias("other"), "part").distinct()
     asking = apart.select("token", "component").join(placed.select("component", "group", "least_n", "most_n"), "component")
     later = (asking.join(holding, "token").filter("group < other").select("component", F.col("other").alias("group"), "part", "least_n", "most_n").distinct()

@@ -74,6 +74,7 @@ def test_components(spark, seed, size, percent, monkeypatch):
 def test_hot_groups_are_dealt_out(spark, monkeypatch):
     """Groups larger than a task's share, and components that only other members connect."""
     monkeypatch.setattr(jaccard, "GROUP", 5)
+    monkeypatch.setattr(jaccard, "PART", 4)
     for seed in (11, 12):
         rows = families(seed, 150)
         got = jaccard.jaccard_join(frame(spark, rows), 2, 70, block_bytes=3000).collect()
