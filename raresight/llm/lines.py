@@ -82,7 +82,9 @@ def near_duplicates(docs: DataFrame, text: str, distinct: DataFrame) -> DataFram
     lines = written(lines.dropDuplicates(list(PLACE)), "line-words")
 
     # most variants meet no other; those that do are told apart by a hash of the very words that are left
-    met = (neighbourhood(lines).withColumn("met", F.count("*").over(Window.partitionBy("key"))).filter("met > 1").select(*PLACE, "pos")
+    by_key = Window.partitionBy("key")
+    others = F.min(place()).over(by_key) != F.max(place()).over(by_key)  # a line may meet itself: equal neighbouring words
+    met = (neighbourhood(lines).withColumn("others", others).filter("others").select(*PLACE, "pos")
            .join(lines, list(PLACE)).withColumn("left", F.expr(remainder('words', 'pos')))
            .select(*PLACE, "pos", F.xxhash64("left").alias("r1"), F.xxhash64(F.lit(1), "left").alias("r2")))
     # the earliest line of each remainder, by how it got there: as it is, without any one word, without this word
