@@ -67,7 +67,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @after_the_last()
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = lines.dedup_lines(docs, keep=docs.columns).drop("n_lines", "n_removed")
+    others = [c for c in docs.columns if c != "text"]
+    kept = lines.dedup_lines(docs, keep=others).drop("n_lines", "n_removed")
     return with_text(kept, docs.columns)
 
 
