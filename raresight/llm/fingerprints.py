@@ -30,6 +30,28 @@ DIGITS = 4  # hex digits of a component
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def numbered(kmers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(k-mer, position, occurrence): equal k-mers next to each other in text order, numbered from 0.
+
+    K-mer and position are sorted in one word.  The position takes the hash's low bits there, so neighbours
+    are compared by whole hashes: how a k-mer is numbered and hashed never depends on the text's length."""
+    n = len(kmers)
+    place_mask = (np.uint64(1) << np.uint64((n - 1).bit_length())) - np.uint64(1)
+    high = kmers & ~place_mask
+    keys = high | np.arange(n, dtype=np.uint64)
+    keys.sort()
+    place = (keys & place_mask).astype(np.int64)
+    kmer = kmers[place]
+    new = np.ones(n, bool)
+    new[1:] = kmer[1:] != kmer[:-1]
+    if (high[place][1:] == high[place][:-1])[new[1:]].any():  # different k-mers share the high bits
+        place = np.argsort(kmers, kind="stable")
+        kmer = kmers[place]
+        new[1:] = kmer[1:] != kmer[:-1]
+    index = np.arange(n)
+    return kmer, place, index - np.maximum.accumulate(np.where(new, index, 0))
+
+
 def components(points: np.ndarray) -> np.ndarray:
     """The signature of one non-empty text as BINS 16-bit numbers."""
     k = min(K, len(points))
@@ -39,21 +61,12 @@ def components(points: np.ndarray) -> np.ndarray:
     for j in range(1, k):
         hashed *= ODD
         hashed += value[j: n + j]
-    # sort (k-mer, position) in one word to number the occurrences
-    bits = np.uint64(max(1, int(n - 1).bit_length()))
-    place_mask = (np.uint64(1) << bits) - np.uint64(1)
-    keys = (mix64(hashed) & ~place_mask) | np.arange(n, dtype=np.uint64)
-    keys.sort()
-    kmer, place = keys & ~place_mask, keys & place_mask
-    new = np.ones(n, bool)
-    new[1:] = kmer[1:] != kmer[:-1]
-    index = np.arange(n)
-    occurrence = index - np.maximum.accumulate(np.where(new, index, 0))
+    kmer, place, occurrence = numbered(mix64(hashed))
     mixed = mix64(kmer + occurrence.astype(np.uint64) * ODD)
     rest = mixed << np.uint64(BIN_BITS)
     share = 16 * BINS / n  # the smallest of each bin are among the small values; all are looked at when too few are
     while True:
-        some = index if share >= 1 else np.flatnonzero(rest < np.uint64(int(share * 2.0 ** 64)))
+        some = np.arange(n) if share >= 1 else np.flatnonzero(rest < np.uint64(int(share * 2.0 ** 64)))
         chosen = some[np.argsort(mixed[some], kind="stable")]
         u = mixed[chosen]
         first = np.searchsorted(u >> np.uint64(64 - BIN_BITS), np.arange(BINS + 1, dtype=np.uint64))

@@ -88,6 +88,55 @@ def test_fingerprints_brute_force(spark):
         assert found[i] == brute_components(t)
 
 
+def whole_hash_components(text):
+    """The definition on whole k-mer hashes, whatever the text's length."""
+    points = np.array([ord(c) for c in text], np.uint64)
+    mask = (1 << 64) - 1
+    mix = lambda x: int(FP.mix64(np.array([x & mask], np.uint64))[0])
+    value = [int(x) for x in FP.mix64(points + np.uint64(1))]
+    k = min(FP.K, len(points))
+    seen, bins = {}, [[] for _ in range(64)]
+    for i in range(len(points) - k + 1):
+        h = 0
+        for v in value[i: i + k]:
+            h = (h * int(FP.ODD) + v) & mask
+        kmer = mix(h)
+        u = mix(kmer + seen.get(kmer, 0) * int(FP.ODD))
+        seen[kmer] = seen.get(kmer, 0) + 1
+        bins[u >> 58].append((u, i))
+    out = []
+    for b in bins:
+        two = [u for u, i in sorted(sorted(b)[:2], key=lambda x: x[1])]
+        out.append(None if not two else mix(two[0] + int(FP.ODD)) if len(two) == 1 else mix(mix(two[0]) + two[1]))
+    if None in out:
+        ahead = [next(d for d in range(64) if out[(i + d) % 64] is not None) for i in range(64)]
+        out = [mix(out[(i + d) % 64] + d * int(FP.ODD)) for i, d in enumerate(ahead)]
+    return "".join(f"{x >> 48:04x}" for x in out)
+
+
+def test_fingerprints_of_whole_hashes(spark):
+    rnd = random.Random(8)
+    texts = ["abc", "a" * 30, words(rnd, 3), words(rnd, 40), words(rnd, 700), "été " * 90]
+    found = prints(spark, texts)
+    for i, t in enumerate(texts):
+        assert found[i] == whole_hash_components(t)
+
+
+@pytest.mark.parametrize("kmers", [64, 1024, 4096])
+def test_near_copies_on_both_sides_of_a_power_of_two(spark, kmers):
+    """The k-mers' hashes don't depend on the text's length."""
+    text = words(random.Random(kmers), kmers)[: kmers + FP.K - 1]
+    f = prints(spark, [text[:-1], text, text + "y", text + "yz"])
+    assert min(like(f[0], f[1]), like(f[1], f[2]), like(f[1], f[3])) > 0.8
+
+
+def test_kmers_that_share_high_bits_are_numbered_apart():
+    kmers = [9, 8, 9, 8, 8, 1 << 60, 9]  # 8 and 9 differ in bits that the position takes
+    kmer, place, occurrence = FP.numbered(np.array(kmers, np.uint64))
+    found = {int(p): (int(k), int(o)) for k, p, o in zip(kmer, place, occurrence)}
+    assert found == {i: (x, kmers[:i].count(x)) for i, x in enumerate(kmers)}
+
+
 def test_likeness_column(spark):
     rows = [("", "", 1.0), ("", "0" * 256, 0.0), ("0" * 256, "0" * 252 + "ffff", 63 / 64)]
     out = spark.createDataFrame(rows, "a string, b string, want double").select(FP.likeness("a", "b").alias("got"), "want").collect()
