@@ -86,7 +86,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 @after_the_last()
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, token_ids.vocabulary_path(), end_id=1, capacity=2048)
+    return packing.pack(docs, token_ids.vocabulary_path(), end_id=1, capacity=2048, added=True)
 
 
 STAGES = [

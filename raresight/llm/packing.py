@@ -83,13 +83,13 @@ def slots(patterns: list[tuple[Pattern, int]]) -> tuple[list[tuple[int, int, int
     return out, sequence
 
 
-def tokenized(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
+def tokenized(docs: DataFrame, vocabulary: str, end_id: int, added: bool = False) -> DataFrame:
     """A written table: row (unique), part, doc_id, n_tokens, ids (little-endian unsigned 16 or 32-bit)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, row = TaskContext.get().partitionId(), 0
         for batch in byte_slices(batches, "text"):
-            ids, counts = token_ids.encode_column(batch.column("text"), vocabulary, end_id)
+            ids, counts = token_ids.encode_column(batch.column("text"), vocabulary, end_id, added)
             kind = "<u2" if not len(ids) or ids.max() < 1 << 16 else "<u4"
             raw = ids.astype(kind)
             bounds = (np.concatenate([[0], np.cumsum(counts)]) * raw.itemsize).astype(np.int32)
@@ -102,10 +102,11 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     return written(docs.select("doc_id", "text").mapInArrow(run, "row long, part long, doc_id long, n_tokens long, ids binary"), "pack-tokens")
 
 
-def pack(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 2048) -> DataFrame:
-    """Pieces: doc_id, start, length, doc_tokens, sequence_id, offset, ids (binary, little-endian unsigned 32-bit)."""
+def pack(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 2048, added: bool = False) -> DataFrame:
+    """Pieces: doc_id, start, length, doc_tokens, sequence_id, offset, ids (binary, little-endian unsigned 32-bit).
+    ``added``: see ``token_ids``."""
     spark = docs.sparkSession
-    tokens = tokenized(docs, vocabulary, end_id)
+    tokens = tokenized(docs, vocabulary, end_id, added)
     sizes = tokens.select("row", "part", F.expr(f"n_tokens div {capacity}").alias("whole"), (F.col("n_tokens") % capacity).alias("rest"))
     # at most ``capacity`` rows
     histogram = {r["rest"]: r["n"] for r in sizes.filter("rest > 0").groupBy("rest").agg(F.count("*").alias("n")).collect()}

@@ -48,13 +48,13 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(documents(spark, sf_dir), token_ids.vocabulary_path(), end_id=1, capacity=2048)
+    pieces = packing.pack(documents(spark, sf_dir), token_ids.vocabulary_path(), end_id=1, capacity=2048, added=True)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 @register("op8_token_files")
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = token_files.write_token_files(documents(spark, sf_dir), token_ids.vocabulary_path(), end_id=2)
+    manifest = token_files.write_token_files(documents(spark, sf_dir), token_ids.vocabulary_path(), end_id=2, added=True)
     return token_files.read_token_files(manifest, with_ids=False)
 
 

@@ -33,8 +33,8 @@ MANIFEST = "part int, file string, id_bytes int, n_docs long, n_tokens long"
 
 
 def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, folder: str | None = None, id_bytes: int = 2,
-                      partitions: int | None = None) -> DataFrame:
-    """Write the files; returns the manifest (part, file, id_bytes, n_docs, n_tokens, base)."""
+                      partitions: int | None = None, added: bool = False) -> DataFrame:
+    """Write the files; returns the manifest (part, file, id_bytes, n_docs, n_tokens, base).  ``added``: see ``token_ids``."""
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "token-files")
     partitions = partitions or shuffle_partitions(spark)
@@ -49,7 +49,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, folder: str
             if out is None:
                 store.create_dir(root, recursive=True)
                 out = store.open_output_stream(f"{name}.ids{own}")
-            ids, n = token_ids.encode_column(batch.column("text"), vocabulary, end_id)
+            ids, n = token_ids.encode_column(batch.column("text"), vocabulary, end_id, added)
             if len(ids) and int(ids.max()) >= 1 << (8 * id_bytes):
                 raise ValueError(f"an id needs more than {id_bytes} bytes")
             out.write(ids.astype(kind).tobytes())

@@ -13,7 +13,7 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-from raresight.llm import bpe, packing, token_files
+from raresight.llm import bpe, packing, token_files, token_ids
 from raresight.llm.pretokens import Pieces
 
 RANKS, JSON = P.path("byte_bpe_50k.tiktoken"), P.path("byte_bpe_50k.json")
@@ -160,3 +160,38 @@ def test_pack_repeated_null_and_empty(spark):
     out = packing.pack(table(spark, ["a b", "a b", None], [7, 7, None]), JSON, 1, 16).collect()
     assert sorted((r.doc_id or 0, r.length) for r in out) == [(0, 1), (7, 3), (7, 3)]
     assert packing.pack(table(spark).limit(0), JSON, 1).count() == 0
+
+
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "a  <|endoftext|>\n", "<|endoftext|", "é<|endoftext|>é <|endoftext|>", "<|endoftext|>s", "plain"]
+
+
+@pytest.mark.parametrize("some", [ADDED, EDGE, texts() + ADDED, ["plain"], [None, "<|endoftext|>", None], []])
+def test_added_tokens_as_the_library_as_it_is(some):
+    lib = Tokenizer.from_file(JSON)
+    want = [lib.encode(t or "", add_special_tokens=False).ids for t in some]
+    ids, counts = token_ids.encode_column(pa.array(some, pa.string()), JSON, added=True)
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    ids, counts = token_ids.encode_column(pa.array(some, pa.string()), JSON, 7, added=True)
+    assert counts.tolist() == [len(w) + 1 for w in want] and ids.tolist() == [i for w in want for i in [*w, 7]]
+
+
+def test_queries_encode_added_tokens(spark, tmp_path):
+    """op7, op8 and the pipeline's last stage: ids, places and crc32 of texts with an added token's string."""
+    import corpus_pipeline
+    from raresight.llm import queries
+
+    values, lib = texts() + ADDED, Tokenizer.from_file(JSON)
+    table(spark, values).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    want = [lib.encode(t or "", add_special_tokens=False).ids for t in values]
+    start = 0
+    for r in queries.QUERIES["op8_token_files"](spark, str(tmp_path)).orderBy("doc_id").collect():
+        ids = want[r.doc_id] + [2]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    for r in queries.QUERIES["op7_packing"](spark, str(tmp_path)).collect():
+        ids = want[r.doc_id] + [1]
+        assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(np.array(ids[r.start: r.start + r.length], "<u4").tobytes())
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for r in corpus_pipeline.pack(spark, docs, "").collect():
+        ids = want[r.doc_id] + [1]
+        assert np.frombuffer(bytes(r.ids), "<u4").tolist() == ids[r.start: r.start + r.length]
