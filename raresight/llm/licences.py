@@ -1,7 +1,8 @@
 """Licence recognition by sentence rules.
 
 Texts are cut into sentences, each is normalised (lower case, letters and digits only) and looked up
-in a table of known licence sentences.  The identifiers found, in text order, are matched against
+in a table of known licence sentences: alone, and joined with those that follow it (licence texts are
+wrapped at some column, with or without comment signs before each line).  The identifiers found, in text order, are matched against
 ordered rules: a rule names identifiers that must follow each other in this order (others may lie
 between).  Everything is a DataFrame expression over one row; nothing is shuffled.
 
@@ -63,8 +64,11 @@ RULES: list[tuple[str, list[str]]] = [
     ("MIT", ["mit.grant", "mit.notice", "mit.warranty"]),
 ]
 
-#: A sentence ends at a line's end or at one of . ! ? ; : followed by white space (or at the text's end).
-MARKS = r"[.!?;:]+([\x20\x09-\x0D]|\z)"
+#: A sentence ends at a line's end or at one of . ! ? ; : followed by white space (or at the text's end).  A known
+#: sentence may go on over line ends, ; and : but not over . ! ? or a line without a letter or digit.
+HARD = r"[.!?;:]*[.!?][.!?;:]*([\x20\x09-\x0D]|\z)"
+SOFT = r"[;:]+([\x20\x09\x0B-\x0D]*\n|[\x20\x09\x0B-\x0D]+|\z)"
+SIGNS = r"(^|\n)[\x20\t]*[;!:]+"  # comment signs at a line's start that are also marks; the others go when normalised
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -72,24 +76,41 @@ def normalised(sentence: F.Column) -> F.Column:
     return F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9]+", " "))
 
 
+def pieces(text: F.Column) -> F.Column:
+    """The normalised sentences; an empty one is where no known sentence may go on."""
+    marked = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), SIGNS, "$1"), HARD, "\n\n"), SOFT, "\n")
+    return F.transform(F.split(marked, "\n"), normalised)
+
+
 def scan(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text", sentences: dict[str, str] | None = None,
          rules: Sequence[tuple[str, Sequence[str]]] | None = None) -> DataFrame:
     """``keep`` columns, n_sentences, sentence_ids (identifiers in text order), first_sentence (number of the first
-    known sentence, from 0) and licences (sorted, each once)."""
+    known sentence, from 0; of its first line if it is wrapped) and licences (sorted, each once)."""
     sentences, rules = sentences or SENTENCES, rules or RULES
     number = {name: i for i, name in enumerate(sentences)}
-    ids = F.create_map(*[x for name, s in sentences.items() for x in (F.lit(s), F.lit(number[name]))])
-    cut = F.filter(F.transform(F.split(F.regexp_replace(F.coalesce(docs[text], F.lit("")), MARKS, "\n"), "\n"), normalised), lambda s: s != "")
-    looked = F.transform(F.col("__sentences"), lambda s: F.try_element_at(ids, s))
-    found = F.filter(F.col("__ids"), lambda i: i.isNotNull())
+    cut, flat, held = F.col("__pieces"), F.col("__flat"), F.col("__held")
+    known = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(s).alias("s"), F.lit(len(s.split(" "))).alias("n")) for i, s in enumerate(sentences.values())])
+    # few texts hold a known sentence at all; only there are the pieces looked at
+    somewhere = F.filter(F.array(*[F.when(flat.contains(s), known[i]) for i, s in enumerate(sentences.values())]), lambda k: k.isNotNull())
+
+    def begins(piece: F.Column, at: F.Column):
+        def test(k: F.Column) -> F.Column:
+            run = F.exists(F.sequence(F.lit(2), F.greatest(k["n"], F.lit(2))), lambda m: F.array_join(F.slice(cut, at + 1, m), " ") == k["s"])
+            return (k["s"] == piece) | (k["s"].startswith(F.concat(piece, F.lit(" "))) & run)
+        return test
+
+    ids = F.when(F.size(held) > 0, F.transform(cut, lambda p, i: F.transform(F.filter(held, begins(p, i)), lambda k: k["id"]))).otherwise(F.array().cast("array<array<int>>"))
+    first = F.array_position(F.transform("__ids", lambda x: F.size(x) > 0), True)  # from 1; 0 if there is none
     path = F.concat(F.lit(" "), F.array_join(F.col("__found").cast("array<string>"), "  "), F.lit(" "))
     met = [F.when(F.col("__path").rlike(".*".join(f" {number[i]} " for i in sequence)), F.lit(licence)) for licence, sequence in rules]
     names = F.create_map(*[x for name, i in number.items() for x in (F.lit(i), F.lit(name))])
-    return (docs.select(*keep, cut.alias("__sentences"))
-            .select(*keep, F.size("__sentences").cast("long").alias("n_sentences"), looked.alias("__ids"))
-            .withColumn("__found", found)
+    return (docs.select(*keep, pieces(docs[text]).alias("__pieces"))
+            .withColumn("__flat", F.array_join(cut, " "))
+            .withColumn("__held", somewhere)
+            .select(*keep, "__pieces", ids.alias("__ids"))
+            .withColumns({"__found": F.flatten("__ids"), "__first": first})
             .withColumn("__path", path)
-            .select(*keep, "n_sentences",
+            .select(*keep, F.size(F.filter(cut, lambda s: s != "")).cast("long").alias("n_sentences"),
                     F.transform("__found", lambda i: names[i]).alias("sentence_ids"),
-                    F.when(F.size("__found") > 0, F.array_position("__ids", F.col("__found")[0]) - 1).cast("long").alias("first_sentence"),
+                    F.when(F.col("__first") > 0, F.size(F.filter(F.slice(cut, F.lit(1), F.col("__first").cast("int") - 1), lambda s: s != ""))).cast("long").alias("first_sentence"),
                     F.array_sort(F.array_distinct(F.filter(F.array(*met), lambda x: x.isNotNull()))).alias("licences")))

@@ -69,3 +69,62 @@ def test_licences(spark):
         assert r.licences == cases[r.doc_id][1], cases[r.doc_id]
         assert (r.first_sentence is None) == (not r.sentence_ids)
     assert licences.scan(rows.limit(0)).count() == 0
+
+
+MIT = """MIT License
+Copyright (c) 2020 A B
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE."""
+APACHE = """Copyright 2020 A B
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+ZERO = "To the extent possible under law, the author has waived all copyright and\nrelated or neighboring rights to this work."
+
+
+@pytest.mark.parametrize("sign", ["", "# ", "// ", " * ", ";; ", "! ", "\t"])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_wrapped_licence_texts(spark, sign, end):
+    cases = [(MIT, ["MIT"]), (APACHE, ["Apache-2.0"]), (GPL, ["GPL-3.0"]), (BSD, ["BSD-2-Clause"]), (ZERO, ["CC0-1.0"]),
+             (MIT.replace("copy\nof", "copy\n\nof"), []), (MIT.replace("copy\nof", "copy.\nof"), []), (ZERO + " today", ["CC0-1.0"]), (ZERO[:-1] + " today", []),
+             ("code\n" * 3 + ZERO + "\ncode", ["CC0-1.0"])]
+    rows = [(i, "".join(sign + line + end for line in t.split("\n"))) for i, (t, _) in enumerate(cases)]
+    out = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [out[i].licences for i in range(len(cases))] == [want for _, want in cases]
+    assert out[4].first_sentence == 0 and out[4].n_sentences == 2 and out[9].first_sentence == 3 and out[9].n_sentences == 6
