@@ -28,6 +28,7 @@ from raresight.llm.common import written
 # lines are cut at line feeds, so the other white space of the contracts is left: made blanks, then cut at blanks
 WORDS = r"array_remove(split(translate(line, '\t\u000b\u000c\r', '    '), ' '), '')"
 STEP = 8  # lengths of one class share the length of their compared ends
+FLOOR = 2  # of a line of one word nothing is left to compare
 PLACE = ("d", "l", "t")  # doc_id, line number, hash of the text: the order of lines
 
 
@@ -44,10 +45,12 @@ def hashed_lines(docs: DataFrame, text: str, min_words: int) -> DataFrame:
     """One row per line with a word: its place, 128-bit hash (h1, h2) and the keys of its ends."""
     lines = numbered(docs.select("doc_id", F.col(text).alias("text")), "text").select("d", "t", F.posexplode(F.split("text", "\n")).alias("l", "line"))
     named = lines.select("d", "t", "l", F.expr(WORDS).alias("words")).filter(F.size("words") > 0).withColumn("n", F.size("words"))
-    # a line of n words meets lines of n and n + 1 words (as the shorter) and of n - 1 (as the longer)
-    kinds = f"if(n < {min_words}, array(), array_distinct(array(n div {STEP}, (n + 1) div {STEP})))"
-    ends = (f"flatten(transform({kinds}, c -> array(xxhash64(1, c, slice(words, 1, int((c * {STEP} - 1) div 2))), "
-            f"xxhash64(2, c, slice(words, int(n - (c * {STEP} - 1) div 2 + 1), int((c * {STEP} - 1) div 2))))))")
+    # a line of n words meets lines of n and n + 1 words (as the shorter) and of n - 1 (as the longer); classes of
+    # lengths c >= 1 share their ends' size, below them every length m of the shorter is a class (-m) of its own
+    long = f"transform(filter(array_distinct(array(n div {STEP}, (n + 1) div {STEP})), c -> c > 0), c -> struct(c as c, int((c * {STEP} - 1) div 2) as size))"
+    short = f"transform(filter(array(n - 1, n), m -> m >= {min_words} and m < {STEP - 1}), m -> struct(cast(-m as bigint) as c, int(m div 2) as size))"
+    kinds = f"if(n < {min_words}, array(), concat({long}, {short}))" if min_words < STEP else f"if(n < {min_words}, array(), {long})"
+    ends = f"flatten(transform({kinds}, k -> array(xxhash64(1, k.c, slice(words, 1, k.size)), xxhash64(2, k.c, slice(words, n - k.size + 1, k.size)))))"
     return named.select("d", "t", "l", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"), F.expr(ends).alias("ends"))
 
 
@@ -119,8 +122,8 @@ def removed_lines(docs: DataFrame, text: str, min_words: int) -> DataFrame:
 def dedup_lines(docs: DataFrame, text: str = "text", min_words: int = STEP, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, n_lines (all lines of the text), n_removed and ``kept_text`` (the other lines, joined by line ends;
     null for null)."""
-    if min_words < STEP:
-        raise ValueError(f"min_words must be at least {STEP}")
+    if min_words < FLOOR:
+        raise ValueError(f"min_words must be at least {FLOOR}")
     gone = removed_lines(docs, text, min_words).withColumnsRenamed({"d": "__d", "t": "__t", "gone": "__gone"})
     rows = docs.select(F.struct(*keep).alias("__row"), F.col(text).alias("__text"),
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("__d"), F.hash(text).alias("__t"))

@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 import oracle_check as oc
 from raresight.llm import lines, queries
 
@@ -76,3 +78,25 @@ def test_long_repeated_and_empty(spark):
 def test_no_python_in_the_plan(spark):
     plan = lines.dedup_lines(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("min_words", [2, 4, 7, 9])
+def test_short_lines(spark, min_words):
+    """Edits of lines of any length from min_words on, among them pairs of 7 and 8 words."""
+    rnd = random.Random(min_words)
+    word = lambda: f"w{rnd.randrange(60)}"
+    bases = [[word() for _ in range(n)] for n in (*range(1, 11), 16)] + [["a"] * 3, ["a", "b"] * 2]
+    rows = []
+    for d in range(150):
+        w = list(rnd.choice(bases))
+        i = rnd.randrange(len(w) + 1)
+        w[i: i + rnd.choice([0, 1])] = rnd.choice([[], [word()]])
+        rows.append((d, " ".join(w)))
+    want = brute(rows, min_words)
+    assert {r.doc_id: r.kept_text for r in lines.dedup_lines(frame(spark, rows), min_words=min_words).select("doc_id", "kept_text").collect()} == want
+    assert min_words > 8 or want != brute(rows, 9)
+
+
+def test_floor(spark):
+    with pytest.raises(ValueError):
+        lines.dedup_lines(frame(spark, []), min_words=1)
