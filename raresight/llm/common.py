@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -120,6 +121,16 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLI
             yield batch.slice(a, b - a)
 
 
+def cut_bytes(data: bytes, between: re.Pattern, size: int = 1 << 20) -> Iterator[bytes]:
+    """``data`` in pieces of about ``size``, each cut after a match of ``between``."""
+    at = 0
+    while at < len(data):
+        cut = between.search(data, at + size)
+        end = cut.end() if cut else len(data)
+        yield data[at:end]
+        at = end
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (xor-shift and multiply)."""
     x = x ^ (x >> np.uint64(32))

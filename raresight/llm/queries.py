@@ -12,7 +12,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raresight.llm import bpe, fingerprints, jaccard, licences, lines, packing, quality, substring, token_files, token_ids, urls
+from raresight.llm import bpe, divergence, fingerprints, jaccard, licences, lines, packing, quality, spelling, substring, token_files, token_ids, urls
 from raresight.llm.common import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,32 @@ FROM documents LEFT JOIN lists ON d = doc_id
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.dedup_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+OP11_SQL = rf"""
+WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}') AS t FROM documents),
+found AS (SELECT d, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT d) AS docs FROM found GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS n FROM counts GROUP BY ALL HAVING sum(docs) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+gs AS (SELECT DISTINCT lang, source FROM docs),
+cells AS (SELECT gs.lang, source, kept.term, coalesce(c.n, 0) AS n, kept.n AS n_lang FROM gs JOIN kept USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+totals AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS own FROM cells),
+shares AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 2)::HUGEINT) // (own + 2 * v) AS p, 1 + (1000000000 * (n_lang + 2)::HUGEINT) // (total + 2 * v) AS q FROM totals JOIN langs USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+both_parts AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM gs a JOIN gs b ON a.lang = b.lang AND a.source <> b.source
+               LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+               UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM both_parts QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
+@register("op11_source_divergence", sql=OP11_SQL)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+@register("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir), min_length=6, min_count=5, ratio=5, edit_every=199)
