@@ -12,7 +12,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raresight.llm import bpe, divergence, fingerprints, jaccard, licences, lines, packing, quality, spelling, substring, token_files, token_ids, urls
+from raresight.llm import bpe, divergence, fingerprints, jaccard, licences, lines, packing, quality, spelling, substring, token_files, token_ids, urls, warc
 from raresight.llm.common import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,3 +205,26 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op13_spelling_variants")
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(spark, sf_dir), min_length=6, min_count=5, ratio=5, edit_every=199)
+
+
+OP12_SQL = """
+WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+digits AS (SELECT *, sha1(payload) AS sha, max(page_id) OVER (PARTITION BY payload) AS first FROM payloads),
+parts AS (SELECT *, list_transform([1, 11, 21, 31], lambda i: CAST('0x' || sha[i:i + 9] AS BIGINT)) AS fives FROM digits)
+SELECT page_id, octet_length(payload) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((fives[i // 8 + 1] >> (35 - 5 * (i % 8))) & 31 AS INTEGER) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM parts
+"""
+
+
+@register("op12_warc", sql=OP12_SQL)
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses are read with their payloads, revisits by their headers alone."""
+    path = warc.archive(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"), min_bytes=0)
+    heads = ["record_type", "record_id", "refers_to", "payload_digest", "payload_length"]
+    full = warc.read_warc(spark, path, ["record_type", "record_id", "payload"]).filter("record_type = 'response'")
+    again = warc.read_warc(spark, path, heads).filter("record_type = 'revisit'")
+    return full.select(warc.key_of("record_id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), warc.base32_of(F.sha1("payload")).alias("payload_digest"),
+                       "record_type", F.lit(None).cast("long").alias("refers_to")).union(
+        again.select(warc.key_of("record_id"), "payload_length", warc.bare_digest("payload_digest"), "record_type", warc.key_of("refers_to")))
