@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from raresight.llm.common import byte_slices, mix64, shuffle_partitions, utf8
+from raresight.llm.common import NULL_ID, byte_slices, id_numbers, mix64, shuffle_partitions, utf8
 from raresight.llm.pretokens import codepoints
 
 K, BINS, TUPLE = 8, 64, 2  # code points of a k-mer; components; k-mers of a component
@@ -130,17 +130,20 @@ def with_next(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     ranges = 4 * partitions
     bounds = np.array(sorted(set(int(x) for x in ids.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges)))), np.int64)
 
-    @F.pandas_udf("long")
-    def range_of(x):
-        return x.fillna(0).astype("int64").map(lambda v: 0).where(x.isna(), np.searchsorted(bounds, x.fillna(0).astype("int64"), side="right") + 1)
+    @F.arrow_udf("long")  # null ids are a range of their own, the first
+    def range_of(x: pa.Array) -> pa.Array:
+        return pa.array(np.where(x.is_null().to_numpy(zero_copy_only=False), 0, np.searchsorted(bounds, id_numbers(x), side="right") + 1), pa.int64())
 
     cut = rows.withColumn("range", range_of("doc_id"))
     firsts = cut.groupBy("range").agg(F.min("doc_id").alias("doc_id")).orderBy("range").collect()  # one row per range
-    before = {firsts[i]["doc_id"]: firsts[i - 1]["range"] for i in range(len(firsts))}
-
-    @F.pandas_udf("long")
-    def range_before(x):
-        return x.map(lambda v: before.get(None if v != v or v is None else int(v))).astype("Int64")
+    first_ids = np.array([NULL_ID if r["doc_id"] is None else r["doc_id"] for r in firsts], np.int64)  # ascending, as the ranges are
+    range_ahead = np.array([firsts[i - 1]["range"] for i in range(len(firsts))], np.int64)
+
+    @F.arrow_udf("long")
+    def range_before(x: pa.Array) -> pa.Array:
+        ids = id_numbers(x)
+        at = np.minimum(np.searchsorted(first_ids, ids), len(first_ids) - 1)
+        return pa.array(range_ahead[at], pa.int64(), mask=first_ids[at] != ids)
 
     guests = cut.withColumn("guest", F.lit(1)).withColumn("range", range_before("doc_id")).filter("range is not null")
     dealt = (cut.withColumn("guest", F.lit(0)).unionByName(guests).repartition(partitions, "range")

@@ -354,14 +354,13 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 80, text: str =
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text", block_bytes: int = B.SLICE_BYTES) -> DataFrame:
     """One row of each component (the least doc_id's, the first of equal ones) with all its columns."""
-    blocks, named = components_of(docs, size, percent, text, docs.columns, block_bytes)
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), F.col(text).alias("text"))  # one column, so that no name clashes
+    blocks, named = components_of(whole, size, percent, "text", ("row",), block_bytes)
     first = named.filter("component is not null").groupBy("component").agg(F.min(F.struct("id", "block", "row")).alias("x")).select("x.block", "x.row")
     kept = first.union(named.filter("component is null").select("block", "row"))
     chosen = kept.groupBy("block").agg(F.sort_array(F.collect_list("row")).alias("rows"))
 
-    columns = docs.columns
-
     def take(block, batch, given):
-        yield batch.select(columns).take(pa.array(given["rows"], pa.int64()))
+        yield batch.select(["row"]).take(pa.array(given["rows"], pa.int64()))
 
-    return B.each_block(blocks.join(chosen, "block"), take, docs.schema, ("rows",))
+    return B.each_block(blocks.join(chosen, "block"), take, whole.select("row").schema, ("rows",)).select("row.*")

@@ -13,14 +13,14 @@ part only if its first or its last words occur in another line.
 The earliest line (doc_id, then line number) stays; a null doc_id comes first.  Lines without a word and null
 texts are left alone.  Rows with equal doc_id and equal text are the same place, so both stay; with
 different texts they are ordered by line number, then by a hash of the text.  An empty table gives an
-empty table; other columns may have any name.  Everything is DataFrame and SQL functions.
+empty table; other columns may have any name, those of ``keep`` any but the result's (pass them as one struct).  Everything is DataFrame and SQL functions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from raresight.llm.common import written
@@ -84,18 +84,18 @@ def near_duplicates(docs: DataFrame, text: str, distinct: DataFrame) -> DataFram
              .select("d", "t", F.explode(wanted).alias("x")).select("d", "t", "x.l", "x.line").select(*PLACE, F.expr(WORDS).alias("words")))
     lines = written(lines.dropDuplicates(list(PLACE)), "line-words")
 
-    # most variants meet no other; those that do are told apart by a hash of the very words that are left
-    by_key = Window.partitionBy("key")
-    others = F.min(place()).over(by_key) != F.max(place()).over(by_key)  # a line may meet itself: equal neighbouring words
-    met = (neighbourhood(lines).withColumn("others", others).filter("others").select(*PLACE, "pos")
-           .join(lines, list(PLACE)).withColumn("left", F.expr(remainder('words', 'pos')))
-           .select(*PLACE, "pos", F.xxhash64("left").alias("r1"), F.xxhash64(F.lit(1), "left").alias("r2")))
+    # most variants meet no other: a key's least and greatest line tell, and they combine before the shuffle
+    line = F.xxhash64(*PLACE)
+    variants = neighbourhood(lines)
+    meeting = variants.groupBy("key").agg(F.min(line).alias("least"), F.max(line).alias("most")).filter("least <> most").select("key")  # a line may meet itself
+    meeting = written(meeting, "line-keys")
+    # those that do are told apart by a hash of the very words that are left
+    met = written(variants.join(meeting, "key", "left_semi").select(*PLACE, "pos").join(lines, list(PLACE)).withColumn("left", F.expr(remainder('words', 'pos')))
+                  .select(*PLACE, "pos", F.xxhash64("left").alias("r1"), F.xxhash64(F.lit(1), "left").alias("r2")), "line-remainders")
     # the earliest line of each remainder, by how it got there: as it is, without any one word, without this word
-    of_rest, of_pos = Window.partitionBy("r1", "r2"), Window.partitionBy("r1", "r2", "pos")
-    whole = F.min(F.when(F.col("pos") == 0, place())).over(of_rest)
-    shorter = F.min(F.when(F.col("pos") > 0, F.struct(*PLACE, "pos"))).over(of_rest)
-    same = F.min(place()).over(of_pos)
-    met = met.withColumns({"whole": whole, "shorter": shorter, "same": same})
+    of_rest = met.groupBy("r1", "r2").agg(F.min(F.when(F.col("pos") == 0, place())).alias("whole"), F.min(F.when(F.col("pos") > 0, F.struct(*PLACE, "pos"))).alias("shorter"))
+    of_pos = met.groupBy("r1", "r2", "pos").agg(F.min(place()).alias("same"))
+    met = met.join(of_rest, ["r1", "r2"]).join(of_pos, ["r1", "r2", "pos"])
     own = place()
     earlier = F.array(
         F.when((F.col("pos") > 0) & (F.col("same") < own), F.struct(F.col("same").alias("at"), F.col("pos").alias("other"))),
@@ -119,7 +119,7 @@ def removed_lines(docs: DataFrame, text: str, min_words: int) -> DataFrame:
     return exact.union(near).groupBy("d", "t").agg(F.collect_set("l").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", min_words: int = STEP, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", min_words: int = FLOOR, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, n_lines (all lines of the text), n_removed and ``kept_text`` (the other lines, joined by line ends;
     null for null)."""
     if min_words < FLOOR:

@@ -3,10 +3,11 @@
 Each document gets exact counts (words, code points in words, symbols, repeated lines, words in
 repeated three-word windows).  The base rules are fixed.  The other thresholds come from quantile
 sketches per language and source: counts of logarithmic buckets (relative error below 1 %), which
-merge by addition, so the order of merging never changes a threshold.  A language and source with
-fewer than ``min_documents`` documents takes its language's merged sketch, and that failing the
-whole table's.  A document fails a rule when it lies beyond the outer quartile fence of its group
-by more than the rule's tolerance.
+merge by addition, so the order of merging never changes a threshold.  A language and source mixes
+its quantiles with its language's, by its number of documents against ``weight``, and the language
+with the whole table's.  A document fails a rule when it lies beyond the outer quartile fence of its
+group by more than the rule's tolerance; for repeated lines and words, which most documents lack,
+beyond the fence and beyond the 0.99 quantile of the group's values above zero.
 
 Null text has no words (and so fails the base rules); null language or source is a group of its
 own; rows are judged one by one, so repeated rows get equal verdicts; an empty table gives an empty
@@ -37,10 +38,12 @@ GAMMA = 1.02  # ratio of neighbouring bucket bounds
 METRICS = {
     "word_length": ("word_chars / n_words", ("low", "high"), 1.0),
     "symbols": ("n_symbols / n_words", ("high",), 0.1),
-    "dup_lines": ("n_dup_lines / n_lines", ("high",), 0.5),
-    "repeats": ("n_repeat_words / n_words", ("high",), 0.3),
+    "dup_lines": ("n_dup_lines / n_lines", ("high",), None),
+    "repeats": ("n_repeat_words / n_words", ("high",), None),
 }
 FENCE = 3.0
+COMMON = 0.99  # without a tolerance: what this share of the group's values above zero keeps within is accepted
+WEIGHT = 20.0  # documents that the parent's quantiles count for
 
 
 def exact_codes(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -104,45 +107,57 @@ def counts(docs: DataFrame, keep: Sequence[str], text: str = "text") -> DataFram
 BASE_FAILED = "n_words < 50 or 100 * n_repeat_words > 50 * n_words"
 
 
-def thresholds(counted: DataFrame, by: Sequence[str], min_documents: int = 100) -> DataFrame:
-    """One row per group of ``by``: ``<metric>_low`` and ``<metric>_high`` fences."""
+def thresholds(counted: DataFrame, by: Sequence[str], weight: float = WEIGHT) -> DataFrame:
+    """One row per group of ``by``: ``<metric>_low`` and ``<metric>_high`` limits.
+
+    A group of n documents takes n parts of its own quantiles and ``weight`` parts of its parent's, which are
+    mixed in the same way, up to the whole table's: one rule at every size."""
     base = counted.filter(f"not ({BASE_FAILED})")
     step = float(np.log(GAMMA))
     # the sketch: one counter per group, metric and bucket; zero has a bucket of its own
     long = base.select(*by, F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.expr(e).cast("double").alias("value")) for m, (e, _, _) in METRICS.items()])).alias("x")).select(
         *by, "x.metric", F.when(F.col("x.value") > 0, F.ceil(F.log("x.value") / step)).alias("bucket"))
     sketch = long.groupBy(*by, "metric", "bucket").agg(F.count("*").alias("n"))
-    fences = None
+    limits = None
     for level in range(len(by), -1, -1):  # group, then its parents, then the whole table
         keys = [*by[:level], "metric"]
         merged = sketch.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
-        w = Window.partitionBy(*keys).orderBy(F.col("bucket").asc_nulls_first())
-        ranked = (merged.withColumn("seen", F.sum("n").over(w)).withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
-                  .withColumn("value", F.when(F.col("bucket").isNull(), 0.0).otherwise(F.exp((F.col("bucket") - 0.5) * step))))
-        quartiles = ranked.groupBy(*keys).agg(F.max("total").alias("total"), *[F.min(F.when(F.col("seen") >= q * F.col("total"), F.col("value"))).alias(c) for c, q in (("q1", 0.25), ("q3", 0.75))])
-        fence = quartiles.groupBy(*by[:level]).agg(F.max("total").alias(f"n{level}"), *[
-            F.max(F.when(F.col("metric") == m, F.col("q1") - FENCE * (F.col("q3") - F.col("q1")) - tolerance if side == "low" else F.col("q3") + FENCE * (F.col("q3") - F.col("q1")) + tolerance)).alias(f"{m}_{side}{level}")
-            for m, (_, sides, tolerance) in METRICS.items() for side in sides])
-        if fences is None:
-            fences = fence
+        of_group = Window.partitionBy(*keys)
+        ranked = merged.withColumns({"seen": F.sum("n").over(of_group.orderBy(F.col("bucket").asc_nulls_first())), "total": F.sum("n").over(of_group),
+                                     "zeros": F.sum(F.when(F.col("bucket").isNull(), F.col("n")).otherwise(0)).over(of_group)})
+        middle = F.when(F.col("bucket").isNull(), 0.0).otherwise(F.exp((F.col("bucket") - 0.5) * step))
+        common = F.col("bucket").isNotNull() & (F.col("seen") - F.col("zeros") >= COMMON * (F.col("total") - F.col("zeros")))
+        quantiles = ranked.groupBy(*keys).agg(F.max("total").alias("total"), *[F.min(F.when(F.col("seen") >= q * F.col("total"), middle)).alias(c) for c, q in (("q1", 0.25), ("q3", 0.75))],
+                                              F.min(F.when(common, F.exp(F.col("bucket") * step))).alias("common"))  # its bucket's upper bound
+        own = quantiles.groupBy(*by[:level]).agg(F.max("total").alias(f"n{level}"), *[
+            F.max(F.when(F.col("metric") == m, F.col(c))).alias(f"{m}_{c}{level}") for m in METRICS for c in ("q1", "q3", "common")])
+        if limits is None:
+            limits = own
         else:
-            extra = [c for c in fence.columns if c not in by]
+            extra = [c for c in own.columns if c not in by]
             if level:
-                renamed = fence.select(*[F.col(c).alias(f"__{c}{level}") for c in by[:level]], *extra)
+                renamed = own.select(*[F.col(c).alias(f"__{c}{level}") for c in by[:level]], *extra)
                 on = [F.col(c).eqNullSafe(F.col(f"__{c}{level}")) for c in by[:level]]
-                fences = fences.join(renamed, on, "left").drop(*[f"__{c}{level}" for c in by[:level]])
-            else:  # the whole table's fences are one row
-                row = fence.select(F.struct(*extra)).scalar()
-                fences = fences.withColumns({c: row.getField(c) for c in extra})
-    names = [f"{m}_{side}" for m, (_, sides, _) in METRICS.items() for side in sides]
-
-    def chosen(name: str) -> F.Column:
-        out = F.col(f"{name}0")
+                limits = limits.join(renamed, on, "left").drop(*[f"__{c}{level}" for c in by[:level]])
+            else:  # the whole table's quantiles are one row
+                row = own.select(F.struct(*extra)).scalar()
+                limits = limits.withColumns({c: row.getField(c) for c in extra})
+
+    def mixed(name: str) -> F.Column:
+        out = F.coalesce(F.col(f"{name}0"), F.lit(0.0))
         for level in range(1, len(by) + 1):
-            out = F.when(F.col(f"n{level}") >= min_documents, F.col(f"{name}{level}")).otherwise(out)
-        return out.alias(name)
+            n = F.col(f"n{level}")
+            out = (n * F.coalesce(F.col(f"{name}{level}"), out) + weight * out) / (n + weight)
+        return out
 
-    return fences.select(*by, *[chosen(n) for n in names])
+    out = []
+    for m, (_, sides, tolerance) in METRICS.items():
+        q1, q3 = mixed(f"{m}_q1"), mixed(f"{m}_q3")
+        if "low" in sides:
+            out.append((q1 - FENCE * (q3 - q1) - tolerance).alias(f"{m}_low"))
+        fence = q3 + FENCE * (q3 - q1)
+        out.append((F.greatest(fence, mixed(f"{m}_common")) if tolerance is None else fence + tolerance).alias(f"{m}_high"))
+    return limits.select(*by, *out)
 
 
 SMALL_TABLE = 50_000  # rows of fences that are broadcast; more are joined by shuffling
@@ -163,20 +178,20 @@ def verdicts(counted: DataFrame, fences: DataFrame, by: Sequence[str]) -> DataFr
     return joined.select(*counted.columns, failed.alias("base_failed"), F.when(failed, F.lit(False)).otherwise(inside).alias("kept"))
 
 
-def judge(docs: DataFrame, keep: Sequence[str] = ("doc_id",), by: Sequence[str] = ("lang", "source"), min_documents: int = 100) -> DataFrame:
+def judge(docs: DataFrame, keep: Sequence[str] = ("doc_id",), by: Sequence[str] = ("lang", "source"), weight: float = WEIGHT) -> DataFrame:
     """``keep`` columns, the counts, base_failed and kept."""
     inner = [f"__by{i}" for i in range(len(by))]
     named = docs.select(F.struct(*keep).alias("__row"), docs["text"], *[docs[c].alias(i) for c, i in zip(by, inner)])
     counted = written(counts(named, ["__row", *inner]), "quality-counts")
-    fences = written(thresholds(counted, inner, min_documents), "quality-fences")
+    fences = written(thresholds(counted, inner, weight), "quality-fences")
     return verdicts(counted, fences, inner).select("__row.*", *COUNTS, "base_failed", "kept")
 
 
-def keep_good(docs: DataFrame, by: Sequence[str] = ("lang", "source"), min_documents: int = 100) -> DataFrame:
+def keep_good(docs: DataFrame, by: Sequence[str] = ("lang", "source"), weight: float = WEIGHT) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns.  The texts are counted twice (for the sketches, then
     for the verdict) so that they never move between machines."""
     inner = [f"__by{i}" for i in range(len(by))]
     bys = [docs[c].alias(i) for c, i in zip(by, inner)]
-    fences = written(thresholds(counts(docs.select("text", *bys), inner), inner, min_documents), "quality-fences")
+    fences = written(thresholds(counts(docs.select("text", *bys), inner), inner, weight), "quality-fences")
     counted = counts(docs.select(F.struct(*docs.columns).alias("__row"), "text", *bys), ["__row", *inner])
     return verdicts(counted, fences, inner).filter("kept").select("__row.*")

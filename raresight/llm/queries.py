@@ -124,15 +124,17 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_NUMBERS = {name: i for i, name in enumerate(licences.SENTENCES)}
 OP6_SQL = rf"""
-WITH known(id, name, sentence) AS (VALUES {", ".join(f"({i}, '{n}', '{licences.SENTENCES[n]}')" for n, i in OP6_NUMBERS.items())}),
-cut AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '[.!?;:]+([\x20\x09-\x0D]|\z)', chr(10), 'g'), chr(10)),
-          lambda s: trim(regexp_replace(translate(s, '{licences.UPPER}', '{licences.LOWER}'), '[^a-z0-9]+', ' ', 'g'))), lambda s: s <> '') AS sentences FROM documents),
-met AS (SELECT doc_id, list(id ORDER BY place) AS ids, string_agg(name, ',' ORDER BY place) AS sentence_ids, min(place) - 1 AS first_sentence
-        FROM (SELECT doc_id, unnest(sentences) AS sentence, unnest(range(1, len(sentences) + 1)) AS place FROM cut) JOIN known USING (sentence) GROUP BY doc_id),
+WITH known(id, name, sentence) AS (VALUES {", ".join(f"({i}, '{n}', ' {licences.SENTENCES[n]} ')" for n, i in OP6_NUMBERS.items())}),
+rules(rule, licence, pattern, longer) AS (VALUES {", ".join(f"({k}, '{name}', '{'.*'.join(f' {OP6_NUMBERS[i]} ' for i in ids)}', {longer}::INT[])"
+                                                             for k, ((name, ids), longer) in enumerate(zip(licences.RULES, licences.longer_rules(licences.RULES))))}),
+cut AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '{licences.SIGNS}', '\1', 'g'), '{licences.BLANK}', chr(1), 'g'),
+          '{licences.MARK}', chr(1), 'g'), chr(1)), lambda s: trim(regexp_replace(translate(s, '{licences.UPPER}', '{licences.LOWER}'), '[^a-z0-9]+', ' ', 'g'))), lambda s: s <> '') AS sentences FROM documents),
+said AS (SELECT doc_id, ' ' || unnest(sentences) || ' ' AS s, unnest(range(1, len(sentences) + 1)) AS place FROM cut),
+met AS (SELECT doc_id, list(id ORDER BY place, spot, id) AS ids, string_agg(name, ',' ORDER BY place, spot, id) AS sentence_ids, min(place) - 1 AS first_sentence
+        FROM (SELECT doc_id, place, id, name, instr(s, sentence) AS spot FROM said JOIN known ON contains(s, sentence)) GROUP BY doc_id),
 paths AS (SELECT *, ' ' || array_to_string(ids, '  ') || ' ' AS path FROM met),
-found AS (SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences FROM paths,
-          (VALUES {", ".join(f"('{name}', '{'.*'.join(f' {OP6_NUMBERS[i]} ' for i in ids)}')" for name, ids in licences.RULES)}) r(licence, pattern)
-          WHERE regexp_matches(path, pattern) GROUP BY doc_id)
+matched AS (SELECT doc_id, list(rule) AS met_rules FROM paths JOIN rules ON regexp_matches(path, pattern) GROUP BY doc_id),
+found AS (SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences FROM matched JOIN rules ON list_contains(met_rules, rule) AND NOT list_has_any(longer, met_rules) GROUP BY doc_id)
 SELECT doc_id, CAST(len(sentences) AS BIGINT) AS n_sentences, coalesce(sentence_ids, '') AS sentence_ids, first_sentence, coalesce(licences, '') AS licences
 FROM cut LEFT JOIN met USING (doc_id) LEFT JOIN found USING (doc_id)
 """
@@ -158,9 +160,9 @@ OP4_SQL = r"""
 WITH lines AS (SELECT doc_id AS d, place - 1 AS l, list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
                FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS place FROM documents)),
 firsts AS (SELECT words, min(struct_pack(d := d, l := l)) AS home FROM lines WHERE len(words) > 0 GROUP BY words),
-variants AS (SELECT home, len(words) AS n, 0 AS pos, array_to_string(words, ' ') AS rest FROM firsts WHERE len(words) >= 8
+variants AS (SELECT home, len(words) AS n, 0 AS pos, array_to_string(words, ' ') AS rest FROM firsts WHERE len(words) >= 2
              UNION ALL
-             SELECT home, n, pos, array_to_string(list_concat(words[1:pos - 1], words[pos + 1:]), ' ') FROM (SELECT home, words, len(words) AS n, unnest(range(1, len(words) + 1)) AS pos FROM firsts WHERE len(words) >= 8)),
+             SELECT home, n, pos, array_to_string(list_concat(words[1:pos - 1], words[pos + 1:]), ' ') FROM (SELECT home, words, len(words) AS n, unnest(range(1, len(words) + 1)) AS pos FROM firsts WHERE len(words) >= 2)),
 near AS (SELECT home FROM (SELECT home, pos, min(home) OVER (PARTITION BY rest, pos) AS same, min(CASE WHEN pos = 0 THEN home END) OVER (PARTITION BY rest) AS whole,
                                 min(CASE WHEN pos > 0 THEN home END) OVER (PARTITION BY rest) AS shorter FROM variants)
          WHERE (pos > 0 AND (same < home OR whole < home)) OR (pos = 0 AND shorter < home)),

@@ -15,7 +15,6 @@ empty table; other columns may have any name.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 
 import numpy as np
@@ -161,23 +160,3 @@ def layout_texts(w: Windows, gone: np.ndarray, rows: int) -> pa.Array:
 
 def digest(deduped: DataFrame) -> DataFrame:
     return deduped.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
-
-
-def brute_force(rows: Sequence[tuple[int | None, str | None]], window: int) -> dict[int | None, tuple[int, int, str]]:
-    """The definition, for tests on small inputs: doc_id -> (n_words, n_removed, kept_sha256)."""
-    import re
-
-    words = {d: re.findall(r"[^\x20\x09-\x0D]+", t or "") for d, t in rows}
-    order = sorted(words, key=lambda d: (d is not None, d))
-    seen, out = {}, {}
-    for rank, d in enumerate(order):
-        for i in range(len(words[d]) - window + 1):
-            seen.setdefault(tuple(words[d][i: i + window]), (rank, i))
-    for rank, d in enumerate(order):
-        gone = set()
-        for i in range(len(words[d]) - window + 1):
-            if seen[tuple(words[d][i: i + window])] < (rank, i):
-                gone.update(range(i, i + window))
-        kept = " ".join(w for i, w in enumerate(words[d]) if i not in gone)
-        out[d] = (len(words[d]), len(gone), hashlib.sha256(kept.encode()).hexdigest())
-    return out

@@ -49,45 +49,6 @@ def test_fingerprints_follow_edit_distance(spark):
     assert len({f[8], f[9], f[10]}) == 3
 
 
-def brute_components(text):
-    """The definition: number occurrences, deal to bins, the two smallest of each in text order."""
-    points = np.array([ord(c) for c in text])
-    k = min(FP.K, len(points))
-    value = FP.mix64(points.astype(np.uint64) + np.uint64(1))
-    n = len(points) - k + 1
-    bits = np.uint64(max(1, (n - 1).bit_length()))
-    seen, bins, mask = {}, [[] for _ in range(64)], (1 << 64) - 1
-    for i in range(n):
-        h = int(value[i])
-        for j in range(1, k):
-            h = (h * int(FP.ODD) + int(value[i + j])) & mask
-        kmer = int(FP.mix64(np.array([h], np.uint64))[0]) >> int(bits) << int(bits)
-        occurrence = seen.get(kmer, 0)
-        seen[kmer] = occurrence + 1
-        u = int(FP.mix64(np.array([(kmer + occurrence * int(FP.ODD)) & mask], np.uint64))[0])
-        bins[u >> 58].append((u, i))
-    mix = lambda x: int(FP.mix64(np.array([x & mask], np.uint64))[0])
-    out = []
-    for b in bins:
-        two = [u for u, i in sorted(sorted(b)[:2], key=lambda x: x[1])]
-        out.append(None if not two else mix(two[0] + int(FP.ODD)) if len(two) == 1 else mix(mix(two[0]) + two[1]))
-    if None in out:
-        filled = []
-        for i in range(64):
-            d = next(d for d in range(64) if out[(i + d) % 64] is not None)
-            filled.append(mix(out[(i + d) % 64] + d * int(FP.ODD)))
-        out = filled
-    return "".join(f"{x >> 48:04x}" for x in out)
-
-
-def test_fingerprints_brute_force(spark):
-    rnd = random.Random(8)
-    texts = ["abc", "a" * 30, words(rnd, 3), words(rnd, 40), words(rnd, 700), "été " * 90]
-    found = prints(spark, texts)
-    for i, t in enumerate(texts):
-        assert found[i] == brute_components(t)
-
-
 def whole_hash_components(text):
     """The definition on whole k-mer hashes, whatever the text's length."""
     points = np.array([ord(c) for c in text], np.uint64)
@@ -214,3 +175,88 @@ def test_thresholds_merge_in_any_order(spark):
     exact = sorted(r.word_chars / r.n_words for r in counted.collect())
     q1, q3 = exact[74], exact[224]
     assert abs(a[0].word_length_high - (q3 + 3 * (q3 - q1) + 1.0)) < 0.1 * q3
+
+
+def brute_kept(rows, weight=Q.WEIGHT):
+    """Verdicts by the definition: quantiles of log buckets, mixed from the table down to (language, source)."""
+    import math
+
+    metric = {"word_length": lambda c: (c[1], c[0]), "symbols": lambda c: (c[2], c[0]), "dup_lines": lambda c: (c[4], c[3]), "repeats": lambda c: (c[5], c[0])}
+    counted = {r[0]: brute_counts(r[1]) for r in rows}
+    base = {d: c[0] < 50 or 100 * c[5] > 50 * c[0] for d, c in counted.items()}
+
+    def own(members, m):
+        values = [a / b for a, b in (metric[m](counted[d]) for d in members)]
+        buckets = sorted(-math.inf if v == 0 else math.ceil(math.log(v) / math.log(Q.GAMMA)) for v in values)
+        at = lambda q: buckets[max(0, math.ceil(q * len(buckets)) - 1)]
+        middle = lambda b: 0.0 if b == -math.inf else Q.GAMMA ** (b - 0.5)
+        above = [b for b in buckets if b != -math.inf]
+        common = Q.GAMMA ** above[max(0, math.ceil(Q.COMMON * len(above)) - 1)] if above else None
+        return {"q1": middle(at(0.25)), "q3": middle(at(0.75)), "common": common}
+
+    passing = [r for r in rows if not base[r[0]]]
+    out = {}
+    for d, _, lang, source in rows:
+        if base[d]:
+            out[d] = False
+            continue
+        levels = [[r[0] for r in passing], [r[0] for r in passing if r[2] == lang], [r[0] for r in passing if r[2:] == (lang, source)]]
+        ok = True
+        for m, (_, sides, tolerance) in Q.METRICS.items():
+            mixed = {"q1": 0.0, "q3": 0.0, "common": 0.0}
+            for i, members in enumerate(levels):
+                mine = own(members, m)
+                for c in mixed:
+                    value = mixed[c] if mine[c] is None else mine[c]
+                    mixed[c] = value if i == 0 else (len(members) * value + weight * mixed[c]) / (len(members) + weight)
+            a, b = metric[m](counted[d])
+            spread = Q.FENCE * (mixed["q3"] - mixed["q1"])
+            high = max(mixed["q3"] + spread, mixed["common"]) if tolerance is None else mixed["q3"] + spread + tolerance
+            ok &= a / b <= high and ("low" not in sides or a / b >= mixed["q1"] - spread - tolerance)
+        out[d] = ok
+    return out
+
+
+def varied(seed, n=500):
+    rnd, rows = random.Random(seed), []
+    for i in range(n):
+        lang, source = rnd.choice(["en", "de", None]), rnd.choice(["a", "a", "a", "b", "c", None])
+        long = 6 if (lang, source) == ("de", "b") else 2
+        text = [rnd.choice("abcdefg") * rnd.randint(long, long + 5) + str(rnd.randrange(10 ** 5)) for _ in range(rnd.randint(40, 90))]
+        if rnd.random() < 0.1:
+            text += ["###", "$%"] * rnd.randint(1, 30)
+        lines = [" ".join(text[j: j + 9]) for j in range(0, len(text), 9)]
+        if rnd.random() < 0.3:
+            lines += lines[: rnd.randint(1, 5)]
+        rows.append((i, "\n".join(lines), lang, source))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_kept_brute_force(spark, seed):
+    rows = varied(seed)
+    out = {r.doc_id: r.kept for r in Q.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert out == brute_kept(rows)
+    assert 0.5 < sum(out.values()) / len(out) < 1
+
+
+def test_no_verdict_hangs_on_the_number_of_documents(spark):
+    """A source of long words beside others: a few documents more change few verdicts, at every size."""
+    rnd = random.Random(9)
+    text = lambda size: " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(size, size + 4))) for _ in range(100))
+    rows = [(i, text(4), "en", "other") for i in range(400)] + [(1000 + i, text(9), "en", "src") for i in range(130)]
+    kept = []
+    for n in (60, 62, 96, 98, 100, 102, 130):
+        some = spark.createDataFrame([r for r in rows if r[0] < 1000 + n], "doc_id long, text string, lang string, source string")
+        kept.append(sum(r.kept for r in Q.judge(some).collect() if r.doc_id >= 1000))
+    assert all(abs((b - a)) <= 2 + 2 for a, b in zip(kept[:2], kept[1:2])) and all(abs(b - a) <= 4 for a, b in zip(kept[2:6], kept[3:6])) and kept[-1] >= 125, kept
+
+
+def test_next_document_with_null_and_large_ids(spark):
+    """Ids beyond 2^53 beside a null id: every row comes out, each with the next one's text."""
+    ids = [2 ** 60 + i for i in range(300)] + [None, -(2 ** 62), 2 ** 63 - 1]
+    rows = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string").repartition(7)
+    out = FP.with_next(rows, partitions=5).collect()
+    order = sorted(ids, key=lambda i: (i is not None, i))
+    assert {r.doc_id: (r.text, r.next_text) for r in out} == {a: (f"t{a}", f"t{b}") for a, b in zip(order, order[1:] + order[:1])}
+    assert len(out) == len(ids)

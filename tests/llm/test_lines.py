@@ -23,7 +23,7 @@ def one_apart(a, b):
     return len(a) == len(b) + 1 and any(a[:i] + a[i + 1:] == b for i in range(len(a)))
 
 
-def brute(rows, min_words=8):
+def brute(rows, min_words=2):
     found = []
     for d, t in rows:
         for i, line in enumerate((t or "").split("\n")):

@@ -64,7 +64,6 @@ def compare(spark, tmp_path, docs, sf_dir):
     assert texts[2].items() <= texts[1].items()
     assert texts[3] == {d: t for d, t in brute_substrings(sorted(texts[2].items()), 20).items() if has_word(t)}
     lib = Tokenizer.from_file(token_ids.vocabulary_path())
-    lib.encode_special_tokens = True
     pieces = {}
     for r in stages[4].collect():
         pieces.setdefault(r.doc_id, []).append((r.start, bytes(r.ids)))
@@ -114,3 +113,15 @@ def test_extra_columns_pass(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept string, block long")
     out = staged(spark, tmp_path, docs, "")[3]
     assert out.columns == docs.columns and sorted((r.doc_id, r.kept, r.block) for r in out.collect()) == [(i, "x", i) for i in range(30)]
+
+
+def test_clashing_names_pass_every_stage(spark, tmp_path):
+    """Columns named like the operators' own."""
+    rnd = random.Random(3)
+    names = ["kept_text", "n_removed", "n_words", "__text", "row", "block", "node", "__row", "__id", "d", "text_"]
+    rows = [(i, " ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(80)), "en", "s", 5, *[f"{n}{i}" for n in names]) for i in range(30)] + [(40, "x y " * 3, None, None, None, *[None] * len(names))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    stages = staged(spark, tmp_path, docs, "")
+    for out in stages[:4]:
+        assert out.columns == docs.columns and sorted((r.doc_id, *r[5:]) for r in out.collect()) == [(i, *[f"{n}{i}" for n in names]) for i in range(30)]
+    assert stages[4].select("doc_id").distinct().count() == 30
