@@ -10,7 +10,10 @@ follows the text.  A stage works on all rows that its predecessor kept:
 4. substring dedup: passages of 20 words and more that start earlier elsewhere go;
 5. packing: sequences of 2048 tokens.
 
-A document that loses its last word in stage 2 or 4 goes.  From the second on, a stage begins by
+A document that loses its last word in stage 2 or 4 goes.  Null doc_ids sort first; rows with equal doc_ids
+are documents of their own to stages 1, 3 and 5, and the same place in the order to 2 and 4, where equal rows
+both stay.  Ties go to the earlier line or place.  Other columns may have any name; an empty table
+passes all stages.  From the second on, a stage begins by
 removing the tables that the stage before kept in the shared folder: its result has been written by
 then.
 
@@ -33,12 +36,17 @@ ORACLE_SQL = None
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
+def as_rows(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text): all columns as one struct, so that their names meet no others."""
+    return docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+
+
 def with_text(kept: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` with kept_text as the text; documents without a word go."""
-    out = kept.filter(F.col("kept_text").rlike(HAS_WORD)).withColumn("text", F.col("kept_text"))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(kept.schema["n_chars"].dataType))
-    return out.select(*columns)
+    """``row``'s columns with kept_text as the text; documents without a word go."""
+    row, text = F.col("row"), F.col("kept_text")
+    fields = {f.name: f.dataType for f in kept.schema["row"].dataType.fields}
+    new = {"text": text, "n_chars": F.char_length(text).cast(fields["n_chars"]) if "n_chars" in fields else None}
+    return kept.filter(text.rlike(HAS_WORD)).select(*[(row.getField(c) if new.get(c) is None else new[c]).alias(c) for c in columns])
 
 
 _TABLES: list[str] = []  # of the stage before
@@ -67,9 +75,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @after_the_last()
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    others = [c for c in docs.columns if c != "text"]
-    kept = lines.dedup_lines(docs, keep=others).drop("n_lines", "n_removed")
-    return with_text(kept, docs.columns)
+    return with_text(lines.dedup_lines(as_rows(docs), min_words=2, keep=("row",)), docs.columns)
 
 
 @after_the_last()
@@ -79,9 +85,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @after_the_last()
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    others = [c for c in docs.columns if c != "text"]
-    kept = substring.dedup_substrings(docs, window=20, keep=others, layout=True).drop("n_words", "n_removed")
-    return with_text(kept, docs.columns)
+    return with_text(substring.dedup_substrings(as_rows(docs), window=20, keep=("row",), layout=True), docs.columns)
 
 
 @after_the_last()
