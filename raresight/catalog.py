@@ -1089,6 +1089,7 @@ def d13_linear_contributions(spark, sf_dir):
 # ----------------------------------------------------------------------------
 # M: imbalance handling and training (features = embeddings stand-in)
 from raresight.operators import train as M  # noqa: E402
+from raresight.plans import logistic_gradient  # noqa: E402
 
 # fixed values: the reference's model parameters
 LR_PARAMS = {"model": "logistic_regression", "max_iter": 1000, "random_state": 42, "resampling": "none"}
@@ -1211,16 +1212,119 @@ def m9_cross_validated_pr_auc(spark, sf_dir):
     return M.cross_validate_pr_auc(train, S.E_COLUMNS, LR_PARAMS, "Class", "vec_id", 5, SEED)
 
 
-@register("d1_raw_to_decision")
+def _newton_sql(steps: int = 12) -> str:
+    """``fit`` (m, it, b0, b1, b2): Newton steps for the penalised, weighted logistic loss of the rows ``d`` (m, y, z1, z2, w)."""
+    g0, g1, g2 = "sum(w * (y - p))", "sum(w * (y - p) * z1) - b1", "sum(w * (y - p) * z2) - b2"
+    h = {"aa": "1", "ab": "z1", "ac": "z2", "bb": "z1 * z1", "bc": "z1 * z2", "cc": "z2 * z2"}
+    second = ", ".join(f"sum(w * p * (1 - p) * {x}){' + 1' if n in ('bb', 'cc') else ''} AS {n}" for n, x in h.items())
+    return f"""
+fit AS (
+  SELECT DISTINCT m, 0 AS it, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 FROM d
+  UNION ALL
+  SELECT m, it + 1,
+         b0 + (g0 * (bb * cc - bc * bc) - ab * (g1 * cc - bc * g2) + ac * (g1 * bc - bb * g2)) / det,
+         b1 + (aa * (g1 * cc - bc * g2) - g0 * (ab * cc - bc * ac) + ac * (ab * g2 - g1 * ac)) / det,
+         b2 + (aa * (bb * g2 - g1 * bc) - ab * (ab * g2 - g1 * ac) + g0 * (ab * bc - bb * ac)) / det
+  FROM (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det
+        FROM (SELECT m, it, b0, b1, b2, {g0} AS g0, {g1} AS g1, {g2} AS g2, {second}
+              FROM (SELECT d.*, it, b0, b1, b2, 1 / (1 + exp(-(b0 + b1 * z1 + b2 * z2))) AS p FROM d JOIN fit USING (m) WHERE it < {steps}) GROUP BY m, it, b0, b1, b2))),
+fitted AS (SELECT m, b0, b1, b2 FROM fit WHERE it = {steps})"""
+
+
+# rows of the transaction split as the model sees them: scaled and weighted by the training part alone
+SQL_TX_MODEL = f"""
+{SQL_TX.strip()}, {SQL_SPLIT.strip()},
+moments AS (SELECT avg(Time) AS m1, stddev_pop(Time) AS s1, avg(Amount) AS m2, stddev_pop(Amount) AS s2, count(*) AS n, sum(Class) AS n1 FROM sp WHERE split = 'train'),
+z AS (SELECT event_id, Class, split, (Time - m1) / s1 AS z1, (Amount - m2) / s2 AS z2, CASE WHEN Class = 1 THEN n / (2 * n1) ELSE n / (2 * (n - n1)) END AS w FROM sp, moments),
+d AS (SELECT 0 AS m, Class AS y, z1, z2, w FROM z WHERE split = 'train'),
+{_newton_sql().strip()},
+scored AS (SELECT event_id, Class, 1 / (1 + exp(-(b0 + b1 * z1 + b2 * z2))) AS p FROM z, fitted WHERE split = 'test')"""
+TX_FEATURES = ["Time", "Amount"]
+SQL_AP = """
+steps AS (SELECT {by} p, sum(y) AS n_pos, count(*) AS n FROM ps GROUP BY ALL),
+run AS (SELECT *, sum(n_pos) OVER ({part} ORDER BY p DESC) AS tps, sum(n) OVER ({part} ORDER BY p DESC) AS seen FROM steps),
+ap AS (SELECT {by} coalesce(sum(n_pos * (tps / seen)) / nullif(sum(n_pos), 0), 0.0) AS pr_auc FROM run {group})"""
+
+
+def _tx_model(spark, sf_dir):
+    """(test rows as they came, the training rows' standardiser, the model fitted on the scaled training rows)"""
+    tx = S.transaction_table(spark, sf_dir)
+    sp = T.stratified_split(tx, ["event_id"], "Class", TEST_SIZE, SEED)
+    train = sp.filter(F.col("split") == "train").drop("split")
+    params = T.fit_standardizer(train, TX_FEATURES).collect()
+    model = M.fit_logistic(T.apply_standardizer(train, params), TX_FEATURES, LR_PARAMS, "Class", "event_id")
+    return sp.filter(F.col("split") == "test").drop("split"), params, model
+
+
+@register("d1_raw_to_decision", sql=f"""
+WITH RECURSIVE {SQL_TX_MODEL}
+SELECT event_id, Class, round(p, 6) AS fraud_probability, CAST(p >= 0.5 AS INTEGER) AS is_fraud FROM scored
+""")
 def d1_raw_to_decision(spark, sf_dir):
     """Raw transactions -> standardiser fitted on train -> model -> decision, on test rows."""
+    test, params, model = _tx_model(spark, sf_dir)
+    return M.raw_to_decision(test, params, model, 0.5).select("event_id", "Class", F.round("fraud_probability", 6).alias("fraud_probability"), "is_fraud")
+
+
+@register("m3_logistic_coefficients", sql=f"""
+WITH RECURSIVE {SQL_TX_MODEL}
+SELECT unnest(['intercept', 'Time', 'Amount']) AS term, round(unnest([b0, b1, b2]), 6) AS coefficient, true AS optimal FROM fitted
+""")
+def m3_logistic_coefficients(spark, sf_dir):
+    """The fitted coefficients, each with the check that the penalised gradient, summed from the rows, is 0 there."""
     tx = S.transaction_table(spark, sf_dir)
     sp = T.stratified_split(tx, ["event_id"], "Class", TEST_SIZE, SEED)
     train = sp.filter(F.col("split") == "train").drop("split")
-    test = sp.filter(F.col("split") == "test").drop("split")
-    params = T.fit_standardizer(train, ["Time", "Amount"]).collect()
-    model = M.fit_model(T.apply_standardizer(train, params), ["Time", "Amount"], LR_PARAMS, "Class", "event_id")
-    return M.raw_to_decision(test, params, model, 0.5).select("event_id", "Class", "fraud_probability", "is_fraud")
+    weighted = M.with_balanced_weights(T.apply_standardizer(train, T.fit_standardizer(train, TX_FEATURES).collect()), "Class")
+    model = M.fit_logistic(weighted.drop("weight"), TX_FEATURES, LR_PARAMS, "Class", "event_id")
+    check = logistic_gradient(weighted, TX_FEATURES, model.coefficients, model.intercept, "Class", "weight")
+    value = F.create_map(*[x for t, b in zip(["intercept", *TX_FEATURES], [model.intercept, *model.coefficients]) for x in (F.lit(t), F.lit(b))])
+    return check.select("term", F.round(value[F.col("term")], 6).alias("coefficient"), (F.abs("gradient") <= 1e-8 * F.col("scale")).alias("optimal"))
+
+
+@register("m3_logistic_optimality", sql="SELECT unnest(['intercept', " + ", ".join(f"'{c}'" for c in S.E_COLUMNS) + "]) AS term, true AS optimal")
+def m3_logistic_optimality(spark, sf_dir):
+    """Spark ML's fit on all feature columns: the penalised gradient, summed from the rows, is nearly 0 in every term."""
+    train, _ = _feature_split(spark, sf_dir)
+    model = M.fit_model(train, S.E_COLUMNS, LR_PARAMS, "Class", "vec_id").stages[-1]
+    check = logistic_gradient(M.with_balanced_weights(train, "Class"), S.E_COLUMNS, model.coefficients.toArray().tolist(), model.intercept, "Class", "weight")
+    return check.select("term", (F.abs("gradient") <= 1e-3 * F.col("scale")).alias("optimal"))
+
+
+@register("m8_transaction_metrics", sql=f"""
+WITH RECURSIVE {SQL_TX_MODEL},
+ps AS (SELECT Class AS y, round(p, 9) AS p FROM scored),
+{SQL_AP.format(by="", part="", group="").strip()},
+conf AS (SELECT count(*) FILTER (WHERE p >= 0.5 AND y = 1) AS tp, count(*) FILTER (WHERE p >= 0.5 AND y <> 1) AS fp, count(*) FILTER (WHERE p < 0.5 AND y = 1) AS fn FROM ps)
+SELECT 'logistic_regression' AS model_id, round(coalesce(tp / nullif(tp + fp, 0), 0.0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0.0), 6) AS recall,
+       round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0), 6) AS f1, round(pr_auc, 6) AS pr_auc FROM conf, ap
+""")
+def m8_transaction_metrics(spark, sf_dir):
+    """Score and threshold of the model fitted on the scaled transactions: its metrics on the test rows."""
+    test, params, model = _tx_model(spark, sf_dir)
+    scored = M.raw_to_decision(test, params, model, 0.5).select(F.col("Class").alias("y"), F.round("fraud_probability", 9).alias("p"), F.lit("logistic_regression").alias("model_id"))
+    out = E.model_metrics(scored, 0.5)
+    return out.select("model_id", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1", "pr_auc")])
+
+
+@register("m9_transaction_cross_validation", sql=f"""
+WITH RECURSIVE {SQL_TX.strip()},
+hs AS (SELECT *, md5(concat_ws('|', '42', CAST(event_id AS VARCHAR))) AS h FROM tx),
+rk AS (SELECT *, row_number() OVER (PARTITION BY Class ORDER BY h) - 1 AS r, count(*) OVER (PARTITION BY Class) AS n_c FROM hs),
+fo AS (SELECT event_id, Time, Amount, Class, (floor(n_c * 1 / 5) <= r)::INT + (floor(n_c * 2 / 5) <= r)::INT + (floor(n_c * 3 / 5) <= r)::INT + (floor(n_c * 4 / 5) <= r)::INT AS fold FROM rk),
+moments AS (SELECT m, avg(Time) AS m1, stddev_pop(Time) AS s1, avg(Amount) AS m2, stddev_pop(Amount) AS s2, count(*) AS n, sum(Class) AS n1 FROM fo, range(5) t(m) WHERE fold <> m GROUP BY m),
+z AS (SELECT m, fold, Class AS y, (Time - m1) / s1 AS z1, (Amount - m2) / s2 AS z2, CASE WHEN Class = 1 THEN n / (2 * n1) ELSE n / (2 * (n - n1)) END AS w FROM fo, moments),
+d AS (SELECT m, y, z1, z2, w FROM z WHERE fold <> m),
+{_newton_sql().strip()},
+ps AS (SELECT fold, y, round(1 / (1 + exp(-(b0 + b1 * z1 + b2 * z2))), 9) AS p FROM z JOIN fitted USING (m) WHERE fold = m),
+{SQL_AP.format(by="fold,", part="PARTITION BY fold", group="GROUP BY fold").strip()}
+SELECT CAST(fold AS INTEGER) AS fold, round(pr_auc, 6) AS pr_auc, round(avg(pr_auc) OVER (), 6) AS mean_pr_auc, round(stddev_pop(pr_auc) OVER (), 6) AS std_pr_auc FROM ap
+""")
+def m9_transaction_cross_validation(spark, sf_dir):
+    """Five models fitted together, scaled and weighted inside their own training parts; PR-AUC per fold, mean and std."""
+    tx = S.transaction_table(spark, sf_dir)
+    out = M.cross_validate_pr_auc(tx, TX_FEATURES, LR_PARAMS, "Class", "event_id", 5, SEED, scale_cols=TX_FEATURES, digits=9)
+    return out.select("fold", *[F.round(c, 6).alias(c) for c in ("pr_auc", "mean_pr_auc", "std_pr_auc")])
 
 
 # ----------------------------------------------------------------------------

@@ -7,8 +7,6 @@ with hash-derived randomness so the same rows come out on any partitioning.
 
 from __future__ import annotations
 
-import statistics
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -20,7 +18,7 @@ from raresight.errors import ModelConfigError
 from raresight.functions import hash_hex, hash_uniform
 from raresight.operators import evaluate as E
 from raresight.operators import prepare as T
-from raresight.plans import exact_knn, hash_rank
+from raresight.plans import LogisticFit, exact_knn, hash_rank, newton_logistic
 from raresight.session import checkpoint_dir, stored
 
 REQUIRED = {
@@ -175,43 +173,69 @@ def fit_model(train: DataFrame, features, params: dict, label: str = "Class", ke
     return pipe.fit(frame)
 
 
+def fit_logistic(train: DataFrame, features, params: dict, label: str = "Class", key: str = "vec_id", scale_cols=()) -> LogisticFit:
+    """M3 by Newton steps: the exact optimum of the same objective (L2, C, balanced weights or SMOTE) as ``fit_model``'s."""
+    name, p = check_params(params)
+    if name != "logistic_regression":
+        raise ModelConfigError(f"fit_logistic fits logistic regression, not {name!r}")
+    frame, wcol = training_frame(train, params, features, label, key)
+    narrow = stored(frame.select(*features, label, *([wcol] if wcol else [])), "newton-rows")  # read once a step
+    return newton_logistic(narrow, features, label, c=float(p.get("C", 1.0)), balanced=False, weight=wcol, scale=scale_cols, max_iter=int(p["max_iter"]))[0]
+
+
 # M8 / D1 ------------------------------------------------------------------------
-def score(model: PipelineModel, df: DataFrame, threshold: float, prob_col: str = "fraud_probability",
+def score(model: PipelineModel | LogisticFit, df: DataFrame, threshold: float, prob_col: str = "fraud_probability",
           decision_col: str = "is_fraud") -> DataFrame:
-    """Positive-class probability and the decision ``p >= threshold`` (inclusive)."""
-    out = model.transform(df)
-    p = vector_to_array(F.col("probability"))[1]
+    """Positive-class probability and the decision ``p >= threshold`` (inclusive).  ``model`` is a pipeline or a
+    ``LogisticFit``, whose score is one projection."""
     keep = [c for c in df.columns]
+    if isinstance(model, LogisticFit):
+        out, p = df, model.probability()
+    else:
+        out, p = model.transform(df), vector_to_array(F.col("probability"))[1]
     return out.select(*keep, p.alias(prob_col), (p >= F.lit(float(threshold))).cast("int").alias(decision_col))
 
 
-def raw_to_decision(raw: DataFrame, scaler_params, model: PipelineModel, threshold: float) -> DataFrame:
+def raw_to_decision(raw: DataFrame, scaler_params, model: PipelineModel | LogisticFit, threshold: float) -> DataFrame:
     """D1: raw rows -> fitted standardiser -> probability -> decision; batch or stream."""
     return score(model, T.apply_standardizer(raw, scaler_params), threshold)
 
 
 # M9 --------------------------------------------------------------------------
-def cross_validate_pr_auc(df: DataFrame, features, params: dict, label: str = "Class", key: str = "vec_id",
-                          k: int = 5, seed: int = 42, scale_cols=()) -> DataFrame:
-    """Stratified k-fold PR-AUC: refit per fold (scaling and resampling inside the fold's
-    training part only); per-fold rows plus the mean and population std."""
-    # the fold assignment is reused k times: cut its lineage with a reliable checkpoint
-    # in the shared folder (survives executor loss; never a local checkpoint)
-    checkpoint_dir(df.sparkSession)  # the session's shared folder (set for local runs only)
-    folds = T.stratified_folds(df, [key], label, k, seed).checkpoint(eager=True)
-    spark = df.sparkSession
-    rows = []
+def cross_validated_scores(df: DataFrame, features, params: dict, label: str = "Class", key: str = "vec_id",
+                           k: int = 5, seed: int = 42, scale_cols=()) -> DataFrame:
+    """(key, label, fold, p): every row scored by the model that was trained without its fold.
+
+    Logistic regression with class weights: all k models are fitted together (one pass a step) and all rows scored in
+    one projection.  Other models and SMOTE are refitted fold by fold; scaling and resampling stay inside the fold's
+    training part either way."""
+    features = list(features)
+    # the folds are read by every step or fit: stored once in the shared folder
+    folds = stored(T.stratified_folds(df, [key], label, k, seed).select(key, label, "fold", *features), "cv-folds")
+    name, p = check_params(params)
+    if name == "logistic_regression" and p.get("resampling") == "none":
+        fits = newton_logistic(folds, features, label, "fold", k, float(p.get("C", 1.0)), scale=scale_cols, max_iter=int(p["max_iter"]))
+        prob = F.lit(None).cast("double")
+        for f, fit in enumerate(fits):
+            prob = F.when(F.col("fold") == f, fit.probability()).otherwise(prob)
+        return folds.select(key, label, "fold", prob.alias("p"))
+    out = None
     for f in range(k):
-        tr = folds.filter(F.col("fold") != f).drop("fold")
-        te = folds.filter(F.col("fold") == f).drop("fold")
+        tr, te = folds.filter(F.col("fold") != f), folds.filter(F.col("fold") == f)
         if scale_cols:
-            prm = T.fit_standardizer(tr, scale_cols)
+            prm = T.fit_standardizer(tr, scale_cols).collect()
             tr, te = T.apply_standardizer(tr, prm), T.apply_standardizer(te, prm)
-        model = fit_model(tr, features, params, label, key)
-        sc = score(model, te, 0.5).select(F.col(label).alias("y"), F.col("fraud_probability").alias("p"))
-        ap = E.average_precision(sc).first()["pr_auc"]
-        rows.append((f, float(ap)))
-    vals = [r[1] for r in rows]
-    mean, std = statistics.fmean(vals), statistics.pstdev(vals)
-    return spark.createDataFrame([(f, ap, mean, std) for f, ap in rows],
-                                 "fold int, pr_auc double, mean_pr_auc double, std_pr_auc double")
+        scored = score(fit_model(tr.drop("fold"), features, params, label, key), te, 0.5).select(key, label, "fold", F.col("fraud_probability").alias("p"))
+        out = scored if out is None else out.unionByName(scored)
+    return out
+
+
+def cross_validate_pr_auc(df: DataFrame, features, params: dict, label: str = "Class", key: str = "vec_id",
+                          k: int = 5, seed: int = 42, scale_cols=(), digits: int | None = None) -> DataFrame:
+    """Stratified k-fold PR-AUC: one row per fold, with the mean and the population std of all folds.  ``digits``
+    rounds the scores first, so that sums in another order make no other ties."""
+    scored = cross_validated_scores(df, features, params, label, key, k, seed, scale_cols)
+    p = F.round("p", digits) if digits else F.col("p")
+    ap = stored(E.average_precision(scored.select("fold", F.col(label).alias("y"), p.alias("p")), by=["fold"]), "cv-scores")  # k rows
+    of_all = ap.select(F.struct(F.avg("pr_auc").alias("mean"), F.stddev_pop("pr_auc").alias("std"))).scalar()
+    return ap.select("fold", "pr_auc", of_all["mean"].alias("mean_pr_auc"), of_all["std"].alias("std_pr_auc"))
