@@ -40,27 +40,27 @@ CELLS = 200_000  # cells of a task's stripes before they are spilled
 TILE, TILES = 256, 64  # sources of one side of a tile of pairs; tiles that a task holds
 SCALE = 10 ** 9
 
-STRIPE = "lang string, term string, docs long, cells array<struct<source:string,n:long>>"
+STRIPE = "lang string, term string, cells array<struct<source:string,docs:long,n:long>>"
 
 
-def spilled(stripes: dict[str, dict[bytes, list]]) -> pa.RecordBatch:
-    """Stripes as rows (lang, term, docs, cells)."""
-    langs, terms, docs, sources, counts, ends = [], [], [], [], [], [0]
+def spilled(stripes: dict[str, dict[bytes, dict[str, list[int]]]]) -> pa.RecordBatch:
+    """Stripes as rows (lang, term, cells)."""
+    langs, terms, sources, cells, ends = [], [], [], [], [0]
     for lang, table in stripes.items():
         langs += [lang] * len(table)
-        for term, (n_docs, cells) in table.items():
-            terms.append(term)
-            docs.append(n_docs)
-            sources += cells.keys()
-            counts += cells.values()
+        terms += table.keys()
+        for stripe in table.values():
+            sources += stripe.keys()
+            cells += stripe.values()
             ends.append(len(sources))
-    cells = pa.StructArray.from_arrays([pa.array(sources, pa.string()), pa.array(counts, pa.int64())], ["source", "n"])
-    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(docs, pa.int64()),
-                                       pa.ListArray.from_arrays(pa.array(ends, pa.int32()), cells)], ["lang", "term", "docs", "cells"])
+    numbers = np.array(cells, np.int64).reshape(-1, 2)
+    of_source = pa.StructArray.from_arrays([pa.array(sources, pa.string()), pa.array(numbers[:, 0]), pa.array(numbers[:, 1])], ["source", "docs", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(terms, pa.binary()).cast(pa.string()),
+                                       pa.ListArray.from_arrays(pa.array(ends, pa.int32()), of_source)], ["lang", "term", "cells"])
 
 
 def folded(docs: DataFrame, limit: int = CELLS) -> DataFrame:
-    """The tasks' stripes (``lang``, ``term``, ``docs``, ``cells``): a term has a row for each spill that met it."""
+    """The tasks' stripes (``lang``, ``term``, ``cells``: documents and occurrences by source): a term has a row for each spill that met it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stripes, held = {}, 0
@@ -75,13 +75,14 @@ def folded(docs: DataFrame, limit: int = CELLS) -> DataFrame:
                 for term, n in own.items():
                     stripe = table.get(term)
                     if stripe is None:
-                        table[term] = [1, {source: n}]
+                        stripe = table[term] = {}
+                    cell = stripe.get(source)
+                    if cell is None:
+                        stripe[source] = [1, n]
                         held += 1
-                        continue
-                    stripe[0] += 1
-                    cells = stripe[1]
-                    held += source not in cells
-                    cells[source] = cells.get(source, 0) + n
+                    else:
+                        cell[0] += 1
+                        cell[1] += n
                 if held >= limit:
                     yield spilled(stripes)
                     stripes, held = {}, 0
@@ -93,10 +94,11 @@ def folded(docs: DataFrame, limit: int = CELLS) -> DataFrame:
 
 def merged(stripes: DataFrame, min_documents: int) -> DataFrame:
     """One row per kept term: lang, term, n (occurrences in the language), cells."""
-    dealt = stripes.repartition(shuffle_partitions(stripes.sparkSession), "lang", "term")  # every later step goes by this key
-    frequent = dealt.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_documents).select("lang", "term")
-    cells = dealt.join(frequent, ["lang", "term"], "left_semi").select("lang", "term", F.inline("cells")).groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
-    return cells.groupBy("lang", "term").agg(F.sum("n").alias("n"), F.collect_list(F.struct("source", "n")).alias("cells"))
+    # dealt once by (lang, term): the sums below need no other exchange
+    dealt = stripes.repartition(shuffle_partitions(stripes.sparkSession), "lang", "term").select("lang", "term", F.inline("cells"))
+    cells = dealt.groupBy("lang", "term", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    whole = cells.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.collect_list(F.struct("source", "n")).alias("cells"))
+    return whole.filter(F.col("docs") >= min_documents).drop("docs")
 
 
 def share(n: Column, total: str, terms: str) -> Column:
@@ -135,12 +137,12 @@ def both_held(stripes: DataFrame) -> DataFrame:
                 known, inner = numbers.setdefault(lang, {}), cells.values
                 at = np.array([known.setdefault(s, len(known)) for s in inner.field("source").to_pylist()])
                 p, p0 = (inner.field(c).to_numpy(zero_copy_only=False) for c in ("p", "p0"))
-                tiles = [(int(t), np.flatnonzero(at // TILE == t)) for t in np.unique(at // TILE)]
+                tiles = [(0, slice(None))] if at.max() < TILE else [(int(t), np.flatnonzero(at // TILE == t)) for t in np.unique(at // TILE)]
                 for i, mine in tiles:
                     for j, theirs in tiles:
                         x, x0, y, y0 = p[mine][:, None], p0[mine][:, None], p[theirs][None, :], p0[theirs][None, :]
                         value, met = sums.setdefault((lang, i, j), (np.zeros((TILE, TILE), np.int64), np.zeros((TILE, TILE), bool)))
-                        grid = np.ix_(at[mine] % TILE, at[theirs] % TILE)
+                        grid = (at[mine, None] % TILE, at[None, theirs] % TILE)
                         value[grid] += f(x, y) - f(x, y0) - f(x0, y) + f(x0, y0)
                         met[grid] = True
                         if len(sums) > TILES:
