@@ -67,10 +67,9 @@ def describe(df: DataFrame, cols, by=(), probs=QUARTILES, accuracy: int = 10000,
         out = long.groupBy(*keys).agg(*aggs, approx.alias("_q"))
         return out.select(*keys, "count", "mean", "std", "min",
                           *[F.col("_q")[i].alias(n) for i, n in enumerate(names)], "max")
-    # moments ride along in the quantile plan's single stats pass (one aggregate, not two)
     moments = {"count": F.count(F.lit(1)), "mean": F.avg("_x"), "std": F.stddev_samp("_x"),
                "min": F.min("_x"), "max": F.max("_x")}
-    q = exact_quantiles(long, "value", probs, keys, accuracy, extra_aggs=moments)
+    q = exact_quantiles(long, "value", probs, keys, extra_aggs=moments)
     qw = q.groupBy(*keys, *moments).pivot("qi", list(range(len(probs)))).agg(F.first("value"))
     return qw.select(*keys, "count", "mean", "std", "min", *[F.col(str(i)).alias(n) for i, n in enumerate(names)],
                      "max")
@@ -236,14 +235,13 @@ def melt(df: DataFrame, id_cols, value_cols, var_name: str = "component", value_
 
 
 # P18 ------------------------------------------------------------------------
-def box_stats(df: DataFrame, value_cols, label: str = "Class", whisker: float = 1.5,
-              accuracy: int = 10000) -> DataFrame:
+def box_stats(df: DataFrame, value_cols, label: str = "Class", whisker: float = 1.5) -> DataFrame:
     """Per (component, class): exact quartiles, whiskers at ``whisker`` x IQR (the most
     extreme data points inside the fences) and the number of points outside them.
     Quartiles per group are a stored table (components x classes); its join is sized by its files."""
     long = _long(df, value_cols, [label], "component")
     keys = [label, "component"]
-    q = exact_quantiles(long, "value", QUARTILES, keys, accuracy)
+    q = exact_quantiles(long, "value", QUARTILES, keys)
     qw = q.groupBy(*keys).pivot("qi", [0, 1, 2]).agg(F.first("value")) \
         .select(*keys, F.col("0").alias("q1"), F.col("1").alias("median"), F.col("2").alias("q3"))
     qw = qw.withColumn("iqr", F.col("q3") - F.col("q1")) \

@@ -7,14 +7,13 @@ stratified split and stratified folds; ``hash_rank`` gives every row its global
 rank the same way (SMOTE's even allocation).
 
 ``exact_quantiles``: exact, linearly interpolated quantiles of arbitrary values.
-``percentile_approx`` (bounded memory per group) brackets each wanted rank, and once more
-inside the bracket; rows below it are only counted, rows inside it are collapsed to distinct
-values and ranked.  No group's full value list is ever held by one task.
+Counts over buckets that follow the order of doubles locate the wanted ranks, counts over cells of
+those buckets narrow them, and the few cells' distinct values are ranked.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from raresight.functions import null_safe_join
@@ -61,79 +60,80 @@ def hash_rank_cutoffs(df: DataFrame, h_col: str, fractions, class_cols=(), prefi
     return ranked.select(*class_cols, F.col("_j").alias("j"), F.col("_need").alias("need"), cutoff.alias("cutoff"))
 
 
-REFINE_GRID = 1000
+OCTAVE = 256  # buckets per power of two in the first round
+CELLS = 65536  # cells of a bucket in the second
 
 
-def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), accuracy: int = 10000,
-                    extra_aggs: dict | None = None) -> DataFrame:
+def value_bucket(x) -> Column:
+    """A bucket that never falls as ``x`` rises: sign, then 256 steps per power of two; at most about a million.
+    (Java's log is semi-monotonic, and so are floor and scaling.)"""
+    size = F.when(F.abs(x) == float("inf"), F.lit(600_000)).otherwise(F.floor(F.log2(F.abs(x)) * OCTAVE) + 300_000)
+    return F.when(x == 0, F.lit(0)).otherwise(F.signum(x) * size).cast("int")
+
+
+def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), extra_aggs: dict | None = None, cells: int = CELLS) -> DataFrame:
     """Rows (group..., qi, q, n, value): exact quantile ``probs[qi]`` with linear
     interpolation between order statistics (the pandas / numpy default).
 
-    NaN and null values are ignored, as pandas does; a null group is a group.  Three passes, the
-    same at every size: a sketch brackets each rank; a second sketch of the bracketed slice alone
-    narrows it; rows below a bracket are counted and the distinct values inside it ranked.  The
-    rows themselves never move: the brackets (one stored row per group) are joined to them, and
-    what is shuffled are partial aggregates.  A bracket that misses its rank fails the job.
+    NaN and null values are ignored, as pandas does; a null group is a group.  Three passes over the rows for
+    all ranks of all groups together, the same at every size: counts per bucket of leading digits, counts per cell
+    of the buckets that hold a wanted rank, and distinct values of the cells that hold one.  Each pass is a partial
+    aggregate; the rows themselves never move, no sketch is built, and no group's value list is ever held by one
+    task.  What decides between passes is a stored table of at most 2 x probs rows per group.
 
-    ``extra_aggs`` ({name: aggregate over ``_x``}) are computed in the same stats pass
-    and returned on every row of their group (e.g. describe's moments).
+    ``extra_aggs`` ({name: aggregate over ``_x``}) are returned on every row of their group (e.g. describe's moments).
     """
-    group_cols = list(group_cols)
-    probs = [float(q) for q in probs]
-    delta = 4.0 / accuracy
-    lo_p = [max(0.0, q - delta) for q in probs]
-    hi_p = [min(1.0, q + delta) for q in probs]
+    group_cols, probs = list(group_cols), [float(q) for q in probs]
     x = F.col(value_col).cast("double")
-    clean = df.select(*group_cols, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    extra_aggs = extra_aggs or {}
-    k = len(probs)
-    stats = clean.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
-        F.percentile_approx("_x", lo_p + hi_p, accuracy).alias("_pa"),
-        *[a.alias(n) for n, a in extra_aggs.items()])
-    stats = stored(stats.filter("_n > 0"), "quantile-stats")  # one row per group
-    # a group with fewer than 3 ranks of margin is bracketed whole
-    small = F.col("_n") * F.lit(delta) < F.lit(3.0)
-    rows = F.array(*[
-        F.struct(F.lit(i).alias("qi"), F.lit(q).alias("q"),
-                 F.when(small | F.lit(lo_p[i] <= 0.0), F.col("_min")).otherwise(F.col("_pa")[i]).alias("lo"),
-                 F.when(small | F.lit(hi_p[i] >= 1.0), F.col("_max")).otherwise(F.col("_pa")[k + i]).alias("hi"))
-        for i, q in enumerate(probs)])
-    brackets = stats.select(*group_cols, "_n", rows.alias("_s"))
-    narrow = stored(_refine_brackets(_with_brackets(clean, brackets, group_cols), stats.select(*group_cols, "_n", rows.alias("_s")), k, group_cols, accuracy), "quantile-brackets")
-
-    placed = _with_brackets(clean, narrow, group_cols)
-    below = placed.groupBy(*group_cols).agg(*[F.count_if(F.col("_x") < F.col("_s")[i]["lo"]).alias(f"_b{i}") for i in range(k)])
-    inside = placed.select(*group_cols, "_x", F.explode(F.filter("_s", lambda s: (F.col("_x") >= s["lo"]) & (F.col("_x") <= s["hi"]))).alias("_s"))
-    counted = inside.groupBy(*group_cols, F.col("_s.qi").alias("qi"), "_x").agg(F.count(F.lit(1)).alias("_c"))
-    per_q = null_safe_join(narrow, below, group_cols) if group_cols else narrow.withColumns({f"_b{i}": below.select(f"_b{i}").scalar() for i in range(k)})
-    per_q = per_q.select(*group_cols, "_n", F.posexplode(F.array(*[F.struct(F.col("_s")[i]["q"].alias("q"), F.col(f"_b{i}").alias("below")) for i in range(k)])).alias("qi", "_t")) \
-        .select(*group_cols, "_n", "qi", "_t.q", "_t.below")
-    h = (F.col("_n") - 1).cast("double") * F.col("q")
-    per_q = per_q.withColumns({"_h": h, "_r0": F.floor(h).cast("long")}).withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1))
-    w = Window.partitionBy(*group_cols, "qi").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    cum = null_safe_join(counted.withColumn("_in", F.sum("_c").over(w)), per_q, [*group_cols, "qi"])
-    seen = F.col("_in") + F.col("below")
-    res = cum.groupBy(*group_cols, "qi", "q", "_n", "_h", "_r0", "below").agg(
-        F.min(F.when(seen > F.col("_r0"), F.col("_x"))).alias("_v0"), F.min(F.when(seen > F.col("_r1"), F.col("_x"))).alias("_v1"))
-    missed = (F.col("below") > F.col("_r0")) | F.col("_v0").isNull() | F.col("_v1").isNull()
-    value = F.when(missed, F.raise_error(F.lit("a quantile's bracket misses its rank")).cast("double")) \
-        .otherwise(F.col("_v0") + (F.col("_h") - F.col("_r0")) * (F.col("_v1") - F.col("_v0")))
-    out = res.select(*group_cols, "qi", "q", F.col("_n").alias("n"), value.alias("value"))
+    clean = df.select(*group_cols, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x")).withColumn("_b", value_bucket(F.col("_x")))
+    edges = [F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")]
+
+    def located(counted: DataFrame, keys: list[str], at: str, targets: DataFrame | None) -> DataFrame:
+        """The wanted ranks with the row of ``counted`` that holds them.  ``_ahead``: rows of the group before it."""
+        w = Window.partitionBy(*keys)
+        cum = counted.withColumn("_upto", F.sum("_c").over(w.orderBy(at).rowsBetween(Window.unboundedPreceding, 0)))
+        if targets is None:  # first round: the group's size gives its ranks
+            cum = cum.withColumn("_n", F.sum("_c").over(w))
+            h = [(F.col("_n") - 1).cast("double") * q for q in probs]
+            ranks = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(side).alias("side"), F.least(F.floor(v).cast("long") + side, F.col("_n") - 1).alias("rank"))
+                              for i, v in enumerate(h) for side in (0, 1)])
+            found = cum.withColumn("_r", F.explode(ranks)).select("*", "_r.*").drop("_r").withColumn("_before", F.lit(0).cast("long"))
+        else:
+            found = null_safe_join(cum, targets.select(*keys, "qi", "side", "rank", "_n", F.col("_ahead").alias("_before")), keys)
+        within = F.col("rank") - F.col("_before")
+        held = found.filter((F.col("_upto") - F.col("_c") <= within) & (within < F.col("_upto")))
+        return held.withColumn("_ahead", F.col("_before") + F.col("_upto") - F.col("_c")).drop("_before", "_upto", "_c")
+
+    first = stored(located(clean.groupBy(*group_cols, "_b").agg(*edges), group_cols, "_b", None), "quantile-buckets")
+    keys = [*group_cols, "_b"]
+    wide = first.filter("_lo < _hi")
+    brackets = stored(wide.select(*keys, F.col("_lo").alias("_from"), F.col("_hi").alias("_to")).distinct(), "quantile-brackets")
+    share = (F.col("_x") - F.col("_from")) / (F.col("_to") - F.col("_from"))
+    inside = null_safe_join(clean, brackets, keys).withColumn("_cell", F.floor(share * cells).cast("int"))
+    second = stored(located(inside.groupBy(*keys, "_cell").agg(*edges), keys, "_cell", wide), "quantile-cells")
+    keys2 = [*keys, "_cell"]
+    wide2 = second.filter("_lo < _hi")
+    chosen = null_safe_join(inside, stored(wide2.select(*keys2).distinct(), "quantile-chosen"), keys2)
+    distinct = chosen.groupBy(*keys2, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    third = located(distinct, keys2, "_x", wide2)
+    columns = [*group_cols, "qi", "side", "_n"]
+    values = (first.filter("_lo = _hi").select(*columns, F.col("_lo").alias("_v"))
+              .union(second.filter("_lo = _hi").select(*columns, F.col("_lo").alias("_v"))).union(third.select(*columns, F.col("_x").alias("_v"))))
+    both = values.groupBy(*group_cols, "qi", "_n").agg(F.max(F.when(F.col("side") == 0, F.col("_v"))).alias("_v0"), F.max(F.when(F.col("side") == 1, F.col("_v"))).alias("_v1"))
+    q = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("qi") + 1)
+    h = (F.col("_n") - 1).cast("double") * q
+    part = (h - F.floor(h)) * (F.col("_v1") - F.col("_v0"))
+    missed = F.col("_v0").isNull() | F.col("_v1").isNull()
+    value = F.when(missed, F.raise_error(F.lit("a quantile's bracket misses its rank")).cast("double")).when(F.col("_v0") == F.col("_v1"), F.col("_v0")).otherwise(F.col("_v0") + part)
+    out = both.select(*group_cols, "qi", q.alias("q"), F.col("_n").alias("n"), value.alias("value"))
     if not extra_aggs:
         return out
+    stats = stored(clean.groupBy(*group_cols).agg(*[a.alias(n) for n, a in extra_aggs.items()]), "quantile-stats")
     if group_cols:
-        return null_safe_join(out, stats.select(*group_cols, *extra_aggs), group_cols)
+        return null_safe_join(out, stats, group_cols)
     return out.select("*", *[stats.select(n).scalar().alias(n) for n in extra_aggs])
 
 
-def _with_brackets(clean: DataFrame, brackets: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Rows with their group's array of brackets ``_s``."""
-    if group_cols:
-        return null_safe_join(clean, brackets.select(*group_cols, "_s"), group_cols)
-    return clean.select("_x", brackets.select("_s").scalar().alias("_s"))
-
-
 def hash_rank(df: DataFrame, h_col: str, prefix_len: int = PREFIX, rank_col: str = "rank") -> DataFrame:
     """Global 0-based rank of every row by a (uniform) hash, without a single-task sort:
     counts per hex prefix, exclusive prefix sums over the (bounded) bucket table, then
@@ -149,32 +149,3 @@ def hash_rank(df: DataFrame, h_col: str, prefix_len: int = PREFIX, rank_col: str
     j = df.withColumn("_b", bucket).join(offsets, "_b")
     rn = F.row_number().over(Window.partitionBy("_b").orderBy(h_col))
     return j.withColumn(rank_col, (F.col("_off") + rn - 1).cast("long")).drop("_b", "_off")
-
-
-def _refine_brackets(placed: DataFrame, brackets: DataFrame, k: int, group_cols: list[str], accuracy: int) -> DataFrame:
-    """Second round: sketch only the rows inside each bracket on a fixed grid of probabilities and keep the
-    two grid values around the wanted ranks (with a margin of two sketch errors).  (group..., _n, _s)"""
-    g = REFINE_GRID
-    grid = [i / g for i in range(g + 1)]
-    m = 2.0 / accuracy
-    lo, hi = (lambda i: F.col("_s")[i]["lo"]), (lambda i: F.col("_s")[i]["hi"])
-    inside = [(F.col("_x") >= lo(i)) & (F.col("_x") <= hi(i)) for i in range(k)]
-    sketched = placed.groupBy(*group_cols).agg(*[a for i in range(k) for a in (
-        F.count_if(F.col("_x") < lo(i)).alias(f"_b{i}"), F.count_if(inside[i]).alias(f"_m{i}"),
-        F.percentile_approx(F.when(inside[i], F.col("_x")), grid, accuracy).alias(f"_g{i}"))])
-    if group_cols:
-        both = null_safe_join(brackets, sketched, group_cols)
-    else:
-        both = brackets.withColumns({c: sketched.select(c).scalar() for i in range(k) for c in (f"_b{i}", f"_m{i}", f"_g{i}")})
-    out = []
-    for i in range(k):
-        h = F.floor((F.col("_n") - 1).cast("double") * F.col("_s")[i]["q"]).cast("long")
-        r1 = F.least(h + 1, F.col("_n") - 1)
-        t0, t1 = ((r - F.col(f"_b{i}")) / F.nullif(F.col(f"_m{i}"), F.lit(0)) for r in (h, r1))
-        i_lo = F.greatest(F.floor((t0 - m) * g), F.lit(0)).cast("int")
-        i_hi = F.least(F.ceil((t1 + m) * g), F.lit(g)).cast("int")
-        # a grid value stands for its rank up to the sketch's error, so the ends keep the old bracket
-        out.append(F.struct(F.lit(i).alias("qi"), F.col("_s")[i]["q"].alias("q"),
-                            F.when(i_lo > 0, F.element_at(f"_g{i}", i_lo + 1)).otherwise(lo(i)).alias("lo"),
-                            F.when(i_hi < g, F.element_at(f"_g{i}", i_hi + 1)).otherwise(hi(i)).alias("hi")))
-    return both.select(*group_cols, "_n", F.array(*out).alias("_s"))

@@ -26,7 +26,7 @@ def test_exact_quantiles_match_numpy_linear(spark):
     x = np.round(rng.normal(0, 1, 20000), 3)
     df = spark.createDataFrame([(float(v), int(i % 2)) for i, v in enumerate(x)], "x double, g long")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    got = {(r["g"], r["qi"]): r["value"] for r in exact_quantiles(df, "x", probs, ["g"], accuracy=1000).collect()}
+    got = {(r["g"], r["qi"]): r["value"] for r in exact_quantiles(df, "x", probs, ["g"], cells=64).collect()}
     for g in (0, 1):
         xs = x[np.arange(len(x)) % 2 == g]
         for i, q in enumerate(probs):
@@ -41,7 +41,7 @@ def test_exact_quantiles_two_rounds_match_numpy(spark, grouped):
     df = spark.createDataFrame([(float(v), int(k)) for v, k in zip(x, g)], "x double, g long")
     probs = [0.01, 0.25, 0.5, 0.9]
     by = ["g"] if grouped else []
-    got = exact_quantiles(df, "x", probs, by, accuracy=200).collect()
+    got = exact_quantiles(df, "x", probs, by, cells=16).collect()
     for r in got:
         xs = x[g == r["g"]] if grouped else x
         assert r["value"] == pytest.approx(np.percentile(xs, probs[r["qi"]] * 100), abs=1e-12)

@@ -87,6 +87,6 @@ def test_split_counts_property(spark, sizes, frac):
 def test_exact_quantiles_property(spark, vals, q):
     from raresight.plans import exact_quantiles
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-    got = {r["qi"]: r["value"] for r in exact_quantiles(df, "x", q, accuracy=50).collect()}
+    got = {r["qi"]: r["value"] for r in exact_quantiles(df, "x", q, cells=3).collect()}
     for i, p in enumerate(q):
         assert abs(got[i] - np.percentile(np.array(vals, float), p * 100)) < 1e-12
