@@ -1199,6 +1199,44 @@ def m4_boosted_trees_scores(spark, sf_dir):
     return _fit_score(spark, sf_dir, GBT_PARAMS)
 
 
+# one tree of depth 1 over every distinct value: second-order gain, positive weight, reg_lambda 1, min_child_weight 1
+SQL_STUMP = f"""
+{SQL_FEAT_SPLIT.strip()},
+pw AS (SELECT count(*) FILTER (WHERE Class <> 1) / nullif(count(*) FILTER (WHERE Class = 1), 0) AS w FROM ftrain),
+gh AS (SELECT {", ".join(S.E_COLUMNS)}, CASE WHEN Class = 1 THEN w ELSE 1.0 END * (0.5 - Class) AS g, CASE WHEN Class = 1 THEN w ELSE 1.0 END * 0.25 AS h FROM ftrain, pw),
+long AS (UNPIVOT gh ON {", ".join(S.E_COLUMNS)} INTO NAME feature VALUE x),
+hist AS (SELECT feature, x, sum(g) AS g, sum(h) AS h FROM long GROUP BY ALL),
+cums AS (SELECT feature, x, sum(g) OVER o AS gl, sum(h) OVER o AS hl, sum(g) OVER (PARTITION BY feature) AS gt, sum(h) OVER (PARTITION BY feature) AS ht, lead(x) OVER o AS nx
+         FROM hist WINDOW o AS (PARTITION BY feature ORDER BY x)),
+gains AS (SELECT *, round(gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1), 6) AS gain FROM cums WHERE nx IS NOT NULL AND hl >= 1 AND ht - hl >= 1),
+stump AS (SELECT feature, x AS value, gain, -0.1 * gl / (hl + 1) AS below, -0.1 * (gt - gl) / (ht - hl + 1) AS above FROM gains ORDER BY gain DESC, CAST(substr(feature, 2) AS INTEGER), x LIMIT 1)"""
+STUMP_PARAMS = dict(GBT_PARAMS, n_estimators=1, max_depth=1)
+
+
+@register("m4_stump", sql=f"""
+WITH {SQL_STUMP} SELECT feature, CAST(value AS DOUBLE) AS value, gain, round(below, 9) AS below, round(above, 9) AS above FROM stump
+""")
+def m4_stump(spark, sf_dir):
+    """The first tree of the weighted boosted model, of depth 1 and exact over all distinct values."""
+    train, _ = _feature_split(spark, sf_dir)
+    tree = M.fit_boosted_trees(train, S.E_COLUMNS, STUMP_PARAMS, bins=None).trees[0]
+    root = tree.splits[1]
+    row = (S.E_COLUMNS[root.feature], root.value, root.gain, round(tree.leaves[2], 9), round(tree.leaves[3], 9))
+    return spark.createDataFrame([row], "feature string, value double, gain double, below double, above double")
+
+
+@register("m4_stump_scores", sql=f"""
+WITH {SQL_STUMP},
+long_test AS (UNPIVOT (SELECT vec_id, Class, {", ".join(S.E_COLUMNS)} FROM fr WHERE rn <= floor(CAST(n_c AS DOUBLE) * 0.2)) ON {", ".join(S.E_COLUMNS)} INTO NAME feature VALUE x),
+p AS (SELECT vec_id, Class, 1 / (1 + exp(-CASE WHEN x <= value THEN below ELSE above END)) AS p FROM long_test JOIN stump USING (feature))
+SELECT vec_id, Class, round(p, 9) AS fraud_probability, CAST(p >= 0.5 AS INTEGER) AS is_fraud FROM p
+""")
+def m4_stump_scores(spark, sf_dir):
+    train, test = _feature_split(spark, sf_dir)
+    model = M.fit_boosted_trees(train, S.E_COLUMNS, STUMP_PARAMS, bins=None)
+    return M.score(model, test, 0.5).select("vec_id", "Class", F.round("fraud_probability", 9).alias("fraud_probability"), "is_fraud")
+
+
 @register("m8_model_metrics")
 def m8_model_metrics(spark, sf_dir):
     """Precision, recall, F1 at the versioned threshold and PR-AUC of the fitted model."""

@@ -18,7 +18,7 @@ from raresight.errors import ModelConfigError
 from raresight.functions import hash_hex, hash_uniform
 from raresight.operators import evaluate as E
 from raresight.operators import prepare as T
-from raresight.plans import LogisticFit, exact_knn, hash_rank, newton_logistic
+from raresight.plans import BoostedTrees, LogisticFit, boosted_trees, exact_knn, hash_rank, newton_logistic
 from raresight.session import checkpoint_dir, stored
 
 REQUIRED = {
@@ -183,20 +183,31 @@ def fit_logistic(train: DataFrame, features, params: dict, label: str = "Class",
     return newton_logistic(narrow, features, label, c=float(p.get("C", 1.0)), balanced=False, weight=wcol, scale=scale_cols, max_iter=int(p["max_iter"]))[0]
 
 
+def fit_boosted_trees(train: DataFrame, features, params: dict, label: str = "Class", key: str = "vec_id", bins: int | None = 256) -> BoostedTrees:
+    """M4 from gradient histograms: second-order boosting with the reference's trees, depth, rate and positive weight."""
+    name, p = check_params(params)
+    if name != "xgboost":
+        raise ModelConfigError(f"fit_boosted_trees fits boosted trees, not {name!r}")
+    frame, wcol = training_frame(train, params, features, label, key)
+    return boosted_trees(frame, features, label, wcol, int(p["n_estimators"]), int(p["max_depth"]), float(p["learning_rate"]), bins=bins)
+
+
 # M8 / D1 ------------------------------------------------------------------------
-def score(model: PipelineModel | LogisticFit, df: DataFrame, threshold: float, prob_col: str = "fraud_probability",
+def score(model: PipelineModel | LogisticFit | BoostedTrees, df: DataFrame, threshold: float, prob_col: str = "fraud_probability",
           decision_col: str = "is_fraud") -> DataFrame:
-    """Positive-class probability and the decision ``p >= threshold`` (inclusive).  ``model`` is a pipeline or a
-    ``LogisticFit``, whose score is one projection."""
+    """Positive-class probability and the decision ``p >= threshold`` (inclusive).  ``model`` is a pipeline, a
+    ``LogisticFit`` (one projection) or ``BoostedTrees``."""
     keep = [c for c in df.columns]
     if isinstance(model, LogisticFit):
         out, p = df, model.probability()
+    elif isinstance(model, BoostedTrees):
+        out, p = model.score(df, "_p"), F.col("_p")
     else:
         out, p = model.transform(df), vector_to_array(F.col("probability"))[1]
     return out.select(*keep, p.alias(prob_col), (p >= F.lit(float(threshold))).cast("int").alias(decision_col))
 
 
-def raw_to_decision(raw: DataFrame, scaler_params, model: PipelineModel | LogisticFit, threshold: float) -> DataFrame:
+def raw_to_decision(raw: DataFrame, scaler_params, model: PipelineModel | LogisticFit | BoostedTrees, threshold: float) -> DataFrame:
     """D1: raw rows -> fitted standardiser -> probability -> decision; batch or stream."""
     return score(model, T.apply_standardizer(raw, scaler_params), threshold)
 

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from conftest import SF01
 from raresight.errors import ModelConfigError
+from raresight.operators import prepare as T
 from raresight.operators import train as M
+from raresight.plans import boosted_trees, newton_logistic
 from raresight.sources import tables as S
 
 
@@ -86,3 +88,95 @@ def test_threshold_application_is_inclusive(spark):
         sc = M.score(model, feat, t).collect()
         assert all(r["is_fraud"] == int(r["fraud_probability"] >= t) for r in sc)
         assert 0 < sum(r["is_fraud"] for r in sc) < len(sc)
+
+
+def brute_trees(x, y, w, n_trees, depth, rate, bins=None):
+    """Second-order boosting, by trying every split."""
+    margin, trees = np.zeros(len(y)), []
+    if bins:
+        edges = [np.unique(np.quantile(x[:, j], [i / bins for i in range(1, bins)])) for j in range(x.shape[1])]
+    for _ in range(n_trees):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = w * (p - y), w * p * (1 - p)
+        node, splits, leaves = np.ones(len(y), int), {}, {}
+        for _ in range(depth):
+            for n in sorted(set(node.tolist())):
+                if n in leaves:
+                    continue
+                rows = node == n
+                G, H = g[rows].sum(), h[rows].sum()
+                best = (0.0,)
+                for j in range(x.shape[1]):
+                    values = np.unique(x[rows, j])[:-1] if not bins else [e for e in edges[j] if (x[rows, j] <= e).any() and (x[rows, j] > e).any()]
+                    for v in values:
+                        left = rows & (x[:, j] <= v)
+                        gl, hl = g[left].sum(), h[left].sum()
+                        if hl < 1 or H - hl < 1:
+                            continue
+                        gain = round(gl ** 2 / (hl + 1) + (G - gl) ** 2 / (H - hl + 1) - G ** 2 / (H + 1), 6)
+                        if gain > best[0]:
+                            best = (gain, j, v)
+                if len(best) == 1:
+                    leaves[n] = True
+                else:
+                    splits[n] = best[1:]
+                    node[rows] = np.where(x[rows, best[1]] <= best[2], 2 * n, 2 * n + 1)
+        for n in set(node.tolist()):
+            margin[node == n] += -rate * g[node == n].sum() / (h[node == n].sum() + 1)
+        trees.append(splits)
+    return trees, 1 / (1 + np.exp(-margin))
+
+
+@pytest.mark.parametrize("bins", [None, 8])
+def test_boosted_trees_match_brute_force(spark, bins):
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(300, 3)), 1)
+    y = ((x[:, 0] > 0.3) & (x[:, 1] < 0.5) | (rng.random(300) < 0.1)).astype(float)
+    w = np.where(y == 1, 3.0, 1.0)
+    df = spark.createDataFrame([(int(i), *map(float, x[i]), int(y[i]), float(w[i])) for i in range(300)], "k long, a double, b double, c double, Class long, w double")
+    model = boosted_trees(df, ["a", "b", "c"], weight="w", n_trees=3, max_depth=3, learning_rate=0.3, bins=bins)
+    trees, p = brute_trees(x, y, w, 3, 3, 0.3, bins)
+    assert [{n: (s.feature, s.value) for n, s in t.splits.items()} for t in model.trees] == [{n: (j, pytest.approx(float(v))) for n, (j, v) in t.items()} for t in trees]
+    got = {r["k"]: r["fraud_probability"] for r in M.score(model, df, 0.5).collect()}
+    assert np.allclose([got[i] for i in range(300)], p, atol=1e-9)
+
+
+def test_newton_matches_numpy_and_fails_by_name(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 3)) * [1, 50, 0.01] + [0, 7, 3]
+    y = (rng.random(400) < 1 / (1 + np.exp(-(x[:, 0] * 2 - 2)))).astype(int)
+    df = spark.createDataFrame([(i, *map(float, x[i]), int(y[i]), i % 3) for i in range(400)], "k long, a double, b double, c double, Class long, f int")
+    for fold, fit in enumerate(newton_logistic(df, ["a", "b", "c"], fold="f", k=3, scale=["b", "c"])):
+        rows = np.arange(400) % 3 != fold
+        z = x[rows].copy()
+        mean, std = z[:, 1:].mean(0), z[:, 1:].std(0)
+        z[:, 1:] = (z[:, 1:] - mean) / std
+        z = np.column_stack([np.ones(len(z)), z])
+        t, n1 = y[rows], y[rows].sum()
+        w = np.where(t == 1, len(t) / (2 * n1), len(t) / (2 * (len(t) - n1)))
+        b = np.array([fit.intercept, *fit.coefficients])
+        p = 1 / (1 + np.exp(-z @ b))
+        assert np.abs(z.T @ (w * (p - t)) + np.r_[0, b[1:]]).max() < 1e-8  # the penalised gradient at the optimum
+        assert np.allclose(fit.mean[1:], mean) and np.allclose(fit.std[1:], std)
+    with pytest.raises(ModelConfigError, match="one class"):
+        newton_logistic(df.filter("Class = 1"), ["a"])
+    with pytest.raises(ModelConfigError, match="no convergence"):
+        newton_logistic(df, ["a"], max_iter=2)
+    with pytest.raises(Exception, match="null"):
+        newton_logistic(df.withColumn("a", F.when(F.col("k") > 3, F.col("a"))), ["a"])
+
+
+def test_cross_validation_keeps_scaling_and_weights_inside_the_fold(spark):
+    feat = S.feature_table(spark, SF01, n_features=3)
+    params = {"model": "logistic_regression", "max_iter": 50, "random_state": 42, "resampling": "none"}
+    cols = ["V1", "V2", "V3"]
+    joint = M.cross_validated_scores(feat, cols, params, k=3, scale_cols=cols)
+    one = {}
+    folds = T.stratified_folds(feat, ["vec_id"], "Class", 3, 42).cache()
+    for f in range(3):
+        tr, te = folds.filter(F.col("fold") != f).drop("fold"), folds.filter(F.col("fold") == f)
+        prm = T.fit_standardizer(tr, cols).collect()
+        fit = M.fit_logistic(T.apply_standardizer(tr, prm), cols, params)
+        one |= {r["vec_id"]: r["fraud_probability"] for r in M.score(fit, T.apply_standardizer(te, prm), 0.5).collect()}
+    got = {r["vec_id"]: r["p"] for r in joint.collect()}
+    assert got.keys() == one.keys() and all(got[i] == pytest.approx(one[i], abs=1e-9) for i in got)
