@@ -778,7 +778,7 @@ def m9_stratified_folds(spark, sf_dir):
 
 # ----------------------------------------------------------------------------
 # D: monitoring
-from raresight.functions import hash_uniform, seconds_between  # noqa: E402
+from raresight.functions import hash_uniform, instant_to_ntz, seconds_between  # noqa: E402
 from raresight.operators import monitor as D  # noqa: E402
 
 SPLIT_TS = "2024-01-16 00:00:00"   # reference = first half of January, current = second half
@@ -1431,46 +1431,62 @@ def s4_report_sink(spark, sf_dir):
     return spark.read.schema(rep.schema).json(path)
 
 
+BATCH_ENDS = ["2024-01-11 00:00:00", "2024-01-21 00:00:00", "2024-02-01 00:00:00"]  # the events arrive in three parts, by time
+
+
+def _arriving(df, ts_col="ts"):
+    """The three parts of a frame, as they arrive."""
+    begin = None
+    for end in BATCH_ENDS:
+        until = F.col(ts_col) < F.lit(end).cast(df.schema[ts_col].dataType)
+        yield df.filter(until if begin is None else until & (F.col(ts_col) >= F.lit(begin).cast(df.schema[ts_col].dataType)))
+        begin = end
+
+
 def _scoring_stream(spark, sf_dir):
-    """D2 on the events file stream: contract split, standardiser and logistic model fitted
-    on the train split, decisions at 0.5 appended to a JSON prediction log."""
-    tx = S.transaction_table(spark, sf_dir)
-    sp = T.stratified_split(tx, ["event_id"], "Class", TEST_SIZE, SEED)
-    train = sp.filter(F.col("split") == "train").drop("split")
-    params = T.fit_standardizer(train, ["Time", "Amount"]).collect()
-    model = M.fit_model(T.apply_standardizer(train, params), ["Time", "Amount"], LR_PARAMS, "Class", "event_id")
-    first = S.load(spark, sf_dir, "events").select(F.min("ts")).first()[0]  # the stream's clock origin
-    raw = ST.read_table_stream(spark, sf_dir, "events").select(
-        "event_id", seconds_between(F.lit(first).cast("timestamp_ntz"), F.col("ts")).alias("Time"),
-        F.col("value").alias("Amount"))
+    """D2 on events that arrive in three parts: contract split, standardiser and logistic model fitted on the train
+    split, decisions at 0.5 appended to a JSON prediction log; every run goes on where the one before stopped."""
+    _, params, model = _tx_model(spark, sf_dir)
+    ev = S.load(spark, sf_dir, "events")
+    first = ev.select(F.min("ts")).first()[0]  # the stream's clock origin
     contract = V.Contract("raw-features", (V.Rule("Time", "double", ge=0.0), V.Rule("Amount", "double", ge=1.0)),
                           strict=False)
-    log, bad = scratch_path(spark, "prediction-log"), scratch_path(spark, "quarantine")
-    q = ST.score_stream(raw, contract, params, model, 0.5, ["Time", "Amount"], "lr-1", log, bad, log + "-ckpt")
-    q.awaitTermination()
-    return log, bad
+    src, log = scratch_path(spark, "arriving-events"), scratch_path(spark, "prediction-log")
+    for part in _arriving(ev):
+        part.write.mode("append").parquet(src)
+        raw = spark.readStream.schema(ev.schema).parquet(src).select(
+            "event_id", seconds_between(F.lit(first).cast("timestamp_ntz"), F.col("ts")).alias("Time"), F.col("value").alias("Amount"))
+        ST.score_stream(raw, contract, params, model, 0.5, ["Time", "Amount"], "lr-1", log, log + "-ckpt", keys=["event_id"]).awaitTermination()
+    return log
 
 
-@register("d2_streaming_scoring")
+@register("d2_streaming_scoring", sql=f"""
+WITH RECURSIVE {SQL_TX_MODEL}
+SELECT event_id, round(Time, 6) AS Time, Amount, round(1 / (1 + exp(-(b0 + b1 * z1 + b2 * z2))), 6) AS fraud_probability,
+       CAST(1 / (1 + exp(-(b0 + b1 * z1 + b2 * z2))) >= 0.5 AS BIGINT) AS is_fraud, 'lr-1' AS model_version
+FROM z JOIN tx USING (event_id), fitted WHERE Amount >= 1.0
+""")
 def d2_streaming_scoring(spark, sf_dir):
-    """Decisions per logged record: (is_fraud, model_version, n) from the prediction log."""
-    log, _ = _scoring_stream(spark, sf_dir)
-    full = spark.read.schema(IO.prediction_log_schema(["Time", "Amount"])).json(log)
-    return full.groupBy("is_fraud", "model_version").agg(F.count(F.lit(1)).alias("n"))
+    """Every logged record of three micro-batches, field by field but for the timestamp."""
+    log = _scoring_stream(spark, sf_dir)
+    full = spark.read.schema(IO.prediction_log_schema(["Time", "Amount"], {"event_id": IO.T.LongType()})).json(f"{log}/batch_id=*/is_valid=true")
+    return full.select("event_id", F.round("input.Time", 6).alias("Time"), "input.Amount", F.round("fraud_probability", 6).alias("fraud_probability"), "is_fraud", "model_version")
 
 
-@register("s5_s6_prediction_log_roundtrip", sql="SELECT count(*) AS n_logged FROM events WHERE value >= 1.0")
+@register("s5_s6_prediction_log_roundtrip", sql=f"WITH {SQL_TX.strip()} SELECT round(Time, 6) AS Time, Amount FROM tx WHERE Amount >= 1.0")
 def s5_s6_prediction_log_roundtrip(spark, sf_dir):
     """S6 writes one record per valid scored row (Amount >= 1 is the stream's contract);
     S5 reads the log back with its schema and flattens ``input``."""
-    log, _ = _scoring_stream(spark, sf_dir)
-    return IO.read_prediction_log(spark, log, ["Time", "Amount"]).agg(F.count(F.lit(1)).alias("n_logged"))
+    log = _scoring_stream(spark, sf_dir)
+    return IO.read_prediction_log(spark, f"{log}/batch_id=*/is_valid=true", ["Time", "Amount"]).select(F.round("Time", 6).alias("Time"), "Amount")
 
 
-@register("v10_streaming_quarantine", sql="SELECT count(*) AS n_quarantined FROM events WHERE value < 1.0")
+@register("v10_streaming_quarantine", sql=f"WITH {SQL_TX.strip()} SELECT event_id, round(Time, 6) AS Time, Amount, CAST(NULL AS DOUBLE) AS fraud_probability FROM tx WHERE Amount < 1.0")
 def v10_streaming_quarantine(spark, sf_dir):
-    _, bad = _scoring_stream(spark, sf_dir)
-    return spark.read.json(bad).agg(F.count(F.lit(1)).alias("n_quarantined"))
+    """The rows that the stream's contract rejects, as they came and without a score."""
+    log = _scoring_stream(spark, sf_dir)
+    bad = spark.read.schema(IO.prediction_log_schema(["Time", "Amount"], {"event_id": IO.T.LongType()})).json(f"{log}/batch_id=*/is_valid=false")
+    return bad.select("event_id", F.round("input.Time", 6).alias("Time"), "input.Amount", "fraud_probability")
 
 
 @register("d6_streaming_delayed_labels", sql="""
@@ -1505,31 +1521,141 @@ def d6_streaming_delayed_labels(spark, sf_dir):
                    F.count_if(F.col("y").isNull()).alias("n_unlabelled"))
 
 
-@register("d9_closed_loop", sql=f"""
-WITH rep AS ({ORACLE["d3_drift_report_injected"]}),
-sh AS (SELECT avg(CAST(drifted AS DOUBLE)) AS drift_share FROM rep)
-SELECT CAST(0 AS BIGINT) AS batch_id, drift_share, 'dataset drift: retrained' AS action FROM sh WHERE drift_share >= 0.5
-""")
+QUALITY_BUCKETS = 1000
+
+
+@register("d6_streaming_label_quality", sql="""
+WITH d AS (SELECT event_id, ts, date_trunc('day', ts) AS day, CAST(round(value / (value + 50.0) * 1000) AS INTEGER) AS bucket, CAST(event_type = 'error' AS INTEGER) AS y,
+                  floor(CAST(CAST(('0x' || substr(md5(concat_ws('|', '42', 'delay', CAST(event_id AS VARCHAR))), 1, 13)) AS BIGINT) AS DOUBLE) / 4503599627370496.0::DOUBLE * 259200) AS delay FROM events),
+m AS (SELECT max(ts) AS mx FROM events),
+j AS (SELECT *, delay <= 172800 AND ts + to_seconds(CAST(delay AS BIGINT)) <= mx AS labelled, delay > 172800 AND ts + INTERVAL 3 DAY < mx AS given_up FROM d, m),
+j2 AS (SELECT *, NOT labelled AND ts + INTERVAL 3 DAY < mx AS unlabelled FROM j),
+h AS (SELECT day, bucket, count(*) FILTER (WHERE labelled AND y = 1) AS n_pos, count(*) FILTER (WHERE labelled AND y = 0) AS n_neg FROM j2 GROUP BY ALL),
+r AS (SELECT *, sum(n_pos) OVER w AS tps, sum(n_pos + n_neg) OVER w AS seen FROM h WINDOW w AS (PARTITION BY day ORDER BY bucket DESC)),
+q AS (SELECT day, coalesce(sum(n_pos) FILTER (WHERE bucket >= 500), 0) AS tp, coalesce(sum(n_neg) FILTER (WHERE bucket >= 500), 0) AS fp,
+             coalesce(sum(n_pos) FILTER (WHERE bucket < 500), 0) AS fn, coalesce(sum(n_neg) FILTER (WHERE bucket < 500), 0) AS tn,
+             sum(CASE WHEN n_pos > 0 THEN n_pos * (tps / seen) ELSE 0 END) / nullif(sum(n_pos), 0) AS ap FROM r GROUP BY day),
+c AS (SELECT day, count(*) AS n_events, count(*) FILTER (WHERE labelled) AS n_labelled, count(*) FILTER (WHERE unlabelled) AS n_unlabelled FROM j2 GROUP BY day)
+SELECT day, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn,
+       CASE WHEN n_labelled > 0 THEN round(coalesce(ap, 0.0), 9) END AS pr_auc, n_labelled, n_unlabelled, n_events - n_labelled - n_unlabelled AS n_pending
+FROM c JOIN q USING (day)
+""")
+def d6_streaming_label_quality(spark, sf_dir):
+    """Predictions and labels (0-72 h later by hash) arrive in three parts, each at its own time; labels within 48 h join.  Per
+    day: confusion counts, PR-AUC, labelled, given up (the watermark has passed the last chance) and pending predictions."""
+    ev = ST.event_time(S.load(spark, sf_dir, "events"), "ts")
+    last = ev.agg(F.max("event_time")).first()[0]
+    delay = F.floor(hash_uniform(SEED, F.lit("delay"), F.col("event_id")) * 72 * 3600).cast("long")
+    pred = ev.select("event_id", F.col("event_time").alias("pred_time"), (F.col("value") / (F.col("value") + F.lit(50.0))).alias("p"))
+    lab = ev.select("event_id", (F.col("event_time") + F.make_dt_interval(secs=delay)).alias("label_time"), (F.col("event_type") == "error").cast("long").alias("y")).filter(F.col("label_time") <= F.lit(last))
+    src, out = scratch_path(spark, "arriving-labels"), scratch_path(spark, "label-quality")
+    for p_part, l_part in zip(_arriving(pred, "pred_time"), _arriving(lab, "label_time")):
+        p_part.write.mode("append").parquet(f"{src}/p")
+        l_part.write.mode("append").parquet(f"{src}/l")
+        p, la = (spark.readStream.schema(f.schema).parquet(f"{src}/{n}") for f, n in ((pred, "p"), (lab, "l")))
+        joined = ST.delayed_label_join(p, la, "event_id", "pred_time", "label_time", "2 days", "1 day").select(
+            instant_to_ntz(F.date_trunc("day", "pred_time")).alias("day"), "p", "y")
+        ST.streaming_label_quality(joined, ["day"], QUALITY_BUCKETS, out, out + "-ckpt").awaitTermination()
+    seen = D.quality_from_histogram(spark.read.parquet(out), ["day"], QUALITY_BUCKETS)
+    total = ev.groupBy(instant_to_ntz(F.date_trunc("day", "event_time")).alias("day")).agg(F.count(F.lit(1)).alias("n_events"))
+    counts = ["tp", "fp", "fn", "tn", "n_labelled", "n_unlabelled"]
+    both = total.join(seen, "day", "left").fillna(0, counts)
+    return both.select("day", *counts[:4], F.round("pr_auc", 9).alias("pr_auc"), *counts[4:], (F.col("n_events") - F.col("n_labelled") - F.col("n_unlabelled")).alias("n_pending"))
+
+
+def _sql_windowed_drift(columns: dict[str, str]) -> str:
+    """PSI per (day, column) against the first week's deciles, and each day's share of drifted columns."""
+    edges = ", ".join(f"quantile_cont(x, {i / 10})" for i in range(1, 10))
+    long = " UNION ALL ".join(f"SELECT ts, '{c}' AS col, CAST({e} AS DOUBLE) AS x FROM events" for c, e in columns.items())
+    return f"""
+long AS ({long}),
+e AS (SELECT col, [{edges}] AS edges FROM long WHERE ts < TIMESTAMP '{REF_END_TS}' GROUP BY col),
+b AS (SELECT ts, col, len(list_filter(edges, lambda v: v < x)) AS bin FROM long JOIN e USING (col)),
+rs AS (SELECT col, bin, count(*) / sum(count(*)) OVER (PARTITION BY col) AS r FROM b WHERE ts < TIMESTAMP '{REF_END_TS}' GROUP BY col, bin),
+cb AS (SELECT date_trunc('day', ts) AS ws, col, bin, count(*) AS n FROM b GROUP BY ALL),
+n AS (SELECT ws, col, sum(n) AS n_rows FROM cb GROUP BY ALL),
+g AS (SELECT ws, col, n_rows, t.bin, greatest(coalesce(cb.n, 0) / n_rows, 0.0001) AS c, greatest(coalesce(r, 0.0), 0.0001) AS r
+      FROM n CROSS JOIN range(10) t(bin) LEFT JOIN cb USING (ws, col, bin) LEFT JOIN rs USING (col, bin)),
+psi AS (SELECT ws, col, sum((c - r) * ln(c / r)) AS psi FROM g GROUP BY ws, col),
+days AS (SELECT ws AS window_start, ws + INTERVAL 1 DAY AS window_end, CAST({len(columns)} AS BIGINT) AS n_columns, count(*) FILTER (WHERE psi >= 0.1) AS n_drifted FROM psi GROUP BY ws)
+SELECT *, n_drifted / n_columns AS drift_share, n_drifted / n_columns >= 0.5 AS dataset_drift FROM days"""
+
+
+DRIFT_COLUMNS = {"Amount": "value", "user": "user_id", "hour": "hour(ts)", "spread": "value * (1 + day(ts) // 10)"}  # the last one drifts
+
+
+def _drift_frame(events):
+    return events.select("ts", F.col("value").alias("Amount"), F.col("user_id").alias("user"), F.hour("ts").alias("hour"), (F.col("value") * (1 + F.floor(F.day("ts") / 10))).alias("spread"))
+
+
+@register("d7_windowed_drift", sql=f"WITH {_sql_windowed_drift(DRIFT_COLUMNS)}")
+def d7_windowed_drift(spark, sf_dir):
+    """Daily dataset decision over several columns against the first week, from one count of (day, column, bin)."""
+    ev = _drift_frame(S.load(spark, sf_dir, "events"))
+    profile = D.reference_profile(ev.filter(F.col("ts") < F.lit(REF_END_TS).cast("timestamp_ntz")), list(DRIFT_COLUMNS)).collect()
+    return D.windowed_drift(ev, profile, "ts", list(DRIFT_COLUMNS))
+
+
+@register("d7_streaming_windowed_drift", sql=f"WITH {_sql_windowed_drift(DRIFT_COLUMNS)} WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY")
+def d7_streaming_windowed_drift(spark, sf_dir):
+    """The same decisions from events that arrive in three parts: a day is decided once the watermark has passed its end."""
+    ev = S.load(spark, sf_dir, "events")
+    profile = D.reference_profile(_drift_frame(ev.filter(F.col("ts") < F.lit(REF_END_TS).cast("timestamp_ntz"))), list(DRIFT_COLUMNS)).collect()
+    src, out = scratch_path(spark, "arriving-days"), scratch_path(spark, "daily-drift")
+    for part in _arriving(ev):
+        part.write.mode("append").parquet(src)
+        stream = _drift_frame(spark.readStream.schema(ev.schema).parquet(src))
+        ST.streaming_windowed_drift(stream, "ts", profile, list(DRIFT_COLUMNS), out, out + "-ckpt").awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
+# the closed loop: week 1 is the reference, weeks 2 to 4 arrive one after the other, the last two with other amounts
+SQL_LOOP = f"""
+ev AS (SELECT event_id, CAST(event_type = 'error' AS INTEGER) AS y, wk, CASE WHEN wk >= 2 THEN value * 2 + 1 ELSE value END AS Amount, CAST(hour(ts) AS DOUBLE) AS hour
+       FROM (SELECT *, CAST(floor((day(ts) - 1) / 7) AS INTEGER) AS wk FROM events WHERE ts < TIMESTAMP '2024-01-29 00:00:00')),
+rk AS (SELECT *, row_number() OVER (PARTITION BY wk, y ORDER BY md5(concat_ws('|', '42', CAST(event_id AS VARCHAR)))) AS rn, count(*) OVER (PARTITION BY wk, y) AS n_c FROM ev),
+sp AS (SELECT *, wk > 0 AND rn <= floor(CAST(n_c AS DOUBLE) * 0.2) AS test FROM rk),
+mo AS (SELECT wk AS m, avg(Amount) AS m1, stddev_pop(Amount) AS s1, avg(hour) AS m2, stddev_pop(hour) AS s2, count(*) AS n, sum(y) AS n1 FROM sp WHERE NOT test GROUP BY wk),
+d AS (SELECT m, y, (Amount - m1) / s1 AS z1, (hour - m2) / s2 AS z2, CASE WHEN y = 1 THEN n / (2 * n1) ELSE n / (2 * (n - n1)) END AS w FROM sp JOIN mo ON wk = m WHERE NOT test),
+{_newton_sql().strip()},
+ps AS (SELECT m, wk, y, round(1 / (1 + exp(-(b0 + b1 * (Amount - m1) / s1 + b2 * (hour - m2) / s2))), 9) AS p FROM sp, mo JOIN fitted USING (m) WHERE test AND m <= wk),
+steps AS (SELECT m, wk, p, sum(y) AS n_pos, count(*) AS n FROM ps GROUP BY ALL),
+runs AS (SELECT *, sum(n_pos) OVER o AS tps, sum(n) OVER o AS seen FROM steps WINDOW o AS (PARTITION BY m, wk ORDER BY p DESC)),
+ap AS (SELECT m, wk, round(coalesce(sum(n_pos * (tps / seen)) / nullif(sum(n_pos), 0), 0.0), 6) AS ap FROM runs GROUP BY m, wk),
+long AS (SELECT wk, 'Amount' AS col, Amount AS x FROM ev UNION ALL SELECT wk, 'hour', hour FROM ev),
+e AS (SELECT col, [{", ".join(f"quantile_cont(x, {i / 10})" for i in range(1, 10))}] AS edges FROM long WHERE wk = 0 GROUP BY col),
+cb AS (SELECT wk, col, len(list_filter(edges, lambda v: v < x)) AS bin, count(*) AS n FROM long JOIN e USING (col) GROUP BY ALL),
+sh AS (SELECT *, n / sum(n) OVER (PARTITION BY wk, col) AS share FROM cb),
+psi AS (SELECT w.wk, c.col, sum((greatest(coalesce(a.share, 0), 0.0001) - greatest(coalesce(r.share, 0), 0.0001)) * ln(greatest(coalesce(a.share, 0), 0.0001) / greatest(coalesce(r.share, 0), 0.0001))) AS psi
+        FROM range(1, 4) w(wk) CROSS JOIN (SELECT DISTINCT col FROM e) c CROSS JOIN range(10) b(bin)
+        LEFT JOIN sh a ON a.wk = w.wk AND a.col = c.col AND a.bin = b.bin LEFT JOIN sh r ON r.wk = 0 AND r.col = c.col AND r.bin = b.bin GROUP BY ALL),
+dr AS (SELECT wk, count(*) FILTER (WHERE psi >= 0.1) / 2 AS share FROM psi GROUP BY wk),
+l1 AS (SELECT 0 AS inc, dr.share, a.ap AS ia, c.ap AS ca, dr.share >= 0.5 AND c.ap > a.ap AS won FROM dr, ap a, ap c WHERE dr.wk = 1 AND a.wk = 1 AND a.m = 0 AND c.wk = 1 AND c.m = 1),
+l2 AS (SELECT CASE WHEN l1.won THEN 1 ELSE l1.inc END AS inc, dr.share, a.ap AS ia, c.ap AS ca, dr.share >= 0.5 AND c.ap > a.ap AS won FROM l1, dr, ap a, ap c WHERE dr.wk = 2 AND a.wk = 2 AND a.m = CASE WHEN l1.won THEN 1 ELSE l1.inc END AND c.wk = 2 AND c.m = 2),
+l3 AS (SELECT CASE WHEN l2.won THEN 2 ELSE l2.inc END AS inc, dr.share, a.ap AS ia, c.ap AS ca, dr.share >= 0.5 AND c.ap > a.ap AS won FROM l2, dr, ap a, ap c WHERE dr.wk = 3 AND a.wk = 3 AND a.m = CASE WHEN l2.won THEN 2 ELSE l2.inc END AND c.wk = 3 AND c.m = 3),
+rows_of AS (SELECT 0 AS batch_id, * FROM l1 UNION ALL SELECT 1, * FROM l2 UNION ALL SELECT 2, * FROM l3)
+SELECT CAST(batch_id AS INTEGER) AS batch_id, CAST(share AS DOUBLE) AS drift_share, CASE WHEN share >= 0.5 THEN ia END AS incumbent_pr_auc, CASE WHEN share >= 0.5 THEN ca END AS candidate_pr_auc, won AS promoted FROM rows_of"""
+
+
+@register("d9_closed_loop", sql=f"WITH RECURSIVE {SQL_LOOP}")
 def d9_closed_loop(spark, sf_dir):
-    """Drift check on each micro-batch of a stream of drift-injected transactions against
-    the original ones; on drift the callback records an alert and retrains the
-    logistic model on the batch (the closed loop).  Output: the alert table."""
-    tx = S.transaction_table(spark, sf_dir)
-    inj = D.inject_drift(tx, ["event_id"], (), "Amount", "Time", seed=0)
-    src = scratch_path(spark, "drifted-source")
-    inj.write.parquet(src)
-    stream = spark.readStream.schema(inj.schema).parquet(src)
-    alerts = scratch_path(spark, "drift-alerts")
-
-    def on_drift(batch, batch_id, row):
-        M.fit_model(batch, ["Time", "Amount"], LR_PARAMS, "Class", "event_id")  # retrain on recent data
-        spark.createDataFrame([(batch_id, float(row["drift_share"]), "dataset drift: retrained")],
-                              "batch_id long, drift_share double, action string") \
-            .write.mode("overwrite").parquet(f"{alerts}/batch={batch_id}")  # idempotent on batch re-runs
-
-    q = ST.closed_loop(stream, tx, ["Time", "Amount"], [], on_drift, src + "-ckpt")
-    q.awaitTermination()
-    return spark.read.parquet(alerts).select("batch_id", "drift_share", "action")
+    """Three weeks arrive as three micro-batches: each is checked against the stored profile of the first week; on drift a
+    candidate is fitted on the batch and promoted when it beats the incumbent on the batch's test part."""
+    ev = S.load(spark, sf_dir, "events").filter(F.col("ts") < F.lit("2024-01-29 00:00:00").cast("timestamp_ntz"))
+    week = F.floor((F.day("ts") - 1) / 7).cast("int")
+    amount = F.when(week >= 2, F.col("value") * 2 + 1).otherwise(F.col("value"))
+    rows = ev.select("event_id", (F.col("event_type") == "error").cast("long").alias("Class"), amount.alias("Amount"), F.hour("ts").cast("double").alias("hour"), week.alias("wk"))
+    features = ["Amount", "hour"]
+    reference = rows.filter("wk = 0").drop("wk")
+    profile = D.reference_profile(reference, features).collect()
+    store, src = scratch_path(spark, "model-store"), scratch_path(spark, "arriving-weeks")
+    first = M.newton_logistic(reference, features, "Class", scale=features)[0]
+    ST.write_model(spark, store, -1, first, None, True)
+    for wk in (1, 2, 3):
+        rows.filter(F.col("wk") == wk).drop("wk").write.mode("append").parquet(src)
+        stream = spark.readStream.schema(reference.schema).parquet(src)
+        ST.retraining_loop(stream, profile, features, store, store + "-ckpt").awaitTermination()
+    return spark.read.parquet(f"{store}/decisions").select("batch_id", "drift_share", "incumbent_pr_auc", "candidate_pr_auc", "promoted")
 
 
 # ----------------------------------------------------------------------------

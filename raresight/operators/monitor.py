@@ -20,10 +20,12 @@ from raresight.functions import hash_uniform, null_safe_join
 from raresight.functions.stats import chi2_sf_udf, norm_sf_udf
 from raresight.operators import evaluate as E
 from raresight.plans import cumulative_by_value, exact_quantiles
+from raresight.session import stored
 
 # Thresholds of the tests (fixed values of the published drift-preset defaults)
 P_VALUE_THRESHOLD = 0.05
 DISTANCE_THRESHOLD = 0.1     # Wasserstein (normed) and Jensen-Shannon
+PSI_THRESHOLD = 0.1
 DRIFT_SHARE = 0.5
 PSI_EPS = 0.0001
 
@@ -254,6 +256,68 @@ def psi_from_counts(counts: DataFrame, ref_shares: DataFrame, bins: int, col: st
         F.lit(col).alias("column"), F.lit("psi").alias("statistic"), "value", "n_rows")
 
 
+def reference_profile(ref: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
+    """The reference side of PSI as a table of one row per column: (column, edges, shares, n_ref).  Stored once, it stands
+    for the reference in every later check, whose cost no longer depends on the reference's rows."""
+    long = df_long(ref, cols)
+    q = exact_quantiles(long, "value", [i / bins for i in range(1, bins)], ["column"])
+    edges = stored(q.groupBy("column").agg(F.array_sort(F.collect_list(F.struct("qi", "value"))).alias("_e")).select("column", F.transform("_e", lambda e: e["value"]).alias("edges")), "reference-edges")
+    counts = long.join(edges, "column").groupBy("column", bin_index(F.col("value"), F.col("edges"), bins - 1).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    per_bin = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.coalesce(F.element_at(F.col("_c"), b), F.lit(0)))
+    found = counts.groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_c"), F.sum("n").alias("n_ref"))  # bins entries
+    shares = found.select("column", "n_ref", F.transform(per_bin, lambda n: n / F.col("n_ref")).alias("shares"))
+    return edges.join(shares, "column").select("column", "edges", "shares", "n_ref")
+
+
+def df_long(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """(keep..., column, value) of the numeric columns; null and NaN belong to no bin."""
+    wide = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols])
+    return wide.unpivot(list(keep), list(cols), "column", "value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def binned(long: DataFrame, profile: list) -> DataFrame:
+    """``long`` with the reference bin of each value.  The profile's edges (columns x bins numbers) are projected as literals,
+    so it works on batch and streaming frames alike."""
+    edges = F.create_map(*[x for r in profile for x in (F.lit(r["column"]), F.array(*[F.lit(float(e)) for e in r["edges"]]))])
+    n_edges = max((len(r["edges"]) for r in profile), default=0)
+    return long.withColumn("bin", bin_index(F.col("value"), edges[F.col("column")], n_edges))
+
+
+def psi_by_column(counts: DataFrame, profile: list, by: Sequence[str] = (), threshold: float = PSI_THRESHOLD) -> DataFrame:
+    """(by..., column, n_rows, psi, drifted) from (by..., column, bin, n) counts; empty bins count as share 0.0001.
+
+    A group's counts of one column become one map of at most ``bins`` entries; no join."""
+    by = list(by)
+    of_column = F.create_map(*[x for r in profile for x in (F.lit(r["column"]), F.array(*[F.lit(float(v)) for v in r["shares"]]))])
+    per = counts.groupBy(*by, "column").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_c"), F.sum("n").alias("n_rows"))
+    shares = per.withColumn("_r", of_column[F.col("column")])
+
+    def term(r, b):
+        c = F.greatest(F.coalesce(F.element_at(F.col("_c"), b), F.lit(0)) / F.col("n_rows"), F.lit(PSI_EPS))
+        ref = F.greatest(r, F.lit(PSI_EPS))
+        return (c - ref) * F.log(c / ref)
+
+    psi = F.aggregate(F.transform("_r", term), F.lit(0.0), lambda a, x: a + x)
+    return shares.select(*by, "column", "n_rows", psi.alias("psi")).withColumn("drifted", F.col("psi") >= threshold)
+
+
+def drift_share_by(psi: DataFrame, n_columns: int, by: Sequence[str] = (), share: float = DRIFT_SHARE) -> DataFrame:
+    """D4 for each group: (by..., n_columns, n_drifted, drift_share, dataset_drift) of the monitored columns."""
+    r = psi.groupBy(*by).agg(F.count_if("drifted").alias("n_drifted"))
+    out = F.col("n_drifted") / F.lit(n_columns)
+    return r.select(*by, F.lit(n_columns).cast("long").alias("n_columns"), "n_drifted", out.alias("drift_share"), (out >= share).alias("dataset_drift"))
+
+
+def windowed_drift(cur: DataFrame, profile: list, ts_col: str, cols: Sequence[str], window: str = "1 day", threshold: float = PSI_THRESHOLD,
+                   share: float = DRIFT_SHARE) -> DataFrame:
+    """D7 over many columns: one (window, column, bin) count in one pass over ``cur``, PSI per column and the dataset
+    decision per window from it."""
+    long = df_long(cur.withColumn("_w", F.window(ts_col, window)), cols, ["_w"])
+    counts = binned(long, profile).groupBy("_w", "column", "bin").agg(F.count(F.lit(1)).alias("n"))
+    out = drift_share_by(psi_by_column(counts, profile, ["_w"], threshold), len(cols), ["_w"], share)
+    return out.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "n_columns", "n_drifted", "drift_share", "dataset_drift")
+
+
 def windowed_js(ref: DataFrame, cur: DataFrame, ts_col: str, col: str, window: str = "1 day") -> DataFrame:
     """Jensen-Shannon distance (natural log) of each window's category shares to the
     reference shares.
@@ -312,6 +376,28 @@ def delayed_label_quality(predictions: DataFrame, labels: DataFrame, key: str, t
                     pending.select("n_unlabelled").scalar().alias("n_unlabelled"))
 
 
+def score_histogram(joined: DataFrame, by: Sequence[str], buckets: int, label: str = "y", score: str = "p") -> DataFrame:
+    """(by..., bucket, n_pos, n_neg, n_unlabelled): a mergeable state of scores and labels.  Bucket b holds the scores that
+    round to b / buckets; histograms of different rows merge by addition."""
+    b = F.round(F.col(score) * buckets).cast("int")
+    return joined.groupBy(*by, b.alias("bucket")).agg(F.count_if(F.col(label) == 1).alias("n_pos"), F.count_if(F.col(label) != 1).alias("n_neg"), F.count_if(F.col(label).isNull()).alias("n_unlabelled"))
+
+
+def quality_from_histogram(histogram: DataFrame, by: Sequence[str], buckets: int, threshold: float = 0.5) -> DataFrame:
+    """Confusion counts, rates, PR-AUC (a bucket is one step), n_labelled and n_unlabelled per group; ``histogram`` may hold
+    any number of partial rows per bucket."""
+    by = list(by)
+    merged = histogram.groupBy(*by, "bucket").agg(*[F.sum(c).alias(c) for c in ("n_pos", "n_neg", "n_unlabelled")])
+    w = Window.partitionBy(*by).orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, 0)  # at most ``buckets`` + 1 rows
+    run = merged.withColumns({"tps": F.sum("n_pos").over(w), "seen": F.sum(F.col("n_pos") + F.col("n_neg")).over(w)})
+    hit = F.col("bucket") >= F.lit(threshold * buckets)
+    step = F.when(F.col("n_pos") > 0, F.col("n_pos") * (F.col("tps") / F.col("seen"))).otherwise(0.0)
+    out = run.groupBy(*by).agg(
+        *[F.coalesce(F.sum(F.when(c, n)), F.lit(0)).alias(name) for name, c, n in (("tp", hit, F.col("n_pos")), ("fp", hit, F.col("n_neg")), ("fn", ~hit, F.col("n_pos")), ("tn", ~hit, F.col("n_neg")))],
+        (F.sum(step) / F.nullif(F.sum("n_pos"), F.lit(0))).alias("pr_auc"), F.sum(F.col("n_pos") + F.col("n_neg")).alias("n_labelled"), F.sum("n_unlabelled").alias("n_unlabelled"))
+    return E.with_rates(out).withColumn("pr_auc", F.when(F.col("n_labelled") > 0, F.coalesce("pr_auc", F.lit(0.0))))
+
+
 # D10 ----------------------------------------------------------------------------
 def hash_normal(seed, tag, *key_cols):
     """A standard normal per key from two seeded hash uniforms (Box-Muller): repeatable on

@@ -65,27 +65,30 @@ def write_report(report: DataFrame, path: str) -> str:
 PREDICTION_LOG_FIELDS = ["timestamp", "input", "fraud_probability", "is_fraud", "model_version"]
 
 
-def prediction_log_schema(feature_cols: list[str]) -> T.StructType:
+def prediction_log_schema(feature_cols: list[str], keys: dict[str, T.DataType] | None = None) -> T.StructType:
     return T.StructType([
         T.StructField("timestamp", T.StringType()),
         T.StructField("input", T.StructType([T.StructField(c, T.DoubleType()) for c in feature_cols])),
         T.StructField("fraud_probability", T.DoubleType()),
         T.StructField("is_fraud", T.LongType()),
         T.StructField("model_version", T.StringType()),
+        *[T.StructField(k, t) for k, t in (keys or {}).items()],
     ])
 
 
 def to_prediction_log(scored: DataFrame, feature_cols: list[str], model_version: str,
-                      prob_col: str = "fraud_probability", decision_col: str = "is_fraud") -> DataFrame:
-    """Shape scored rows as log records: UTC timestamp, nested ``input``, score, decision, version."""
+                      prob_col: str = "fraud_probability", decision_col: str = "is_fraud", keep: list[str] = ()) -> DataFrame:
+    """Shape scored rows as log records: UTC timestamp, nested ``input``, score, decision, version (and ``keep``).  Rows whose
+    ``is_valid`` is among the kept columns and false get neither score nor decision."""
+    scores = F.col("is_valid") if "is_valid" in keep else F.lit(True)
     tz = scored.sparkSession.conf.get("spark.sql.session.timeZone")
     utc_wall = F.to_utc_timestamp(F.current_timestamp(), tz)  # rendered in the session zone = UTC clock
     return scored.select(
         F.concat(F.date_format(utc_wall, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")).alias("timestamp"),
         F.struct(*[F.col(c).cast("double").alias(c) for c in feature_cols]).alias("input"),
-        F.col(prob_col).cast("double").alias("fraud_probability"),
-        F.col(decision_col).cast("long").alias("is_fraud"),
-        F.lit(model_version).alias("model_version"),
+        F.when(scores, F.col(prob_col).cast("double")).alias("fraud_probability"),
+        F.when(scores, F.col(decision_col).cast("long")).alias("is_fraud"),
+        F.lit(model_version).alias("model_version"), *keep,
     )
 
 
