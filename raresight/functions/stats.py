@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+STEPS = 1_000_000  # both expansions need about the square root of a steps
+
+
 def _gamma_q(a: float, x: float) -> float:
     if x is None or a is None or math.isnan(x) or a <= 0:
         return float("nan")
@@ -23,17 +26,19 @@ def _gamma_q(a: float, x: float) -> float:
     gln = math.lgamma(a)
     if x < a + 1.0:  # series for P, return 1 - P
         ap, s, d = a, 1.0 / a, 1.0 / a
-        for _ in range(1000):
+        for _ in range(STEPS):
             ap += 1.0
             d *= x / ap
             s += d
             if abs(d) < abs(s) * 1e-15:
                 break
+        else:
+            raise ArithmeticError(f"the incomplete gamma series does not converge at a={a}, x={x}")
         return max(0.0, 1.0 - s * math.exp(-x + a * math.log(x) - gln))
     b = x + 1.0 - a  # continued fraction for Q (modified Lentz)
     c, d = 1.0 / 1e-300, 1.0 / b
     h = d
-    for i in range(1, 1000):
+    for i in range(1, STEPS):
         an = -i * (i - a)
         b += 2.0
         d = an * d + b
@@ -45,6 +50,8 @@ def _gamma_q(a: float, x: float) -> float:
         h *= de
         if abs(de - 1.0) < 1e-15:
             break
+    else:
+        raise ArithmeticError(f"the incomplete gamma fraction does not converge at a={a}, x={x}")
     return min(1.0, math.exp(-x + a * math.log(x) - gln) * h)
 
 

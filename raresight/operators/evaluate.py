@@ -58,8 +58,7 @@ def classification_metrics(scored: DataFrame, threshold: float, label="y", score
 
 
 # curve shared by E3, E4, E5, E8, E12 -----------------------------------------
-def score_curve(scored: DataFrame, label: str = "y", score: str = "p", by: Sequence[str] = (),
-                n_buckets: int | None = None) -> DataFrame:
+def score_curve(scored: DataFrame, label: str = "y", score: str = "p", by: Sequence[str] = ()) -> DataFrame:
     """One row per (group, distinct score): n_pos, n_neg at that score, tps/fps = positives /
     negatives scored at or above it, and the group totals P, N."""
     by = list(by)
@@ -67,9 +66,7 @@ def score_curve(scored: DataFrame, label: str = "y", score: str = "p", by: Seque
     pos = _pos(label)
     distinct = scored.groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(pos).alias("n_pos"), F.count_if(~pos).alias("n_neg"))
-    cum = cumulative_by_value(distinct, "threshold", ["n_pos", "n_neg"], by, descending=True,
-                              n_buckets=n_buckets,
-                              split_source=(scored.select(F.col(score).cast("double").alias("_s")), "_s"))
+    cum = cumulative_by_value(distinct, "threshold", ["n_pos", "n_neg"], by, descending=True)
     cols = [*by, "threshold", "n_pos", "n_neg", F.col("cum_n_pos").alias("tps"), F.col("cum_n_neg").alias("fps")]
     # group totals: an aggregate joined back (one row per group), never a window over all scores
     if by:

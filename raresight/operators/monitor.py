@@ -55,7 +55,7 @@ def ks_p_value(d, n_ref, n_cur, terms: int = 20):
 
 
 # D3 numeric ---------------------------------------------------------------------
-def numeric_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], n_buckets: int | None = None) -> DataFrame:
+def numeric_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per column: n_ref, n_cur, KS statistic and p-value, Wasserstein-1 distance normed by
     the reference's population std.  Both statistics come from one running sum over
     the distinct values of the union."""
@@ -65,8 +65,7 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], n_buckets
     tot = u.groupBy("column").agg(F.count_if(F.col("_side") == 0).alias("tot_ref"),
                                   F.count_if(F.col("_side") == 1).alias("tot_cur"),
                                   F.stddev_pop(F.when(F.col("_side") == 0, F.col("value"))).alias("ref_std"))
-    cum = cumulative_by_value(d, "value", ["n_ref", "n_cur"], ["column"], descending=False,
-                              n_buckets=n_buckets, next_value=True, split_source=(u, "value"))
+    cum = cumulative_by_value(d, "value", ["n_ref", "n_cur"], ["column"], descending=False, next_value=True)
     j = cum.join(tot, "column")  # one row per monitored column
     # try_divide: an empty side (0 rows) gives null statistics instead of an ANSI error
     gap = F.abs(F.try_divide(F.col("cum_n_ref"), F.col("tot_ref")) - F.try_divide(F.col("cum_n_cur"), F.col("tot_cur")))

@@ -14,7 +14,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, failfast: boo
     """Header CSV with a declared schema (never inferred), read by column name: the file's columns may come in
     any order.  A missing or unexpected column raises.
 
-    ``failfast`` raises on the first malformed row (the reference's parse error);
+    ``failfast`` raises ``IngestError`` for a malformed row, after one parsing pass that stops at the first;
     otherwise malformed rows are kept with a ``_corrupt_record`` column for counting.
     """
     try:  # the header alone; a missing path is reported here
@@ -28,11 +28,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, failfast: boo
     in_file = [declared[c] for c in header]
     # every part file must have the same header: a different one fails the job instead of being read by position
     reader = spark.read.option("header", True).option("enforceSchema", False)
-    if failfast:
-        return reader.schema(T.StructType(in_file)).option("mode", "FAILFAST").csv(path).select(*declared)
     corrupt = T.StructField("_corrupt_record", T.StringType())
-    return (reader.schema(T.StructType([*in_file, corrupt])).option("mode", "PERMISSIVE")
+    kept = (reader.schema(T.StructType([*in_file, corrupt])).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path).select(*declared, "_corrupt_record"))
+    if not failfast:
+        return kept
+    try:
+        bad = kept.filter("_corrupt_record is not null").take(1)
+    except Exception as exc:  # a part file with another header
+        raise IngestError(f"cannot parse CSV at {path}: {exc}") from exc
+    if bad:
+        raise IngestError(f"malformed row in CSV at {path}: {bad[0]['_corrupt_record']!r}")
+    return reader.schema(T.StructType(in_file)).option("mode", "FAILFAST").csv(path).select(*declared)
 
 
 def read_split(spark: SparkSession, path: str, target: str = "Class", split: str | None = None) -> DataFrame:

@@ -1,15 +1,12 @@
-"""The driver contract: entry() runs on sf0.001, every oracle has a query, and a sample of
-queries matches its SQL exactly (the full sweep is tests/oracle_check.py)."""
+"""The driver contract: entry() runs on sf0.001, every oracle has a query, and every query of
+the core matches its SQL at sf0.001 (tests/oracle_check.py does the same at other sizes; tests/llm has its own)."""
 
 import pytest
 
 import __spark_entry__ as ent
 import oracle_check as oc
 from conftest import SF001
-
-FAST = ["flagship_cost_threshold", "v6_contract_summary_events", "p3_describe_lineitem", "t2_stratified_split",
-        "e4_pr_curve_by_model", "e6_cost_threshold_by_model", "d7_windowed_psi", "m9_stratified_folds"]
-
+from raresight.catalog import ORACLE
 
 def test_entry_schema(spark):
     df = ent.entry(spark)
@@ -21,8 +18,8 @@ def test_every_oracle_has_a_query():
     assert set(ent.oracle_sql()) <= set(ent.queries())
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     con = oc.duck(SF001)
     r = oc.compare(spark, con, name, ent.queries()[name], ent.oracle_sql()[name], SF001)
-    assert r["status"] == "exact" and "types" not in r, r
+    assert r["status"] in ("exact", "close") and "types" not in r, r

@@ -7,18 +7,22 @@ from raresight.functions import hash_hex
 from raresight.plans import cumulative_by_value, exact_knn, exact_quantiles, hash_rank, hash_rank_cutoffs
 
 
-def test_cumulative_matches_numpy(spark):
+@pytest.mark.parametrize("limit", [1 << 20, 50, 2])
+@pytest.mark.parametrize("descending", [True, False])
+def test_cumulative_matches_numpy(spark, limit, descending):
+    """With small limits the sums go through buckets of buckets, on two and on three levels."""
     rng = np.random.default_rng(1)
-    vals = np.unique(np.round(rng.exponential(1, 5000), 4))
+    close = 0.75 + np.arange(400) * 1e-12  # all in one cell
+    vals = np.unique(np.concatenate([np.round(rng.exponential(1, 1500), 4), -np.round(rng.exponential(5, 500), 2), [0.0, 1e300, -1e300, 5e-324, np.inf, -np.inf], close, -close]))
     w = rng.integers(0, 5, len(vals))
-    df = spark.createDataFrame([(float(v), int(x)) for v, x in zip(vals, w)], "v double, w long")
-    got = {r["v"]: (r["cum_w"], r["next_v"]) for r in
-           cumulative_by_value(df, "v", ["w"], descending=True, n_buckets=16, next_value=True).collect()}
-    order = np.argsort(-vals)
-    cum = np.cumsum(w[order])
-    for i, idx in enumerate(order):
-        nxt = vals[order[i + 1]] if i + 1 < len(order) else None
-        assert got[vals[idx]] == (cum[i], nxt)
+    df = spark.createDataFrame([(float(v), int(x), None if i % 2 else "g") for i, (v, x) in enumerate(zip(vals, w))], "v double, w long, g string")
+    got = {r["v"]: (r["cum_w"], r["next_v"]) for r in cumulative_by_value(df, "v", ["w"], ["g"], descending=descending, next_value=True, limit=limit).collect()}
+    for part in (0, 1):
+        own, weights = vals[part::2], w[part::2]
+        order = np.argsort(-own if descending else own)
+        cum = np.cumsum(weights[order])
+        for i, idx in enumerate(order):
+            assert got[own[idx]] == (cum[i], own[order[i + 1]] if i + 1 < len(order) else None)
 
 
 def test_exact_quantiles_match_numpy_linear(spark):

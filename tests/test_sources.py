@@ -18,8 +18,8 @@ def _csv(spark, lines):
 
 def test_csv_failfast_and_permissive(spark):
     path = _csv(spark, ["Time,Class", "1.0,0", "oops,1", "2.5,1"])
-    with pytest.raises(Exception):
-        IO.read_csv(spark, path, SCHEMA).collect()
+    with pytest.raises(IngestError, match="oops"):
+        IO.read_csv(spark, path, SCHEMA)
     df = IO.read_csv(spark, path, SCHEMA, failfast=False)
     rows = df.collect()
     assert len(rows) == 3 and sum(r["_corrupt_record"] is not None for r in rows) == 1
