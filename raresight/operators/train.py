@@ -87,17 +87,17 @@ def smote(df: DataFrame, features, label: str = "Class", key: str = "vec_id", k:
     chunks = chunks.select(key, (F.col("_ci") * chunk + 1).alias("_lo"),
                            F.least(F.col("_c"), F.col("_ci") * chunk + chunk).alias("_hi"))
     n_chunks = max(1, -(-n_new // chunk))
-    chunks = chunks.repartition(min(n_chunks, df.sparkSession.sparkContext.defaultParallelism * 4), key, "_lo")
-    samples = chunks.select(key, F.explode(F.sequence(F.col("_lo"), F.col("_hi"))).alias("_s"))
+    # a chunk row carries its point and its k neighbours, so the new rows are made where the chunk is: no join per new row
+    vector = F.array(*[F.col(c).cast("double") for c in features])
+    ends = pos.select(F.col(key).alias(f"nn_{key}"), vector.alias("_n"))
+    near = nn.select(key, "j", f"nn_{key}").join(ends, f"nn_{key}").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("j", "_n"))).alias("_near"))  # k entries
+    whole = chunks.join(near, key).join(pos.select(key, vector.alias("_x")), key)
+    whole = whole.repartition(min(n_chunks, df.sparkSession.sparkContext.defaultParallelism * 4), key, "_lo")
+    samples = whole.select(key, "_x", "_near", F.explode(F.sequence(F.col("_lo"), F.col("_hi"))).alias("_s"))
     samples = samples.select(
-        key, "_s", F.floor(hash_uniform(seed, F.lit("nn"), F.col(key), F.col("_s")) * kk).cast("int").alias("j"),
+        "_x", F.col("_near")[F.floor(hash_uniform(seed, F.lit("nn"), F.col(key), F.col("_s")) * kk).cast("int")]["_n"].alias("_n"),
         hash_uniform(seed, F.lit("gap"), F.col(key), F.col("_s")).alias("_u"))
-    # neighbour pairs with both vectors: n_pos * k rows, joined to the samples once
-    xb = pos.select(key, *features)
-    xn = pos.select(F.col(key).alias(f"nn_{key}"), *[F.col(c).alias(f"_n_{c}") for c in features])
-    pairs = nn.select(key, "j", f"nn_{key}").join(xb, key).join(xn, f"nn_{key}")
-    syn = samples.join(pairs, [key, "j"])
-    syn_rows = syn.select(*[(F.col(c) + F.col("_u") * (F.col(f"_n_{c}") - F.col(c))).alias(c) for c in features])
+    syn_rows = samples.select(*[(F.col("_x")[i] + F.col("_u") * (F.col("_n")[i] - F.col("_x")[i])).alias(c) for i, c in enumerate(features)])
     syn_rows = syn_rows.withColumn(label, F.lit(1).cast(dict(df.dtypes)[label])).withColumn(flag_col, F.lit(True))
     for c in df.columns:
         if c not in syn_rows.columns:

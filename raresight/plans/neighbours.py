@@ -1,22 +1,29 @@
-"""Exact k nearest neighbours inside one (minority) class, distributed by blocks.
-
-Points are hashed into B blocks of about ``block_size`` rows.  Every unordered pair of
-blocks is one cogroup of two small pandas frames, where numpy computes the distance
-matrix once and keeps each point's k best on both sides; a final window per point
-merges its B partial lists (k x B rows).  Work is quadratic in the class size
-(that is what exact search costs) but no task ever holds more than two blocks, rows
-are replicated B times rather than paired, and nothing passes through the driver.
+"""Exact k nearest neighbours inside one (minority) class, by pivot cells and the triangle inequality.
+
+Every point belongs to the cell of its nearest pivot (a bounded sample of points); a cell of more than ``block_size``
+points is dealt out to several blocks.  First each block finds its points' neighbours within itself, which bounds each
+point's k-th distance from above.  Then a point visits another cell only if that cell can hold a point within its bound:
+its distance to the cell's pivot, the cell's least and greatest radius and the plane between the two pivots
+bound the distance from below.  Clustered points skip most cells; points without structure visit all, which
+is what exact search costs.  A task holds one block and a bounded share of its visitors; what the driver holds are the
+pivots and two radii a cell.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from raresight.session import stored
+
+PIVOTS = 4096  # at most; beyond, cells have more blocks
+
 
 def _exact_rows(Q, R, qid, rid, kk):
     """Exact distances by explicit differences; (neighbour index, distance) sorted by (distance, id)."""
@@ -67,43 +74,101 @@ def _knn_core(Q, qid, R, rid, k: int, extra: int, chunk: int):
 
 
 def _block_knn(k: int, extra: int = 8, chunk: int = 512):
-    """One block pair (a, b) with a <= b: neighbours of block a's points among block b's
-    and, when a != b, of block b's points among block a's — each distance matrix once."""
+    """Neighbours of the visiting points (``q``) among a block's (``r``); of the block's own where there are no visitors' rows."""
     def fn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"_id": pd.Series([], dtype="int64"), "nn_id": pd.Series([], dtype="int64"),
-                              "dist": pd.Series([], dtype="float64")})
         if q.empty or r.empty:
-            return empty
-        Q = np.stack(q["_v"].to_numpy()).astype("float64")
-        R = np.stack(r["_rv"].to_numpy()).astype("float64")
-        qid = q["_id"].to_numpy(dtype="int64")
-        rid = r["_rid"].to_numpy(dtype="int64")
-        parts = [_knn_core(Q, qid, R, rid, k, extra, chunk)]
-        if int(q["qb"].iloc[0]) != int(r["rb"].iloc[0]):
-            parts.append(_knn_core(R, rid, Q, qid, k, extra, chunk))
-        return pd.DataFrame({"_id": np.concatenate([p[0] for p in parts]),
-                             "nn_id": np.concatenate([p[1] for p in parts]),
-                             "dist": np.concatenate([p[2] for p in parts])})
+            return pd.DataFrame({"_id": pd.Series([], dtype="int64"), "nn_id": pd.Series([], dtype="int64"), "dist": pd.Series([], dtype="float64")})
+        Q, R = np.stack(q["_v"].to_numpy()).astype("float64"), np.stack(r["_v"].to_numpy()).astype("float64")
+        found = _knn_core(Q, q["_id"].to_numpy(dtype="int64"), R, r["_id"].to_numpy(dtype="int64"), k, extra, chunk)
+        return pd.DataFrame(dict(zip(("_id", "nn_id", "dist"), found)))
     return fn
 
 
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.stack(column.to_numpy(zero_copy_only=False)).astype("float64")
+
+
+def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2.0 * (x @ pivots.T), 0.0))
+
+
+def _cells(base: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """``base`` (_id, _v) with the nearest pivot (_cell) and the distance to it (_r)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                d = _distances(_matrix(batch.column("_v")), pivots)
+                cell = d.argmin(1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32()), pa.array(d[np.arange(len(cell)), cell])], ["_id", "_v", "_cell", "_r"])
+
+    return base.mapInArrow(run, "_id long, _v array<double>, _cell int, _r double")
+
+
+def _visits(bounded: DataFrame, pivots: np.ndarray, cells: Sequence) -> DataFrame:
+    """(_id, _v, _bound, _home, _cell): the cells that can hold a point within ``_bound`` of each point.
+
+    ``bounded``: _id, _v, _cell, _bound; ``cells``: rows (_cell, least, most) of the radii.  Float errors are far below the
+    margin, which only adds visits."""
+    at = np.array([c["_cell"] for c in cells], np.int64)
+    least, most = np.array([c["least"] for c in cells]), np.array([c["most"] for c in cells])
+    between = _distances(pivots, pivots[at])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1024):
+                batch = whole.slice(start, 1024)
+                home, bound = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_cell", "_bound"))
+                x = _matrix(batch.column("_v"))
+                d = _distances(x, pivots[at])
+                own = np.sqrt(((x - pivots[home]) ** 2).sum(1))
+                plane = (d ** 2 - own[:, None] ** 2) / np.maximum(2 * between[home], 1e-300)
+                low = np.maximum.reduce([d - most, least - d, np.where(at[None, :] == home[:, None], 0.0, plane)])
+                row, cell = np.nonzero(low - 1e-6 * (1 + d + own[:, None]) <= bound[:, None])
+                taken = batch.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([taken.column("_id"), taken.column("_v"), taken.column("_bound"), taken.column("_blk"), pa.array(at[cell], pa.int32())],
+                                                 ["_id", "_v", "_bound", "_home", "_cell"])
+
+    return bounded.select("_id", "_v", "_cell", "_blk", "_bound").mapInArrow(run, "_id long, _v array<double>, _bound double, _home int, _cell int")
+
+
+def _plan(points: DataFrame, key: str, features, k: int, block_size: int, seed: int):
+    """(blocks, neighbours within the own block, visits): the steps before the visits are paid."""
+    n = points.select(F.count(F.lit(1))).first()[0]  # one number: sizes the cells
+    vec = F.array(*[F.col(c).cast("double") for c in features])
+    base = points.select(F.col(key).cast("long").alias("_id"), vec.alias("_v"))
+    wanted = max(1, min(PIVOTS, math.ceil(n / block_size)))
+    pivots = np.array([r["_v"] for r in base.orderBy(F.xxhash64(F.lit(seed), "_id"), "_id").limit(wanted).collect()], float)
+    if not len(pivots):
+        pivots = np.zeros((1, len(list(features))))
+    placed = stored(_cells(base, pivots), "knn-cells")
+    cells = placed.groupBy("_cell").agg(F.min("_r").alias("least"), F.max("_r").alias("most"), F.ceil(F.count(F.lit(1)) / block_size).cast("int").alias("_blocks"))
+    cells = stored(cells, "knn-radii")  # one row per cell
+    blocks = placed.join(cells.select("_cell", "_blocks"), "_cell").withColumn("_blk", F.pmod(F.xxhash64(F.lit(seed), "_id"), "_blocks").cast("int"))
+    blocks = stored(blocks, "knn-blocks")
+    schema = "_id long, nn_id long, dist double"
+    side = blocks.select("_id", "_v", "_cell", "_blk").groupBy("_cell", "_blk")
+    of_block = _block_knn(k)
+    within = stored(side.applyInPandas(lambda rows: of_block(rows, rows), schema), "knn-within")
+    # a block of k points or fewer bounds nothing
+    bound = within.groupBy("_id").agg(F.max("dist").alias("_kth"), F.count(F.lit(1)).alias("_c"))
+    bounded = blocks.join(bound, "_id", "left").withColumn("_bound", F.when(F.col("_c") >= k, F.col("_kth")).otherwise(F.lit(float("inf"))))
+    return blocks, cells, within, _visits(bounded, pivots, cells.select("_cell", "least", "most").collect())
+
+
 def exact_knn(points: DataFrame, key: str, features, k: int = 5, block_size: int = 2048, seed: int = 42) -> DataFrame:
     """(key, j, nn_key, dist): the k nearest other points of each point (Euclidean),
     ties broken by the neighbour's key; ``j`` = 0..k-1 in that order.  Keys are longs."""
-    n = points.select(F.count(F.lit(1))).first()[0]  # one number: sizes the blocks
-    blocks = max(1, math.ceil(n / block_size))
-    vec = F.array(*[F.col(c).cast("double") for c in features])
-    base = points.select(F.col(key).cast("long").alias("_id"), vec.alias("_v"),
-                         F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(blocks)).cast("int").alias("_blk"))
-    # pairs (a, b) with a <= b only: each point is a query of the pairs at or after its block
-    # and a reference of the pairs at or before it (B + 1 copies, not 2B)
-    q = base.select("_id", "_v", F.col("_blk").alias("qb"),
-                    F.explode(F.sequence(F.col("_blk"), F.lit(blocks - 1))).alias("rb"))
-    r = base.select(F.col("_id").alias("_rid"), F.col("_v").alias("_rv"), F.col("_blk").alias("rb"),
-                    F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("qb"))
-    part = q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInPandas(
-        _block_knn(k), "_id long, nn_id long, dist double")
+    blocks, cells, within, visits = _plan(points, key, features, k, block_size, seed)
+    # a visitor meets every block of the cell but its own; a block's visitors are dealt out in bounded shares
+    per_cell = visits.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / (4 * block_size)).cast("int").alias("_shares"))
+    shares = stored(per_cell.join(cells.select("_cell", "_blocks"), "_cell"), "knn-shares")
+    guests = (visits.join(shares, "_cell").withColumn("_blk", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+              .join(blocks.select("_id", F.col("_cell").alias("_own")), "_id").filter((F.col("_own") != F.col("_cell")) | (F.col("_home") != F.col("_blk")))
+              .withColumn("_share", F.pmod(F.xxhash64("_id"), "_shares").cast("int")).select("_id", "_v", "_bound", "_cell", "_blk", "_share"))
+    hosts = blocks.join(shares.select("_cell", "_shares"), "_cell").select("_id", "_v", "_cell", "_blk", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)).alias("_share"))
+    on = ["_cell", "_blk", "_share"]
+    found = guests.groupBy(*on).cogroup(hosts.groupBy(*on)).applyInPandas(_block_knn(k), "_id long, nn_id long, dist double")
     w = Window.partitionBy("_id").orderBy("dist", "nn_id")
-    best = part.withColumn("j", F.row_number().over(w) - 1).filter(F.col("j") < k)
+    best = within.union(found).withColumn("j", F.row_number().over(w) - 1).filter(F.col("j") < k)
     return best.select(F.col("_id").alias(key), F.col("j").cast("int").alias("j"),
                        F.col("nn_id").alias(f"nn_{key}"), "dist")

@@ -89,3 +89,23 @@ def test_exact_knn_with_duplicates_and_ties(spark):
     np.fill_diagonal(D, np.inf)
     for i in range(200):
         assert [nn[i][j] for j in range(5)] == list(np.lexsort((np.arange(200), D[i]))[:5])
+
+
+def test_exact_knn_skips_most_cells_of_clustered_points(spark):
+    """1e5 points in 50 clusters: nearly all (point, cell) pairs are ruled out, and the neighbours are the exact ones."""
+    from raresight.plans import neighbours as N
+
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 100, (50, 3))
+    X = centres[np.arange(100_000) % 50] + rng.normal(0, 0.5, (100_000, 3))
+    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(X)], "k long, a double, b double, c double").repartition(8)
+    _, cells, _, visits = N._plan(df, "k", ["a", "b", "c"], 5, 1024, 42)
+    assert visits.count() < 0.15 * 100_000 * cells.count()
+    got = {}
+    for r in exact_knn(df, "k", ["a", "b", "c"], 5, block_size=1024).filter("k % 5000 = 0").collect():
+        got.setdefault(r["k"], {})[r["j"]] = r["nn_k"]
+    for i, near in got.items():
+        d = np.sqrt(((X - X[i]) ** 2).sum(1))
+        d[i] = np.inf
+        assert [near[j] for j in range(5)] == list(np.lexsort((np.arange(len(X)), d))[:5])
+    assert len(got) == 20
