@@ -578,12 +578,13 @@ def _model_metrics(spark, sf_dir):
 
 @register("e9_quality_gate", sql=f"""
 WITH {SQL_SM}, {SQL_CURVE}, {SQL_MODEL_METRICS}
-SELECT model_id, pr_auc, pr_auc >= 0.75 AS passed,
+SELECT model_id, round(pr_auc, 9) AS pr_auc, pr_auc >= 0.75 AS passed,
        CASE WHEN pr_auc >= 0.75 THEN 'passed' ELSE printf('blocked: pr_auc %.4f below minimum 0.75', pr_auc) END AS message
-FROM mm
+FROM ap
 """)
 def e9_quality_gate(spark, sf_dir):
-    return E.quality_gate(_model_metrics(spark, sf_dir), 0.75).select("model_id", "pr_auc", "passed", "message")
+    gated = E.quality_gate(E.model_metrics(_models(spark, sf_dir), 0.5, by=["model_id"]), 0.75)  # on the number itself; rounded to be shown
+    return _r9cols(gated, ["pr_auc"]).select("model_id", "pr_auc", "passed", "message")
 
 
 @register("e10_model_ranking", sql=f"""
@@ -609,7 +610,7 @@ SQL_YEAR_AP = """
 WITH {SQL_YEAR_AP.format(name="cand", score="CAST(l_quantity / 50.0 AS DOUBLE)", where="").strip()},
 {SQL_YEAR_AP.format(name="inc", score="CAST(l_discount * 10.0 AS DOUBLE)", where="WHERE year(l_shipdate) < 2000").strip()}
 SELECT CAST(cand.year AS INTEGER) AS year, round(cand.pr_auc, 9) AS pr_auc, round(inc.pr_auc, 9) AS incumbent_pr_auc,
-       inc.pr_auc IS NULL OR round(cand.pr_auc, 9) > round(inc.pr_auc, 9) AS promote
+       inc.pr_auc IS NULL OR cand.pr_auc > inc.pr_auc AS promote
 FROM cand LEFT JOIN inc ON inc.year = cand.year
 """)
 def e11_promote_if_better(spark, sf_dir):
@@ -621,7 +622,7 @@ def e11_promote_if_better(spark, sf_dir):
                                          F.expr(S.SCORE_MODELS["quantity"]).cast("double").alias("p")), by=["year"])
     inc = E.average_precision(li.filter(F.col("year") < 2000).select(
         "year", F.col("Class").alias("y"), F.expr(S.SCORE_MODELS["discount"]).cast("double").alias("p")), by=["year"])
-    out = E.promote_if_better(_r9cols(cand, ["pr_auc"]), _r9cols(inc, ["pr_auc"]), key="year")
+    out = _r9cols(E.promote_if_better(cand, inc, key="year"), ["pr_auc", "incumbent_pr_auc"])
     return out.select("year", "pr_auc", "incumbent_pr_auc", "promote")
 
 
@@ -685,7 +686,7 @@ SQL_SCALED = f"""
 WITH {SQL_TX}, {SQL_SPLIT},
 prm AS (SELECT avg(Time) AS mt, stddev_pop(Time) AS st, avg(Amount) AS ma, stddev_pop(Amount) AS sa FROM sp WHERE split = 'train')
 SELECT round((Time - mt) / st, 9) AS Time, round((Amount - ma) / sa, 9) AS Amount, event_id, Class, split
-FROM sp, prm WHERE split = 'test'
+FROM sp, prm
 """
 
 
@@ -693,19 +694,19 @@ FROM sp, prm WHERE split = 'test'
 def t4_apply_standardizer(spark, sf_dir):
     sp = _split_tx(spark, sf_dir)
     params = T.fit_standardizer(sp.filter(F.col("split") == "train"), ["Time", "Amount"])
-    out = T.apply_standardizer(sp.filter(F.col("split") == "test"), params)
+    out = T.apply_standardizer(sp, params)
     return _r9cols(out, ["Time", "Amount"])
 
 
 @register("t5_persisted_standardizer", sql=SQL_SCALED)
 def t5_persisted_standardizer(spark, sf_dir):
     """Fit on train, write the params table to the shared folder, read it back and
-    apply it to test: the scoring-time transform is the training-time one."""
+    apply it to both parts: the scoring-time transform is the training-time one."""
     from raresight.session import scratch_path
     sp = _split_tx(spark, sf_dir)
     path = T.save_standardizer(T.fit_standardizer(sp.filter(F.col("split") == "train"), ["Time", "Amount"]),
                                scratch_path(spark, "standardizer"))
-    out = T.apply_standardizer(sp.filter(F.col("split") == "test"), T.load_standardizer(spark, path))
+    out = T.apply_standardizer(sp, T.load_standardizer(spark, path))
     return _r9cols(out, ["Time", "Amount"])
 
 
@@ -1416,12 +1417,13 @@ def s1_csv_scan(spark, sf_dir):
     return IO.read_csv(spark, path, _parse_datatype_string(TX_SCHEMA))
 
 
-@register("s3_split_sink_and_scan", sql=f"WITH {SQL_TX}, {SQL_SPLIT} SELECT event_id, Time, Amount, Class FROM sp WHERE split = 'test'")
+@register("s3_split_sink_and_scan", sql=f"WITH {SQL_TX}, {SQL_SPLIT} SELECT event_id, Time, Amount, Class, split FROM sp")
 def s3_split_sink_and_scan(spark, sf_dir):
-    """Both splits written as one dataset partitioned by ``split``; the test split read
+    """Both splits written as one dataset partitioned by ``split``; each split read
     back by partition pruning (S2 checks the target column)."""
     path = IO.write_splits(_split_tx(spark, sf_dir), scratch_path(spark, "splits"))
-    return IO.read_split(spark, path, "Class", split="test").select("event_id", "Time", "Amount", "Class")
+    parts = [IO.read_split(spark, path, "Class", split=part).select("event_id", "Time", "Amount", "Class", F.lit(part).alias("split")) for part in ("train", "test")]
+    return parts[0].unionByName(parts[1])
 
 
 @register("s4_report_sink", sql=ORACLE["v7_health_report"])

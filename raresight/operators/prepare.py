@@ -37,7 +37,8 @@ def stratified_split(df: DataFrame, key_cols, label: str = "Class", test_size: f
     if not 0.0 < test_size < 1.0:
         raise ValueError(f"test_size must be in (0, 1), got {test_size}")
     withh = df.withColumn("_h", hash_hex(seed, *key_cols))
-    cut = stored(hash_rank_cutoffs(withh, "_h", [test_size], [label]).select(label, F.col("cutoff").alias("_cut")), "split-cutoffs")
+    hashes = stored(withh.select(label, "_h"), "row-hashes")  # the rows are hashed once for the cut-offs, whatever the key
+    cut = stored(hash_rank_cutoffs(hashes, "_h", [test_size], [label]).select(label, F.col("cutoff").alias("_cut")), "split-cutoffs")
     out = null_safe_join(withh, cut, [label], "left")
     is_test = F.col("_cut").isNotNull() & (F.col("_h") <= F.col("_cut"))
     return out.withColumn(split_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train"))) \
@@ -52,7 +53,7 @@ def stratified_folds(df: DataFrame, key_cols, label: str = "Class", k: int = 5,
         raise EvaluationError(f"k must be at least 2, got {k}")
     withh = df.withColumn("_h", hash_hex(seed, *key_cols))
     fr = [j / k for j in range(1, k)]
-    cut = hash_rank_cutoffs(withh, "_h", fr, [label],
+    cut = hash_rank_cutoffs(stored(withh.select(label, "_h"), "row-hashes"), "_h", fr, [label],
                             ranks_from_counts=lambda tot, j: F.floor(tot * (j + 1) / F.lit(k)))
     cuts = cut.groupBy(label).agg(F.collect_list("cutoff").alias("_cuts"))  # <= k-1 per class
     out = null_safe_join(withh, stored(cuts, "fold-cutoffs"), [label], "left")
