@@ -17,9 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from raresight.llm.common import written
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -64,6 +66,7 @@ def template_table(pages: DataFrame, wide: int) -> DataFrame:
               .select("host", "x.level", "x.parent", "x.look").distinct())
     many = values.groupBy("host", "level", "parent").agg(F.count("*").alias("n")).filter(F.col("n") > wide)
     levels = many.groupBy("host").agg(F.collect_set(F.concat_ws(" ", F.col("level").cast("string"), "parent")).alias("__many"))
+    levels = written(levels, "url-levels")  # hosts with a wide level: sized by its files, so a small table is broadcast and no page moves
     shaped = F.expr(f"transform(__looks, (s, i) -> if(array_contains(coalesce(__many, array()), concat(cast(i as string), ' ', {parent})), '*', s))")
     return cut.join(levels, "host", "left").withColumn("template", F.concat(F.lit("/"), F.array_join(shaped, "/"))).drop("__looks", "__many")
 
@@ -75,14 +78,15 @@ def judge_templates(labelled: DataFrame, purity: float, prior: float, z: float,
     and its share lies within ``z`` standard errors of the siblings' common share.
     """
     parent = F.regexp_replace("template", r"(?<=/)[^/*]+(?=(/\*[^/]*)*$)", "+")
-    w = Window.partitionBy("host", "parent")
-    shares = labelled.withColumn("parent", parent).withColumns({"all_n": F.sum("n").over(w), "all_bad": F.sum("bad").over(w)})
+    shares = labelled.withColumn("parent", parent)
+    of_parent = shares.groupBy("host", "parent").agg(F.sum("n").alias("all_n"), F.sum("bad").alias("all_bad"))
     common = F.col("all_bad") / F.col("all_n")
     # |bad/n - common| <= z * sqrt(common (1 - common) / n), squared
     alike = (F.col("n") >= min_labels) & (F.pow(F.col("bad") / F.col("n") - common, 2) * F.col("n") <= z * z * common * (1 - common) + 1e-12)
-    merged = shares.withColumn("alike", F.coalesce(alike, F.lit(False)))
-    w2 = Window.partitionBy("host", "parent", "alike")
-    pooled = merged.withColumns({"n": F.when(F.col("alike"), F.sum("n").over(w2)).otherwise(F.col("n")), "bad": F.when(F.col("alike"), F.sum("bad").over(w2)).otherwise(F.col("bad"))})
+    merged = shares.join(of_parent, ["host", "parent"]).withColumn("alike", F.coalesce(alike, F.lit(False)))
+    of_alike = merged.filter("alike").groupBy("host", "parent").agg(F.sum("n").alias("like_n"), F.sum("bad").alias("like_bad"))
+    both = merged.join(of_alike, ["host", "parent"], "left")
+    pooled = both.select("host", "template", *[F.when(F.col("alike"), F.col(f"like_{c}")).otherwise(F.col(c)).alias(c) for c in ("n", "bad")])
     return pooled.select("host", "template", "n", "bad", ((F.col("bad") + prior) >= purity * (F.col("n") + 2 * prior)).alias("rejected"))
 
 
@@ -99,7 +103,8 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], key: str = "
     shaped = template_table(ruled, wide)
     labelled = shaped.filter("__label is not null").groupBy("host", "template").agg(F.count("*").alias("n"), F.sum("__label").alias("bad"))
     # every template is in the tree; those without labels keep counts of zero and are never rejected
-    judged = judge_templates(labelled, purity, prior, z, min_labels).filter("rejected").select("host", "template", "rejected")
+    judged = judge_templates(written(labelled, "url-labelled"), purity, prior, z, min_labels).filter("rejected").select("host", "template", "rejected")
+    judged = written(judged, "url-rejected")
     return (shaped.join(judged, ["host", "template"], "left")
             .select(key, "host", "path", F.col("__fit.rule").alias("rule"), "template",
                     F.coalesce(F.col("__fit.verdict"), F.when(F.col("rejected"), "block").otherwise("allow")).alias("verdict")))
