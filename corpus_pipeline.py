@@ -37,8 +37,8 @@ HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
 def as_rows(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, text): all columns as one struct, so that their names meet no others."""
-    return docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    """(row, doc_id, text): all columns but the text as one struct, so that their names meet no others."""
+    return docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), "doc_id", "text")
 
 
 def with_text(kept: DataFrame, columns: list[str]) -> DataFrame:
