@@ -7,9 +7,9 @@ sorted, to key ranges; a range looks at what all blocks sent and answers each bl
 key; the answers are joined back to the blocks.  Only packed keys and bits move, keys that repeat
 inside a block move once, and no task sees more than one range or one block at a time.
 
-Two kinds of round: ``sketch`` (a count-min sketch: one partial sketch per block, merged per range
-of cells; the answer is whether the merged estimate reaches a count, which is never too low) and
-``first`` (exact: whether another block holds the same 128-bit key at an earlier place).
+Three kinds of round: ``sketch`` (a count-min sketch: one partial sketch per block, merged per range
+of cells; the answer is whether the merged estimate reaches a count, which is never too low),
+``levels`` (such a sketch whose answers tell how large the merged estimate is) and ``first`` (exact: whether another block holds the same 128-bit key at an earlier place).
 """
 
 from __future__ import annotations
@@ -176,6 +176,60 @@ def merge_sketches(asked: DataFrame) -> DataFrame:
     return asked.groupBy("range").applyInPandas(merge_group, ANSWER)
 
 
+def planes(values: np.ndarray) -> np.ndarray:
+    """32-bit numbers byte by byte, all lowest bytes first: the high ones are nearly all zero."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.copy()
+
+
+def unplaned(raw: bytes, n: int, at: int) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n).T.copy().view("<u4").ravel()
+
+
+class LevelSketch(Sketch):
+    """A sketch of one row of cells whose answers are levels: floor(log2) of a cell's merged count, 0 where it is
+    one.  All blocks get the same level for the same item."""
+
+    def __init__(self, items: int, load: float):
+        super().__init__(items, 1, load)
+
+    def partial(self, hashes: np.ndarray) -> list[tuple[int, bytes]]:
+        """The block's partial sketch: per range its cells and their counts."""
+        cells, counts = np.unique(self.cells(hashes, 0), return_counts=True)
+        low = (cells & np.uint64((1 << self.RANGE_BITS) - 1)).astype(np.uint32)
+        return [(int(r), squeeze(np.array([n], "<u4"), planes(np.diff(low[a: a + n], prepend=np.uint32(0))), planes(counts[a: a + n])))
+                for a, r, n in zip(*(x.tolist() for x in runs(cells >> np.uint64(self.RANGE_BITS))))]
+
+    def levels(self, hashes: np.ndarray, answer: list[dict]) -> np.ndarray:
+        """Per item its level; ranges without an answer have level 0 only."""
+        cells, inverse = np.unique(self.cells(hashes, 0), return_inverse=True)
+        out = np.zeros(len(cells), np.uint8)
+        at = {r: (a, n) for a, r, n in zip(*(x.tolist() for x in runs(cells >> np.uint64(self.RANGE_BITS))))}
+        for row in answer:
+            a, n = at[row["range"]]
+            out[a: a + n] = np.frombuffer(expand(row["bits"]), np.uint8, n)
+        return out[inverse]
+
+
+def level_group(group: pd.DataFrame) -> pd.DataFrame:
+    """Answers of one range to the partial ``LevelSketch`` of all blocks."""
+    total = np.zeros(1 << Sketch.RANGE_BITS, np.int64)
+    parts = []
+    for blob in group["keys"]:
+        raw = expand(blob)
+        n = int(np.frombuffer(raw[:4], "<u4")[0])
+        low = np.cumsum(unplaned(raw, n, 4), dtype=np.uint64)
+        total[low] += unplaned(raw, n, 4 + 4 * n)
+        parts.append(low)
+    level = (np.frexp(np.maximum(total, 1).astype(np.float64))[1] - 1).astype(np.uint8)
+    found = [level[low] for low in parts]
+    some = [bool(x.any()) for x in found]
+    return pd.DataFrame({"range": group["range"], "block": group["block"], "bits": [squeeze(x) for x in found]})[some]
+
+
+def merge_levels(asked: DataFrame) -> DataFrame:
+    return asked.groupBy("range").applyInPandas(level_group, ANSWER)
+
+
 class Keys:
     """A block's distinct 128-bit keys, sorted, each with its least place (number, position)."""
 

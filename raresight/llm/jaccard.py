@@ -5,19 +5,20 @@ when ``100 * intersection >= percent * union``.
 
 1. Equal sets are one class: blocks send the hashes of their sets and learn which block holds a class
    first.  Then they send a count-min sketch of the shingles of the classes they hold first; the answers
-   tell which shingles can occur in two classes.
+   tell which shingles can occur in two classes, and how common each is.
 2. The bound of a set against all others together: a document links with something only if
    ``percent`` of its shingles occur elsewhere.  Most documents end here.  The rest keep just the
    shingles that can be shared, ordered by hash.
 3. The token-group matrix.  Documents are grouped by their first shingle (documents alike mostly have the same
    one); a group that is too large for a task is dealt out by hash.  Each group is one task's: it links
    its documents exactly, comparing a document only with those not yet in its component.
-4. Each component of a group stores the union of its members' prefixes (the first shingles, so many that
-   two linked documents must share one).  Each component first tries the largest component that shares a
+4. Each component of a group stores the union of its members' prefixes (the rarest shingles, so many that
+   two linked documents must share one: a common passage is in no prefix of a document with enough other shingles).  Each component first tries the largest component that shares a
    prefix shingle with it, by their first documents.  Then only components of still different clusters
    that share a prefix shingle are left; they are grouped anew by the prefix shingle that most of them
    hold, and a component asks the groups that hold one of its prefix shingles.  A group is opened for
    a document only if the document's overlap with the union of the members' shingles reaches the bound.
+   A group that many documents ask is copied, and the documents that ask are dealt to the copies by hash.
 5. The links between components give the final components; classes and documents follow.
 
 Everything is exact up to equal 64-bit hashes of different shingles.  Null text, and text without
@@ -206,13 +207,17 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def opened(queries: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Step 4, second half: links (a, b) between components of different clusters.
 
-    ``members``: group, part, component, cluster, n, tokens of every document of the groups; ``queries``: group, part
-    and the component whose documents are compared with that group."""
-    documents = members.select("component", "cluster", "n", "tokens")
-    asked = queries.join(documents, "component").select("group", "part", F.lit(1).alias("query"), "component", "cluster", "n", "tokens")
-    groups = members.join(queries.select("group", "part").distinct(), ["group", "part"], "left_semi")
-    rows = (groups.select("group", "part", F.lit(0).alias("query"), "component", "cluster", "n", "tokens").union(asked)
-            .repartition(shuffle_partitions(members.sparkSession), "group", "part").sortWithinPartitions("group", "part", "query", "component"))
+    ``members``: group, part, node, component, cluster, n, tokens of every document of the groups; ``queries``: group,
+    part and the component (of n_docs documents) whose documents are compared with that group.  A part has a copy for
+    every PART documents that ask it."""
+    columns = ["group", "part", "copy", "query", "component", "cluster", "n", "tokens"]
+    copies = queries.groupBy("group", "part").agg(F.ceil(F.sum("n_docs") / PART).alias("copies"))
+    documents = members.select("node", "component", "cluster", "n", "tokens")
+    asked = (queries.join(copies, ["group", "part"]).join(documents, "component")
+             .withColumn("copy", F.pmod(F.xxhash64("node"), F.col("copies"))).withColumn("query", F.lit(1)))
+    groups = members.join(copies, ["group", "part"]).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).withColumn("query", F.lit(0))
+    rows = (groups.select(columns).union(asked.select(columns))
+            .repartition(shuffle_partitions(members.sparkSession), "group", "part", "copy").sortWithinPartitions("group", "part", "copy", "query", "component"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, inside, done = None, [], set()
@@ -220,8 +225,8 @@ def opened(queries: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             found = []
             for r in batch.to_pylist():
-                if (r["group"], r["part"]) != group:
-                    group, inside, done, union = (r["group"], r["part"]), [], set(), None
+                if (r["group"], r["part"], r["copy"]) != group:
+                    group, inside, done, union = (r["group"], r["part"], r["copy"]), [], set(), None
                 if not r["query"]:
                     inside.append((r["component"], r["cluster"], r["n"], array_of(r["tokens"])))
                     continue
@@ -252,7 +257,7 @@ def opened(queries: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 def classes(blocks: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(rows: block, row, id, n, node), (node, component) of the classes that may link."""
     words = B.total_bytes(blocks) / WORD_BYTES
-    sketch = B.Sketch(int(words), rows=1, load=0.5)
+    sketch = B.LevelSketch(int(words), load=0.5)
     range_bits = B.range_bits_for(words / 256)
 
     def ask_first(block, batch, _):
@@ -270,21 +275,22 @@ def classes(blocks: DataFrame, size: int, percent: int) -> tuple[DataFrame, Data
             yield B.questions(block, found)
 
     held = B.with_answers(blocks, first=first)
-    counted = written(B.gathered(B.merge_sketches(B.each_block(held, ask_counts, B.QUESTION, ("first",))), "counted"), "shingle-counts")
+    counted = written(B.gathered(B.merge_levels(B.each_block(held, ask_counts, B.QUESTION, ("first",))), "counted"), "shingle-counts")
 
     def survivors(block, batch, given):
         s = Sets(block, batch, size, range_bits)
         s.hold(given["first"])
-        shared = sketch.estimates(s.tokens(), given["counted"])
+        level = sketch.levels(s.tokens(), given["counted"])
         at = np.concatenate([[0], np.cumsum(s.sizes[s.own])]).tolist()
         node, n, least, tokens = [], [], [], []
         for r, a, b in zip(s.own.tolist(), at, at[1:]):
-            kept = s.sets[r][shared[a:b]]
+            shared = level[a:b] > 0
+            kept = s.sets[r][shared]
             if len(kept) and 100 * len(kept) >= percent * int(s.sizes[r]):
                 node.append(s.name(r))
                 n.append(int(s.sizes[r]))
                 least.append(int(kept[:1].view(np.int64)[0]))
-                tokens.append(kept.astype("<u8").tobytes())
+                tokens.append(kept[np.argsort(level[a:b][shared], kind="stable")].astype("<u8").tobytes())
         numbers = id_numbers(batch.column("__id"))
         m = batch.num_rows
         names = [s.name(r) if s.sizes[r] else None for r in range(m)]
@@ -323,13 +329,13 @@ def classes(blocks: DataFrame, size: int, percent: int) -> tuple[DataFrame, Data
     fits = (100 * F.col("most_n") >= percent * F.col("least_part")) & (100 * F.col("most_part") >= percent * F.col("least_n"))
     # a component asks its own and later parts of its group, and the parts of later groups that hold one of its
     # prefix shingles: of two components one asks
-    own = placed.withColumnRenamed("part", "own_part").join(part_sizes, "group").filter(fits & (F.col("own_part") <= F.col("part"))).select("component", "group", "part")
+    own = placed.withColumnRenamed("part", "own_part").join(part_sizes, "group").filter(fits & (F.col("own_part") <= F.col("part"))).select("component", "n_docs", "group", "part")
     holding = apart.select("token", "component").join(placed.select("component", "group", "part"), "component").select("token", F.col("group").alias("other"), "part").distinct()
-    asking = apart.select("token", "component").join(placed.select("component", "group", "least_n", "most_n"), "component")
-    later = (asking.join(holding, "token").filter("group < other").select("component", F.col("other").alias("group"), "part", "least_n", "most_n").distinct()
-             .join(part_sizes, ["group", "part"]).filter(fits).select("component", "group", "part"))
+    asking = apart.select("token", "component").join(placed.select("component", "n_docs", "group", "least_n", "most_n"), "component")
+    later = (asking.join(holding, "token").filter("group < other").select("component", "n_docs", F.col("other").alias("group"), "part", "least_n", "most_n").distinct()
+             .join(part_sizes, ["group", "part"]).filter(fits).select("component", "n_docs", "group", "part"))
     queries = written(own.union(later), "group-queries")
-    documents = members.join(placed.select("component", "cluster", "group", "part"), "component").join(sets, "node").select("group", "part", "component", "cluster", "n", "tokens")
+    documents = members.join(placed.select("component", "cluster", "group", "part"), "component").join(sets, "node").select("group", "part", "node", "component", "cluster", "n", "tokens")
     links = tried.filter("link").select("a", "b").union(opened(queries, documents, percent))
     labels = components(links)
     joined = members.join(labels, members["component"] == labels["node"], "left").select(members["node"], F.coalesce("label", "component").alias("component"))
