@@ -1,8 +1,8 @@
 """Source divergence audit: which sources of a language use its words differently.
 
-In-mapper stripes: a task folds whole documents into hash stripes, language and term ->
-(document frequency, occurrences by source), and spills them when they grow.  The spilled stripes
-are merged by key; a merged stripe that reaches ``min_documents`` is a kept term.  From the merged
+In-mapper stripes: a task codes the words of some megabytes of whole documents, sorts the codes and folds them into
+stripes, language and term -> (document frequency, occurrences by source).  The tasks' stripes are
+merged by key; a merged stripe that reaches ``min_documents`` is a kept term.  From the merged
 stripes come each source's most divergent terms against its language, and every pair's divergence.
 
 With V kept terms of a language and N occurrences of them in a group, a term that occurs n times has
@@ -23,73 +23,113 @@ by the item's bytes.  An empty table gives an empty table; other columns are ign
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from raresight.llm.common import byte_slices, cut_bytes, shuffle_partitions, utf8, written
+from raresight.llm.common import SLICE_BYTES, byte_slices, cut_bytes, shuffle_partitions, utf8, written
 
-TERM = re.compile(rb"[a-z\x80-\xff]+")  # letters and all that is not ASCII, once lower-cased
-BETWEEN = re.compile(rb"[^a-z\x80-\xff]")
-LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-CELLS = 200_000  # cells of a task's stripes before they are spilled
+# a byte of a term, lower-cased (letters and all that is not ASCII); 0 for any other
+LETTER = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 0 for b in range(256)], np.uint8)
+BETWEEN = re.compile(rb"[^A-Za-z\x80-\xff]")
+FOLD_BYTES = 8 << 20  # text that a task folds at once; a longer document is counted in pieces of this size
 TILE, TILES = 256, 64  # sources of one side of a tile of pairs; tiles that a task holds
+PAIRS = 1 << 18  # pairs of cells worked on at once
 SCALE = 10 ** 9
 
 STRIPE = "lang string, term string, cells array<struct<source:string,docs:long,n:long>>"
 
 
-def spilled(stripes: dict[str, dict[bytes, dict[str, list[int]]]]) -> pa.RecordBatch:
-    """Stripes as rows (lang, term, cells)."""
-    langs, terms, sources, cells, ends = [], [], [], [], [0]
-    for lang, table in stripes.items():
-        langs += [lang] * len(table)
-        terms += table.keys()
-        for stripe in table.values():
-            sources += stripe.keys()
-            cells += stripe.values()
-            ends.append(len(sources))
-    numbers = np.array(cells, np.int64).reshape(-1, 2)
-    of_source = pa.StructArray.from_arrays([pa.array(sources, pa.string()), pa.array(numbers[:, 0]), pa.array(numbers[:, 1])], ["source", "docs", "n"])
-    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(terms, pa.binary()).cast(pa.string()),
-                                       pa.ListArray.from_arrays(pa.array(ends, pa.int32()), of_source)], ["lang", "term", "cells"])
-
-
-def folded(docs: DataFrame, limit: int = CELLS) -> DataFrame:
-    """The tasks' stripes (``lang``, ``term``, ``cells``: documents and occurrences by source): a term has a row for each spill that met it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stripes, held = {}, 0
-        for batch in byte_slices(batches, "text"):
-            data, offsets = utf8(batch.column("text"))
-            langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
-            for lang, source, a, b in zip(langs, sources, offsets[:-1].tolist(), offsets[1:].tolist()):
-                own = Counter()
-                for piece in cut_bytes(data[a:b].tobytes().translate(LOWER), BETWEEN):
-                    own.update(TERM.findall(piece))
-                table = stripes.setdefault(lang, {})
-                for term, n in own.items():
-                    stripe = table.get(term)
-                    if stripe is None:
-                        stripe = table[term] = {}
-                    cell = stripe.get(source)
-                    if cell is None:
-                        stripe[source] = [1, n]
-                        held += 1
-                    else:
-                        cell[0] += 1
-                        cell[1] += n
-                if held >= limit:
-                    yield spilled(stripes)
-                    stripes, held = {}, 0
-        if held:
-            yield spilled(stripes)
-
-    return docs.select("lang", "source", "text").mapInArrow(run, STRIPE)
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The terms of texts one after another, coded, and each text's number of them."""
+    lower = LETTER[data]
+    inside = lower > 0
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
+    begins[firsts] = inside[firsts]  # no term crosses texts
+    letters, starts = lower[inside], np.flatnonzero(begins[inside])
+    ends = np.append(starts, len(letters)).astype(np.int32)
+    found = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(letters))
+    return found.dictionary_encode(), np.diff(np.searchsorted(np.flatnonzero(begins), offsets))
+
+
+def counted(text: pa.Array, number: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Terms, and for each term and text that holds it, in this order: the term's place, the text's ``number``, the occurrences."""
+    coded, many = words(*utf8(text))
+    key = np.sort(coded.indices.to_numpy().astype(np.int64) * len(text) + np.repeat(number, many))
+    at = np.flatnonzero(np.diff(key, prepend=-1))
+    return coded.dictionary, key[at] // len(text), key[at] % len(text), np.diff(np.append(at, len(key)))
+
+
+def counted_long(text: bytes, size: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The same of one long text, by pieces."""
+    parts = []
+    for piece in cut_bytes(text, BETWEEN, size):
+        terms, _, _, n = counted(pa.array([piece], pa.binary()), np.zeros(1, np.int64))
+        parts.append(pa.table({"term": terms, "n": n}))
+    whole = pa.concat_tables(parts).group_by("term").aggregate([("n", "sum")]).combine_chunks()
+    terms = pa.concat_arrays(whole.column("term").chunks)
+    return terms, np.arange(len(terms)), np.zeros(len(terms), np.int64), whole.column("n_sum").to_numpy()
+
+
+def striped(batch: pa.RecordBatch, limit: int) -> pa.RecordBatch:
+    """The stripes of a batch of documents; one that is longer than ``limit`` comes alone."""
+    named = list(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist()))
+    groups = sorted(set(named))
+    place = {g: i for i, g in enumerate(groups)}
+    group = np.array([place[g] for g in named], np.int64)
+    # documents numbered by group: one sort brings a term's languages, sources and documents together
+    order = np.argsort(group, kind="stable")
+    number = np.empty(len(group), np.int64)
+    number[order] = np.arange(len(group))
+    data, _ = utf8(batch.column("text"))
+    if batch.num_rows == 1 and len(data) > limit:
+        terms, term, document, n = counted_long(data.tobytes(), limit)
+    else:
+        terms, term, document, n = counted(batch.column("text"), number)
+    own = group[order][document]
+    lang = np.unique([g[0] for g in groups], return_inverse=True)[1][own]
+    stripe = (np.diff(term, prepend=-1) != 0) | (np.diff(lang, prepend=-1) != 0)
+    cell = np.flatnonzero(stripe | (np.diff(own, prepend=-1) != 0))
+    docs, n = np.diff(np.append(cell, len(term))), np.add.reduceat(n, cell) if len(cell) else n
+    stripe = np.flatnonzero(stripe[cell])
+    sources = pa.array([g[1] for g in groups], pa.string()).take(pa.array(own[cell]))
+    cells = pa.StructArray.from_arrays([sources, pa.array(docs, pa.int64()), pa.array(n, pa.int64())], ["source", "docs", "n"])
+    first = cell[stripe]
+    return pa.RecordBatch.from_arrays([pa.array([g[0] for g in groups], pa.string()).take(pa.array(own[first])), terms.cast(pa.string()).take(pa.array(term[first])),
+                                       pa.ListArray.from_arrays(pa.array(np.append(stripe, len(cell)), pa.int32()), cells)], ["lang", "term", "cells"])
+
+
+def fold(batches: Iterator[pa.RecordBatch], limit: int = FOLD_BYTES) -> Iterator[pa.RecordBatch]:
+    """The stripes of the documents of about ``limit`` bytes of text at a time."""
+    held, size = [], 0
+
+    def spilled() -> Iterator[pa.RecordBatch]:
+        for whole in pa.Table.from_batches(held).combine_chunks().to_batches():
+            yield striped(whole, limit)
+
+    for batch in byte_slices(batches, "text", min(limit, SLICE_BYTES)):
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        long = np.flatnonzero(sizes > limit)
+        cuts = np.unique([0, *long, *(long + 1), batch.num_rows]).tolist()
+        for u, v in zip(cuts, cuts[1:]):
+            if held and size + sizes[u:v].sum() > limit:
+                yield from spilled()
+                held, size = [], 0
+            held.append(batch.slice(u, v - u))
+            size += int(sizes[u:v].sum())
+    if held:
+        yield from spilled()
+
+
+def folded(docs: DataFrame, limit: int = FOLD_BYTES) -> DataFrame:
+    """The tasks' stripes (``lang``, ``term``, ``cells``: documents and occurrences by source): a term has a row for each fold that met it."""
+    return docs.select("lang", "source", "text").mapInArrow(lambda batches: fold(batches, limit), STRIPE)
 
 
 def merged(stripes: DataFrame, min_documents: int) -> DataFrame:
@@ -115,42 +155,73 @@ def f(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // (p + q)
 
 
+def numbered(column: pa.Array, known: dict[str, int]) -> np.ndarray:
+    """The number of each value; new values are numbered on."""
+    coded = column.dictionary_encode()
+    return np.array([known.setdefault(v, len(known)) for v in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+
+
+def pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Both ways of each pair of sources with its sum over the terms of a task that both hold."""
+    sums: dict[tuple[int, int, int], tuple[np.ndarray, np.ndarray]] = {}  # (language, tile, tile) -> values, which pairs were met
+    langs: dict[str, int] = {}
+    sources: dict[str, int] = {}
+    within: dict[int, dict[int, int]] = {}  # language -> source -> its number there
+
+    def emitted() -> Iterator[pa.RecordBatch]:
+        spoken, named = list(langs), pa.array(list(sources), pa.string())
+        for (lang, i, j), (value, met) in sums.items():
+            a, b = np.nonzero(met)
+            names = named.take(pa.array(list(within[lang]), pa.int64()))
+            one, other, value = names.take(pa.array(a + i * TILE)), names.take(pa.array(b + j * TILE)), pa.array(value[a, b])
+            for x, y in ((one, other), (other, one)):
+                yield pa.RecordBatch.from_arrays([pa.array([spoken[lang]] * len(a), pa.string()), x, y, value], ["lang", "a", "b", "value"])
+        sums.clear()
+
+    for batch in batches:
+        cells, lists = batch.column("cells").flatten(), batch.column("cells")
+        if not len(cells):
+            continue
+        term = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+        lang, source = numbered(batch.column("lang"), langs)[term], numbered(cells.field("source"), sources)
+        groups, group = np.unique(lang << 32 | source, return_inverse=True)
+        known = [within.setdefault(g >> 32, {}) for g in groups.tolist()]
+        source = np.array([k.setdefault(g & 0xFFFFFFFF, len(k)) for k, g in zip(known, groups.tolist())])[group]
+        order = np.lexsort((source, term))  # of two cells of a term, the first has the smaller number
+        term, lang, source = term[order], lang[order], source[order]
+        p, p0 = (cells.field(c).to_numpy(zero_copy_only=False)[order] for c in ("p", "p0"))
+        after = np.searchsorted(term, term, side="right") - np.arange(len(term)) - 1  # cells of the term behind this one
+        part = (np.cumsum(after) - after) // PAIRS
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(term)]
+        for begin, end in zip(cuts, cuts[1:]):
+            many = after[begin:end]
+            a = np.repeat(np.arange(begin, end), many)
+            b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(many) - many, many)
+            tile = np.stack([lang[a], source[a] // TILE, source[b] // TILE])
+            turn = np.lexsort(tile)
+            a, b, tile = a[turn], b[turn], tile[:, turn]
+            x, x0, y, y0 = p[a], p0[a], p[b], p0[b]
+            gained = f(x, y) - f(x, y0) - f(x0, y) + f(x0, y0)
+            spot = source[a] % TILE * TILE + source[b] % TILE
+            bounds = [0, *(np.flatnonzero((np.diff(tile) != 0).any(axis=0)) + 1).tolist(), len(a)]
+            for u, v in zip(bounds, bounds[1:]):
+                if u == v:
+                    continue
+                value, met = sums.setdefault(tuple(tile[:, u].tolist()), (np.zeros((TILE, TILE), np.int64), np.zeros((TILE, TILE), bool)))
+                np.add.at(value.reshape(-1), spot[u:v], gained[u:v])
+                met.reshape(-1)[spot[u:v]] = True
+                if len(sums) > TILES:
+                    yield from emitted()
+    yield from emitted()
+
+
 def both_held(stripes: DataFrame) -> DataFrame:
     """(lang, a, b, value): the sum over terms that both hold, added up within each task before it is shuffled.
 
     ``stripes``: lang, cells (source, p, p0)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[str, int, int], tuple[np.ndarray, np.ndarray]] = {}  # (lang, tile, tile) -> values, which pairs were met
-        numbers: dict[str, dict[str, int]] = {}  # lang -> source -> number
-
-        def emitted():
-            for (lang, i, j), (value, met) in sums.items():
-                names = list(numbers[lang])
-                a, b = np.nonzero(met)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(a), pa.string()), pa.array([names[k] for k in (a + i * TILE).tolist()], pa.string()),
-                                                  pa.array([names[k] for k in (b + j * TILE).tolist()], pa.string()), pa.array(value[a, b], pa.int64())], ["lang", "a", "b", "value"])
-            sums.clear()
-
-        for batch in batches:
-            for lang, cells in zip(batch.column("lang").to_pylist(), batch.column("cells")):
-                known, inner = numbers.setdefault(lang, {}), cells.values
-                at = np.array([known.setdefault(s, len(known)) for s in inner.field("source").to_pylist()])
-                p, p0 = (inner.field(c).to_numpy(zero_copy_only=False) for c in ("p", "p0"))
-                tiles = [(0, slice(None))] if at.max() < TILE else [(int(t), np.flatnonzero(at // TILE == t)) for t in np.unique(at // TILE)]
-                for i, mine in tiles:
-                    for j, theirs in tiles:
-                        x, x0, y, y0 = p[mine][:, None], p0[mine][:, None], p[theirs][None, :], p0[theirs][None, :]
-                        value, met = sums.setdefault((lang, i, j), (np.zeros((TILE, TILE), np.int64), np.zeros((TILE, TILE), bool)))
-                        grid = (at[mine, None] % TILE, at[None, theirs] % TILE)
-                        value[grid] += f(x, y) - f(x, y0) - f(x0, y) + f(x0, y0)
-                        met[grid] = True
-                        if len(sums) > TILES:
-                            yield from emitted()
-        yield from emitted()
-
-    found = stripes.select("lang", "cells").mapInArrow(run, "lang string, a string, b string, value long")
-    return found.filter("a <> b").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
+    found = stripes.select("lang", "cells").mapInArrow(pair_sums, "lang string, a string, b string, value long")
+    return found.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
 
 
 def audit(docs: DataFrame, min_documents: int = 10, top: int = 10) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 import oracle_check as oc
@@ -95,6 +96,55 @@ def test_shares_beyond_a_long(spark):
     assert df.select(V.share(df["n"], "total", "v")).first()[0] == 1 + 10 ** 9 * (n + 2) // (total + 2 * v)
 
 
+@pytest.mark.parametrize("limit,slices", [(8 << 20, 1), (300, 4), (5, 200)])
+def test_folds_whole_batches(monkeypatch, limit, slices):
+    """Documents are counted many at once, not one by one; those beyond the limit alone, by pieces."""
+    rows = [("Aé b1b, " * 200, "en", "long"), *texts(4, ["s0", "s1", "é"]), ("", "en", "s0"), (None, "en", "s1"), ("été A" * 90, "de", "s0")]
+    rows = [(t, la or "", s) for t, la, s in rows]
+    batch = pa.RecordBatch.from_pydict({"lang": [r[1] for r in rows], "source": [r[2] for r in rows], "text": pa.array([r[0] for r in rows], pa.string())})
+    calls, counted = [], V.counted
+    monkeypatch.setattr(V, "counted", lambda text, number: calls.append(len(text)) or counted(text, number))
+    got, want = {}, {}
+    for out in V.fold(iter([batch.slice(0, 70), batch.slice(70, 0), batch.slice(70)]), limit):
+        for r in out.to_pylist():
+            assert len({c["source"] for c in r["cells"]}) == len(r["cells"])
+            for c in r["cells"]:
+                at = got.setdefault((r["lang"], r["term"], c["source"]), [0, 0])
+                at[0], at[1] = at[0] + c["docs"], at[1] + c["n"]
+    for text, lang, source in rows:
+        for term, n in Counter(TERM.findall((text or "").translate(LOWER))).items():
+            at = want.setdefault((lang, term, source), [0, 0])
+            at[0], at[1] = at[0] + 1, at[1] + n
+    assert got == want
+    assert len(calls) == 1 if slices == 1 else len(calls) >= slices
+
+
+@pytest.mark.parametrize("tile,pairs", [(256, 1 << 18), (2, 1 << 18), (3, 7)])
+def test_pairs_of_many_terms_at_once(monkeypatch, tile, pairs):
+    """Divergences are worked out for the pairs of many terms at once, not term by term."""
+    monkeypatch.setattr(V, "TILE", tile)
+    monkeypatch.setattr(V, "TILES", 2)
+    monkeypatch.setattr(V, "PAIRS", pairs)
+    calls, plain = [], V.f
+    monkeypatch.setattr(V, "f", lambda p, q: calls.append(1) or plain(p, q))
+    rnd = random.Random(7)
+    rows = [{"lang": rnd.choice(["en", "de"]), "cells": [{"source": s, "p": rnd.randint(1, 10 ** 9), "p0": 1 + ord(s)} for s in rnd.sample("abcdefgé", rnd.randint(0, 8))]} for _ in range(200)]
+    cell = pa.list_(pa.struct([("source", pa.string()), ("p", pa.int64()), ("p0", pa.int64())]))
+    batch = pa.RecordBatch.from_pylist(rows, pa.schema([("lang", pa.string()), ("cells", cell)]))
+    got, want = Counter(), Counter()
+    for out in V.pair_sums(iter([batch.slice(0, 90), batch.slice(90, 0), batch.slice(90)])):
+        for r in out.to_pylist():
+            got[r["lang"], r["a"], r["b"]] += r["value"]
+    for r in rows:
+        for a in r["cells"]:
+            for b in r["cells"]:
+                if a["source"] != b["source"]:
+                    x, x0, y, y0 = a["p"], a["p0"], b["p"], b["p0"]
+                    want[r["lang"], a["source"], b["source"]] += f(x, y) - f(x, y0) - f(x0, y) + f(x0, y0)
+    assert got == want
+    assert pairs == 7 or len(calls) == 8  # four divergences a batch
+
+
 def test_matches_sql(spark):
     sf = "/root/testdata/sf0.001"
     r = oc.compare(spark, oc.duck(sf), "op11", queries.QUERIES["op11_source_divergence"], queries.ORACLE["op11_source_divergence"], sf)
