@@ -93,7 +93,8 @@ def striped(batch: pa.RecordBatch, limit: int) -> pa.RecordBatch:
     else:
         terms, term, document, n = counted(batch.column("text"), number)
     own = group[order][document]
-    lang = np.unique([g[0] for g in groups], return_inverse=True)[1][own]
+    langs: dict[str, int] = {}
+    lang = np.array([langs.setdefault(g[0], len(langs)) for g in groups])[own]
     stripe = (np.diff(term, prepend=-1) != 0) | (np.diff(lang, prepend=-1) != 0)
     cell = np.flatnonzero(stripe | (np.diff(own, prepend=-1) != 0))
     docs, n = np.diff(np.append(cell, len(term))), np.add.reduceat(n, cell) if len(cell) else n
@@ -106,7 +107,7 @@ def striped(batch: pa.RecordBatch, limit: int) -> pa.RecordBatch:
 
 
 def fold(batches: Iterator[pa.RecordBatch], limit: int = FOLD_BYTES) -> Iterator[pa.RecordBatch]:
-    """The stripes of the documents of about ``limit`` bytes of text at a time."""
+    """The stripes of the documents, about ``limit`` bytes of them at a time."""
     held, size = [], 0
 
     def spilled() -> Iterator[pa.RecordBatch]:
@@ -118,11 +119,12 @@ def fold(batches: Iterator[pa.RecordBatch], limit: int = FOLD_BYTES) -> Iterator
         long = np.flatnonzero(sizes > limit)
         cuts = np.unique([0, *long, *(long + 1), batch.num_rows]).tolist()
         for u, v in zip(cuts, cuts[1:]):
-            if held and size + sizes[u:v].sum() > limit:
+            piece = batch.slice(u, v - u)
+            if held and size + piece.nbytes > limit:
                 yield from spilled()
                 held, size = [], 0
-            held.append(batch.slice(u, v - u))
-            size += int(sizes[u:v].sum())
+            held.append(piece)
+            size += piece.nbytes  # with the names, so that empty texts count too
     if held:
         yield from spilled()
 

@@ -99,7 +99,7 @@ def test_shares_beyond_a_long(spark):
 @pytest.mark.parametrize("limit,slices", [(8 << 20, 1), (300, 4), (5, 200)])
 def test_folds_whole_batches(monkeypatch, limit, slices):
     """Documents are counted many at once, not one by one; those beyond the limit alone, by pieces."""
-    rows = [("Aé b1b, " * 200, "en", "long"), *texts(4, ["s0", "s1", "é"]), ("", "en", "s0"), (None, "en", "s1"), ("été A" * 90, "de", "s0")]
+    rows = [("Aé b1b, " * 200, "en", "long"), *texts(4, ["s0", "s1", "é"]), ("", "en", "s0"), (None, "en", "s1"), ("été A" * 90, "de", "s0"), ("b1b", "en\0", "long")]
     rows = [(t, la or "", s) for t, la, s in rows]
     batch = pa.RecordBatch.from_pydict({"lang": [r[1] for r in rows], "source": [r[2] for r in rows], "text": pa.array([r[0] for r in rows], pa.string())})
     calls, counted = [], V.counted
